@@ -82,3 +82,65 @@ def q_corpus_counters(spark, sf_dir):
         F.count_distinct(F.when(is_trip, norm_key(F.get("tokens", 0)))).alias("aspect_vocab"),
         F.count_distinct(F.when(is_trip, norm_key(F.get("tokens", 1)))).alias("opinion_vocab"),
     )
+
+
+# ---------------------------------------------------------------- tagged lines and generated text
+
+
+@query("parse_tagged")
+def q_parse_tagged(spark, sf_dir):
+    p = views.parsed_tagged(spark, sf_dir)
+    return p.select("doc_id", "pos", F.posexplode("triplets").alias("ord", "t")).select(
+        "doc_id", "pos", "ord", "t.aspect", "t.opinion", "t.sentiment"
+    )
+
+
+@query("parse_spans")
+def q_parse_spans(spark, sf_dir):
+    p = views.parsed_tagged(spark, sf_dir)
+    return p.select("doc_id", "pos", F.posexplode("spans").alias("ord", "t")).select(
+        "doc_id", "pos", "ord", "t.a0", "t.a1", "t.o0", "t.o1", "t.sentiment"
+    )
+
+
+@query("span_phrases")
+def q_span_phrases(spark, sf_dir):
+    """Span -> phrase with a plain space join."""
+    p = views.parsed_tagged(spark, sf_dir)
+    e = p.select("doc_id", "pos", "tokens", F.posexplode("spans").alias("ord", "t"))
+    phrase = lambda a, b: F.array_join(F.slice("tokens", F.col(a) + 1, F.col(b) - F.col(a)), " ")
+    return e.select("doc_id", "pos", "ord", "tokens", "t.*").select(
+        "doc_id", "pos", "ord", phrase("a0", "a1").alias("aspect"), phrase("o0", "o1").alias("opinion"), "sentiment"
+    )
+
+
+@query("detokenize")
+def q_detokenize(spark, sf_dir):
+    from aspectra.functions.text import detokenize
+
+    return views.token_rows(spark, sf_dir).select("doc_id", "pos", detokenize("tokens").alias("phrase"))
+
+
+@query("render_triplets")
+def q_render_triplets(spark, sf_dir):
+    return views.generated_texts(spark, sf_dir).select("doc_id", "pos", "generated")
+
+
+@query("parse_generated")
+def q_parse_generated(spark, sf_dir):
+    from aspectra.functions.triplets import parse_generated
+
+    g = views.generated_texts(spark, sf_dir)
+    return g.select("doc_id", "pos", F.posexplode(parse_generated("generated")).alias("ord", "t")).select(
+        "doc_id", "pos", "ord", "t.aspect", "t.opinion", "t.sentiment"
+    )
+
+
+@query("parse_generated_set")
+def q_parse_generated_set(spark, sf_dir):
+    from aspectra.functions.triplets import parse_generated_set
+
+    g = views.generated_texts(spark, sf_dir)
+    return g.select("doc_id", "pos", F.explode(parse_generated_set("generated")).alias("t")).select(
+        "doc_id", "pos", "t.aspect", "t.opinion", "t.sentiment"
+    )

@@ -52,3 +52,49 @@ sql(
        count(DISTINCT CASE WHEN len(tokens) >= 2 THEN {lower_strip('tokens[2]')} END) AS opinion_vocab
 FROM v3""",
 )
+
+
+# ---------------------------------------------------------------- tagged lines and generated text
+from aspectra.plans.sqlviews import V6, detok, strip, tagged_parse_ctes  # noqa: E402
+from aspectra.functions.triplets import TRIPLET_PATTERN_RE2  # noqa: E402
+
+_T = with_views("v5", tagged_parse_ctes())
+
+sql("parse_tagged", _T + "SELECT doc_id, pos, ord, aspect, opinion, sentiment FROM tt")
+sql("parse_spans", _T + "SELECT doc_id, pos, ord, a0, a1, o0, o1, sentiment FROM ts")
+sql(
+    "span_phrases",
+    _T
+    + f""", tk AS (SELECT doc_id, pos, {tokens('sentence')} AS toks FROM ok5)
+SELECT ts.doc_id, ts.pos, ts.ord, array_to_string(toks[a0 + 1:a1], ' ') AS aspect,
+       array_to_string(toks[o0 + 1:o1], ' ') AS opinion, sentiment
+FROM ts JOIN tk ON ts.doc_id = tk.doc_id AND ts.pos = tk.pos""",
+)
+sql("detokenize", with_views("v3") + f"SELECT doc_id, pos, {detok(chr(97) + 'rray_to_string(tokens, ' + chr(39) + ' ' + chr(39) + ')')} AS phrase FROM v3")
+sql("render_triplets", with_views("v5", tagged_parse_ctes(), V6) + "SELECT doc_id, pos, generated FROM v6")
+
+_G = with_views(
+    "v5",
+    tagged_parse_ctes(),
+    V6,
+    f"""gm AS (SELECT doc_id, pos, generated,
+  regexp_extract_all(generated, '{TRIPLET_PATTERN_RE2}', 1) AS xa,
+  regexp_extract_all(generated, '{TRIPLET_PATTERN_RE2}', 2) AS xo,
+  regexp_extract_all(generated, '{TRIPLET_PATTERN_RE2}', 3) AS xs FROM v6),
+gx AS (SELECT doc_id, pos, generated, unnest(range(0, len(xa))) AS ord, unnest(xa) AS a, unnest(xo) AS o, unnest(xs) AS s FROM gm)""",
+)
+sql("parse_generated", _G + f"SELECT doc_id, pos, ord, {strip('a')} AS aspect, {strip('o')} AS opinion, lower({strip('s')}) AS sentiment FROM gx")
+
+
+def _normtext(x: str) -> str:
+    from aspectra.functions.text import WS
+
+    return f"regexp_replace(lower({strip(x)}), '{WS}+', ' ', 'g')"
+
+
+sql(
+    "parse_generated_set",
+    _G
+    + f"""SELECT DISTINCT doc_id, pos, {_normtext('a')} AS aspect, {_normtext('o')} AS opinion, {_normtext('s')} AS sentiment
+FROM gx WHERE {_normtext('generated')} <> 'no triplet'""",
+)

@@ -93,3 +93,55 @@ a2 AS (
          {', '.join(parts)}
   FROM a1 a LEFT JOIN rk r ON {gj}a.aspect = r.aspect
   GROUP BY ALL)"""
+
+
+def detok(x: str) -> str:
+    return strip(f"replace(replace({x}, ' n''t', 'n''t'), ' ''s', '''s')")
+
+
+CODE = "CASE sentiment WHEN 'positive' THEN 'POS' WHEN 'negative' THEN 'NEG' ELSE 'NEU' END"
+ITEM_RE = "^(.*)=([^=]*)$"
+
+V5 = f"""v5 AS (
+  SELECT doc_id, source, pos, sentiment,
+    sent || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
+        CASE WHEN i = 1 THEN 'T-' || code WHEN i = 3 AND len(tokens) >= 4 THEN '12-' || code
+             WHEN i = 5 AND len(tokens) >= 6 THEN '12-POS' ELSE 'O' END), ' ')
+    || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
+        CASE WHEN i = 2 THEN 'S' WHEN i = 4 AND len(tokens) >= 4 THEN 'SS'
+             WHEN i = 6 AND len(tokens) >= 6 THEN 'SS' ELSE 'O' END), ' ') AS line
+  FROM (SELECT *, {CODE} AS code FROM v3))"""
+
+
+def tagged_parse_ctes(src: str = "v5") -> str:
+    """CTE chain parsing tagged lines of ``src`` into ``tj`` (one row per aspect group)."""
+    return f"""p5 AS (SELECT doc_id, pos, string_split({strip('line')}, '####') AS parts FROM {src}),
+ok5 AS (SELECT doc_id, pos, {strip('parts[1]')} AS sentence, {tokens('parts[2]')} AS a_items, {tokens('parts[3]')} AS o_items
+        FROM p5 WHERE len(parts) = 3),
+ai AS (SELECT doc_id, pos, unnest(a_items) AS item, unnest(range(0, len(a_items))) AS i FROM ok5),
+oi AS (SELECT doc_id, pos, unnest(o_items) AS item, unnest(range(0, len(o_items))) AS i FROM ok5),
+ae AS (SELECT doc_id, pos, i, regexp_extract(item, '{ITEM_RE}', 1) AS tok, regexp_extract(item, '{ITEM_RE}', 2) AS tag FROM ai),
+oe AS (SELECT doc_id, pos, i, regexp_extract(item, '{ITEM_RE}', 1) AS tok, regexp_extract(item, '{ITEM_RE}', 2) AS tag FROM oi),
+ag AS (SELECT doc_id, pos, split_part(tag, '-', 1) AS gid, arg_min(substr(tag, strpos(tag, '-') + 1), i) AS code,
+              string_agg(tok, ' ' ORDER BY i) AS raw, min(i) AS a0, max(i) + 1 AS a1
+       FROM ae WHERE tag <> 'O' AND strpos(tag, '-') > 0 GROUP BY ALL),
+og AS (SELECT doc_id, pos, tag AS gid, string_agg(tok, ' ' ORDER BY i) AS raw, min(i) AS o0, max(i) + 1 AS o1
+       FROM oe WHERE tag <> 'O' GROUP BY ALL),
+tj AS (SELECT ag.doc_id, ag.pos, ag.gid, {detok('ag.raw')} AS aspect, coalesce({detok('og.raw')}, '') AS opinion,
+              CASE code WHEN 'POS' THEN 'positive' WHEN 'NEG' THEN 'negative' WHEN 'NEU' THEN 'neutral' ELSE lower(code) END AS sentiment,
+              a0, a1, o0, o1
+       FROM ag LEFT JOIN og ON ag.doc_id = og.doc_id AND ag.pos = og.pos AND og.gid = repeat('S', length(ag.gid))),
+tt AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id, pos ORDER BY length(gid), gid) - 1 AS ord,
+              aspect, opinion, sentiment FROM tj WHERE aspect <> '' AND opinion <> ''),
+ts AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id, pos ORDER BY length(gid), gid) - 1 AS ord,
+              a0, a1, o0, o1, sentiment FROM tj WHERE o0 IS NOT NULL)"""
+
+
+V6 = """v6 AS (
+  SELECT s.doc_id, s.source, s.pos, coalesce(string_agg('aspect: ' || t.aspect || ' | opinion: ' || t.opinion || ' | sentiment: ' || t.sentiment,
+         ' ; ' ORDER BY t.ord), 'no triplet') AS generated
+  FROM ok5 o JOIN v5 s ON s.doc_id = o.doc_id AND s.pos = o.pos
+  LEFT JOIN tt t ON t.doc_id = o.doc_id AND t.pos = o.pos
+  GROUP BY ALL)"""
+VIEWS["v5"] = V5
+ORDER.append("v5")

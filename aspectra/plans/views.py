@@ -62,3 +62,27 @@ def triplet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             "sentiment",
         )
     )
+
+
+def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V5: every V3 sentence rendered as a tagged triplet line."""
+    from aspectra.operators.tagged import render_tagged_line
+
+    return token_rows(spark, sf_dir).select(
+        "doc_id", "source", "pos", "sentiment", render_tagged_line("sent", "tokens", "sentiment").alias("line")
+    )
+
+
+def parsed_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.operators.tagged import parse_tagged
+
+    return parse_tagged(tagged_lines(spark, sf_dir))
+
+
+def generated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V6: the parsed V5 triplets rendered as model-style text (sentinel when none)."""
+    from aspectra.functions.triplets import render_triplets
+
+    return parsed_tagged(spark, sf_dir).select(
+        "doc_id", "source", "pos", "sentence", render_triplets("triplets").alias("generated")
+    )
