@@ -18,9 +18,29 @@ from aspectra.plans import views
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def _widen(df: DataFrame) -> DataFrame:
+    """Integers leave as BIGINT and floats as DOUBLE, so result schemas line up with the
+    oracle's (DuckDB counts/positions are BIGINT)."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if t in ("integer", "short", "byte"):
+            out.append(F.col(f"`{f.name}`").cast("bigint").alias(f.name))
+        elif t == "float":
+            out.append(F.col(f"`{f.name}`").cast("double").alias(f.name))
+        else:
+            out.append(F.col(f"`{f.name}`"))
+    return df.select(*out)
+
+
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark, sf_dir):
+            return _widen(fn(spark, sf_dir))
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
 
     return deco
@@ -144,3 +164,234 @@ def q_parse_generated_set(spark, sf_dir):
     return g.select("doc_id", "pos", F.explode(parse_generated_set("generated")).alias("t")).select(
         "doc_id", "pos", "t.aspect", "t.opinion", "t.sentiment"
     )
+
+
+# ---------------------------------------------------------------- splits, lexicon baseline, metrics
+
+
+def _split_sentences(spark, sf_dir):
+    """Parsed V5 sentences with a doc-level hash split and a sentence id."""
+    from aspectra.operators.splits import hash_split
+
+    p = views.parsed_tagged(spark, sf_dir)
+    return hash_split(p, "doc_id").withColumn("sid", F.concat_ws(":", "doc_id", "pos"))
+
+
+def _gold_triplets(split_df, split):
+    return split_df.filter(F.col("split") == split).select(
+        "doc_id", "pos", "sid", F.posexplode("triplets").alias("ord", "t")
+    ).select("doc_id", "pos", "sid", "ord", "t.aspect", "t.opinion", "t.sentiment")
+
+
+def _lexicon_run(spark, sf_dir):
+    from aspectra.operators.lexicon import fit_lexicon, lexicon_predict
+
+    sp = _split_sentences(spark, sf_dir)
+    vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
+    test = sp.filter(F.col("split") == "test")
+    pred = lexicon_predict(test, vocab, lex, sid="sid", text="sentence")
+    gold = test.select("sid", "triplets")
+    return sp, vocab, lex, pred, gold
+
+
+@query("hash_split")
+def q_hash_split(spark, sf_dir):
+    from aspectra.operators.splits import hash_split
+
+    return hash_split(views.labelled(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf_dir):
+    from aspectra.operators.splits import seeded_sample
+
+    return seeded_sample(views.labelled(spark, sf_dir).select("doc_id", "source"), "doc_id", 100)
+
+
+@query("fit_lexicon")
+def q_fit_lexicon(spark, sf_dir):
+    from aspectra.operators.lexicon import fit_lexicon
+
+    vocab, lex = fit_lexicon(_gold_triplets(_split_sentences(spark, sf_dir), "train"))
+    return vocab.select(F.lit("aspect").alias("kind"), "phrase", F.lit(None).cast("string").alias("sentiment")).unionByName(
+        lex.select(F.lit("opinion").alias("kind"), "phrase", "sentiment")
+    )
+
+
+@query("lexicon_match")
+def q_lexicon_match(spark, sf_dir):
+    from aspectra.operators.lexicon import fit_lexicon, lexicon_matches
+
+    sp = _split_sentences(spark, sf_dir)
+    vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
+    test = sp.filter(F.col("split") == "test").select("sid", "tokens")
+    m = lexicon_matches(test, vocab, lex)
+    a = m.select("sid", F.lit("aspect").alias("kind"), F.explode("aspect_spans").alias("s"))
+    o = m.select("sid", F.lit("opinion").alias("kind"), F.explode("opinion_spans").alias("s"))
+    return a.unionByName(o).select("sid", "kind", "s.i", "s.n", "s.phrase")
+
+
+@query("lexicon_predict")
+def q_lexicon_predict(spark, sf_dir):
+    _, _, _, pred, _ = _lexicon_run(spark, sf_dir)
+    return pred.select("sid", F.posexplode("triplets").alias("ord", "t")).select(
+        "sid", "ord", "t.aspect", "t.opinion", "t.sentiment"
+    )
+
+
+@query("nearest_opinion")
+def q_nearest_opinion(spark, sf_dir):
+    """J2 alone: every aspect span paired with its nearest opinion span (centre distance x2)."""
+    from aspectra.operators.lexicon import fit_lexicon, lexicon_matches
+
+    sp = _split_sentences(spark, sf_dir)
+    vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
+    m = lexicon_matches(sp.filter(F.col("split") == "test").select("sid", "tokens"), vocab, lex).filter(
+        F.size("opinion_spans") > 0
+    )
+    pairs = m.select(
+        "sid",
+        F.explode(
+            F.transform(
+                "aspect_spans",
+                lambda a: F.struct(
+                    a.alias("a"),
+                    F.array_min(
+                        F.transform(
+                            "opinion_spans",
+                            lambda o: F.struct(
+                                F.abs((o["i"] * 2 + o["n"]) - (a["i"] * 2 + a["n"])).alias("d"), o["i"].alias("i"),
+                                o["n"].alias("n"), o["phrase"].alias("phrase"),
+                            ),
+                        )
+                    ).alias("o"),
+                ),
+            )
+        ).alias("p"),
+    )
+    return pairs.select(
+        "sid", F.col("p.a.i").alias("a_i"), F.col("p.a.n").alias("a_n"), F.col("p.a.phrase").alias("aspect"),
+        F.col("p.o.i").alias("o_i"), F.col("p.o.n").alias("o_n"), F.col("p.o.phrase").alias("opinion"),
+        F.col("p.o.d").alias("dist2"),
+    )
+
+
+@query("triplet_prf")
+def q_triplet_prf(spark, sf_dir):
+    from aspectra.operators.metrics import triplet_prf
+
+    _, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    return triplet_prf(pred, gold)
+
+
+def _gold_pred_tables(spark, sf_dir, min_mentions=2):
+    _, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    ex = lambda d: d.select(F.explode("triplets").alias("t")).select("t.*")
+    return (
+        stats.aspect_sentiment(ex(gold), min_mentions=min_mentions),
+        stats.aspect_sentiment(ex(pred), min_mentions=min_mentions),
+    )
+
+
+@query("majority_agreement")
+def q_majority_agreement(spark, sf_dir):
+    from aspectra.operators.metrics import majority_agreement
+
+    g, p = _gold_pred_tables(spark, sf_dir)
+    return majority_agreement(g, p)
+
+
+@query("agreement_errors")
+def q_agreement_errors(spark, sf_dir):
+    from aspectra.operators.metrics import agreement_errors
+
+    g, p = _gold_pred_tables(spark, sf_dir)
+    return agreement_errors(g, p)
+
+
+@query("exact_match")
+def q_exact_match(spark, sf_dir):
+    from aspectra.functions.triplets import render_triplets
+    from aspectra.operators.metrics import exact_match
+
+    _, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    j = pred.select("sid", render_triplets("triplets").alias("p")).join(
+        gold.select("sid", render_triplets("triplets").alias("g")), "sid"
+    )
+    return exact_match(j, "p", "g")
+
+
+def _per_example_labels(spark, sf_dir):
+    """Gold test triplets labelled by the fitted opinion lexicon (unseen opinion -> neutral)."""
+    from aspectra.operators.lexicon import fit_lexicon
+
+    sp = _split_sentences(spark, sf_dir)
+    _, lex = fit_lexicon(_gold_triplets(sp, "train"))
+    test = _gold_triplets(sp, "test").join(sp.select("sid", "source"), "sid")
+    j = test.join(lex.withColumnRenamed("sentiment", "lex_sentiment"), norm_key(test["opinion"]) == lex["phrase"], "left")
+    return j.select(
+        "sid", "source", "ord", F.col("sentiment").alias("label"),
+        F.coalesce("lex_sentiment", F.lit("neutral")).alias("prediction"),
+    )
+
+
+@query("example_agreement")
+def q_example_agreement(spark, sf_dir):
+    from aspectra.operators.metrics import example_agreement
+
+    return example_agreement(_per_example_labels(spark, sf_dir), "prediction", "label")
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    from aspectra.operators.metrics import classification_report
+
+    return classification_report(_per_example_labels(spark, sf_dir))
+
+
+@query("run_summary")
+def q_run_summary(spark, sf_dir):
+    """A8 with each corpus (source) as one run of the per-example classifier."""
+    from aspectra.operators.metrics import classification_report, run_summary
+
+    ex = _per_example_labels(spark, sf_dir).withColumn("run", F.regexp_extract("source", "([0-9]+)$", 1).cast("int"))
+    return run_summary(classification_report(ex, group_cols=["run"]), run="run")
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    from aspectra.operators.metrics import class_weights
+
+    return class_weights(_gold_triplets(_split_sentences(spark, sf_dir), "train"), label="sentiment")
+
+
+@query("split_pivot")
+def q_split_pivot(spark, sf_dir):
+    """Sentences by domain (source) x split."""
+    sp = _split_sentences(spark, sf_dir)
+    return (
+        sp.groupBy(F.col("source").alias("domain"))
+        .pivot("split", ["train", "valid", "test"])
+        .agg(F.count(F.lit(1)))
+        .na.fill(0, ["train", "valid", "test"])
+    )
+
+
+@query("triplet_histogram")
+def q_triplet_histogram(spark, sf_dir):
+    sp = _split_sentences(spark, sf_dir)
+    return sp.groupBy("split", F.size("triplets").alias("triplet_count")).agg(F.count(F.lit(1)).alias("sentences"))
+
+
+@query("leakage_audit")
+def q_leakage_audit(spark, sf_dir):
+    from aspectra.operators.splits import hash_split, leakage_audit
+    from aspectra.session import read_table
+
+    s = hash_split(views.sentences(spark, sf_dir), "doc_id")
+    bench = read_table(spark, sf_dir, "benchmark")
+    # benchmark passages are split into sentences the same way before the exact-text check
+    from aspectra.functions.text import split_sentence_array
+
+    bench_s = bench.select(F.explode(split_sentence_array("text")).alias("text"))
+    return leakage_audit(s, text="sent", split="split", benchmark=bench_s)

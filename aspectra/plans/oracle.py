@@ -98,3 +98,223 @@ sql(
     + f"""SELECT DISTINCT doc_id, pos, {_normtext('a')} AS aspect, {_normtext('o')} AS opinion, {_normtext('s')} AS sentiment
 FROM gx WHERE {_normtext('generated')} <> 'no triplet'""",
 )
+
+
+# ---------------------------------------------------------------- splits, lexicon baseline, metrics
+from aspectra.plans.sqlviews import a1_sql as _a1  # noqa: E402
+
+
+def _norm(x: str) -> str:
+    return lower_strip(x)
+
+
+def _hash_u(key: str) -> str:
+    return f"((('0x' || substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT)::DOUBLE / 4294967296.0)"
+
+
+def _split_case(u: str) -> str:
+    return f"CASE WHEN {u} < 0.15::DOUBLE THEN 'test' WHEN {u} < (0.15::DOUBLE + 0.15::DOUBLE) THEN 'valid' ELSE 'train' END"
+
+
+_EMPTY_M = "[]::STRUCT(i BIGINT, n BIGINT, phrase VARCHAR, sentiment VARCHAR)[]"
+
+
+def _fold(x: str) -> str:
+    return (
+        f"list_reduce(coalesce({x}, {_EMPTY_M}), lambda acc, m: CASE WHEN m.i >= acc.e THEN "
+        f"{{'e': m.i + m.n, 'kept': list_append(acc.kept, m)}} ELSE acc END, {{'e': 0::BIGINT, 'kept': {_EMPTY_M}}}).kept"
+    )
+
+
+_LEX = with_views(
+    "v5",
+    tagged_parse_ctes(),
+    f"""sp AS (SELECT o.doc_id, o.pos, o.sentence, v.source, o.doc_id || ':' || o.pos AS sid, {tokens('o.sentence')} AS toks,
+              {_split_case(_hash_u('o.doc_id'))} AS split
+       FROM ok5 o JOIN v5 v ON o.doc_id = v.doc_id AND o.pos = v.pos),
+trn AS (SELECT t.* FROM tt t JOIN sp ON t.doc_id = sp.doc_id AND t.pos = sp.pos WHERE sp.split = 'train'),
+voc AS (SELECT DISTINCT {_norm('aspect')} AS phrase FROM trn),
+lc AS (SELECT {_norm('opinion')} AS phrase, sentiment, count(*) AS n, min({{'d': doc_id, 'p': pos, 'o': ord}}) AS f
+       FROM trn GROUP BY ALL),
+lex AS (SELECT phrase, sentiment FROM (
+          SELECT *, row_number() OVER (PARTITION BY phrase ORDER BY n DESC, f) AS r FROM lc) WHERE r = 1),
+tst AS (SELECT * FROM sp WHERE split = 'test'),
+ng AS (SELECT t.sid, r.i, q.n::BIGINT AS n, lower(array_to_string(t.toks[r.i + 1 : r.i + q.n], ' ')) AS phrase
+       FROM tst t, unnest(range(0, len(t.toks))) r(i), unnest([1, 2, 3]) q(n) WHERE r.i + q.n <= len(t.toks)),
+dic AS (SELECT phrase, 'A' AS kind, NULL::VARCHAR AS sentiment FROM voc UNION ALL SELECT phrase, 'O', sentiment FROM lex),
+hit AS (SELECT ng.*, dic.kind, dic.sentiment FROM ng JOIN dic ON ng.phrase = dic.phrase),
+grp AS (SELECT sid,
+          list({{'i': i, 'n': n, 'phrase': phrase, 'sentiment': sentiment}} ORDER BY i, n DESC) FILTER (WHERE kind = 'A') AS a_all,
+          list({{'i': i, 'n': n, 'phrase': phrase, 'sentiment': sentiment}} ORDER BY i, n DESC) FILTER (WHERE kind = 'O') AS o_all
+        FROM hit GROUP BY sid),
+fld AS (SELECT sid, {_fold('a_all')} AS a_sp, {_fold('o_all')} AS o_sp FROM grp),
+prd AS (SELECT sid, list_transform(a_sp, lambda a: list_min(list_transform(o_sp, lambda o:
+          {{'d': abs((2 * o.i + o.n) - (2 * a.i + a.n)), 'i': o.i, 'n': o.n, 'phrase': o.phrase, 'sentiment': o.sentiment,
+            'a': a}}))) AS best
+        FROM fld WHERE len(o_sp) > 0),
+pr AS (SELECT sid, unnest(range(0, len(best))) AS ord, unnest(best) AS b FROM prd),
+prow AS (SELECT sid, ord, b.a.phrase AS aspect, b.phrase AS opinion, b.sentiment AS sentiment FROM pr),
+grow AS (SELECT tst.sid, tt.ord, tt.aspect, tt.opinion, tt.sentiment FROM tt JOIN tst ON tt.doc_id = tst.doc_id AND tt.pos = tst.pos)""",
+)
+
+sql("hash_split", with_views("v1") + f"SELECT doc_id, {_split_case(_hash_u('doc_id'))} AS split FROM v1")
+sql("seeded_sample", with_views("v1") + "SELECT doc_id, source FROM v1 ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100")
+sql(
+    "fit_lexicon",
+    _LEX + "SELECT 'aspect' AS kind, phrase, NULL::VARCHAR AS sentiment FROM voc UNION ALL SELECT 'opinion', phrase, sentiment FROM lex",
+)
+sql(
+    "lexicon_match",
+    _LEX
+    + """, ex AS (SELECT sid, 'aspect' AS kind, unnest(a_sp) AS s FROM fld UNION ALL SELECT sid, 'opinion', unnest(o_sp) FROM fld)
+SELECT sid, kind, s.i AS i, s.n AS n, s.phrase AS phrase FROM ex""",
+)
+sql("lexicon_predict", _LEX + "SELECT sid, ord, aspect, opinion, sentiment FROM prow")
+sql(
+    "nearest_opinion",
+    _LEX
+    + """SELECT sid, b.a.i AS a_i, b.a.n AS a_n, b.a.phrase AS aspect, b.i AS o_i, b.n AS o_n, b.phrase AS opinion, b.d AS dist2
+FROM pr""",
+)
+sql(
+    "triplet_prf",
+    _LEX
+    + f""", ps AS (SELECT DISTINCT sid, {_norm('aspect')} AS a, {_norm('opinion')} AS o, sentiment AS s FROM prow),
+gs AS (SELECT DISTINCT sid, {_norm('aspect')} AS a, {_norm('opinion')} AS o, sentiment AS s FROM grow),
+c AS (SELECT (SELECT count(*) FROM ps JOIN gs USING (sid, a, o, s)) AS tp, (SELECT count(*) FROM ps) AS pred_total,
+             (SELECT count(*) FROM gs) AS gold_total),
+r AS (SELECT *, CASE WHEN pred_total > 0 THEN tp::DOUBLE / pred_total ELSE 0.0 END AS p,
+                CASE WHEN gold_total > 0 THEN tp::DOUBLE / gold_total ELSE 0.0 END AS rc FROM c)
+SELECT tp, pred_total, gold_total, round(p, 6) AS precision, round(rc, 6) AS recall,
+       round(CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END, 6) AS f1 FROM r""",
+)
+_TABLES = f""", {_a1('grow', name='ga', min_mentions=2)}, {_a1('prow', name='pa', min_mentions=2)}"""
+sql(
+    "majority_agreement",
+    _LEX
+    + _TABLES
+    + """ SELECT count(*) AS shared, count(*) FILTER (WHERE ga.majority_sentiment = pa.majority_sentiment) AS agree,
+       round(CASE WHEN count(*) > 0 THEN (count(*) FILTER (WHERE ga.majority_sentiment = pa.majority_sentiment))::DOUBLE / count(*) ELSE 0.0 END, 6) AS ratio
+FROM ga JOIN pa ON ga.aspect = pa.aspect""",
+)
+sql(
+    "agreement_errors",
+    _LEX
+    + _TABLES
+    + """ SELECT coalesce(ga.aspect, pa.aspect) AS aspect,
+       CASE WHEN pa.total IS NULL THEN 'gold_only' WHEN ga.total IS NULL THEN 'predicted_only'
+            WHEN ga.majority_sentiment <> pa.majority_sentiment THEN 'flipped' ELSE 'agree' END AS status,
+       ga.majority_sentiment AS gold_majority, pa.majority_sentiment AS predicted_majority,
+       (coalesce(pa.positive, 0) - coalesce(ga.positive, 0))::BIGINT AS delta_positive,
+       (coalesce(pa.negative, 0) - coalesce(ga.negative, 0))::BIGINT AS delta_negative,
+       (coalesce(pa.neutral, 0) - coalesce(ga.neutral, 0))::BIGINT AS delta_neutral,
+       (coalesce(pa.total, 0) - coalesce(ga.total, 0))::BIGINT AS delta_total
+FROM ga FULL JOIN pa ON ga.aspect = pa.aspect""",
+)
+
+
+def _render(src: str) -> str:
+    return (
+        f"coalesce(string_agg('aspect: ' || x.aspect || ' | opinion: ' || x.opinion || ' | sentiment: ' || x.sentiment, "
+        f"' ; ' ORDER BY x.ord), 'no triplet')"
+    )
+
+
+def _normtext2(x: str) -> str:
+    from aspectra.functions.text import WS
+
+    return f"lower({strip(f'regexp_replace({x}, {chr(39)}{WS}+{chr(39)}, {chr(39)} {chr(39)}, {chr(39)}g{chr(39)})')})"
+
+
+sql(
+    "exact_match",
+    _LEX
+    + f""", pt AS (SELECT t.sid, {_render('x')} AS p FROM tst t LEFT JOIN prow x ON x.sid = t.sid GROUP BY t.sid),
+gt AS (SELECT t.sid, {_render('x')} AS g FROM tst t LEFT JOIN grow x ON x.sid = t.sid GROUP BY t.sid)
+SELECT count(*) AS n, round(avg(CASE WHEN {_normtext2('p')} = {_normtext2('g')} THEN 1.0 ELSE 0.0 END), 6) AS exact_match
+FROM pt JOIN gt ON pt.sid = gt.sid""",
+)
+
+_EX = _LEX + f""", ex AS (SELECT g.sid, t.source, g.ord, g.sentiment AS label, coalesce(l.sentiment, 'neutral') AS prediction
+  FROM grow g JOIN tst t ON g.sid = t.sid LEFT JOIN lex l ON {_norm('g.opinion')} = l.phrase)"""
+
+sql(
+    "example_agreement",
+    _EX
+    + """ SELECT count(*) AS n, count(*) FILTER (WHERE prediction = label) AS agree,
+       round(CASE WHEN count(*) > 0 THEN (count(*) FILTER (WHERE prediction = label))::DOUBLE / count(*) ELSE 0.0 END, 6) AS agreement
+FROM ex""",
+)
+
+
+def _class_report(src: str, g: str = "") -> str:
+    gk = f"{g}, " if g else ""
+    on = f"a.{g} = b.{g} AND " if g else ""
+    part = f"PARTITION BY {g}" if g else ""
+    return f""", cf AS (SELECT {gk}label, prediction, count(*) AS n FROM {src} GROUP BY ALL),
+al AS (SELECT {gk}label AS cls, sum(n) AS support, sum(CASE WHEN label = prediction THEN n END) AS tp FROM cf GROUP BY ALL),
+ap AS (SELECT {gk}prediction AS cls, sum(n) AS predicted FROM cf GROUP BY ALL),
+per AS (SELECT {('coalesce(a.' + g + ', b.' + g + ') AS ' + g + ', ') if g else ''}coalesce(a.cls, b.cls) AS cls,
+               coalesce(a.support, 0)::BIGINT AS support, coalesce(b.predicted, 0)::BIGINT AS predicted, coalesce(a.tp, 0)::BIGINT AS tp
+        FROM al a FULL JOIN ap b ON {on}a.cls = b.cls),
+pr2 AS (SELECT *, CASE WHEN predicted > 0 THEN tp::DOUBLE / predicted ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp::DOUBLE / support ELSE 0.0 END AS recall FROM per),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM pr2),
+rep AS (SELECT {gk}cls AS label, precision, recall, f1, support,
+        CASE WHEN sum(support) OVER ({part}) > 0 THEN sum(tp) OVER ({part})::DOUBLE / sum(support) OVER ({part}) ELSE 0.0 END AS accuracy,
+        avg(f1) OVER ({part}) AS macro_f1 FROM f)"""
+
+
+sql(
+    "classification_report",
+    _EX
+    + _class_report("ex")
+    + """ SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support,
+       round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1 FROM rep""",
+)
+sql(
+    "run_summary",
+    _EX
+    + ", exr AS (SELECT *, CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS run FROM ex)"
+    + _class_report("exr", "run")
+    + """, rr AS (SELECT run, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+                  round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1, label FROM rep),
+pr3 AS (SELECT run, any_value(accuracy) AS accuracy, any_value(macro_f1) AS macro_f1 FROM rr GROUP BY run)
+SELECT 'overall' AS label, round(avg(accuracy), 6) AS accuracy_mean, round(stddev_samp(accuracy), 6) AS accuracy_std,
+       round(avg(macro_f1), 6) AS f1_mean, round(stddev_samp(macro_f1), 6) AS f1_std,
+       CAST(arg_max(run, (macro_f1, -run)) AS VARCHAR) AS best_run, count(*) AS runs FROM pr3
+UNION ALL
+SELECT label, NULL::DOUBLE, NULL::DOUBLE, round(avg(f1), 6), round(stddev_samp(f1), 6),
+       CAST(arg_max(run, (f1, -run)) AS VARCHAR), count(*) FROM rr GROUP BY label""",
+)
+sql(
+    "class_weights",
+    _LEX
+    + """, cw AS (SELECT sentiment AS label, count(*) AS n_c FROM trn GROUP BY ALL)
+SELECT label, n_c, round(sum(n_c) OVER () / (count(*) OVER () * n_c), 6) AS weight FROM cw""",
+)
+sql(
+    "split_pivot",
+    _LEX
+    + """ SELECT source AS domain, count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'valid') AS valid,
+       count(*) FILTER (WHERE split = 'test') AS test FROM sp GROUP BY source""",
+)
+sql(
+    "triplet_histogram",
+    _LEX
+    + """, cnt AS (SELECT sp.sid, sp.split, (SELECT count(*) FROM tt WHERE tt.doc_id = sp.doc_id AND tt.pos = sp.pos) AS triplet_count FROM sp)
+SELECT split, triplet_count, count(*) AS sentences FROM cnt GROUP BY ALL""",
+)
+from aspectra.plans.sqlviews import sentence_array as _sa  # noqa: E402
+
+sql(
+    "leakage_audit",
+    with_views("v2")
+    + f""", s AS (SELECT DISTINCT {_split_case(_hash_u('doc_id'))} AS split, sent AS text FROM v2),
+m AS (SELECT text, list_sort(list(split)) AS splits FROM s GROUP BY text HAVING count(*) > 1),
+pairs AS (SELECT a.x AS a, b.y AS b FROM m, unnest(m.splits) a(x), unnest(m.splits) b(y) WHERE a.x < b.y),
+bt AS (SELECT DISTINCT unnest({_sa('text')}) AS text FROM benchmark)
+SELECT 'distinct_texts:' || split AS "check", count(*) AS n FROM s GROUP BY split
+UNION ALL SELECT 'overlap:' || a || '/' || b, count(*) FROM pairs GROUP BY a, b
+UNION ALL SELECT 'benchmark_in_items', count(*) FROM bt WHERE text IN (SELECT text FROM s)""",
+)

@@ -56,10 +56,10 @@ MAJORITY = (
 )
 
 
-def a1_sql(src: str, group: str = "") -> str:
+def a1_sql(src: str, group: str = "", name: str = "a1", min_mentions: int = 1) -> str:
     """A1 over a CTE with (aspect, sentiment)."""
     g = f"{group}, " if group else ""
-    return f"""a1 AS (
+    return f"""{name} AS (
   SELECT {g}aspect, positive, negative, neutral, positive + negative + neutral AS total, {MAJORITY} AS majority_sentiment
   FROM (SELECT {g}{lower_strip('aspect')} AS aspect,
                CAST(count(*) FILTER (WHERE sentiment = 'positive') AS BIGINT) AS positive,
@@ -67,7 +67,7 @@ def a1_sql(src: str, group: str = "") -> str:
                CAST(count(*) FILTER (WHERE sentiment = 'neutral') AS BIGINT) AS neutral
         FROM {src}
         WHERE {lower_strip('aspect')} <> '' AND sentiment IN ('positive', 'negative', 'neutral')
-        GROUP BY ALL))"""
+        GROUP BY ALL) WHERE positive + negative + neutral >= {min_mentions})"""
 
 
 def a2_sql(src: str, top_n: int = 10, group: str = "") -> str:
