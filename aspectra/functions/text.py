@@ -26,6 +26,7 @@ def _ws_class() -> str:
 
 
 WS = _ws_class()  # one whitespace character
+WS_CHARS = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
 WS_RUN = WS + "+"
 STRIP_RE = f"^{WS}+|{WS}+$"
 
@@ -37,8 +38,8 @@ def col_(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``: Unicode whitespace at both ends."""
-    return F.regexp_replace(col_(c), STRIP_RE, "")
+    """Python ``str.strip()``: Unicode whitespace at both ends (character-set trim, no regex)."""
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def norm_key(c) -> Column:

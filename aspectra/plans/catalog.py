@@ -173,8 +173,10 @@ def _split_sentences(spark, sf_dir):
     """Parsed V5 sentences with a doc-level hash split and a sentence id."""
     from aspectra.operators.splits import hash_split
 
+    from aspectra.plans.materialize import materialize
+
     p = views.parsed_tagged(spark, sf_dir)
-    return hash_split(p, "doc_id").withColumn("sid", F.concat_ws(":", "doc_id", "pos"))
+    return materialize(hash_split(p, "doc_id").withColumn("sid", F.concat_ws(":", "doc_id", "pos")), "split-sentences")
 
 
 def _gold_triplets(split_df, split):
@@ -355,7 +357,7 @@ def q_run_summary(spark, sf_dir):
     from aspectra.operators.metrics import classification_report, run_summary
 
     ex = _per_example_labels(spark, sf_dir).withColumn("run", F.regexp_extract("source", "([0-9]+)$", 1).cast("int"))
-    return run_summary(classification_report(ex, group_cols=["run"]), run="run")
+    return run_summary(classification_report(ex, group_cols=["run"], digits=None), run="run")
 
 
 @query("class_weights")

@@ -277,8 +277,7 @@ sql(
     _EX
     + ", exr AS (SELECT *, CAST(regexp_extract(source, '([0-9]+)$', 1) AS BIGINT) AS run FROM ex)"
     + _class_report("exr", "run")
-    + """, rr AS (SELECT run, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
-                  round(accuracy, 6) AS accuracy, round(macro_f1, 6) AS macro_f1, label FROM rep),
+    + """, rr AS (SELECT run, precision, recall, f1, accuracy, macro_f1, label FROM rep),
 pr3 AS (SELECT run, any_value(accuracy) AS accuracy, any_value(macro_f1) AS macro_f1 FROM rr GROUP BY run)
 SELECT 'overall' AS label, round(avg(accuracy), 6) AS accuracy_mean, round(stddev_samp(accuracy), 6) AS accuracy_std,
        round(avg(macro_f1), 6) AS f1_mean, round(stddev_samp(macro_f1), 6) AS f1_std,

@@ -5,13 +5,15 @@ and then split (equivalent to the look-behind split used on the Spark side).
 """
 from __future__ import annotations
 
-from aspectra.functions.text import WS
+from aspectra.functions.text import WS, WS_CHARS
+
+_WS_SQL = " || ".join(f"chr({ord(c)})" for c in WS_CHARS)
 
 WSR = WS + "+"
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{WSR}|{WSR}$', '', 'g')"
+    return f"trim({x}, {_WS_SQL})"
 
 
 def lower_strip(x: str) -> str:
