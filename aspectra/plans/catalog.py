@@ -397,3 +397,29 @@ def q_leakage_audit(spark, sf_dir):
 
     bench_s = bench.select(F.explode(split_sentence_array("text")).alias("text"))
     return leakage_audit(s, text="sent", split="split", benchmark=bench_s)
+
+
+# ---------------------------------------------------------------- stats tables per corpus, row selection
+
+
+def _stats_by_source(spark, sf_dir, reasons: bool = True):
+    """V8: per-corpus table (min 2 mentions), with or without reason lists."""
+    trip = views.triplet_rows(spark, sf_dir)
+    if reasons:
+        return stats.aspect_reasons(trip, group_cols=["source"], top_n=10, min_mentions=2)
+    return stats.aspect_sentiment(trip, group_cols=["source"], min_mentions=2)
+
+
+@query("select_rows_counts")
+def q_select_rows_counts(spark, sf_dir):
+    from aspectra.operators.select import select_report_rows
+
+    return select_report_rows(_stats_by_source(spark, sf_dir, reasons=False), ["source"], max_aspects=4)
+
+
+@query("select_rows_reasons")
+def q_select_rows_reasons(spark, sf_dir):
+    from aspectra.operators.select import select_report_rows
+
+    sel = select_report_rows(_stats_by_source(spark, sf_dir), ["source"], max_aspects=4)
+    return stats.with_rendered_reasons(sel)

@@ -317,3 +317,47 @@ SELECT 'distinct_texts:' || split AS "check", count(*) AS n FROM s GROUP BY spli
 UNION ALL SELECT 'overlap:' || a || '/' || b, count(*) FROM pairs GROUP BY a, b
 UNION ALL SELECT 'benchmark_in_items', count(*) FROM bt WHERE text IN (SELECT text FROM s)""",
 )
+
+
+# ---------------------------------------------------------------- per-corpus tables and row selection
+from aspectra.plans.sqlviews import a2_sql as _a2  # noqa: E402
+
+_V8R = with_views("v4", _a2("v4", 10, group="source")) + ", t AS (SELECT * FROM a2 WHERE total >= 2)"
+_V8C = with_views("v4", _a1("v4", group="source", min_mentions=2)) + ", t AS (SELECT * FROM a1)"
+
+
+def _select_sql(base: str, reasons: bool, max_aspects: int = 4) -> str:
+    rcols = ", t.positive_reasons, t.negative_reasons, t.neutral_reasons" if reasons else ""
+    aware = ("bool_or(positive_reasons <> '' OR negative_reasons <> '' OR neutral_reasons <> '')" if reasons else "false")
+    return base + f""",
+c AS (SELECT *, max(CASE WHEN total >= 10 THEN 1 ELSE 0 END) OVER (PARTITION BY source) AS has10 FROM t),
+cand AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY total DESC, aspect) AS r FROM c WHERE total >= 10 OR has10 = 0),
+per AS (SELECT source, {aware} AS reason_aware,
+          arg_min(aspect, r) AS c1,
+          arg_max(aspect, (positive, total, -r)) AS c2,
+          arg_max(aspect, (negative, total, -r)) AS c3,
+          arg_min(aspect, (abs(positive - negative), -total, r)) FILTER (WHERE r <= 10) AS c4,
+          list({{'r': r, 'aspect': aspect, 'total': total, 'pr': positive / total, 'nr': negative / total,
+                 'dr': abs(positive - negative) / total}} ORDER BY r) FILTER (WHERE r <= 30) AS pool,
+          list(aspect ORDER BY r) FILTER (WHERE r <= {max_aspects}) AS fill
+        FROM cand GROUP BY source),
+s1 AS (SELECT *, pool[1].aspect AS p1 FROM per),
+s2 AS (SELECT *, list_filter(pool, lambda x: x.aspect <> p1) AS rem1 FROM s1),
+s3 AS (SELECT *, list_max(list_transform(rem1, lambda x: {{'k': x.pr, 't': x.total, 'r': -x.r, 'aspect': x.aspect}})).aspect AS p2 FROM s2),
+s4 AS (SELECT *, list_filter(rem1, lambda x: x.aspect <> coalesce(p2, '')) AS rem2 FROM s3),
+s5 AS (SELECT *, list_max(list_transform(rem2, lambda x: {{'k': x.nr, 't': x.total, 'r': -x.r, 'aspect': x.aspect}})).aspect AS p3 FROM s4),
+s6 AS (SELECT *, list_filter(rem2, lambda x: x.aspect <> coalesce(p3, '')) AS rem3 FROM s5),
+s7 AS (SELECT *, list_min(list_transform(rem3, lambda x: {{'k': x.dr, 't': -x.total, 'r': x.r, 'aspect': x.aspect}})).aspect AS p4 FROM s6),
+ords AS (SELECT source, reason_aware,
+           CASE WHEN reason_aware THEN list_filter([p1, p2, p3, p4], lambda x: x IS NOT NULL) || fill
+                ELSE list_filter([c1, c2, c3, c4], lambda x: x IS NOT NULL) || fill END AS l FROM s7),
+dd AS (SELECT source, reason_aware, list_filter(l, lambda x, i: list_position(l, x) = i)[1:{max_aspects}] AS sel FROM ords),
+ch AS (SELECT source, reason_aware, unnest(sel) AS aspect, unnest(range(1, len(sel) + 1)) AS slot FROM dd)
+SELECT ch.source, ch.slot, CASE ch.slot WHEN 1 THEN 'most_discussed' WHEN 2 THEN 'strongest_positive'
+       WHEN 3 THEN 'strongest_negative' WHEN 4 THEN 'most_divided' END AS role, ch.reason_aware,
+       t.aspect, t.positive, t.negative, t.neutral, t.total, t.majority_sentiment{rcols}
+FROM ch JOIN t ON ch.source = t.source AND ch.aspect = t.aspect"""
+
+
+sql("select_rows_counts", _select_sql(_V8C, reasons=False))
+sql("select_rows_reasons", _select_sql(_V8R, reasons=True))
