@@ -423,3 +423,168 @@ def q_select_rows_reasons(spark, sf_dir):
 
     sel = select_report_rows(_stats_by_source(spark, sf_dir), ["source"], max_aspects=4)
     return stats.with_rendered_reasons(sel)
+
+
+# ---------------------------------------------------------------- prompts, reports, checks
+
+
+def _selected(spark, sf_dir, reasons: bool):
+    from aspectra.operators.select import select_report_rows
+
+    return select_report_rows(_stats_by_source(spark, sf_dir, reasons=reasons), ["source"], max_aspects=4)
+
+
+@query("reason_text")
+def q_reason_text(spark, sf_dir):
+    from aspectra.operators.reports import reason_text
+
+    return _selected(spark, sf_dir, True).select("source", "slot", "aspect", reason_text().alias("reason_text"))
+
+
+@query("prompt_reasoned")
+def q_prompt_reasoned(spark, sf_dir):
+    from aspectra.operators.reports import prompt_reasoned
+
+    return prompt_reasoned(_selected(spark, sf_dir, True))
+
+
+@query("prompt_roles")
+def q_prompt_roles(spark, sf_dir):
+    from aspectra.operators.reports import prompt_roles
+
+    return prompt_roles(_selected(spark, sf_dir, False))
+
+
+def _structured(spark, sf_dir):
+    from aspectra.operators.checks import check_structured
+    from aspectra.operators.reports import count_reports
+
+    reports = count_reports(_selected(spark, sf_dir, False))
+    return reports, check_structured(reports, _stats_by_source(spark, sf_dir, reasons=False))
+
+
+@query("check_structured")
+def q_check_structured(spark, sf_dir):
+    _, (per_report, _) = _structured(spark, sf_dir)
+    return per_report
+
+
+@query("claim_check")
+def q_claim_check(spark, sf_dir):
+    _, (_, per_claim) = _structured(spark, sf_dir)
+    return per_claim.select(
+        "source", "kind", "k", "role", "aspect", "total", "positive", "negative", "neutral", "valid",
+        F.array_join("errors", "; ").alias("errors"),
+    )
+
+
+@query("report_rollup")
+def q_report_rollup(spark, sf_dir):
+    from aspectra.operators.checks import report_rollup
+
+    _, (per_report, _) = _structured(spark, sf_dir)
+    return report_rollup(per_report.withColumn("style", F.when(F.col("claims_checked") > 0, "claims").otherwise("none")), ["style"])
+
+
+@query("report_pass_rate")
+def q_report_pass_rate(spark, sf_dir):
+    from aspectra.operators.checks import report_rollup
+
+    _, (per_report, _) = _structured(spark, sf_dir)
+    return report_rollup(per_report)
+
+
+@query("report_status")
+def q_report_status(spark, sf_dir):
+    """P17 + C7 for the count-path reports: the structured checker has no coverage warnings,
+    so status is accepted or rejected and the effective mode is strict."""
+    from aspectra.operators.reports import report_status
+
+    _, (per_report, _) = _structured(spark, sf_dir)
+    sel = _selected(spark, sf_dir, False).groupBy("source").agg(F.bool_or("reason_aware").alias("reason_aware"))
+    j = per_report.join(sel, "source")
+    return j.select(
+        "source", "reason_aware", F.col("passed").alias("accepted"),
+        report_status(F.col("passed"), F.array().cast("array<string>")).alias("status"),
+        F.when(F.col("reason_aware"), F.lit("factual-only")).otherwise(F.lit("strict")).alias("checker_mode"),
+    )
+
+
+@query("coverage_gaps")
+def q_coverage_gaps(spark, sf_dir):
+    """O3: required aspects/roles (the selection) minus what each report claims."""
+    _, (_, per_claim) = _structured(spark, sf_dir)
+    sel = _selected(spark, sf_dir, False)
+    req = sel.select("source", "aspect", "role")
+    claimed = per_claim.select("source", "aspect").distinct()
+    missing_aspects = req.join(claimed, ["source", "aspect"], "left_anti").select("source", F.lit("aspect").alias("gap"), F.col("aspect").alias("value"))
+    roles = per_claim.filter(F.col("role").isNotNull()).select("source", "role").distinct()
+    missing_roles = req.filter(F.col("role").isNotNull()).join(roles, ["source", "role"], "left_anti").select(
+        "source", F.lit("role").alias("gap"), F.col("role").alias("value")
+    )
+    return missing_aspects.unionByName(missing_roles)
+
+
+@query("claims_equal")
+def q_claims_equal(spark, sf_dir):
+    """Role-claim tuples of each (possibly perturbed) report equal those of a clean rendering."""
+    from aspectra.operators.checks import extract_claims
+    from aspectra.operators.reports import count_reports
+
+    sel = _selected(spark, sf_dir, False)
+    got = count_reports(sel)
+    want = count_reports(sel.withColumn("source", F.col("source")), key="source")  # same rendering, no perturbation below
+    clean = (
+        sel.withColumn("_k", F.concat(F.lit("clean:"), "source"))
+    )
+    from aspectra.operators.reports import role_sentence
+
+    clean_txt = clean.groupBy("source").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slot", role_sentence(F.col("role"), F.col("aspect")).alias("x")))),
+                                 lambda x: x["x"]), " ").alias("target")
+    )
+    del want
+    roles_only = lambda c: F.array_sort(F.filter(extract_claims(c), lambda x: x["role"].isNotNull()))
+    j = got.join(clean_txt, "source")
+    a, b = roles_only(F.col("report")), roles_only(F.col("target"))
+    return j.select("source", ((a == b) & (F.size(b) > 0)).alias("claims_equal"), F.size(a).cast("bigint").alias("report_claims"),
+                    F.size(b).cast("bigint").alias("target_claims"))
+
+
+def _reasoned(spark, sf_dir, mode="factual-only"):
+    from aspectra.operators.checks import check_reasoned
+    from aspectra.operators.reports import reasoned_reports
+
+    sel = _selected(spark, sf_dir, True)
+    reports = reasoned_reports(sel)
+    return reports, sel, check_reasoned(reports, sel, mode=mode)
+
+
+@query("check_reasoned")
+def q_check_reasoned(spark, sf_dir):
+    _, _, (per_report, _) = _reasoned(spark, sf_dir)
+    return per_report.drop("coverage_warnings")
+
+
+@query("reason_grounding")
+def q_reason_grounding(spark, sf_dir):
+    _, _, (_, per_aspect) = _reasoned(spark, sf_dir)
+    return per_aspect
+
+
+@query("segment_aspects")
+def q_segment_aspects(spark, sf_dir):
+    from aspectra.operators.checks import segment_aspect_set, segments
+
+    reports, sel, _ = _reasoned(spark, sf_dir)
+    asp = sel.groupBy("source").agg(F.collect_list(F.lower("aspect")).alias("aspects"))
+    d = reports.join(asp, "source").select("source", "aspects", F.posexplode(segments("report")).alias("seg_idx", "segment"))
+    return d.select("source", "seg_idx", "segment", F.array_join(F.array_sort(segment_aspect_set(F.col("segment"), F.col("aspects"))), ",").alias("aspects"))
+
+
+@query("check_grounded")
+def q_check_grounded(spark, sf_dir):
+    from aspectra.operators.checks import grounded
+
+    reports, sel, _ = _reasoned(spark, sf_dir)
+    return grounded(reports, sel)
