@@ -588,3 +588,54 @@ def q_check_grounded(spark, sf_dir):
 
     reports, sel, _ = _reasoned(spark, sf_dir)
     return grounded(reports, sel)
+
+
+# ---------------------------------------------------------------- grid tagging
+
+
+def _grid_inputs(spark, sf_dir):
+    sp = _split_sentences(spark, sf_dir)
+    spans = sp.select("sid", F.posexplode("spans").alias("ord", "t")).select("sid", "ord", "t.*")
+    return sp, spans
+
+
+@query("grid_build")
+def q_grid_build(spark, sf_dir):
+    from aspectra.operators.grid import build_grid
+
+    _, spans = _grid_inputs(spark, sf_dir)
+    return build_grid(spans)
+
+
+@query("diagonal_spans")
+def q_diagonal_spans(spark, sf_dir):
+    from aspectra.operators.grid import build_grid, diagonal_spans
+
+    _, spans = _grid_inputs(spark, sf_dir)
+    return diagonal_spans(build_grid(spans))
+
+
+@query("grid_decode")
+def q_grid_decode(spark, sf_dir):
+    from aspectra.operators.grid import build_grid, decode_grid
+
+    _, spans = _grid_inputs(spark, sf_dir)
+    return decode_grid(build_grid(spans))
+
+
+@query("grid_expand")
+def q_grid_expand(spark, sf_dir):
+    from aspectra.operators.grid import build_grid, expand_grid, subword_map
+
+    sp, spans = _grid_inputs(spark, sf_dir)
+    return expand_grid(build_grid(spans), subword_map(sp))
+
+
+@query("grid_collapse")
+def q_grid_collapse(spark, sf_dir):
+    """Round trip: collapse(expand(grid)) must give the word grid back."""
+    from aspectra.operators.grid import build_grid, collapse_grid, expand_grid, subword_map
+
+    sp, spans = _grid_inputs(spark, sf_dir)
+    wmap = subword_map(sp)
+    return collapse_grid(expand_grid(build_grid(spans), wmap), wmap)

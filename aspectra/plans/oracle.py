@@ -361,3 +361,181 @@ FROM ch JOIN t ON ch.source = t.source AND ch.aspect = t.aspect"""
 
 sql("select_rows_counts", _select_sql(_V8C, reasons=False))
 sql("select_rows_reasons", _select_sql(_V8R, reasons=True))
+
+
+# ---------------------------------------------------------------- prompts, reports and checks
+from aspectra.operators import checks as _ck  # noqa: E402
+from aspectra.operators import reports as _rp  # noqa: E402
+
+
+def _sel_cte(base: str, reasons: bool) -> str:
+    body = _select_sql(base, reasons)
+    head, final = body.rsplit("SELECT ch.source", 1)
+    return head + ",\nsel AS (SELECT ch.source" + final + ")"
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_SELC = _sel_cte(_V8C, False)
+_SELR = _sel_cte(_V8R, True)
+
+_COUNT_REPORTS = """,
+st AS (SELECT *, ('0x' || substr(md5(source), 1, 6))::BIGINT % 3 AS style,
+              (('0x' || substr(md5('perturb:' || source), 1, 8))::BIGINT)::DOUBLE < 4294967296.0 / 3 AS pert FROM sel),
+st2 AS (SELECT *, CASE WHEN pert AND slot = 1 THEN total + 1 ELSE total END AS t2, upper(substr(aspect, 1, 1)) || substr(aspect, 2) AS cap FROM st),
+sent AS (SELECT source, slot, CASE
+   WHEN style = 0 THEN (CASE role
+     WHEN 'most_discussed' THEN cap || ' attracted the most attention, with ' || t2 || ' mentions: ' || positive || ' positive, ' || negative || ' negative, and ' || neutral || ' neutral.'
+     WHEN 'strongest_positive' THEN cap || ' emerged as the clearest strength, receiving ' || positive || ' positive mentions out of ' || t2 || ', alongside ' || negative || ' negative and ' || neutral || ' neutral.'
+     WHEN 'strongest_negative' THEN 'In contrast, ' || cap || ' was the main concern, with ' || negative || ' negative mentions out of ' || t2 || ', compared with ' || positive || ' positive and ' || neutral || ' neutral.'
+     WHEN 'most_divided' THEN cap || ' feedback was the most divided, with ' || positive || ' positive, ' || negative || ' negative, and ' || neutral || ' neutral mentions among ' || t2 || ' total.'
+     END)
+   WHEN style = 1 THEN aspect || ': ' || t2 || ' mentions (' || positive || ' positive, ' || negative || ' negative, ' || neutral || ' neutral).'
+   ELSE cap || ' received ' || t2 || ' mentions, including ' || positive || ' positive, ' || negative || ' negative, and ' || neutral || ' neutral.'
+   END AS x FROM st2),
+rep AS (SELECT source, string_agg(x, ' ' ORDER BY slot) AS report FROM sent GROUP BY source)"""
+
+
+def _claims_cte(src: str = "rep") -> str:
+    parts = []
+    for kind, role, pat, groups in _ck.CLAIM_GRAMMARS:
+        ex = ", ".join(f"regexp_extract_all(report, {_q(pat)}, {g}) AS x{i}" for i, g in enumerate(groups))
+        r = _q(role) if role else "NULL::VARCHAR"
+        parts.append(
+            f"SELECT source, {_q(kind)} AS kind, {r} AS role, unnest(range(0, len(x0))) AS k, unnest(x0) AS a, "
+            f"unnest(x1) AS t, unnest(x2) AS p, unnest(x3) AS n, unnest(x4) AS u FROM (SELECT source, {ex} FROM {src})"
+        )
+    masked = "report"
+    for _, _, pat, _ in _ck.CLAIM_GRAMMARS:
+        masked = f"regexp_replace({masked}, {_q(pat)}, chr(1), 'g')"
+    return f""",
+craw AS ({' UNION ALL '.join(parts)}),
+cl AS (SELECT source, kind, role, k, {lower_strip('a')} AS aspect, t::BIGINT AS total, p::BIGINT AS positive,
+              n::BIGINT AS negative, u::BIGINT AS neutral FROM craw),
+cc AS (SELECT cl.*, tt2.total AS et, tt2.positive AS ep, tt2.negative AS en, tt2.neutral AS eu FROM cl
+       LEFT JOIN t tt2 ON cl.source = tt2.source AND cl.aspect = tt2.aspect),
+cc2 AS (SELECT *, CASE WHEN et IS NULL THEN 'aspect not found in source statistics' ELSE concat_ws('; ',
+          CASE WHEN total <> et THEN 'total: claimed ' || total || ', expected ' || et END,
+          CASE WHEN positive <> ep THEN 'positive: claimed ' || positive || ', expected ' || ep END,
+          CASE WHEN negative <> en THEN 'negative: claimed ' || negative || ', expected ' || en END,
+          CASE WHEN neutral <> eu THEN 'neutral: claimed ' || neutral || ', expected ' || eu END) END AS errors FROM cc),
+cc3 AS (SELECT *, errors = '' AS valid FROM cc2),
+mk AS (SELECT source, {masked} AS m FROM {src}),
+dup AS (SELECT source, string_agg(aspect, ',' ORDER BY aspect) AS d FROM (SELECT source, aspect FROM cl GROUP BY ALL HAVING count(*) > 1) GROUP BY source),
+agg AS (SELECT source, count(*) AS n, count(*) FILTER (WHERE valid) AS v, bool_and(valid) AS allv FROM cc3 GROUP BY source),
+chk AS (SELECT mk.source, coalesce(agg.n, 0) AS claims_checked, coalesce(agg.v, 0) AS valid_claims,
+               len(regexp_extract_all(m, {_q(_ck.NUMBER_RE)}, 0))::BIGINT AS unparsed_numeric_tokens,
+               coalesce(dup.d, '') AS duplicate_aspects,
+               trim(replace(m, chr(1), ''), ' ' || chr(9) || chr(13) || chr(10) || '.;') AS unexpected_text,
+               coalesce(agg.allv, true) AS allv
+        FROM mk LEFT JOIN agg ON mk.source = agg.source LEFT JOIN dup ON mk.source = dup.source),
+chk2 AS (SELECT source, (claims_checked > 0 AND allv AND unparsed_numeric_tokens = 0 AND duplicate_aspects = ''
+                AND unexpected_text = '') AS passed, claims_checked, valid_claims, unparsed_numeric_tokens, duplicate_aspects,
+                unexpected_text FROM chk)"""
+
+
+_STRUCT = _SELC + _COUNT_REPORTS + _claims_cte()
+sql("check_structured", _STRUCT + " SELECT * FROM chk2")
+sql("claim_check", _STRUCT + " SELECT source, kind, k, role, aspect, total, positive, negative, neutral, valid, errors FROM cc3")
+sql("report_pass_rate", _STRUCT + " SELECT count(*) AS reports, count(*) FILTER (WHERE passed) AS passed, round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 6) AS pass_rate FROM chk2")
+sql(
+    "report_rollup",
+    _STRUCT
+    + """ SELECT CASE WHEN claims_checked > 0 THEN 'claims' ELSE 'none' END AS style, count(*) AS reports,
+       count(*) FILTER (WHERE passed) AS passed, round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 6) AS pass_rate FROM chk2 GROUP BY 1""",
+)
+sql(
+    "report_status",
+    _STRUCT
+    + """, ra AS (SELECT source, bool_or(reason_aware) AS reason_aware FROM sel GROUP BY source)
+SELECT chk2.source, ra.reason_aware, chk2.passed AS accepted, CASE WHEN passed THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN ra.reason_aware THEN 'factual-only' ELSE 'strict' END AS checker_mode
+FROM chk2 JOIN ra ON chk2.source = ra.source""",
+)
+sql(
+    "coverage_gaps",
+    _STRUCT
+    + """ SELECT s.source, 'aspect' AS gap, s.aspect AS value FROM sel s
+  WHERE NOT EXISTS (SELECT 1 FROM cl WHERE cl.source = s.source AND cl.aspect = s.aspect)
+UNION ALL
+SELECT s.source, 'role', s.role FROM sel s WHERE s.role IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM cl WHERE cl.source = s.source AND cl.role = s.role)""",
+)
+
+
+def _reason_text_sql() -> str:
+    parts = []
+    for s in ("positive", "negative", "neutral"):
+        parts.append(
+            f"CASE WHEN {s}_top <> '' THEN '{s}_reasons=' || {s}_top END"
+        )
+    return f"coalesce(nullif(concat_ws(' | ', {', '.join(parts)}), ''), {_q(_rp.NO_REASONS)})"
+
+
+# selected rows (reason path) with their top-2 reasons rendered as "r (n), r (n)"
+_RT = _SELR.replace(
+    "rk AS (SELECT *, row_number()",
+    "rk AS (SELECT *, row_number()",
+) + """,
+top2 AS (SELECT source, aspect, sentiment, string_agg(reason || ' (' || n || ')', ', ' ORDER BY rk) AS r2
+         FROM rk WHERE rk <= 2 GROUP BY ALL),
+selr AS (SELECT s.*, coalesce(p.r2, '') AS positive_top, coalesce(ng.r2, '') AS negative_top, coalesce(nu.r2, '') AS neutral_top
+         FROM sel s
+         LEFT JOIN top2 p ON p.source = s.source AND p.aspect = s.aspect AND p.sentiment = 'positive'
+         LEFT JOIN top2 ng ON ng.source = s.source AND ng.aspect = s.aspect AND ng.sentiment = 'negative'
+         LEFT JOIN top2 nu ON nu.source = s.source AND nu.aspect = s.aspect AND nu.sentiment = 'neutral')"""
+
+sql("reason_text", _RT + f" SELECT source, slot, aspect, {_reason_text_sql()} AS reason_text FROM selr")
+sql(
+    "prompt_reasoned",
+    _RT
+    + f""" SELECT source, {_q(_rp.REASONED_INSTRUCTIONS + 'DATA:' + chr(10))} || string_agg('aspect=' || aspect || ' | total=' || total ||
+       ' | positive=' || positive || ' | negative=' || negative || ' | neutral=' || neutral || ' | ' || {_reason_text_sql()}, chr(10) ORDER BY slot)
+       || chr(10) || 'REPORT:' AS prompt FROM selr GROUP BY source""",
+)
+sql(
+    "prompt_roles",
+    _SELC
+    + f""" SELECT source, {_q(_rp.ROLE_INSTRUCTIONS)} || 'Aspect order: ' || string_agg(aspect, ' | ' ORDER BY slot) || {_q(chr(10) + chr(10) + _rp.ROLE_EXAMPLE)}
+       || 'Rows:' || chr(10) || string_agg('role=' || role || ' | aspect_start ' || aspect || ' aspect_end | total=' || total || ' | positive=' ||
+       positive || ' | negative=' || negative || ' | neutral=' || neutral, chr(10) ORDER BY slot) || chr(10) || chr(10) || 'Paragraph:' AS prompt
+FROM sel WHERE role IS NOT NULL GROUP BY source""",
+)
+
+
+# ---------------------------------------------------------------- grid tagging
+_GRID = _LEX + """,
+sps AS (SELECT ts.doc_id || ':' || ts.pos AS sid, ts.* FROM ts),
+gcell AS (
+  SELECT sid, i, j, 1 AS tag, {'ph': 0, 'o': ord, 'st': 0} AS prio FROM sps, unnest(range(sps.a0, sps.a1)) r(i), unnest(range(sps.a0, sps.a1)) q(j) WHERE i <= j
+  UNION ALL
+  SELECT sid, i, j, 2, {'ph': 0, 'o': ord, 'st': 1} FROM sps, unnest(range(sps.o0, sps.o1)) r(i), unnest(range(sps.o0, sps.o1)) q(j) WHERE i <= j
+  UNION ALL
+  SELECT sid, least(ai, oi), greatest(ai, oi), CASE sentiment WHEN 'positive' THEN 3 WHEN 'neutral' THEN 4 WHEN 'negative' THEN 5 END,
+         {'ph': 1, 'o': ord, 'st': 0} FROM sps, unnest(range(sps.a0, sps.a1)) r(ai), unnest(range(sps.o0, sps.o1)) q(oi)),
+grid AS (SELECT sid, i, j, arg_max(tag, prio) AS tag FROM gcell GROUP BY sid, i, j),
+dg AS (SELECT sid, tag, min(i) AS start, max(i) + 1 AS "end" FROM (
+         SELECT *, i - row_number() OVER (PARTITION BY sid, tag ORDER BY i) AS g FROM grid WHERE i = j AND tag IN (1, 2))
+       GROUP BY sid, tag, g),
+ix AS (SELECT sid, tag, start, "end", t FROM dg, unnest(range(dg.start, dg."end")) r(t)),
+sc AS (SELECT * FROM grid WHERE tag IN (3, 4, 5)),
+vt AS (SELECT sc.sid, a.start AS a0, a."end" AS a1, o.start AS o0, o."end" AS o1, sc.tag
+       FROM sc JOIN ix a ON a.sid = sc.sid AND a.tag = 1 AND a.t = sc.i JOIN ix o ON o.sid = sc.sid AND o.tag = 2 AND o.t = sc.j
+       UNION ALL
+       SELECT sc.sid, a.start, a."end", o.start, o."end", sc.tag
+       FROM sc JOIN ix a ON a.sid = sc.sid AND a.tag = 1 AND a.t = sc.j JOIN ix o ON o.sid = sc.sid AND o.tag = 2 AND o.t = sc.i),
+dec AS (SELECT sid, a0, a1, o0, o1, arg_max(tag, (n, -tag)) AS tag FROM (
+          SELECT sid, a0, a1, o0, o1, tag, count(*) AS n FROM vt GROUP BY ALL) GROUP BY sid, a0, a1, o0, o1),
+wm0 AS (SELECT sid, [NULL::BIGINT] || flatten(list_transform(toks, lambda t, w: list_transform(range(greatest(ceil(length(t) / 4), 1)::BIGINT), lambda z: (w - 1)::BIGINT)))
+               || [NULL::BIGINT] AS ids FROM sp),
+wm AS (SELECT sid, unnest(range(0, len(ids))) AS p, unnest(ids) AS word_id FROM wm0),
+ex AS (SELECT DISTINCT g.sid, least(m1.p, m2.p) AS p, greatest(m1.p, m2.p) AS q, g.tag FROM grid g
+       JOIN wm m1 ON m1.sid = g.sid AND m1.word_id = g.i JOIN wm m2 ON m2.sid = g.sid AND m2.word_id = g.j)"""
+
+sql("grid_build", _GRID + " SELECT sid, i, j, tag FROM grid")
+sql("diagonal_spans", _GRID + ' SELECT sid, tag, start, "end" FROM dg')
+sql("grid_decode", _GRID + """ SELECT sid, a0, a1, o0, o1, CASE tag WHEN 3 THEN 'positive' WHEN 4 THEN 'neutral' WHEN 5 THEN 'negative' END AS sentiment FROM dec""")
+sql("grid_expand", _GRID + " SELECT sid, p, q, tag FROM ex")
+sql("grid_collapse", _GRID + " SELECT sid, i, j, tag FROM grid")
