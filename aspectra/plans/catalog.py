@@ -639,3 +639,61 @@ def q_grid_collapse(spark, sf_dir):
     sp, spans = _grid_inputs(spark, sf_dir)
     wmap = subword_map(sp)
     return collapse_grid(expand_grid(build_grid(spans), wmap), wmap)
+
+
+# ---------------------------------------------------------------- ABSA XML
+
+
+def _xml_sentences(spark, sf_dir):
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.xml import read_absa_xml, write_absa_xml
+
+    path = new_scratch_path(spark, "absa-xml")
+    write_absa_xml(views.xml_sentence_rows(spark, sf_dir), path)
+    return read_absa_xml(spark, path)
+
+
+@query("scan_xml")
+def q_scan_xml(spark, sf_dir):
+    s = _xml_sentences(spark, sf_dir)
+    return s.select("sentence_id", "text", F.posexplode_outer("terms").alias("term_idx", "t")).select(
+        "sentence_id", "text", "term_idx", F.col("t.term").alias("term"), F.col("t.polarity").alias("polarity"),
+        F.col("t.start").alias("start"), F.col("t.end").alias("end"),
+    )
+
+
+@query("flatten_examples")
+def q_flatten_examples(spark, sf_dir):
+    from aspectra.sources.xml import flatten_examples
+
+    return flatten_examples(_xml_sentences(spark, sf_dir))
+
+
+@query("mark_aspect")
+def q_mark_aspect(spark, sf_dir):
+    """P2 over every term, including the invalid-offset (untouched) cases."""
+    from aspectra.functions.text import mark_aspect
+
+    s = _xml_sentences(spark, sf_dir)
+    e = s.select("sentence_id", "text", F.posexplode("terms").alias("term_idx", "t"))
+    return e.select("sentence_id", "term_idx", mark_aspect(F.col("text"), F.col("t.start"), F.col("t.end")).alias("marked"))
+
+
+@query("drop_labels")
+def q_drop_labels(spark, sf_dir):
+    from aspectra.sources.xml import drop_labels
+
+    d = drop_labels(_xml_sentences(spark, sf_dir))
+    return d.select("sentence_id", F.col("terms").isNotNull().alias("has_terms"), F.coalesce(F.size("terms"), F.lit(0)).alias("n_terms"))
+
+
+@query("sink_xml_roundtrip")
+def q_sink_xml_roundtrip(spark, sf_dir):
+    """K1: write the conflict-free sentences as XML and read them back."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.xml import drop_labels, read_absa_xml, write_absa_xml
+
+    path = new_scratch_path(spark, "absa-xml-out")
+    write_absa_xml(drop_labels(_xml_sentences(spark, sf_dir)), path)
+    back = read_absa_xml(spark, path)
+    return back.select("sentence_id", "text", F.size("terms").alias("n_terms"))

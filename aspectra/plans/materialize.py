@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from aspectra.session import new_scratch_path
+from aspectra.session import new_scratch_path  # noqa: F401  (re-exported)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

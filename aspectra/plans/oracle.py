@@ -539,3 +539,35 @@ sql("diagonal_spans", _GRID + ' SELECT sid, tag, start, "end" FROM dg')
 sql("grid_decode", _GRID + """ SELECT sid, a0, a1, o0, o1, CASE tag WHEN 3 THEN 'positive' WHEN 4 THEN 'neutral' WHEN 5 THEN 'negative' END AS sentiment FROM dec""")
 sql("grid_expand", _GRID + " SELECT sid, p, q, tag FROM ex")
 sql("grid_collapse", _GRID + " SELECT sid, i, j, tag FROM grid")
+
+
+# ---------------------------------------------------------------- ABSA XML: expected values from the views
+_XML = with_views("v3") + """, xs AS (SELECT doc_id || ':' || pos AS sentence_id, sent AS text, tokens, sentiment FROM v3)"""
+sql(
+    "scan_xml",
+    _XML
+    + """ SELECT sentence_id, text, CASE WHEN len(tokens) >= 2 THEN 0 END::BIGINT AS term_idx,
+       CASE WHEN len(tokens) >= 2 THEN tokens[1] END AS term, CASE WHEN len(tokens) >= 2 THEN sentiment END AS polarity,
+       CASE WHEN len(tokens) >= 2 THEN 0 END::BIGINT AS start, CASE WHEN len(tokens) >= 2 THEN length(tokens[1]) END::BIGINT AS "end"
+FROM xs UNION ALL
+SELECT sentence_id, text, 1, tokens[3], 'conflict', -1, -1 FROM xs WHERE len(tokens) >= 3""",
+)
+sql(
+    "flatten_examples",
+    _XML
+    + """ SELECT sentence_id, 0::BIGINT AS term_idx,
+       CASE WHEN length(tokens[1]) > 0 AND length(tokens[1]) <= length(text) THEN '$T$ ' || substr(text, 1, length(tokens[1])) || ' $T$' || substr(text, length(tokens[1]) + 1) ELSE text END AS context,
+       tokens[1] AS aspect, sentiment AS label FROM xs WHERE len(tokens) >= 2""",
+)
+sql(
+    "mark_aspect",
+    _XML
+    + """ SELECT sentence_id, 0::BIGINT AS term_idx,
+       CASE WHEN length(tokens[1]) > 0 AND length(tokens[1]) <= length(text) THEN '$T$ ' || substr(text, 1, length(tokens[1])) || ' $T$' || substr(text, length(tokens[1]) + 1) ELSE text END AS marked
+FROM xs WHERE len(tokens) >= 2
+UNION ALL SELECT sentence_id, 1, text FROM xs WHERE len(tokens) >= 3""",
+)
+sql(
+    "drop_labels",
+    _XML + " SELECT sentence_id, len(tokens) >= 2 AS has_terms, (CASE WHEN len(tokens) >= 2 THEN 1 ELSE 0 END)::BIGINT AS n_terms FROM xs",
+)

@@ -86,3 +86,19 @@ def generated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed_tagged(spark, sf_dir).select(
         "doc_id", "source", "pos", "sentence", render_triplets("triplets").alias("generated")
     )
+
+
+def xml_sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V7 as structured rows: (sentence_id, text, terms). Rows with >= 2 tokens carry the
+    first token as a labelled term (offsets 0..len) and the second token as a term without
+    polarity (offsets -1); rows with >= 3 tokens add the third token as a ``conflict`` term."""
+    t = token_rows(spark, sf_dir)
+    term = lambda k, pol, s, e: F.struct(F.get("tokens", k).alias("term"), pol.alias("polarity"), s.alias("start"), e.alias("end"))
+    t1 = term(0, F.col("sentiment"), F.lit(0), F.length(F.get("tokens", 0)))
+    t2 = term(1, F.lit(None).cast("string"), F.lit(-1), F.lit(-1))
+    t3 = term(2, F.lit("conflict"), F.lit(-1), F.lit(-1))
+    terms = (
+        F.when(F.size("tokens") >= 3, F.array(t1, t2, t3))
+        .when(F.size("tokens") >= 2, F.array(t1, t2))
+    )
+    return t.select(F.concat_ws(":", "doc_id", "pos").alias("sentence_id"), F.col("sent").alias("text"), terms.alias("terms"))
