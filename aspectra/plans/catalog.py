@@ -697,3 +697,59 @@ def q_sink_xml_roundtrip(spark, sf_dir):
     write_absa_xml(drop_labels(_xml_sentences(spark, sf_dir)), path)
     back = read_absa_xml(spark, path)
     return back.select("sentence_id", "text", F.size("terms").alias("n_terms"))
+
+
+# ---------------------------------------------------------------- ML baseline and model hooks
+
+
+def _examples_split(spark, sf_dir):
+    from aspectra.operators.splits import hash_split
+    from aspectra.sources.xml import flatten_examples
+
+    ex = flatten_examples(_xml_sentences(spark, sf_dir))
+    return hash_split(ex, "sentence_id", valid_ratio=0.0, test_ratio=0.15)
+
+
+@query("tfidf_features")
+def q_tfidf_features(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    from aspectra.operators.ml import tfidf_features
+
+    ex = _examples_split(spark, sf_dir)
+    tr, te = tfidf_features(ex.filter(F.col("split") == "train"), ex.filter(F.col("split") == "test"))
+    arr = vector_to_array("features")
+    return te.select("sentence_id", "term_idx", F.size(F.filter(arr, lambda x: x != 0)).alias("nnz"),
+                     F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
+
+
+@query("polarity_classifier")
+def q_polarity_classifier(spark, sf_dir):
+    from aspectra.operators.metrics import classification_report
+    from aspectra.operators.ml import polarity_classifier
+
+    ex = _examples_split(spark, sf_dir)
+    pred = polarity_classifier(ex.filter(F.col("split") == "train"), ex.filter(F.col("split") == "test"), max_iter=100)
+    return classification_report(pred.select("label", F.col("prediction_label").alias("prediction")))
+
+
+@query("batch_generate")
+def q_batch_generate(spark, sf_dir):
+    """Entry 1 end to end: sentences -> generator hook (U1) -> parse (P8) -> aspect table (A2)."""
+    from aspectra.functions.triplets import parse_generated
+    from aspectra.operators.infer import batch_generate
+
+    s = q_split_sentences(spark, sf_dir).withColumn("generated", batch_generate(F.col("sent")))
+    trip = s.select(F.explode(parse_generated("generated", sentinel_empty=True)).alias("t")).select("t.*")
+    return stats.with_rendered_reasons(stats.aspect_reasons(trip, min_mentions=2))
+
+
+@query("batch_classify")
+def q_batch_classify(spark, sf_dir):
+    """U2 over every labelled term, scored like A7."""
+    from aspectra.operators.infer import batch_classify
+    from aspectra.operators.metrics import example_agreement
+    from aspectra.sources.xml import flatten_examples
+
+    ex = flatten_examples(_xml_sentences(spark, sf_dir)).withColumn("prediction", batch_classify(F.col("context"), F.col("aspect")))
+    return example_agreement(ex, "prediction", "label")
