@@ -169,7 +169,7 @@ def render_tagged_line(sent, toks, sentiment) -> Column:
         .otherwise(F.lit("O")),
     )
     return F.concat(
-        col_(sent),
+        F.array_join(t, " "),  # tokenised sentence: one line per sentence even if the text had newlines
         F.lit(" #### "),
         F.array_join(F.transform(t, a_tag), " "),
         F.lit(" #### "),

@@ -753,3 +753,180 @@ def q_batch_classify(spark, sf_dir):
 
     ex = flatten_examples(_xml_sentences(spark, sf_dir)).withColumn("prediction", batch_classify(F.col("context"), F.col("aspect")))
     return example_agreement(ex, "prediction", "label")
+
+
+# ---------------------------------------------------------------- text/JSON/CSV sources and sinks
+
+
+def _write_tagged_corpus(spark, sf_dir):
+    """V5 lines laid out as domain=<source>/split=<train|dev|test>/part-*.txt."""
+    from aspectra.operators.splits import hash_split
+    from aspectra.plans.materialize import new_scratch_path
+
+    path = new_scratch_path(spark, "tagged-corpus")
+    v5 = hash_split(views.tagged_lines(spark, sf_dir), "doc_id", valid_ratio=0.15, test_ratio=0.15)
+    v5 = v5.withColumn("split", F.when(F.col("split") == "valid", "dev").otherwise(F.col("split")))
+    v5.select(F.col("source").alias("domain"), "split", "line").write.partitionBy("domain", "split").text(path)
+    return path
+
+
+@query("scan_tagged")
+def q_scan_tagged(spark, sf_dir):
+    """Tagged text files read line by line and parsed (blank/malformed lines skipped)."""
+    from aspectra.operators.tagged import parse_tagged
+
+    lines = spark.read.text(_write_tagged_corpus(spark, sf_dir)).withColumnRenamed("value", "line")
+    p = parse_tagged(lines)
+    return p.select("domain", "split", "sentence", F.posexplode("triplets").alias("ord", "t")).select(
+        "domain", "split", "sentence", "ord", "t.aspect", "t.opinion", "t.sentiment"
+    )
+
+
+@query("corpus_catalog")
+def q_corpus_catalog(spark, sf_dir):
+    from aspectra.sources.files import corpus_catalog
+
+    files = spark.read.text(_write_tagged_corpus(spark, sf_dir)).select(F.col("_metadata.file_path").alias("file_path"))
+    return corpus_catalog(files).select("domain", "split", F.col("unit").isNotNull().alias("found"))
+
+
+@query("load_splits")
+def q_load_splits(spark, sf_dir):
+    """S4 + O1: every split of every domain with lineage (domain, split, row_id from the line
+    number), target text and triplet count, as one union."""
+    from aspectra.functions.triplets import render_triplets
+    from aspectra.operators.tagged import parse_tagged
+    from aspectra.sources.files import read_lines_with_index
+
+    path = _write_tagged_corpus(spark, sf_dir)
+    lines = read_lines_with_index(spark, path)
+    lines = lines.withColumn("domain", F.regexp_extract("file_path", "/domain=([^/]+)/", 1)).withColumn(
+        "split", F.regexp_extract("file_path", "/split=([^/]+)/", 1)
+    )
+    p = parse_tagged(lines)
+    return p.select(
+        "domain", "split",
+        F.concat_ws("-", "domain", "split", F.regexp_extract("file_path", "part-([0-9]+)", 1), "line_idx").alias("row_id"),
+        F.col("sentence").alias("text"), render_triplets("triplets").alias("target_text"),
+        F.size("triplets").alias("triplet_count"),
+    )
+
+
+@query("sink_stats_roundtrip")
+def q_sink_stats_roundtrip(spark, sf_dir):
+    """K2 + S6: per-corpus tables written as JSON lines in the reference's row shape (named
+    table, [[reason, count]] pairs) and read back; must equal V8."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.files import read_stats_json, stats_json_lines
+
+    path = new_scratch_path(spark, "stats-json")
+    stats_json_lines(_stats_by_source(spark, sf_dir), "predicted").write.text(path)
+    return stats.with_rendered_reasons(read_stats_json(spark, path, "predicted"))
+
+
+@query("scan_stats_json")
+def q_scan_stats_json(spark, sf_dir):
+    """S6 for a reference-style document: {"gold": [...], "predicted": [...]} per corpus file,
+    read multi-line and unpacked with inline(table)."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.files import stats_json_lines
+
+    path = new_scratch_path(spark, "stats-doc")
+    rows = stats_json_lines(_stats_by_source(spark, sf_dir), "predicted").select(
+        F.get_json_object("value", "$.source").alias("source"), "value"
+    )
+    # one document per corpus and 1,000-row chunk, so no document grows with the corpus
+    from pyspark.sql import Window
+
+    rows = rows.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("value")) - 1) / 1000))
+    docs = rows.groupBy("source", "chunk").agg(
+        F.concat(F.lit('{"predicted": ['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("doc")
+    )
+    docs.select("source", "chunk", "doc").write.partitionBy("source", "chunk").text(path)
+    elem = (
+        "aspect:string,positive:bigint,negative:bigint,neutral:bigint,total:bigint,majority_sentiment:string,"
+        "positive_reasons:array<array<string>>,negative_reasons:array<array<string>>,neutral_reasons:array<array<string>>"
+    )
+    d = spark.read.option("multiLine", True).schema(f"predicted array<struct<{elem}>>").json(path)
+    out = d.select("source", F.inline("predicted"))
+    conv = lambda c: F.array_join(F.transform(F.col(c), lambda p: F.concat(F.get(p, 0), F.lit(":"), F.get(p, 1))), ",")
+    return out.select("source", "aspect", "positive", "negative", "neutral", "total", "majority_sentiment",
+                      conv("positive_reasons").alias("positive_reasons"), conv("negative_reasons").alias("negative_reasons"),
+                      conv("neutral_reasons").alias("neutral_reasons"))
+
+
+@query("scan_csv_reviews")
+def q_scan_csv_reviews(spark, sf_dir):
+    """Reviews written as CSV (header, quoted multi-line text) and read back through the
+    review-text column rule."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.files import read_review_csv
+
+    path = new_scratch_path(spark, "reviews-csv")
+    docs = views.labelled(spark, sf_dir).select("doc_id", F.col("text").alias("Review Text"), "sentiment")
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_review_csv(spark, path)
+
+
+@query("scan_json_reviews")
+def q_scan_json_reviews(spark, sf_dir):
+    """{case, text} arrays, one JSON document per corpus chunk of <= 1,000 reviews."""
+    from pyspark.sql import Window
+
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.files import read_json_reviews
+
+    path = new_scratch_path(spark, "reviews-json")
+    d = views.labelled(spark, sf_dir).select("source", F.col("doc_id").cast("string").alias("case"), "text")
+    d = d.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("case")) - 1) / 1000))
+    docs = d.groupBy("source", "chunk").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("case", "text"))), ","), F.lit("]")).alias("doc")
+    )
+    docs.write.partitionBy("source", "chunk").text(path)
+    return read_json_reviews(spark, path).select("case", "text")
+
+
+@query("scan_reports")
+def q_scan_reports(spark, sf_dir):
+    """Each count-path report written to its own text file and read back whole."""
+    from aspectra.operators.reports import count_reports
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.files import read_reports
+
+    path = new_scratch_path(spark, "reports")
+    count_reports(_selected(spark, sf_dir, False)).write.partitionBy("source").text(path)
+    r = read_reports(spark, path)
+    return r.select(F.regexp_extract("report_id", "/source=([^/]+)/", 1).alias("source"), "report")
+
+
+@query("sink_predictions")
+def q_sink_predictions(spark, sf_dir):
+    """K4: lexicon predictions written as CSV (one row per sentence, target-style text) and read back."""
+    from aspectra.functions.triplets import render_triplets
+    from aspectra.plans.materialize import new_scratch_path
+
+    _, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    out = pred.join(gold.withColumnRenamed("triplets", "gold"), "sid").select(
+        "sid", render_triplets("triplets").alias("predicted_text"), render_triplets("gold").alias("target_text")
+    )
+    path = new_scratch_path(spark, "predictions-csv")
+    out.write.option("header", True).option("escape", '"').csv(path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+
+
+@query("sink_reports")
+def q_sink_reports(spark, sf_dir):
+    """K5: report + check result as nested JSON, read back."""
+    from aspectra.plans.materialize import new_scratch_path
+
+    reports, _, (per_report, per_aspect) = _reasoned(spark, sf_dir)
+    checks_nested = per_aspect.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("slot", "aspect", "valid", "errors"))).alias("checks"))
+    doc = reports.join(per_report, "source").join(checks_nested, "source").select(
+        "source", "report", F.struct("passed", "factual_passed", "coverage_passed", "claims_checked", "valid_claims",
+                                     "coverage_warnings", "checks").alias("factual_check"),
+    )
+    path = new_scratch_path(spark, "reports-json")
+    doc.write.json(path)
+    back = spark.read.json(path)
+    return back.select("source", F.col("factual_check.passed").alias("passed"), F.size("factual_check.checks").alias("checks"))

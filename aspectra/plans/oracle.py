@@ -571,3 +571,20 @@ sql(
     "drop_labels",
     _XML + " SELECT sentence_id, len(tokens) >= 2 AS has_terms, (CASE WHEN len(tokens) >= 2 THEN 1 ELSE 0 END)::BIGINT AS n_terms FROM xs",
 )
+
+
+# ---------------------------------------------------------------- file sources: round trips must give the view back
+_V8SQL = ORACLE["aspect_reasons_by_source"]
+sql("sink_stats_roundtrip", _V8SQL)
+sql("scan_stats_json", _V8SQL)
+sql("scan_csv_reviews", with_views("v1") + " SELECT text FROM v1 WHERE text IS NOT NULL")
+sql("scan_json_reviews", with_views("v1") + ' SELECT CAST(doc_id AS VARCHAR) AS "case", text FROM v1')
+sql("scan_reports", _STRUCT + " SELECT source, report FROM rep")
+sql(
+    "scan_tagged",
+    _T
+    + f""" SELECT v5.source AS domain,
+       CASE WHEN {_hash_u('v5.doc_id')} < 0.15::DOUBLE THEN 'test' WHEN {_hash_u('v5.doc_id')} < (0.15::DOUBLE + 0.15::DOUBLE) THEN 'dev' ELSE 'train' END AS split,
+       ok5.sentence, tt.ord, tt.aspect, tt.opinion, tt.sentiment
+FROM tt JOIN ok5 ON tt.doc_id = ok5.doc_id AND tt.pos = ok5.pos JOIN v5 ON v5.doc_id = tt.doc_id AND v5.pos = tt.pos""",
+)

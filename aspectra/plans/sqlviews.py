@@ -106,7 +106,7 @@ ITEM_RE = "^(.*)=([^=]*)$"
 
 V5 = f"""v5 AS (
   SELECT doc_id, source, pos, sentiment,
-    sent || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
+    array_to_string(tokens, ' ') || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
         CASE WHEN i = 1 THEN 'T-' || code WHEN i = 3 AND len(tokens) >= 4 THEN '12-' || code
              WHEN i = 5 AND len(tokens) >= 6 THEN '12-POS' ELSE 'O' END), ' ')
     || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
