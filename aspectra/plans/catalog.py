@@ -930,3 +930,59 @@ def q_sink_reports(spark, sf_dir):
     doc.write.json(path)
     back = spark.read.json(path)
     return back.select("source", F.col("factual_check.passed").alias("passed"), F.size("factual_check.checks").alias("checks"))
+
+
+# ---------------------------------------------------------------- stats validation
+
+# Fixed rule for the derived "dirty" copy: rows whose seeded hash bucket (0-99) is below 10
+# get one corruption each, kind = bucket.
+CORRUPTIONS = 10
+
+
+def _jstr(c):
+    j = F.to_json(F.struct(c.alias("r")))
+    return F.substring(j, 6, F.length(j) - 6)
+
+
+def _pairs_json(c):
+    return F.concat(F.lit("["), F.array_join(F.transform(F.col(c), lambda x: F.concat(F.lit("["), _jstr(x["reason"]), F.lit(","), x["n"].cast("string"), F.lit("]"))), ","), F.lit("]"))
+
+
+def _dirty_stats_lines(spark, sf_dir):
+    from aspectra.operators.splits import hash_unit
+
+    t = _stats_by_source(spark, sf_dir)
+    key = F.concat("source", F.lit("|"), "aspect")
+    t = t.withColumn("_id", key).withColumn("_b", F.floor(hash_unit(key, seed=7) * 100)).withColumn(
+        "_k", F.when(F.col("_b") < CORRUPTIONS, F.col("_b"))
+    )
+    k = F.col("_k")
+    s = lambda c: F.col(c).cast("string")
+    parts = [
+        F.concat(F.lit('{"id":'), _jstr(F.col("_id"))),
+        F.concat(F.lit(',"aspect":'), F.when(k == 1, F.lit('"  "')).otherwise(_jstr(F.col("aspect")))),
+        F.concat(F.lit(',"positive":'), F.when(k == 2, F.lit("-1")).otherwise(s("positive"))),
+        F.concat(F.lit(',"negative":'), F.when(k == 3, F.lit("true")).otherwise(s("negative"))),
+        F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit(',"neutral":'), s("neutral"))),
+        F.concat(F.lit(',"total":'), F.when(k == 4, F.concat(s("total"), F.lit(".5"))).when(k == 5, (F.col("total") + 1).cast("string")).otherwise(s("total"))),
+        F.concat(F.lit(',"majority_sentiment":'), _jstr(F.col("majority_sentiment"))),
+        F.concat(F.lit(',"positive_reasons":'), F.when(k == 6, F.lit('"x"')).when(k == 9, F.lit('[["ok",0]]')).otherwise(_pairs_json("positive_reasons"))),
+        F.concat(F.lit(',"negative_reasons":'), F.when(k == 7, F.lit('[["a",1,2]]')).otherwise(_pairs_json("negative_reasons"))),
+        F.concat(F.lit(',"neutral_reasons":'), F.when(k == 8, F.lit('[[" ",1]]')).otherwise(_pairs_json("neutral_reasons")), F.lit("}")),
+    ]
+    return t.select(F.concat(*parts).alias("value"))
+
+
+@query("validate_stats")
+def q_validate_stats(spark, sf_dir):
+    """P19 over a JSON-lines copy of V8 in which a hash-chosen tenth of the rows carries one
+    corruption each; returns (id, first violation) for every invalid row."""
+    from aspectra.operators.validate import stats_violations
+    from aspectra.plans.materialize import new_scratch_path
+
+    path = new_scratch_path(spark, "stats-dirty")
+    _dirty_stats_lines(spark, sf_dir).write.text(path)
+    checked = stats_violations(spark.read.text(path))
+    return checked.filter(F.col("violation").isNotNull()).select(
+        F.variant_get(F.try_parse_json("value"), "$.id", "string").alias("id"), "violation"
+    )

@@ -588,3 +588,27 @@ sql(
        ok5.sentence, tt.ord, tt.aspect, tt.opinion, tt.sentiment
 FROM tt JOIN ok5 ON tt.doc_id = ok5.doc_id AND tt.pos = ok5.pos JOIN v5 ON v5.doc_id = tt.doc_id AND v5.pos = tt.pos""",
 )
+
+
+# ---------------------------------------------------------------- stats validation: expected first violation per corruption kind
+_VIOL = {
+    0: "missing fields: neutral",
+    1: "empty aspect",
+    2: "field 'positive' must be a non-negative integer",
+    3: "field 'negative' must be a non-negative integer",
+    4: "field 'total' must be a non-negative integer",
+    5: "sentiment counts do not add up to total",
+    6: "field 'positive_reasons' must be a list",
+    7: "field 'negative_reasons' item 0 must be [reason, count]",
+    8: "field 'neutral_reasons' contains an empty reason",
+    9: "field 'positive_reasons' reason counts must be positive integers",
+}
+_case = " ".join(f"WHEN {k} THEN {_q(v)}" for k, v in _VIOL.items())
+sql(
+    "validate_stats",
+    with_views("v4", _a2("v4", 10, group="source"))
+    + f""", t AS (SELECT source || '|' || aspect AS id,
+                floor(((('0x' || substr(md5('7:' || source || '|' || aspect), 1, 8))::BIGINT)::DOUBLE / 4294967296.0) * 100) AS b
+         FROM a2 WHERE total >= 2)
+SELECT id, CASE b::BIGINT {_case} END AS violation FROM t WHERE b < 10""",
+)
