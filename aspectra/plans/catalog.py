@@ -986,3 +986,59 @@ def q_validate_stats(spark, sf_dir):
     return checked.filter(F.col("violation").isNotNull()).select(
         F.variant_get(F.try_parse_json("value"), "$.id", "string").alias("id"), "violation"
     )
+
+
+# ---------------------------------------------------------------- retry loop and synthetic tables
+
+
+@query("retry_rejects")
+def q_retry_rejects(spark, sf_dir):
+    """Attempt 1 is the perturbed rendering, later attempts render cleanly; only corpora
+    rejected at attempt k-1 are regenerated."""
+    from aspectra.operators.checks import check_structured
+    from aspectra.operators.reports import count_reports, retry_rejects
+
+    sel = _selected(spark, sf_dir, False)
+    table = _stats_by_source(spark, sf_dir, reasons=False)
+    gen = lambda s, attempt: count_reports(s, perturb=(attempt == 1))
+    chk = lambda r, t: check_structured(r, t)[0].select("source", "passed")
+    final, _ = retry_rejects(sel, table, gen, chk, max_attempts=3)
+    return final
+
+
+def _real_aspects(spark, sf_dir):
+    return _stats_by_source(spark, sf_dir, reasons=False).select("aspect")
+
+
+@query("synth_names")
+def q_synth_names(spark, sf_dir):
+    from aspectra.operators.synth import synthetic_names
+
+    return synthetic_names(spark, _real_aspects(spark, sf_dir))
+
+
+@query("synth_rows")
+def q_synth_rows(spark, sf_dir):
+    from aspectra.operators.synth import synthetic_names, synthetic_rows
+
+    rows = synthetic_rows(synthetic_names(spark, _real_aspects(spark, sf_dir)))
+    return stats.with_rendered_reasons(rows)
+
+
+@query("synth_reports")
+def q_synth_reports(spark, sf_dir):
+    """Every group of four synthetic rows (one per role) rendered as a reason-aware
+    paragraph (four rotating styles) and audited by the reason-aware checker."""
+    from aspectra.operators.checks import check_reasoned
+    from aspectra.operators.reports import reasoned_reports
+    from aspectra.operators.synth import synthetic_names, synthetic_rows
+
+    rows = synthetic_rows(synthetic_names(spark, _real_aspects(spark, sf_dir)))
+    sel = rows.select(
+        F.concat("pool", F.lit("-"), F.floor(F.col("slot") / 4).cast("string")).alias("example"),
+        (F.pmod(F.col("slot"), F.lit(4)) + 1).alias("slot"), F.col("name").alias("aspect"),
+        "positive", "negative", "neutral", "total", "positive_reasons", "negative_reasons", "neutral_reasons",
+    )
+    reports = reasoned_reports(sel, key="example")
+    per_report, _ = check_reasoned(reports, sel, key=["example"])
+    return reports.join(per_report.select("example", "passed", "claims_checked", "valid_claims"), "example")

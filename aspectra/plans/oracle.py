@@ -612,3 +612,48 @@ sql(
          FROM a2 WHERE total >= 2)
 SELECT id, CASE b::BIGINT {_case} END AS violation FROM t WHERE b < 10""",
 )
+
+
+# ---------------------------------------------------------------- synthetic tables
+from aspectra.operators import synth as _sy  # noqa: E402
+
+_SYL = "[" + ", ".join(_q(x) for x in _sy.SYLLABLES) + "]"
+_SUF = "[" + ", ".join(_q(x) for x in _sy.SUFFIXES) + "]"
+_NS = len(_sy.SYLLABLES)
+
+
+def _hsql(name: str, salt: str) -> str:
+    return f"(('0x' || substr(md5('{salt}:' || {name}), 1, 8))::BIGINT)"
+
+
+def _sylsql(x: str) -> str:
+    return f"{_SYL}[(({x}) % {_NS}) + 1]"
+
+
+_SYN = _V8C + f""",
+cand AS (SELECT i AS idx, lower({_sylsql('i')} || {_sylsql(f'i // {_NS}')} || {_sylsql(f'i // {_NS * _NS}')} || {_SUF}[(i % 4) + 1]) AS name
+         FROM range({_NS ** 3}) r(i)),
+realn AS (SELECT DISTINCT lower(aspect) AS name FROM t),
+kept AS (SELECT * FROM cand WHERE name NOT IN (SELECT name FROM realn) ORDER BY idx LIMIT 360),
+names AS (SELECT name, idx, CASE WHEN rn <= 280 THEN 'train' WHEN rn <= 320 THEN 'valid' ELSE 'test' END AS pool
+          FROM (SELECT *, row_number() OVER (ORDER BY idx) AS rn FROM kept)),
+sr0 AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY idx) - 1 AS slot FROM names),
+sr1 AS (SELECT *, ['attention', 'strength', 'concern', 'mixed'][(slot % 4) + 1] AS role, 40 + {_hsql('name', 'total')} % 60 AS total FROM sr0),
+sr2 AS (SELECT *, floor(total * CASE role WHEN 'attention' THEN 55 WHEN 'strength' THEN 85 WHEN 'concern' THEN 10 ELSE 45 END / 100)::BIGINT AS positive FROM sr1),
+sr3 AS (SELECT *, least(total - positive, 1 + {_hsql('name', 'neu')} % 5) AS neutral FROM sr2),
+sr4 AS (SELECT *, total - positive - neutral AS negative FROM sr3)"""
+
+
+def _reasons_sql(sent: str) -> str:
+    w = lambda k: f"({_sylsql(_hsql('name', f'{sent}{k}'))} || {_sylsql(_hsql('name', f'{sent}{k}x'))} || 'y')"
+    hi = f"greatest(least({sent}, 2 + {_hsql('name', sent)} % 6), 1)"
+    return f"{w(0)} || ':' || {hi} || ',' || {w(1)} || ':' || greatest({hi} - 1, 1)"
+
+
+sql("synth_names", _SYN + " SELECT name, idx, pool FROM names")
+sql(
+    "synth_rows",
+    _SYN
+    + f""" SELECT pool, slot, name, role, positive, {_reasons_sql('positive')} AS positive_reasons, negative,
+       {_reasons_sql('negative')} AS negative_reasons, neutral, {_reasons_sql('neutral')} AS neutral_reasons, total FROM sr4""",
+)
