@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aspectra.functions.text import split_sentence_array, tokens
-from aspectra.session import read_table
+from aspectra.session import read_table, spread
 
 
 def sentiment_from_labels(toxic="toxic", quality="quality"):
@@ -29,7 +29,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V1. labels is much smaller than documents; AQE turns this into a broadcast join
     at run time only when the measured labels side is under the broadcast threshold,
     else it stays a sort-merge join on doc_id."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return docs.join(labels, "doc_id").select(
         "doc_id", "source", "text", sentiment_from_labels().alias("sentiment")

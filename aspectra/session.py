@@ -66,3 +66,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def spread(df, *keys: str):
+    """Hash-repartition ``df`` on ``keys`` only when its scan yields fewer partitions than the
+    cluster's default parallelism (e.g. one large row group read by a single task). On a
+    wide input (many files/row groups) nothing is added, so no extra shuffle of raw text."""
+    spark = df.sparkSession
+    n = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, *keys)
+    return df
