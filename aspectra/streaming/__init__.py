@@ -1,0 +1,6 @@
+"""Intentionally empty: the reference has no streaming, windowing or late-data handling.
+
+Every operator in ``aspectra.operators`` is a DataFrame -> DataFrame function built from
+per-row expressions, joins and aggregations, so it can be applied to a streaming
+DataFrame as well; splits and samples use seeded hashes and stay stable under streaming.
+"""
