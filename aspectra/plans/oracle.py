@@ -657,3 +657,50 @@ sql(
     + f""" SELECT pool, slot, name, role, positive, {_reasons_sql('positive')} AS positive_reasons, negative,
        {_reasons_sql('negative')} AS negative_reasons, neutral, {_reasons_sql('neutral')} AS neutral_reasons, total FROM sr4""",
 )
+
+
+# ---------------------------------------------------------------- grounding check (C4) on the reason-path reports
+_WB = "[^\\p{L}\\p{N}_]"
+
+
+def _phrase_sql(p: str) -> str:
+    q = f"'\\Q' || replace({p}, '\\E', '\\E\\\\E\\Q') || '\\E'"
+    return f"'(?i)(^|{_WB})' || {q} || '({_WB}|$)'"
+
+
+_GROUNDED = _SELR + f""",
+why AS (SELECT s.source, s.aspect, coalesce(
+          max(CASE WHEN r.sentiment = 'positive' AND r.rk = 1 THEN r.reason END),
+          max(CASE WHEN r.sentiment = 'negative' AND r.rk = 1 THEN r.reason END),
+          max(CASE WHEN r.sentiment = 'neutral' AND r.rk = 1 THEN r.reason END), '') AS w
+        FROM sel s LEFT JOIN rk r ON r.source = s.source AND r.aspect = s.aspect AND r.rk <= 10 GROUP BY s.source, s.aspect),
+rs AS (SELECT s.*, why.w, ('0x' || substr(md5(s.source), 1, 6))::BIGINT % 4 AS st0,
+              (('0x' || substr(md5('perturb:' || s.source), 1, 8))::BIGINT)::DOUBLE < 4294967296.0 / 3 AS pert
+       FROM sel s JOIN why ON why.source = s.source AND why.aspect = s.aspect),
+rs2 AS (SELECT *, (st0 + slot) % 4 AS st, CASE WHEN pert AND slot = 1 THEN total + 1 ELSE total END AS t2 FROM rs),
+rsent AS (SELECT source, slot, CASE st
+    WHEN 0 THEN 'Reviewers brought up ' || aspect || ' ' || t2 || ' times, and ' || positive || ' of those were positive, often about ' || w || '.'
+    WHEN 1 THEN 'For ' || aspect || ' there were ' || t2 || ' mentions, and ' || negative || ' were negative, pointing to ' || w || '.'
+    WHEN 2 THEN 'Opinions on ' || aspect || ' were split across ' || t2 || ' mentions, with ' || neutral || ' neutral notes such as ' || w || '.'
+    ELSE 'Finally, ' || aspect || ' collected ' || t2 || ' mentions, ' || positive || ' of them positive and citing ' || w || '.' END AS x FROM rs2),
+rrep AS (SELECT source, string_agg(x, ' ' ORDER BY slot) AS report FROM rsent GROUP BY source),
+rv AS (SELECT s.source, s.aspect,
+              regexp_matches(lower(p.report), {_phrase_sql('lower(s.aspect)')})
+              AND contains(lower(p.report), CAST(s.total AS VARCHAR))
+              AND EXISTS (SELECT 1 FROM rk r WHERE r.source = s.source AND r.aspect = s.aspect AND r.rk <= 10
+                          AND contains(lower(p.report), r.reason)) AS ok
+       FROM sel s JOIN rrep p ON p.source = s.source),
+allowed AS (SELECT source, total AS v FROM sel UNION ALL SELECT source, positive FROM sel UNION ALL SELECT source, negative FROM sel
+            UNION ALL SELECT source, neutral FROM sel
+            UNION ALL SELECT r.source, r.n FROM rk r JOIN sel s ON r.source = s.source AND r.aspect = s.aspect WHERE r.rk <= 10),
+nums AS (SELECT source, unnest(xs)::BIGINT AS v, unnest(range(0, len(xs))) AS k FROM (SELECT source, regexp_extract_all(report, '[0-9]+') AS xs FROM rrep)),
+uns AS (SELECT source, string_agg(CAST(v AS VARCHAR), ',' ORDER BY k) AS u FROM nums n
+        WHERE NOT EXISTS (SELECT 1 FROM allowed a WHERE a.source = n.source AND a.v = n.v) GROUP BY source)"""
+
+sql(
+    "check_grounded",
+    _GROUNDED
+    + """ SELECT p.source, (bool_and(rv.ok) AND coalesce(any_value(uns.u), '') = '') AS passed,
+       count(*) FILTER (WHERE rv.ok) AS valid_rows, coalesce(any_value(uns.u), '') AS unsupported_numbers
+FROM rrep p JOIN rv ON rv.source = p.source LEFT JOIN uns ON uns.source = p.source GROUP BY p.source""",
+)
