@@ -704,3 +704,39 @@ sql(
        count(*) FILTER (WHERE rv.ok) AS valid_rows, coalesce(any_value(uns.u), '') AS unsupported_numbers
 FROM rrep p JOIN rv ON rv.source = p.source LEFT JOIN uns ON uns.source = p.source GROUP BY p.source""",
 )
+
+
+# ---------------------------------------------------------------- claim-tuple equality
+def _role_claims(src: str, name: str) -> str:
+    parts = []
+    for kind, role, pat, groups in _ck.CLAIM_GRAMMARS:
+        if role is None:
+            continue
+        ex = ", ".join(f"regexp_extract_all(report, {_q(pat)}, {g}) AS x{i}" for i, g in enumerate(groups))
+        parts.append(
+            f"SELECT source, {_q(kind)} AS kind, {_q(role)} AS role, unnest(range(0, len(x0))) AS k, unnest(x0) AS a, "
+            f"unnest(x1) AS t, unnest(x2) AS p, unnest(x3) AS n, unnest(x4) AS u FROM (SELECT source, {ex} FROM {src})"
+        )
+    return f"""{name} AS (SELECT source, kind || chr(31) || role || chr(31) || lpad(CAST(k AS VARCHAR), 9, '0') || chr(31) || {lower_strip('a')}
+        || chr(31) || t::BIGINT || chr(31) || p::BIGINT || chr(31) || n::BIGINT || chr(31) || u::BIGINT AS c
+      FROM ({' UNION ALL '.join(parts)}))"""
+
+
+sql(
+    "claims_equal",
+    _STRUCT
+    + f""",
+tgt AS (SELECT source, string_agg(CASE role
+     WHEN 'most_discussed' THEN aspect || ' attracted the most attention, with ' || total || ' mentions: ' || positive || ' positive, ' || negative || ' negative, and ' || neutral || ' neutral.'
+     WHEN 'strongest_positive' THEN aspect || ' emerged as the clearest strength, receiving ' || positive || ' positive mentions out of ' || total || ', alongside ' || negative || ' negative and ' || neutral || ' neutral.'
+     WHEN 'strongest_negative' THEN 'In contrast, ' || aspect || ' was the main concern, with ' || negative || ' negative mentions out of ' || total || ', compared with ' || positive || ' positive and ' || neutral || ' neutral.'
+     WHEN 'most_divided' THEN aspect || ' feedback was the most divided, with ' || positive || ' positive, ' || negative || ' negative, and ' || neutral || ' neutral mentions among ' || total || ' total.'
+     END, ' ' ORDER BY slot) AS report FROM sel GROUP BY source),
+{_role_claims('rep', 'ca')},
+{_role_claims('tgt', 'cb')},
+sa AS (SELECT source, string_agg(c, chr(30) ORDER BY c) AS s, count(*) AS n FROM ca GROUP BY source),
+sb AS (SELECT source, string_agg(c, chr(30) ORDER BY c) AS s, count(*) AS n FROM cb GROUP BY source)
+SELECT r.source, (coalesce(sa.s, '') = coalesce(sb.s, '') AND coalesce(sb.n, 0) > 0) AS claims_equal,
+       coalesce(sa.n, 0) AS report_claims, coalesce(sb.n, 0) AS target_claims
+FROM rep r JOIN tgt ON tgt.source = r.source LEFT JOIN sa ON sa.source = r.source LEFT JOIN sb ON sb.source = r.source""",
+)
