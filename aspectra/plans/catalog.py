@@ -706,8 +706,11 @@ def _examples_split(spark, sf_dir):
     from aspectra.operators.splits import hash_split
     from aspectra.sources.xml import flatten_examples
 
+    from aspectra.plans.materialize import materialize
+
     ex = flatten_examples(_xml_sentences(spark, sf_dir))
-    return hash_split(ex, "sentence_id", valid_ratio=0.0, test_ratio=0.15)
+    # the vocabulary, idf, weights and every optimiser pass read this table: write it once
+    return materialize(hash_split(ex, "sentence_id", valid_ratio=0.0, test_ratio=0.15), "examples")
 
 
 @query("tfidf_features")
