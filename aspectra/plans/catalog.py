@@ -1045,3 +1045,24 @@ def q_synth_reports(spark, sf_dir):
     reports = reasoned_reports(sel, key="example")
     per_report, _ = check_reasoned(reports, sel, key=["example"])
     return reports.join(per_report.select("example", "passed", "claims_checked", "valid_claims"), "example")
+
+
+# ---------------------------------------------------------------- second corpus: conversations grouped by role
+
+
+@query("conversation_aspects")
+def q_conversation_aspects(spark, sf_dir):
+    """Entry 1 on the second corpus: conversation turns -> sentences -> lexicon triplets
+    (lexicon fitted on the documents' train split) -> A2 per speaker role."""
+    from aspectra.functions.text import split_sentence_array
+    from aspectra.operators.lexicon import fit_lexicon, lexicon_predict
+    from aspectra.session import read_table, spread
+
+    vocab, lex = fit_lexicon(_gold_triplets(_split_sentences(spark, sf_dir), "train"))
+    conv = spread(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    sents = conv.select("conv_id", "turn", "role", F.posexplode(split_sentence_array("text")).alias("pos", "sent")).withColumn(
+        "sid", F.concat_ws(":", "conv_id", "turn", "pos")
+    )
+    pred = lexicon_predict(sents, vocab, lex, sid="sid", text="sent")
+    trip = pred.join(sents.select("sid", "role"), "sid").select("role", F.explode("triplets").alias("t")).select("role", "t.*")
+    return stats.with_rendered_reasons(stats.aspect_reasons(trip, group_cols=["role"], min_mentions=2))
