@@ -43,13 +43,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    folder of our own is created and registered as the checkpoint dir.
+    Uses the cluster's ``spark.checkpoint.dir``. Only where it is unset and the master is
+    local (tests) a folder of our own is created and registered; on a cluster a folder of the
+    driver would not be seen by the executors, so that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     base = conf_dir or sc_dir
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="aspectra-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
