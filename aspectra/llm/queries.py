@@ -23,3 +23,10 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     groups = simhash_groups(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.toxicity import toxicity
+
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
