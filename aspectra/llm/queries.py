@@ -30,3 +30,10 @@ def op3_toxicity_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aspectra.llm.toxicity import toxicity
 
     return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_crossparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.langid import language_id
+
+    return language_id(read_table(spark, sf_dir, "documents"))
