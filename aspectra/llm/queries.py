@@ -37,3 +37,10 @@ def op10_language_crossparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aspectra.llm.langid import language_id
 
     return language_id(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_mixing_subset_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.mixing import mix
+
+    return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
