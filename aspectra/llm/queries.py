@@ -44,3 +44,13 @@ def op5_mixing_subset_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aspectra.llm.mixing import mix
 
     return mix(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op4_packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from aspectra.llm.packing import pack
+
+    pieces = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
