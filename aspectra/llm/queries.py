@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectra.session import read_table
+from aspectra.session import new_scratch_path, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,3 +54,26 @@ def op4_packing_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pieces = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.warc import captures_of
+
+    captures = captures_of(spark, read_table(spark, sf_dir, "pages"), new_scratch_path(spark, "warc"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op6_warc_transactions"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(encode(html)) AS payload_digest FROM p
+), g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN leader END AS refers_to
+FROM g
+"""
