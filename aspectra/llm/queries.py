@@ -77,3 +77,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN leader END AS refers_to
 FROM g
 """
+
+
+@query
+def op9_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.html import main_text
+
+    texts = main_text(read_table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
