@@ -85,3 +85,10 @@ def op9_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     texts = main_text(read_table(spark, sf_dir, "pages"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
