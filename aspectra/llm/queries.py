@@ -92,3 +92,10 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aspectra.llm.embedding_dedup import near_duplicates
 
     return near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.ann import search
+
+    return search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
