@@ -50,3 +50,33 @@ def texts(col: pa.Array) -> Iterator[bytes]:
     raw = data.tobytes()
     for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
         yield raw[a:b]
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole groups of rows with equal integer ``keys``, from batches in which equal keys stand together.
+
+    Gives (table, cuts): group ``i`` is rows ``cuts[i]`` to ``cuts[i + 1]``. Only the group that
+    is still open is held back, so memory is that of a batch and the largest group.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def whole(parts: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray]:
+        table = pa.Table.from_batches(parts)
+        ids = np.stack([table.column(k).to_numpy() for k in keys], axis=1)
+        return table, np.concatenate([[0], np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1, [len(ids)]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = [column(batch, k).to_numpy() for k in keys]
+        other = np.flatnonzero(np.logical_or.reduce([i != i[-1] for i in ids]))
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if held and any(column(held[-1], k)[-1].as_py() != i[0] for k, i in zip(keys, ids)):
+            yield whole(held)
+            held = []
+        if cut:
+            yield whole([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield whole(held)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column
+from aspectra.llm.batches import column, groups
 from aspectra.llm.components import connected_components, local_forest
 from aspectra.llm.vectors import matrix, unit, usable
 from aspectra.plans.materialize import materialize
@@ -100,45 +100,20 @@ def projection_links(classes: DataFrame, threshold: float, passes: int = PASSES,
 
 def _count_task(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def counts(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            task = np.stack([column_of(table, c) for c in ("root", "qb", "tb")], axis=1)
-            cuts = np.concatenate([[0], np.flatnonzero((task[1:] != task[:-1]).any(axis=1)) + 1, [len(task)]])
-            asks, cid, copies = column_of(table, "asks"), column_of(table, "cid"), column_of(table, "copies")
+        for table, cuts in groups(batches, ("root", "qb", "tb")):
+            asks, cid, copies = (table.column(c).to_numpy() for c in ("asks", "cid", "copies"))
             vectors = table.column("vector").combine_chunks()
             ids, links = [], []
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                x = unit(matrix(vectors.slice(a, b - a)))
-                q = asks[a:b]
-                hit = _close(x[q], x[~q], threshold) & (cid[a:b][q][:, None] != cid[a:b][~q][None, :])
-                ids.append(cid[a:b][q])
+                x, q, c = unit(matrix(vectors.slice(a, b - a))), asks[a:b], cid[a:b]
+                hit = _close(x[q], x[~q], threshold) & (c[q][:, None] != c[~q][None, :])
+                ids.append(c[q])
                 links.append(hit @ copies[a:b][~q])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(links).astype(np.int64))], ["cid", "links"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            task = [column(batch, c).to_numpy() for c in ("root", "qb", "tb")]
-            last = np.flatnonzero(np.logical_or.reduce([t != t[-1] for t in task]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and not all(column(held[-1], c)[-1].as_py() == t[0] for c, t in zip(("root", "qb", "tb"), task)):
-                yield from counts(pa.Table.from_batches(held))
-                held = []
-            if cut:
-                yield from counts(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from counts(pa.Table.from_batches(held))
-
     return run
 
 
-def column_of(table: pa.Table, name: str) -> np.ndarray:
-    return table.column(name).to_numpy()
-
-
 def link_counts(members: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
     """(cid, links): copies of other classes of the same root within the threshold of a class.
 
