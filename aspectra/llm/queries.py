@@ -99,3 +99,10 @@ def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from aspectra.llm.ann import search
 
     return search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(read_table(spark, sf_dir, "documents"), length=100)
