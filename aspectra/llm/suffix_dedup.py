@@ -405,7 +405,7 @@ def _cut_task(carry: list[str], with_text: bool):
             arrays = [column(docs, c) for c in carry] + [
                 pa.array(np.diff(offs)), pa.array(np.diff(total[offs])), pa.array(np.diff(spans[offs])), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.array(texts, pa.binary())] * with_text, names)
+            yield pa.RecordBatch.from_arrays(arrays + ([pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())] if with_text else []), names)
 
     return run
 
@@ -425,7 +425,8 @@ def _with_versions(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """``carry`` columns, n_bytes, n_removed, n_spans, kept_sha256 and, on request, kept (binary).
+    """``carry`` columns, n_bytes, n_removed, n_spans, kept_sha256 and, on request, kept:
+    the remaining text, without the bytes of characters that a cut has halved.
 
     Texts are UTF-8 bytes (null: empty). A byte goes if a string of ``length`` bytes that covers
     it also starts earlier: at a smaller doc_id, or earlier in the same document; strings do not
@@ -459,6 +460,6 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id
     extra = [F.col(c).alias(f"__{i}") for i, c in enumerate(carry)]
     inner = [f"__{i}" for i in range(len(carry))]
     whole = meet(marks, rows.select("__id", "__version", "__text", *extra))
-    fields = ", ".join([f"`{n}` {docs.schema[c].dataType.simpleString()}" for n, c in zip(inner, carry)] + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept binary"] * with_text)
+    fields = ", ".join([f"`{n}` {docs.schema[c].dataType.simpleString()}" for n, c in zip(inner, carry)] + ["n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"] + ["kept string"] * with_text)
     cut = whole.mapInArrow(_cut_task(inner, with_text), fields)
     return cut.select(*[F.col(n).alias(c) for n, c in zip(inner, carry)], *cut.columns[len(inner) :])

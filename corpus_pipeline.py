@@ -1,4 +1,8 @@
-"""Corpus pipeline: five stages over the documents table, each written and reread as Parquet."""
+"""Corpus pipeline: five stages over the documents table, each written and reread as Parquet.
+
+Every stage works on all rows that its predecessor kept. All but the last return the columns of
+documents; ``n_chars`` follows the text where a stage changes it.
+"""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,17 +14,67 @@ from aspectra.session import read_table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores 0.5 or more go; it learns from the labels table."""
+    from aspectra.llm.toxicity import known_labels, score, train
+
+    rows = docs.select(*COLUMNS)
+    model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
+    return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one named by its component_id."""
+    """One document of each SimHash group stays: the one that names its component.
+
+    Of rows that repeat a doc_id one stays; rows without a doc_id stay, as no group names them.
+    """
     from aspectra.llm.simhash import simhash_groups
 
-    groups = simhash_groups(docs, shingle=3, radius=2)
+    rows = docs.select(*COLUMNS)
+    groups = simhash_groups(rows, shingle=3, radius=2)
     keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*COLUMNS)
+    return rows.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(rows.where("doc_id IS NULL"))
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes covered by an earlier string of 100 bytes are cut; a character that a cut halves goes whole.
+
+    Null texts stay null; a document that is cut empty stays with an empty text.
+    """
+    from aspectra.llm.suffix_dedup import remove_repeats
+
+    rows = docs.select(*COLUMNS).withColumn("n_chars", F.when(F.col("text").isNotNull(), 1).cast("long"))
+    cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
+    text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
+    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document stands as often as the mix takes it: never, once or twice."""
+    from aspectra.llm.mixing import mix
+
+    mixed = mix(docs, carry=tuple(COLUMNS))
+    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences with their token ids."""
+    import public_tokenizers
+
+    from aspectra.llm.packing import pack
+
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("suffix_dedup", suffix_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
+#: The stages train, hash and sort in ways SQL cannot state; tests/llm holds the brute-force version.
 ORACLE_SQL = None
 
 
