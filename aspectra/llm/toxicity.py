@@ -22,6 +22,10 @@ from aspectra.plans.materialize import materialize
 #: n-gram lengths in code points and size of the hash space.
 SIZES = (3, 4, 5, 6)
 HASH_BITS = 20
+#: Tasks that read the training sample, which is bounded whatever the corpus.
+SAMPLE_TASKS = 16
+#: Code points hashed at a time, however long a text is.
+WINDOW = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -47,35 +51,32 @@ def _code_points(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _hits(cps: np.ndarray, offs: np.ndarray, slot: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (row, feature) pairs, sorted; feature: the hash, or its slot where one is given."""
-    rows_, feats = [], []
-    h = np.zeros(len(cps), np.uint32)
-    for n in range(1, max(SIZES) + 1):
-        if n > len(cps):
-            break
-        h = (h[: len(cps) - n + 1] + cps[n - 1 :]) * np.uint32(0x9E3779B1)
-        h ^= h >> np.uint32(15)
-        if n not in SIZES:
-            continue
-        bucket = (h * np.uint32(0x85EBCA6B)) >> np.uint32(32 - HASH_BITS)
-        if slot is None:
-            at, f = np.arange(len(bucket)), bucket
-        else:
-            found = slot[bucket]
-            at = np.flatnonzero(found >= 0)
-            f = found[at]
-        row = np.searchsorted(offs, at, side="right") - 1
-        whole = at + n <= offs[row + 1]
-        rows_.append(row[whole])
-        feats.append(f[whole])
-    if not rows_:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    key = np.unique(np.concatenate(rows_).astype(np.int64) << HASH_BITS | np.concatenate(feats).astype(np.int64))
+    keys = [np.zeros(0, np.int64)]
+    for a in range(0, len(cps), WINDOW):
+        piece = cps[a : a + WINDOW + max(SIZES) - 1]
+        h = np.zeros(len(piece), np.uint32)
+        for n in range(1, min(max(SIZES), len(piece)) + 1):
+            h = (h[: len(piece) - n + 1] + piece[n - 1 :]) * np.uint32(0x9E3779B1)
+            h ^= h >> np.uint32(15)
+            if n not in SIZES:
+                continue
+            f = (h[:WINDOW] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - HASH_BITS)
+            at = np.arange(len(f))
+            if slot is not None:
+                f = slot[f]
+                at = np.flatnonzero(f >= 0)
+                f = f[at]
+            at += a
+            row = np.searchsorted(offs, at, side="right") - 1
+            whole = at + n <= offs[row + 1]
+            keys.append(np.unique(row[whole].astype(np.int64) << HASH_BITS | f[whole].astype(np.int64)))
+    key = np.unique(np.concatenate(keys))
     return key >> HASH_BITS, key & ((1 << HASH_BITS) - 1)
 
 
 def _features_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 1 << 20):
+        for part in slices(batch, "text", 1 << 18):
             cps, offs = _code_points(column(part, "text"))
             row, f = _hits(cps, offs, None)
             ends = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
@@ -121,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = 3000, ngrams
     ids = picks[0].unionByName(picks[1])
     # the picks are at most 2 * rows_per_class rows of a long and an int
     rows = docs.join(F.broadcast(ids), "doc_id").select(F.col("y").cast("int").alias("y"), F.coalesce("text", F.lit("")).alias("text"))
-    feats = materialize(rows.mapInArrow(_features_task, "y int, f array<int>"), "toxicity-ngrams")
+    feats = materialize(rows.repartition(SAMPLE_TASKS).mapInArrow(_features_task, "y int, f array<int>"), "toxicity-ngrams")
     n = {int(r["y"]): r["n"] for r in feats.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return flat
@@ -181,14 +182,20 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, y): what may be learned from ``labels`` (doc_id, toxic), one row per document.
+
+    Rows of the held-out fold, null ids and labels other than 0 and 1 teach nothing; of repeated
+    rows the largest label counts.
+    """
+    return labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per row of ``docs``.
 
-    Learns from rows of ``labels`` (doc_id, toxic 0/1) outside the held-out fold; null labels,
-    null ids and labels of unknown documents teach nothing; of repeated label rows the largest
-    counts. Other columns are ignored; lang, source and doc_id never enter a score.
+    Learns from ``known_labels``; labels of unknown documents teach nothing. Other columns are ignored; lang, source and doc_id never enter a score.
     """
-    known = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     ids = docs.select("doc_id", "text")
-    scored = score(ids, train(ids, known, **settings))
+    scored = score(ids, train(ids, known_labels(labels), **settings))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
