@@ -94,8 +94,8 @@ def bit_planes(fp: np.ndarray) -> np.ndarray:
     padded = np.zeros(words * 64, np.uint64)
     padded[: len(fp)] = fp.view(np.uint64)
     bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")  # row: bits 0..63
-    packed = np.packbits(bits.reshape(words, 64, 64).transpose(2, 0, 1), axis=2, bitorder="little")
-    return packed.view(np.uint64)[:, :, 0]
+    by_bit = np.ascontiguousarray(bits.reshape(words, 64, 64).transpose(2, 0, 1))
+    return np.packbits(by_bit, axis=2, bitorder="little").view(np.uint64)[:, :, 0]
 
 
 def within_radius(planes: np.ndarray, fp: np.ndarray, query: np.ndarray, word: np.ndarray, lanes: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
