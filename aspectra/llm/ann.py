@@ -109,7 +109,8 @@ def _classifier(x: np.ndarray, target: np.ndarray, hidden: int, epochs: int, rng
 
 
 def fit(sample: np.ndarray, parts: int = 64, k: int = 20, links: int = 10, target_recall: float = 0.95, room: float = 1.05, hidden: int = 128, epochs: int = 25, seed: int = 23) -> Partitions:
-    """Learn the parts from ``sample`` (rows in any order); ``parts`` is a power of two.
+    """Learn the parts from ``sample`` (rows in any order); ``parts`` is a power of two,
+    halved while there are fewer than four rows for each.
 
     A tenth of the sample asks for its ``k`` nearest among the rest; the fewest parts whose
     visits find ``target_recall`` of them is the number of probes.
@@ -118,6 +119,8 @@ def fit(sample: np.ndarray, parts: int = 64, k: int = 20, links: int = 10, targe
     scale = 1 / max(float(np.sqrt((sample * sample).mean())), 1e-300)
     aside = len(sample) // 10
     ask, x = sample[:aside], sample[aside:]
+    while 4 * parts > len(x) and parts > 1:
+        parts //= 2
     near = neighbours(x, x, links, True)
     part = balanced_parts(x, near, parts, room, 25, rng)
     target = 0.7 * np.eye(parts)[part]
