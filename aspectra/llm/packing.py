@@ -6,12 +6,16 @@ documents are range-sorted by that key, so a sequence holds neighbours, and each
 into full sequences as one stream of ids. What a range leaves over becomes sequences whose
 lengths are powers of two, which take no padding.
 """
+import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,39 +25,87 @@ from aspectra.plans.materialize import materialize
 LENGTH = 4096
 END = 2
 DIMS = 3
-#: Hash space of the document vectors, and words whose ids a worker remembers.
-FEATURES = 4096
-REMEMBERED = 400_000
+#: Hash space of the document vectors, and words of a generation that a worker remembers.
+FEATURES = 1024
+REMEMBERED = 500_000
+STOPS = b".,;:!?"
+#: Letters whose lower case is one letter and which composition leaves alone.
+LATIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E]+)([.,;:!?]*)")
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
 
 
 class WordTokenizer:
     """Ids of a tokenizer that drops white space, by ASCII-space separated words remembered in a worker.
 
-    The tokenizer's pieces never span white space, so a text's ids are its words' ids in a row.
+    The tokenizer's pieces never span white space, so a text's ids are its words' ids in a row. A
+    word of Latin letters, with or without stops after it, is the piece of its letters in lower
+    case and the piece of its stops; other words are encoded as they stand. Two generations of
+    words are held: words that come again move on to the younger one.
     """
 
-    def __init__(self, file: str):
-        import os
-
+    def __init__(self, file: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, raw: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian bytes of ``kind``."""
-        words = [t.split() for t in raw]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in set().union(*words) if w not in self.known] if words else []
-        for a in range(0, len(new), 20_000):
-            part = new[a : a + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
+        self.remembered = remembered
+        self.code = "H" if self.kind == np.uint16 else "I"
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.signs = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0x21, 0x180)) if c.isalpha()}
+
+    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows in a row, number of ids of each row); nulls have none."""
+        lists = pc.ascii_split_whitespace(col.fill_null("") if col.null_count else col)
+        coded = lists.flatten().dictionary_encode()
+        if len(self.young) > self.remembered:
+            self.young, self.old = {}, self.young
+        if len(self.pieces) > self.remembered:
+            self.pieces = {}
+        words = list(texts(coded.dictionary))
+        blobs = list(map(self.young.get, words))
+        missing = [i for i, b in enumerate(blobs) if b is None]
+        fresh = []
+        for i in missing:
+            w = words[i]
+            ids = self.old.get(w)
+            if ids is None:
+                core = w.rstrip(STOPS)
+                if core.isalpha():
+                    ids = self._piece(core.lower()) if len(core) == len(w) else self._piece(core.lower()) + self._piece(w[len(core) :])
+                elif (m := LATIN_WORD.fullmatch(w.decode())) is not None:
+                    ids = self._piece(m[1].lower().encode()) + (self._piece(m[2].encode()) if m[2] else b"")
+                else:
+                    fresh.append(i)
+                    continue
+            blobs[i] = self.young[w] = ids
+        for a in range(0, len(fresh), 500):  # as one line; a token belongs to the word in which it starts
+            line = [words[i].decode() for i in fresh[a : a + 500]]
+            whole = self.tokenizer.encode(" ".join(line), add_special_tokens=False)
+            ids = np.array(whole.ids, self.kind)
+            starts = np.cumsum([0] + [len(w) + 1 for w in line])
+            cuts = np.searchsorted(np.fromiter((o[0] for o in whole.offsets), np.int64, len(ids)), starts).tolist()
+            for i, x, y in zip(fresh[a : a + 500], cuts, cuts[1:]):
+                blobs[i] = self.young[words[i]] = ids[x:y].tobytes()
+        flat = np.frombuffer(b"".join(blobs), self.kind)
+        size = np.fromiter(map(len, blobs), np.int32, len(blobs)) // np.dtype(self.kind).itemsize
+        code = coded.indices.to_numpy()
+        n = size[code]
+        ends = np.cumsum(n, dtype=np.int32)
+        at = np.repeat((np.cumsum(size, dtype=np.int32) - size)[code] - (ends - n), n)
+        at += np.arange(len(at), dtype=np.int32)
+        total = np.concatenate([[0], ends])
+        return flat[at], np.diff(total[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]).astype(np.int64)
+
+    def _piece(self, piece: bytes) -> bytes:
+        """Ids of a run of letters in lower case, or of stops."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece.decode("ascii") if piece.isascii() else piece.decode().translate(self.signs)
+            ids = self.pieces[piece] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        return ids
 
 
 def _tokenizer(file: str) -> WordTokenizer:
@@ -91,8 +143,11 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _projection(seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((FEATURES, DIMS))
+def _steps(n: np.ndarray, rows: int) -> Iterator[tuple[int, int, int]]:
+    """(first row, first id, end of ids) of every ``rows`` rows."""
+    ends = np.concatenate([[0], np.cumsum(n)])
+    for i in range(0, len(n), rows):
+        yield i, int(ends[i]), int(ends[min(len(n), i + rows)])
 
 
 def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text", seed: int = 3) -> DataFrame:
@@ -101,19 +156,23 @@ def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), t
     schema = source.drop("__text").select("*", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(f"p{k}") for k in range(DIMS)]).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, axes = _tokenizer(file), _projection(seed)
+        coder = _tokenizer(file)
+        bucket = np.random.default_rng(seed).integers(0, FEATURES, np.iinfo(coder.kind).max + 1 if coder.kind == np.uint16 else 1 << 22)
+        axes = np.random.default_rng([seed, 1]).standard_normal((FEATURES, DIMS))
+
+        def vectors(ids: np.ndarray, n: np.ndarray) -> np.ndarray:
+            """Projections of the hashed, dampened and normed count vectors of rows of ``n`` ids."""
+            cell = np.repeat(np.arange(len(n)) * FEATURES, n) + bucket[ids]
+            counts = np.log1p(np.bincount(cell, minlength=len(n) * FEATURES).reshape(len(n), FEATURES))
+            return counts @ axes / np.sqrt(np.maximum((counts * counts).sum(axis=1, keepdims=True), 1e-12))
+
         for batch in batches:
-            for part in slices(batch, "__text", 2 << 20):
-                blobs = coder.encode(list(texts(column(part, "__text"))))
-                n = np.array([len(b) for b in blobs], np.int64) // np.dtype(coder.kind).itemsize
-                ids = np.frombuffer(b"".join(blobs), coder.kind).astype(np.int64)
-                row = np.repeat(np.arange(len(n)), n)
-                bucket = (ids * 2654435761 >> 7) % FEATURES
-                at, counts = np.unique(row * FEATURES + bucket, return_counts=True)
-                r, f, v = at // FEATURES, at % FEATURES, np.log1p(counts)
-                norm = np.sqrt(np.maximum(np.bincount(r, v * v, len(n)), 1e-12))
-                places = [np.bincount(r, v * axes[f, k], len(n)) / norm for k in range(DIMS)]
-                arrays = [column(part, c) for c in carry] + [pa.array(blobs, pa.binary()), pa.array(n)] + [pa.array(p) for p in places]
+            for part in slices(batch, "__text", 8 << 20):
+                ids, n = coder.encode(column(part, "__text"))
+                ends = np.cumsum(n).tolist()
+                blobs = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+                places = np.concatenate([vectors(ids[a:b], n[i : i + 256]) for i, a, b in _steps(n, 256)])
+                arrays = [column(part, c) for c in carry] + [pa.array(blobs, pa.binary()), pa.array(n)] + [pa.array(places[:, k]) for k in range(DIMS)]
                 yield pa.RecordBatch.from_arrays(arrays, [*carry, "ids", "n", *[f"p{k}" for k in range(DIMS)]])
 
     return source.mapInArrow(run, schema)
