@@ -134,9 +134,16 @@ def training_texts(docs: DataFrame, train_bytes: int = 160_000, rows_per_lang: i
     about ``train_bytes``, in equal parts.
     """
     draw = F.xxhash64(F.lit(seed), "doc_id", "text")
+    spoken = docs.where("lang IS NOT NULL AND length(text) > 0")
+    # a row per language; of a large one about four times the rows needed come into the draw
+    counts = {r["lang"]: r["n"] for r in docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    limits = [F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4 * rows_per_lang / n))]
+    if not limits:
+        return []
+    spoken = spoken.where(F.pmod(draw, F.lit(1 << 20)) < F.create_map(*limits)[F.col("lang")] * (1 << 20))
     at = F.pmod(draw, F.greatest(F.lit(1), F.length("text") - excerpt)).cast("int") + 1
     first = W.partitionBy("lang").orderBy("h", "doc_id")
-    ids = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "doc_id", draw.alias("h"), F.lower(F.substring("text", at, F.lit(excerpt))).alias("part"))
+    ids = spoken.select("lang", "doc_id", draw.alias("h"), F.lower(F.substring("text", at, F.lit(excerpt))).alias("part"))
     rows = ids.withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= rows_per_lang).collect()
     by: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
