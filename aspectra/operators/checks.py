@@ -54,12 +54,14 @@ CLAIM_GRAMMARS = [
 ]
 NUMBER_RE = "[0-9]+(?:\\.[0-9]+)?%?"
 LEFTOVER_STRIP = " \t\r\n.;"
-MASK = "\u0001"
+TOO_LARGE = "a number too large"
 COUNT_FIELDS = ("total", "positive", "negative", "neutral")
 
 
 def extract_claims(report) -> Column:
-    """array<struct<kind, role, k, aspect, total, positive, negative, neutral>> over all grammars."""
+    """array<struct<kind, role, k, aspect, total, positive, negative, neutral>> over all grammars.
+
+    A number beyond a BIGINT is null, which matches no source row's count."""
     r = col_(report)
     def to_claim(kind, role):
         def f(z, i):
@@ -68,10 +70,10 @@ def extract_claims(report) -> Column:
                 F.lit(role).cast("string").alias("role"),
                 i.alias("k"),
                 norm_key(z["g0"]).alias("aspect"),
-                z["g1"].cast("bigint").alias("total"),
-                z["g2"].cast("bigint").alias("positive"),
-                z["g3"].cast("bigint").alias("negative"),
-                z["g4"].cast("bigint").alias("neutral"),
+                z["g1"].try_cast("bigint").alias("total"),
+                z["g2"].try_cast("bigint").alias("positive"),
+                z["g3"].try_cast("bigint").alias("negative"),
+                z["g4"].try_cast("bigint").alias("neutral"),
             )
 
         return f
@@ -84,12 +86,36 @@ def extract_claims(report) -> Column:
     return F.concat(*parts)
 
 
-def masked_report(report) -> Column:
-    """Claim spans replaced by a separator, grammar by grammar."""
-    m = col_(report)
-    for _, _, pat, _ in CLAIM_GRAMMARS:
-        m = F.regexp_replace(m, pat, MASK)
-    return m
+def _places(text: Column, pattern: str) -> Column:
+    """(s, e) of each match: starts follow from the lengths of the pieces and matches before."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), F.length)
+    between = F.transform(F.split(text, pattern, -1), F.length)
+    total = lambda arr: F.aggregate(arr, F.lit(0), lambda a, x: a + x)
+    return F.transform(found, lambda n, i: F.struct(
+        (total(F.slice(between, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i))).alias("s"),
+        (total(F.slice(between, F.lit(1), i + 1)) + total(F.slice(found, F.lit(1), i + 1))).alias("e"),
+    ))
+
+
+def claim_spans(report: Column) -> Column:
+    """Places of all claims in the report as it stands, sorted by start."""
+    return F.array_sort(F.concat(*[_places(report, pat) for _, _, pat, _ in CLAIM_GRAMMARS]))
+
+
+def numbers_outside(report: Column, spans: Column) -> Column:
+    """How many number tokens lie in no claim."""
+    return F.size(F.filter(_places(report, NUMBER_RE), lambda n: ~F.exists(spans, lambda c: (c["s"] <= n["s"]) & (n["e"] <= c["e"])))).cast("bigint")
+
+
+def text_outside(report: Column, spans: Column) -> Column:
+    """What remains of the report without its claims."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    walked = F.aggregate(spans, start, lambda acc, c: F.struct(
+        F.greatest(acc["at"], c["e"]).alias("at"),
+        F.concat(acc["text"], F.substring(report, acc["at"] + 1, F.greatest(F.lit(0), c["s"] - acc["at"]))).alias("text"),
+    ))
+    rest = F.concat(walked["text"], F.substring(report, walked["at"] + 1, F.length(report)))
+    return F.btrim(rest, F.lit(LEFTOVER_STRIP))
 
 
 def claim_check(claims: DataFrame, table: DataFrame, key: Sequence[str] = ("source",)) -> DataFrame:
@@ -101,8 +127,8 @@ def claim_check(claims: DataFrame, table: DataFrame, key: Sequence[str] = ("sour
     errs = F.when(~found, F.array(F.lit("aspect not found in source statistics"))).otherwise(
         F.filter(
             F.array(*[
-                F.when(F.col(c) != F.col(f"exp_{c}"),
-                       F.concat(F.lit(f"{c}: claimed "), F.col(c).cast("string"), F.lit(", expected "), F.col(f"exp_{c}").cast("string")))
+                F.when(~F.col(c).eqNullSafe(F.col(f"exp_{c}")),
+                       F.concat(F.lit(f"{c}: claimed "), F.coalesce(F.col(c).cast("string"), F.lit(TOO_LARGE)), F.lit(", expected "), F.col(f"exp_{c}").cast("string")))
                 for c in COUNT_FIELDS
             ]),
             lambda x: x.isNotNull(),
@@ -111,28 +137,47 @@ def claim_check(claims: DataFrame, table: DataFrame, key: Sequence[str] = ("sour
     return j.withColumn("errors", errs).withColumn("valid", F.size("errors") == 0)
 
 
-def check_structured(reports: DataFrame, table: DataFrame, key: Sequence[str] = ("source",), report: str = "report") -> tuple[DataFrame, DataFrame]:
-    """C1 without required aspects/roles (the check of an existing report file).
+def check_structured(reports: DataFrame, table: DataFrame, key: Sequence[str] = ("source",), report: str = "report",
+                     selected: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """C1. Returns (per_report, per_claim).
 
-    Returns (per_report, per_claim)."""
+    With ``selected`` (key, slot, aspect, role) each of its aspects and roles must be claimed,
+    and a role by the aspect selected for it: missing_aspects, missing_roles and role_errors are
+    added and count for ``passed``. Without it an existing report is checked as it is."""
     k = list(key)
-    base = reports.select(
-        *k, F.col(report).alias("report"), extract_claims(report).alias("claims"), masked_report(report).alias("_m")
-    )
+    base = reports.select(*k, F.col(report).alias("report"), extract_claims(report).alias("claims"), claim_spans(F.col(report)).alias("_spans"))
     per_claim = claim_check(
         base.select(*k, F.explode("claims").alias("c")).select(*k, "c.*"), table, k
     )
     rolled = per_claim.groupBy(*k).agg(
         F.count_if("valid").alias("valid_claims"), F.bool_and("valid").alias("_all_valid")
     )
+    if selected is not None:
+        want = selected.groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("slot", norm_key("aspect").alias("aspect"), "role"))).alias("_want"))
+        base = base.join(want, k, "left").withColumn("_want", F.coalesce("_want", F.array().cast("array<struct<slot:int,aspect:string,role:string>>")))
     aspects = F.transform("claims", lambda c: c["aspect"])
     dups = F.array_sort(F.array_distinct(F.filter(aspects, lambda a: F.size(F.filter(aspects, lambda b: b == a)) > 1)))
+    extra: list[Column] = []
+    if selected is not None:
+        by_role = lambda role: F.element_at(F.filter("claims", lambda c: c["role"] == role), -1)["aspect"]  # noqa: E731  the last claim counts
+        with_role = F.filter("_want", lambda x: x["role"].isNotNull())
+        claimed_roles = F.transform("claims", lambda c: c["role"])
+        wrong = F.filter(
+            F.transform(F.filter(with_role, lambda x: F.array_contains(claimed_roles, x["role"])), lambda x: F.struct(x["role"].alias("role"), x["aspect"].alias("want"), by_role(x["role"]).alias("got"))),
+            lambda x: x["got"] != x["want"],
+        )
+        extra = [
+            F.array_sort(F.array_except(F.transform("_want", lambda x: x["aspect"]), aspects)).alias("_missing_aspects"),
+            F.array_sort(F.array_except(F.transform(with_role, lambda x: x["role"]), claimed_roles)).alias("_missing_roles"),
+            F.transform(wrong, lambda x: F.concat(x["role"], F.lit(": claimed "), x["got"], F.lit(", expected "), x["want"])).alias("_role_errors"),
+        ]
     rep = base.select(
         *k,
         F.size("claims").cast("bigint").alias("claims_checked"),
-        F.size(F.regexp_extract_all("_m", F.lit(NUMBER_RE), 0)).cast("bigint").alias("unparsed_numeric_tokens"),
+        numbers_outside(F.col("report"), F.col("_spans")).alias("unparsed_numeric_tokens"),
         dups.alias("_dups"),
-        F.btrim(F.replace("_m", F.lit(MASK), F.lit("")), F.lit(LEFTOVER_STRIP)).alias("unexpected_text"),
+        text_outside(F.col("report"), F.col("_spans")).alias("unexpected_text"),
+        *extra,
     ).join(rolled, k, "left")
     passed = (
         (F.col("claims_checked") > 0)
@@ -141,10 +186,14 @@ def check_structured(reports: DataFrame, table: DataFrame, key: Sequence[str] =
         & (F.size("_dups") == 0)
         & (F.col("unexpected_text") == "")
     )
+    named = ("missing_aspects", "missing_roles", "role_errors") if selected is not None else ()
+    for c in named:
+        passed = passed & (F.size(f"_{c}") == 0)
     out = rep.select(
         *k, passed.alias("passed"), "claims_checked",
         F.coalesce("valid_claims", F.lit(0)).cast("bigint").alias("valid_claims"),
         "unparsed_numeric_tokens", F.array_join("_dups", ",").alias("duplicate_aspects"), "unexpected_text",
+        *[F.array_join(f"_{c}", ",").alias(c) for c in named],
     )
     return out, per_claim
 
@@ -220,10 +269,15 @@ def _reason_counts(row: Column) -> Column:
     return F.transform(
         F.concat(F.coalesce(row["positive_reasons"], F.array()), F.coalesce(row["negative_reasons"], F.array()),
                  F.coalesce(row["neutral_reasons"], F.array())),
-        lambda x: x["n"],
+        lambda x: x["n"].cast("string"),
     )
 
 
+def _digits(text: Column) -> Column:
+    """The digit runs of a text without leading zeros, as text, so that any length compares."""
+    return F.transform(F.regexp_extract_all(text, F.lit("[0-9]+"), 0), lambda x: F.regexp_replace(x, "^0+(?=[0-9])", ""))
+
+
 def check_reasoned(reports: DataFrame, selected: DataFrame, key: Sequence[str] = ("source",), report: str = "report",
                    mode: str = "factual-only") -> tuple[DataFrame, DataFrame]:
     """C2. ``selected``: (key, slot, aspect, counts, reason arrays). Returns
@@ -245,31 +299,32 @@ def check_reasoned(reports: DataFrame, selected: DataFrame, key: Sequence[str] =
     def per_aspect(r):
         segs = F.filter("seg_aspects", lambda x: F.array_contains(x["found"], r["aspect"]))
         text = F.lower(F.array_join(F.transform(segs, lambda x: x["seg"]), " "))
-        nums = F.transform(F.regexp_extract_all(text, F.lit("[0-9]+"), 0), lambda x: x.cast("bigint"))
-        allowed = F.concat(F.array(r["total"], r["positive"], r["negative"], r["neutral"]), _reason_counts(r))
+        nums = _digits(text)
+        total, *parts = (r[c].cast("string") for c in COUNT_FIELDS)
+        allowed = F.concat(F.array(total, *parts), _reason_counts(r))
         invalid = F.filter(nums, lambda x: ~F.array_contains(allowed, x))
         own = _reason_list(r)
         found = F.array_sort(F.filter(own, lambda x: has_phrase(text, x)))
         foreign = F.array_sort(F.filter(F.array_except(F.col("all_reasons"), own), lambda x: (F.length(x) >= 3) & has_phrase(text, x)))
         checked = F.size(segs) > 0
         errors = F.filter(F.array(
-            F.when(F.size(invalid) > 0, F.concat(F.lit("unsupported numbers: ["), F.array_join(F.transform(invalid, lambda x: x.cast("string")), ", "), F.lit("]"))),
-            F.when(~F.array_contains(nums, r["total"]), F.concat(F.lit("missing total count "), r["total"].cast("string"))),
-            F.when(F.size(F.array_intersect(F.array(r["positive"], r["negative"], r["neutral"]), nums)) == 0, F.lit("missing sentiment count evidence")),
+            F.when(F.size(invalid) > 0, F.concat(F.lit("unsupported numbers: ["), F.array_join(invalid, ", "), F.lit("]"))),
+            F.when(~F.array_contains(nums, total), F.concat(F.lit("missing total count "), total)),
+            F.when(F.size(F.array_intersect(F.array(*parts), nums)) == 0, F.lit("missing sentiment count evidence")),
             F.when((F.size(own) > 0) & (F.size(found) == 0), F.lit("no grounded reason mentioned")),
             F.when(F.size(foreign) > 0, F.concat(F.lit("reasons belong to another aspect: ["), F.array_join(foreign, ", "), F.lit("]"))),
         ), lambda x: x.isNotNull())
         return F.struct(
             r["aspect"].alias("aspect"), r["slot"].alias("slot"), checked.alias("checked"),
             F.when(checked, F.size(errors) == 0).alias("valid"),
-            F.array_join(found, ",").alias("reasons_found"), F.array_join(foreign, ",").alias("foreign_reasons"),
+            F.array_join(nums, ",").alias("numbers_found"), F.array_join(found, ",").alias("reasons_found"), F.array_join(foreign, ",").alias("foreign_reasons"),
             F.when(checked, F.array_join(errors, "; ")).otherwise(F.lit("aspect not mentioned")).alias("errors"),
         )
 
     d = d.withColumn("checks", F.transform("rows", per_aspect))
     unknown = F.flatten(F.transform(
         F.filter("seg_aspects", lambda x: F.size(x["found"]) == 0),
-        lambda x: F.transform(F.regexp_extract_all(x["seg"], F.lit("[0-9]+"), 0), lambda n: n.cast("bigint")),
+        lambda x: _digits(x["seg"]),
     ))
     distinct_segs = F.array_distinct(F.col("seg_aspects"))
     checked = F.filter("checks", lambda c: c["checked"])
@@ -292,22 +347,23 @@ def check_reasoned(reports: DataFrame, selected: DataFrame, key: Sequence[str] =
         F.size(F.filter("_checked", lambda c: c["valid"])).cast("bigint").alias("valid_claims"),
         F.array_join("_missing", ",").alias("missing_aspects"), F.array_join("_repeated", ",").alias("repeated_aspects"),
         warnings.alias("coverage_warnings"),
-        F.array_join(F.transform("unknown", lambda x: x.cast("string")), ",").alias("unattributed_numbers"),
+        F.array_join("unknown", ",").alias("unattributed_numbers"),
     )
     per_aspect_rows = d.select(*k, F.explode("checks").alias("c")).select(*k, "c.*")
     return per_report, per_aspect_rows
 
 
 def grounded(reports: DataFrame, selected: DataFrame, key: Sequence[str] = ("source",), report: str = "report") -> DataFrame:
-    """C4: aspect present (whole word), total present as a substring, some reason present as a
-    substring, and no number outside all rows' allowed counts."""
+    """C4: aspect present (whole word: a plain substring would count "bar" in "barely"), total
+    present as a substring, some reason present as a substring, and no number outside all rows'
+    allowed counts."""
     k = list(key)
     row = F.struct(F.lower(F.col("aspect")).alias("aspect"), *[F.col(c).cast("bigint").alias(c) for c in COUNT_FIELDS],
                    "positive_reasons", "negative_reasons", "neutral_reasons")
     rows = selected.groupBy(*k).agg(F.collect_list(row).alias("rows"))
     d = reports.select(*k, F.col(report).alias("report")).join(rows, k).withColumn("text", F.lower("report"))
-    allowed = F.flatten(F.transform("rows", lambda r: F.concat(F.array(r["total"], r["positive"], r["negative"], r["neutral"]), _reason_counts(r))))
-    nums = F.transform(F.regexp_extract_all("report", F.lit("[0-9]+"), 0), lambda x: x.cast("bigint"))
+    allowed = F.flatten(F.transform("rows", lambda r: F.concat(F.array(*[r[c].cast("string") for c in COUNT_FIELDS]), _reason_counts(r))))
+    nums = _digits(F.col("report"))
     unsupported = F.filter(nums, lambda x: ~F.array_contains(allowed, x))
     valid_row = lambda r: (
         has_phrase(F.col("text"), r["aspect"]) & F.col("text").contains(r["total"].cast("string"))
@@ -318,7 +374,7 @@ def grounded(reports: DataFrame, selected: DataFrame, key: Sequence[str] = ("sou
     return d.select(
         *k, (F.forall("rows", valid_row) & (F.size(unsupported) == 0)).alias("passed"),
         F.size(F.filter("rows", valid_row)).cast("bigint").alias("valid_rows"),
-        F.array_join(F.transform(unsupported, lambda x: x.cast("string")), ",").alias("unsupported_numbers"),
+        F.array_join(unsupported, ",").alias("unsupported_numbers"),
     )
 
 

@@ -3,11 +3,10 @@
 Per corpus ("group"): candidates are the rows with total >= 10, or all rows when none
 has. Input order is the table's display order (-total, aspect); every tie goes to the row
 that comes first in it. The count path fills four priority slots (most mentioned, most
-positive, most negative, most balanced among the top 10) with aggregate ``max_by``/
-``min_by``; the reason path chooses each slot from the top-30 pool excluding rows already
-chosen, which is done on a bounded per-corpus array (at most max(30, max_aspects)
-structs). Remaining slots are filled by mention count. The only shuffles are the corpus
-window and one corpus group-by over pre-ranked rows.
+positive, most negative, most balanced among the top 10); the reason path chooses each slot
+from the top-30 pool excluding rows already chosen. The picks over all rows are partial
+aggregates that carry the whole row; the pool is a rank filter, which gets a window group
+limit, so a task sends at most 30 rows of a corpus and no corpus is sorted in one place.
 """
 from __future__ import annotations
 
@@ -45,58 +44,48 @@ def select_report_rows(table: DataFrame, group_cols: Sequence[str] = ("source",)
     """
     if max_aspects < 1:
         raise ValueError("max_aspects must be at least 1")
-    g = list(group_cols)
-    gw = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
-    t = table.withColumn("_has10", F.max((F.col("total") >= 10).cast("int")).over(gw))
-    cand = t.filter((F.col("total") >= 10) | (F.col("_has10") == 0)).drop("_has10")
-    cand = cand.withColumn("_r", F.row_number().over(gw.orderBy(F.col("total").desc(), F.col("aspect"))))
-    cand = cand.withColumn("_reasons", _has_reasons(cand))
+    g = list(group_cols) or ["_all"]
+    t = table if group_cols else table.withColumn("_all", F.lit(0))
     k = max(POOL, max_aspects)
-    ratio = lambda c: F.try_divide(F.col(c).cast("double"), F.col("total").cast("double"))
-    pool_item = F.struct(
-        F.col("_r").alias("r"), F.col("aspect").alias("aspect"), F.col("total").alias("total"),
-        ratio("positive").alias("pr"), ratio("negative").alias("nr"),
-        F.try_divide(F.abs(F.col("positive") - F.col("negative")).cast("double"), F.col("total").cast("double")).alias("dr"),
+    item = F.struct(*[c for c in table.columns if c not in group_cols])
+    ten, reasons = F.col("total") >= 10, _has_reasons(t)
+    # rows of 10 mentions or more come first in every order; without any, all rows compete
+    strongest = lambda c: F.min_by(item, F.struct(~ten, -F.col(c), -F.col("total"), F.col("aspect")))
+    per = t.groupBy(*g).agg(
+        F.when(F.bool_or(ten), F.bool_or(ten & reasons)).otherwise(F.bool_or(reasons)).alias("reason_aware"),
+        strongest("positive").alias("c2"), strongest("negative").alias("c3"),
     )
-    per = cand.groupBy(*g).agg(
-        F.bool_or("_reasons").alias("reason_aware"),
-        F.min_by("aspect", F.col("_r")).alias("c1"),
-        F.max_by("aspect", F.struct(F.col("positive"), F.col("total"), -F.col("_r"))).alias("c2"),
-        F.max_by("aspect", F.struct(F.col("negative"), F.col("total"), -F.col("_r"))).alias("c3"),
-        F.min_by(
-            F.when(F.col("_r") <= TOP_DIVIDED, F.col("aspect")),
-            F.when(F.col("_r") <= TOP_DIVIDED, F.struct(F.abs(F.col("positive") - F.col("negative")), -F.col("total"), F.col("_r"))),
-        ).alias("c4"),
-        F.array_sort(F.collect_list(F.when(F.col("_r") <= k, pool_item))).alias("_top"),
+    rank = F.row_number().over(Window.partitionBy(*g).orderBy(F.col("total").desc(), F.col("aspect")))
+    top = t.withColumn("_r", rank).filter(F.col("_r") <= k).groupBy(*g).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("_r").alias("r"), item.alias("row")))).alias("_top")
     )
-    pool = F.filter("_top", lambda x: x["r"] <= POOL)
-    fill = F.transform(F.filter("_top", lambda x: x["r"] <= max_aspects), lambda x: x["aspect"])
+    d = per.join(top, g)
+    d = d.withColumn("_top", F.filter("_top", lambda x: (x["row"]["total"] >= 10) | (F.get("_top", 0)["row"]["total"] < 10)))
+    name = lambda x: x["row"]["aspect"]
+    part = lambda x, c: F.try_divide(c.cast("double"), x["row"]["total"].cast("double"))
+    gap = lambda x: F.abs(x["row"]["positive"] - x["row"]["negative"])
 
-    # reason path: each slot excludes the rows already chosen
-    def pick_max(arr, key):
-        return F.array_max(F.transform(arr, lambda x: F.struct(key(x), x["total"], -x["r"], x["aspect"].alias("aspect"))))["aspect"]
+    def best(arr, *keys):
+        """Aspect of the item with the smallest keys; earlier rank on ties."""
+        return F.array_min(F.transform(arr, lambda x: F.struct(*[f(x).alias(f"k{i}") for i, f in enumerate(keys)], x["r"], name(x).alias("aspect"))))["aspect"]
 
-    s = per.withColumn("_p1", F.get(pool, 0)["aspect"])
-    s = s.withColumn("_rem1", F.filter(pool, lambda x: x["aspect"] != F.col("_p1")))
-    s = s.withColumn("_p2", F.when(F.lit(max_aspects) > 1, pick_max(F.col("_rem1"), lambda x: x["pr"])))
-    s = s.withColumn("_rem2", F.filter("_rem1", lambda x: x["aspect"] != F.coalesce(F.col("_p2"), F.lit(""))))
-    s = s.withColumn("_p3", F.when(F.lit(max_aspects) > 2, pick_max(F.col("_rem2"), lambda x: x["nr"])))
-    s = s.withColumn("_rem3", F.filter("_rem2", lambda x: x["aspect"] != F.coalesce(F.col("_p3"), F.lit(""))))
-    s = s.withColumn(
-        "_p4",
-        F.when(
-            F.lit(max_aspects) > 3,
-            F.array_min(F.transform("_rem3", lambda x: F.struct(x["dr"], -x["total"], x["r"], x["aspect"].alias("aspect"))))["aspect"],
-        ),
-    )
-    counts_order = _distinct_first(F.concat(F.array("c1", "c2", "c3", "c4"), fill))
-    reasons_order = _distinct_first(F.concat(F.array("_p1", "_p2", "_p3", "_p4"), fill))
-    s = s.select(
-        *g, "reason_aware",
-        F.slice(F.when(F.col("reason_aware"), reasons_order).otherwise(counts_order), 1, max_aspects).alias("_sel"),
+    pool = F.filter("_top", lambda x: x["r"] <= POOL)
+    d = d.withColumn("c1", name(F.get("_top", 0))).withColumn("_pool", pool)
+    d = d.withColumn("c4", best(F.filter("_top", lambda x: x["r"] <= TOP_DIVIDED), gap, lambda x: -x["row"]["total"]))
+    # reason path: each slot excludes the rows already chosen
+    rest = lambda *taken: F.filter("_pool", lambda x: ~F.array_contains(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in taken]), name(x)))
+    d = d.withColumn("p2", F.when(F.lit(max_aspects) > 1, best(rest("c1"), lambda x: -part(x, x["row"]["positive"]), lambda x: -x["row"]["total"])))
+    d = d.withColumn("p3", F.when(F.lit(max_aspects) > 2, best(rest("c1", "p2"), lambda x: -part(x, x["row"]["negative"]), lambda x: -x["row"]["total"])))
+    d = d.withColumn("p4", F.when(F.lit(max_aspects) > 3, best(rest("c1", "p2", "p3"), lambda x: part(x, gap(x)), lambda x: -x["row"]["total"])))
+    fill = F.transform(F.filter("_top", lambda x: x["r"] <= max_aspects), name)
+    chosen = F.when(F.col("reason_aware"), F.array("c1", "p2", "p3", "p4")).otherwise(F.array(F.col("c1"), F.col("c2.aspect"), F.col("c3.aspect"), F.col("c4")))
+    rows = F.concat(F.transform("_top", lambda x: x["row"]), F.array("c2", "c3"))
+    d = d.select(
+        *g, "reason_aware", rows.alias("_rows"), F.posexplode(F.slice(_distinct_first(F.concat(chosen, fill)), 1, max_aspects)).alias("_i", "_aspect"),
     )
-    chosen = s.select(*g, "reason_aware", F.posexplode("_sel").alias("_i", "aspect"))
     roles = F.array(*[F.lit(r) for r in REPORT_ROLES])
-    out = chosen.join(table, [*g, "aspect"]).withColumn("slot", F.col("_i") + 1)
-    out = out.withColumn("role", F.when(F.col("slot") <= len(REPORT_ROLES), F.get(roles, F.col("_i"))))
-    return out.select(*g, "slot", "role", "reason_aware", *[c for c in table.columns if c not in g]).drop("_i")
+    out = d.select(
+        *g, (F.col("_i") + 1).alias("slot"), F.get(roles, F.col("_i")).alias("role"), "reason_aware",
+        F.get(F.filter("_rows", lambda x: x["aspect"] == F.col("_aspect")), 0).alias("_row"),
+    )
+    return out.select(*group_cols, "slot", "role", "reason_aware", "_row.*")

@@ -48,13 +48,18 @@ def leakage_audit(items: DataFrame, text: str = "text", split: str = "split", be
     # Overlap per split pair: texts present in >1 split, counted once per pair via a self-join on
     # text restricted to texts that occur in more than one split (bounded by the overlap itself).
     multi = d.groupBy("text").agg(F.array_sort(F.collect_set("split")).alias("splits")).filter(F.size("splits") > 1)
-    pairs = (
+    shared = (
         multi.select(F.explode("splits").alias("a"), "splits")
         .select("a", F.explode("splits").alias("b"))
         .filter(F.col("a") < F.col("b"))
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.concat(F.lit("overlap:"), "a", F.lit("/"), "b").alias("check"), "n")
+    )
+    # every pair of the few splits has a row, so that 0 says "checked and clean"
+    names = d.groupBy().agg(F.array_sort(F.collect_set("split")).alias("names"))
+    every = names.select(F.explode("names").alias("a"), "names").select("a", F.explode("names").alias("b")).filter(F.col("a") < F.col("b"))
+    pairs = every.join(shared, ["a", "b"], "left").select(
+        F.concat(F.lit("overlap:"), "a", F.lit("/"), "b").alias("check"), F.coalesce("n", F.lit(0)).alias("n")
     )
     out = per_split.unionByName(pairs)
     if benchmark is not None:

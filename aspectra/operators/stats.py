@@ -2,9 +2,9 @@
 
 Shape of the plan for A2, chosen for skew: mentions are first pre-aggregated to
 (group, aspect, sentiment, reason) with a map-side partial aggregate, so a hot aspect
-costs one row per *distinct* opinion, never one per mention. The top-N window then runs
-on those counts, and the last roll-up to one row per aspect only carries the N kept
-reasons per sentiment (``collect_list`` of a conditional, also partially aggregated).
+costs one row per *distinct* opinion, never one per mention. Totals are summed from those
+counts; the top-N window over them has a group limit, so each task sends at most N reasons
+of an aspect and sentiment; the roll-up to one row per aspect carries only those.
 """
 from __future__ import annotations
 
@@ -93,37 +93,32 @@ def aspect_reasons(
     top_n: int = 10,
     min_mentions: int = 1,
 ) -> DataFrame:
-    """A2: A1 plus the top-N reasons per sentiment as array<struct<reason, n>>."""
+    """A2: A1 plus the top-N reasons per sentiment as array<struct<reason, n>>.
+
+    Totals are a plain partial aggregation of the counts and the reasons come from
+    ``top_reasons``, whose window keeps a group limit; the two meet on the aspect."""
     g = list(group_cols)
     counts = reason_counts(records, aspect, opinion, sentiment, g)
-    w = Window.partitionBy(*g, "aspect", "sentiment")
-    ranked = counts.withColumn(
-        "rk",
-        F.when(
-            F.col("reason") != "",
-            F.row_number().over(w.orderBy((F.col("reason") == "").asc(), F.col("n").desc(), F.col("reason"))),
-        ),
+    totals = counts.groupBy(*g, "aspect").agg(
+        *[F.coalesce(F.sum(F.when(F.col("sentiment") == s, F.col("n"))), F.lit(0)).cast("bigint").alias(s) for s in SENTIMENTS]
+    ).withColumn("total", F.col("positive") + F.col("negative") + F.col("neutral")).filter(F.col("total") >= min_mentions)
+    top = top_reasons(counts, top_n, g).groupBy(*g, "aspect").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("sentiment") == s, F.struct("rk", "reason", "n")))).alias(f"_{s}") for s in SENTIMENTS]
     )
-    aggs = []
-    for s in SENTIMENTS:
-        aggs.append(F.sum(F.when(F.col("sentiment") == s, F.col("n")).otherwise(F.lit(0))).alias(s))
-        keep = (F.col("sentiment") == s) & (F.col("rk") <= top_n)
-        aggs.append(
-            F.collect_list(F.when(keep, F.struct("rk", "reason", "n"))).alias(f"_{s}_top")
-        )
-    rolled = ranked.groupBy(*g, "aspect").agg(*aggs)
-    out = rolled.withColumn("total", F.col("positive") + F.col("negative") + F.col("neutral")).filter(
-        F.col("total") >= min_mentions
+    keys = [*g, "aspect"]
+    t, r = totals.alias("t"), top.alias("r")
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(f"t.{c}").eqNullSafe(F.col(f"r.{c}"))
+    joined = t.join(r, same, "left")
+    reasons = lambda s: F.transform(
+        F.coalesce(F.col(f"_{s}"), F.array().cast("array<struct<rk:int,reason:string,n:bigint>>")),
+        lambda x: F.struct(x["reason"].alias("reason"), x["n"].alias("n")),
     )
-    cols = [*g, "aspect"]
+    cols = [F.col(f"t.{c}").alias(c) for c in keys]
     for s in SENTIMENTS:
-        cols.append(F.col(s).cast("bigint").alias(s))
-        cols.append(
-            F.transform(F.array_sort(f"_{s}_top"), lambda x: F.struct(x["reason"].alias("reason"), x["n"].alias("n")))
-            .alias(f"{s}_reasons")
-        )
-    cols += [F.col("total").cast("bigint").alias("total"), majority_expr().alias("majority_sentiment")]
-    return out.select(*cols)
+        cols += [F.col(s), reasons(s).alias(f"{s}_reasons")]
+    return joined.select(*cols, "total", majority_expr().alias("majority_sentiment"))
 
 
 def render_reasons(c) -> Column:

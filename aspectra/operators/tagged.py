@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.functions.text import col_, detokenize, strip_ws, tokens
+from aspectra.functions.text import detokenize, strip_ws, tokens
 
 # Sentiment codes of the tag format.
 CODE_TO_SENTIMENT = {"POS": "positive", "NEG": "negative", "NEU": "neutral"}
 SENTIMENT_TO_CODE = {v: k for k, v in CODE_TO_SENTIMENT.items()}
-ITEM_RE = "^(.*)=([^=]*)$"  # split at the last '='
 
 TRIPLET_TYPE = "array<struct<aspect:string,opinion:string,sentiment:string>>"
 
@@ -34,97 +33,65 @@ def sentiment_to_code(s: Column) -> Column:
     return F.when(s == "positive", "POS").when(s == "negative", "NEG").otherwise("NEU")
 
 
-def _items(tag_text: Column) -> Column:
-    return F.transform(
-        tokens(tag_text),
-        lambda x, i: F.struct(
-            i.alias("i"),
-            F.regexp_extract(x, ITEM_RE, 1).alias("tok"),
-            F.regexp_extract(x, ITEM_RE, 2).alias("tag"),
-            x.contains("=").alias("ok"),
-        ),
-    )
+def _tagged(items: Column) -> Column:
+    """(i, item) of the items whose tag is not ``O``; the many others cost one suffix test."""
+    marked = F.transform(items, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
+    return F.filter(marked, lambda p: ~p["x"].endswith("=O"))
 
 
-def _gid(p: Column) -> Column:
-    return F.substring_index(p["tag"], "-", 1)
+def _tag(p: Column) -> Column:
+    return F.substring_index(p["x"], "=", -1)
 
 
-def _code(p: Column) -> Column:
-    return F.substring(p["tag"], F.instr(p["tag"], "-") + 1, F.length(p["tag"]))
+def _token(p: Column) -> Column:
+    """What stands before the last ``=``."""
+    return F.substring(p["x"], F.lit(1), F.length(p["x"]) - F.length(_tag(p)) - 1)
 
 
 def parse_tagged_columns(df: DataFrame, line: str = "line") -> DataFrame:
     """Adds sentence, tokens, triplets (P4), spans (P5) and bad_items to well-formed lines
     (exactly three ``####`` parts; others are dropped like the file loader drops them).
 
-    Built as a chain of projections so every intermediate array is computed once per row
-    (a nested expression would re-evaluate shared sub-arrays for every reference)."""
+    ``bad_items`` counts items without ``=`` on the split arrays, before any parsing; items
+    tagged ``O`` are dropped next, so the string work is done for the few others only."""
     cols = df.columns
     d = df.withColumn("_parts", F.split(strip_ws(F.col(line)), "####")).filter(F.size("_parts") == 3)
-    d = d.withColumn("_a", _items(F.get("_parts", 1))).withColumn("_o", _items(F.get("_parts", 2)))
-    d = d.withColumn(
-        "_asp",
-        F.transform(
-            F.filter("_a", lambda p: (p["tag"] != "O") & (F.instr(p["tag"], "-") > 0)),
-            lambda p: F.struct(p["i"].alias("i"), p["tok"].alias("tok"), _gid(p).alias("gid"), _code(p).alias("code")),
-        ),
-    ).withColumn("_ops", F.filter("_o", lambda p: p["tag"] != "O"))
-    d = d.withColumn(
-        "_gids",
-        F.array_sort(
-            F.array_distinct(F.transform("_asp", lambda p: p["gid"])),
-            lambda l, r: F.when(F.length(l) < F.length(r), -1)
-            .when(F.length(l) > F.length(r), 1)
-            .when(l < r, -1)
-            .when(l > r, 1)
-            .otherwise(0),
-        ),
-    )
-    d = d.withColumn(
-        "_groups",
-        F.transform(
-            "_gids",
-            lambda g: F.struct(
-                F.filter("_asp", lambda p: p["gid"] == g).alias("mine"),
-                F.filter("_ops", lambda p: p["tag"] == F.repeat(F.lit("S"), F.length(g))).alias("theirs"),
-            ),
-        ),
+    d = d.select(
+        *cols, strip_ws(F.get("_parts", 0)).alias("sentence"),
+        tokens(F.get("_parts", 1)).alias("_a"), tokens(F.get("_parts", 2)).alias("_o"),
     )
-    d = d.withColumn(
-        "_g2",
-        F.transform(
-            "_groups",
-            lambda x: F.struct(
-                detokenize(F.transform(x["mine"], lambda p: p["tok"])).alias("aspect"),
-                detokenize(F.transform(x["theirs"], lambda p: p["tok"])).alias("opinion"),
-                code_to_sentiment(F.get(x["mine"], 0)["code"]).alias("sentiment"),
-                F.array_min(F.transform(x["mine"], lambda p: p["i"])).alias("a0"),
-                (F.array_max(F.transform(x["mine"], lambda p: p["i"])) + 1).alias("a1"),
-                F.array_min(F.transform(x["theirs"], lambda p: p["i"])).alias("o0"),
-                (F.array_max(F.transform(x["theirs"], lambda p: p["i"])) + 1).alias("o1"),
-            ),
+    bad = lambda c: F.size(F.filter(c, lambda x: ~x.contains("=")))
+    d = d.select(*cols, "sentence", (bad("_a") + bad("_o")).alias("bad_items"), _tagged(F.col("_a")).alias("_a"), _tagged(F.col("_o")).alias("_o"))
+    asp = F.transform(
+        F.filter("_a", lambda p: F.instr(_tag(p), "-") > 0),
+        lambda p: F.struct(
+            p["i"].alias("i"), _token(p).alias("tok"), F.substring_index(_tag(p), "-", 1).alias("gid"),
+            F.substring(_tag(p), F.instr(_tag(p), "-") + 1, F.length(p["x"])).alias("code"),
         ),
     )
-    sentence = strip_ws(F.get("_parts", 0))
+    ops = F.transform("_o", lambda p: F.struct(p["i"].alias("i"), _token(p).alias("tok"), _tag(p).alias("tag")))
+    d = d.select(*cols, "sentence", "bad_items", asp.alias("_a"), ops.alias("_o"))
+    # group ids in order of (length, id): the structs sort by their fields
+    gids = F.array_sort(F.array_distinct(F.transform("_a", lambda p: F.struct(F.length(p["gid"]).alias("n"), p["gid"].alias("gid")))))
+    d = d.withColumn("_g", F.transform(gids, lambda g: F.struct(
+        F.filter("_a", lambda p: p["gid"] == g["gid"]).alias("mine"),
+        F.filter("_o", lambda p: p["tag"] == F.repeat(F.lit("S"), g["n"])).alias("theirs"),
+    )))
+    first, last = lambda c: F.get(c, 0)["i"], lambda c: F.element_at(c, -1)["i"] + 1  # noqa: E731  (items stand in order)
+    d = d.withColumn("_g", F.transform("_g", lambda x: F.struct(
+        detokenize(F.transform(x["mine"], lambda p: p["tok"])).alias("aspect"),
+        detokenize(F.transform(x["theirs"], lambda p: p["tok"])).alias("opinion"),
+        code_to_sentiment(F.get(x["mine"], 0)["code"]).alias("sentiment"),
+        first(x["mine"]).alias("a0"), last(x["mine"]).alias("a1"),
+        F.when(F.size(x["theirs"]) > 0, first(x["theirs"])).alias("o0"),
+        F.when(F.size(x["theirs"]) > 0, last(x["theirs"])).alias("o1"),
+    )))
+    pick = lambda keep, *names: F.transform(F.filter("_g", keep), lambda t: F.struct(*[t[n].alias(n) for n in names]))
     return d.select(
-        *cols,
-        sentence.alias("sentence"),
-        tokens(sentence).alias("tokens"),
-        F.transform(
-            F.filter("_g2", lambda t: (t["aspect"] != "") & (t["opinion"] != "")),
-            lambda t: F.struct(
-                t["aspect"].alias("aspect"), t["opinion"].alias("opinion"), t["sentiment"].alias("sentiment")
-            ),
-        ).alias("triplets"),
-        F.transform(
-            F.filter("_g2", lambda t: t["a0"].isNotNull() & t["o0"].isNotNull()),
-            lambda t: F.struct(
-                t["a0"].alias("a0"), t["a1"].alias("a1"), t["o0"].alias("o0"), t["o1"].alias("o1"),
-                t["sentiment"].alias("sentiment"),
-            ),
-        ).alias("spans"),
-        F.size(F.filter(F.concat("_a", "_o"), lambda p: ~p["ok"])).alias("bad_items"),
+        *cols, "sentence", tokens("sentence").alias("tokens"),
+        pick(lambda t: (t["aspect"] != "") & (t["opinion"] != ""), "aspect", "opinion", "sentiment").alias("triplets"),
+        pick(lambda t: t["o0"].isNotNull(), "a0", "a1", "o0", "o1", "sentiment").alias("spans"),
+        "bad_items",
     )
 
 
@@ -142,36 +109,3 @@ def parse_tagged(df: DataFrame, line: str = "line", strict: bool = False) -> Dat
 
 def tagged_rejects(df: DataFrame, line: str = "line") -> DataFrame:
     return parse_tagged_columns(df, line).filter(F.col("bad_items") > 0).drop("bad_items")
-
-
-def render_tagged_line(sent, toks, sentiment) -> Column:
-    """V5 rendering of a token row: group ``T`` = token 0 with opinion ``S`` = token 1; for
-    rows with >= 4 tokens a second group ``12`` (token 2, plus token 4 when there are >= 6,
-    carrying code POS, so the first token's code must win) with opinion ``SS`` (token 3, plus
-    token 5). Gapped groups make P4 phrases and P5 spans differ."""
-    t = col_(toks)
-    n = F.size(t)
-    code = sentiment_to_code(col_(sentiment))
-    a_tag = lambda x, i: F.concat(
-        x,
-        F.lit("="),
-        F.when(i == 0, F.concat(F.lit("T-"), code))
-        .when((i == 2) & (n >= 4), F.concat(F.lit("12-"), code))
-        .when((i == 4) & (n >= 6), F.lit("12-POS"))
-        .otherwise(F.lit("O")),
-    )
-    o_tag = lambda x, i: F.concat(
-        x,
-        F.lit("="),
-        F.when(i == 1, F.lit("S"))
-        .when((i == 3) & (n >= 4), F.lit("SS"))
-        .when((i == 5) & (n >= 6), F.lit("SS"))
-        .otherwise(F.lit("O")),
-    )
-    return F.concat(
-        F.array_join(t, " "),  # tokenised sentence: one line per sentence even if the text had newlines
-        F.lit(" #### "),
-        F.array_join(F.transform(t, a_tag), " "),
-        F.lit(" #### "),
-        F.array_join(F.transform(t, o_tag), " "),
-    )

@@ -84,24 +84,28 @@ def q_top_aspects(spark, sf_dir):
 
 @query("split_sentences")
 def q_split_sentences(spark, sf_dir):
-    s = views.sentences(spark, sf_dir)
+    s = views.plain_sentences(spark, sf_dir)
     return s.filter((F.size(tokens("sent")) >= 2) & has_latin_letter("sent")).select("doc_id", "pos", "sent")
 
 
 @query("corpus_counters")
 def q_corpus_counters(spark, sf_dir):
-    """A10: corpus counters in one aggregate over V3 (no join of one-row tables)."""
-    v3 = views.token_rows(spark, sf_dir)
-    is_trip = F.size("tokens") >= 2
-    n_docs = F.count_distinct("doc_id")
-    return v3.agg(
-        n_docs.alias("reviews_with_sentences"),
-        F.count(F.lit(1)).alias("sentences"),
-        F.round(F.count(F.lit(1)) / n_docs, 6).alias("sentences_per_review"),
-        F.count_if(is_trip).alias("triplets"),
-        F.count_distinct(F.when(is_trip, norm_key(F.get("tokens", 0)))).alias("aspect_vocab"),
-        F.count_distinct(F.when(is_trip, norm_key(F.get("tokens", 1)))).alias("opinion_vocab"),
+    """A10: counts per document are summed, each vocabulary has a distinct of its own; the three
+    one-row results are put side by side by a union and a maximum."""
+    from aspectra.functions.text import split_sentence_array
+
+    toks = F.transform(split_sentence_array("text"), lambda x: F.size(tokens(x)))
+    docs = views.documents(spark, sf_dir).select(toks.alias("sizes")).select(
+        F.size("sizes").alias("sentences"), F.aggregate("sizes", F.lit(0).cast("bigint"), lambda a, n: a + F.floor(n / 2)).alias("triplets")
+    )
+    reviews, total = F.count_if(F.col("sentences") > 0), F.sum("sentences")
+    counted = docs.agg(
+        reviews.alias("reviews_with_sentences"), total.alias("sentences"), F.round(total / reviews, 6).alias("sentences_per_review"), F.sum("triplets").alias("triplets"),
     )
+    v4 = views.triplet_rows(spark, sf_dir)
+    vocab = [v4.select(norm_key(c).alias("k")).distinct().agg(F.count("k").alias(f"{c}_vocab")) for c in ("aspect", "opinion")]
+    rows = counted.unionByName(vocab[0], allowMissingColumns=True).unionByName(vocab[1], allowMissingColumns=True)
+    return rows.agg(*[F.max(c).alias(c) for c in rows.columns])
 
 
 # ---------------------------------------------------------------- tagged lines and generated text
@@ -181,8 +185,8 @@ def _split_sentences(spark, sf_dir):
 
 def _gold_triplets(split_df, split):
     return split_df.filter(F.col("split") == split).select(
-        "doc_id", "pos", "sid", F.posexplode("triplets").alias("ord", "t")
-    ).select("doc_id", "pos", "sid", "ord", "t.aspect", "t.opinion", "t.sentiment")
+        "doc_id", "pos", "sid", "source", F.posexplode("triplets").alias("ord", "t")
+    ).select("doc_id", "pos", "sid", "source", "ord", "t.aspect", "t.opinion", "t.sentiment")
 
 
 def _lexicon_run(spark, sf_dir):
@@ -191,7 +195,7 @@ def _lexicon_run(spark, sf_dir):
     sp = _split_sentences(spark, sf_dir)
     vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
     test = sp.filter(F.col("split") == "test")
-    pred = lexicon_predict(test, vocab, lex, sid="sid", text="sentence")
+    pred = lexicon_predict(test, vocab, lex)
     gold = test.select("sid", "triplets")
     return sp, vocab, lex, pred, gold
 
@@ -200,14 +204,14 @@ def _lexicon_run(spark, sf_dir):
 def q_hash_split(spark, sf_dir):
     from aspectra.operators.splits import hash_split
 
-    return hash_split(views.labelled(spark, sf_dir).select("doc_id"), "doc_id")
+    return hash_split(views.documents(spark, sf_dir).select("doc_id"), "doc_id")
 
 
 @query("seeded_sample")
 def q_seeded_sample(spark, sf_dir):
     from aspectra.operators.splits import seeded_sample
 
-    return seeded_sample(views.labelled(spark, sf_dir).select("doc_id", "source"), "doc_id", 100)
+    return seeded_sample(views.documents(spark, sf_dir).select("doc_id", "source"), "doc_id", 100)
 
 
 @query("fit_lexicon")
@@ -222,15 +226,16 @@ def q_fit_lexicon(spark, sf_dir):
 
 @query("lexicon_match")
 def q_lexicon_match(spark, sf_dir):
-    from aspectra.operators.lexicon import fit_lexicon, lexicon_matches
+    spans = _test_spans(spark, sf_dir)
+    return spans.select("sid", F.when(F.col("kind") == "A", "aspect").otherwise("opinion").alias("kind"), "i", "n", "phrase")
+
+
+def _test_spans(spark, sf_dir):
+    from aspectra.operators.lexicon import fit_lexicon, lexicon_spans
 
     sp = _split_sentences(spark, sf_dir)
     vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
-    test = sp.filter(F.col("split") == "test").select("sid", "tokens")
-    m = lexicon_matches(test, vocab, lex)
-    a = m.select("sid", F.lit("aspect").alias("kind"), F.explode("aspect_spans").alias("s"))
-    o = m.select("sid", F.lit("opinion").alias("kind"), F.explode("opinion_spans").alias("s"))
-    return a.unionByName(o).select("sid", "kind", "s.i", "s.n", "s.phrase")
+    return lexicon_spans(sp.filter(F.col("split") == "test").select("sid", "tokens"), vocab, lex)
 
 
 @query("lexicon_predict")
@@ -244,38 +249,9 @@ def q_lexicon_predict(spark, sf_dir):
 @query("nearest_opinion")
 def q_nearest_opinion(spark, sf_dir):
     """J2 alone: every aspect span paired with its nearest opinion span (centre distance x2)."""
-    from aspectra.operators.lexicon import fit_lexicon, lexicon_matches
+    from aspectra.operators.lexicon import nearest_opinions
 
-    sp = _split_sentences(spark, sf_dir)
-    vocab, lex = fit_lexicon(_gold_triplets(sp, "train"))
-    m = lexicon_matches(sp.filter(F.col("split") == "test").select("sid", "tokens"), vocab, lex).filter(
-        F.size("opinion_spans") > 0
-    )
-    pairs = m.select(
-        "sid",
-        F.explode(
-            F.transform(
-                "aspect_spans",
-                lambda a: F.struct(
-                    a.alias("a"),
-                    F.array_min(
-                        F.transform(
-                            "opinion_spans",
-                            lambda o: F.struct(
-                                F.abs((o["i"] * 2 + o["n"]) - (a["i"] * 2 + a["n"])).alias("d"), o["i"].alias("i"),
-                                o["n"].alias("n"), o["phrase"].alias("phrase"),
-                            ),
-                        )
-                    ).alias("o"),
-                ),
-            )
-        ).alias("p"),
-    )
-    return pairs.select(
-        "sid", F.col("p.a.i").alias("a_i"), F.col("p.a.n").alias("a_n"), F.col("p.a.phrase").alias("aspect"),
-        F.col("p.o.i").alias("o_i"), F.col("p.o.n").alias("o_n"), F.col("p.o.phrase").alias("opinion"),
-        F.col("p.o.d").alias("dist2"),
-    )
+    return nearest_opinions(_test_spans(spark, sf_dir)).drop("sentiment")
 
 
 @query("triplet_prf")
@@ -329,7 +305,7 @@ def _per_example_labels(spark, sf_dir):
 
     sp = _split_sentences(spark, sf_dir)
     _, lex = fit_lexicon(_gold_triplets(sp, "train"))
-    test = _gold_triplets(sp, "test").join(sp.select("sid", "source"), "sid")
+    test = _gold_triplets(sp, "test")
     j = test.join(lex.withColumnRenamed("sentiment", "lex_sentiment"), norm_key(test["opinion"]) == lex["phrase"], "left")
     return j.select(
         "sid", "source", "ord", F.col("sentiment").alias("label"),
@@ -390,7 +366,7 @@ def q_leakage_audit(spark, sf_dir):
     from aspectra.operators.splits import hash_split, leakage_audit
     from aspectra.session import read_table
 
-    s = hash_split(views.sentences(spark, sf_dir), "doc_id")
+    s = hash_split(views.plain_sentences(spark, sf_dir), "doc_id")
     bench = read_table(spark, sf_dir, "benchmark")
     # benchmark passages are split into sentences the same way before the exact-text check
     from aspectra.functions.text import split_sentence_array
@@ -732,7 +708,7 @@ def q_polarity_classifier(spark, sf_dir):
     from aspectra.operators.ml import polarity_classifier
 
     ex = _examples_split(spark, sf_dir)
-    pred = polarity_classifier(ex.filter(F.col("split") == "train"), ex.filter(F.col("split") == "test"), max_iter=100)
+    pred = polarity_classifier(ex.filter(F.col("split") == "train"), ex.filter(F.col("split") == "test"), max_iter=1000)
     return classification_report(pred.select("label", F.col("prediction_label").alias("prediction")))
 
 
@@ -881,7 +857,7 @@ def q_scan_json_reviews(spark, sf_dir):
     from aspectra.sources.files import read_json_reviews
 
     path = new_scratch_path(spark, "reviews-json")
-    d = views.labelled(spark, sf_dir).select("source", F.col("doc_id").cast("string").alias("case"), "text")
+    d = views.documents(spark, sf_dir).select("source", F.col("doc_id").cast("string").alias("case"), "text")
     d = d.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("case")) - 1) / 1000))
     docs = d.groupBy("source", "chunk").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("case", "text"))), ","), F.lit("]")).alias("doc")
@@ -1059,10 +1035,10 @@ def q_conversation_aspects(spark, sf_dir):
     from aspectra.session import read_table, spread
 
     vocab, lex = fit_lexicon(_gold_triplets(_split_sentences(spark, sf_dir), "train"))
-    conv = spread(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id")
+    conv = spread(read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
     sents = conv.select("conv_id", "turn", "role", F.posexplode(split_sentence_array("text")).alias("pos", "sent")).withColumn(
-        "sid", F.concat_ws(":", "conv_id", "turn", "pos")
-    )
-    pred = lexicon_predict(sents, vocab, lex, sid="sid", text="sent")
-    trip = pred.join(sents.select("sid", "role"), "sid").select("role", F.explode("triplets").alias("t")).select("role", "t.*")
+        "sid", F.struct("conv_id", "turn", "pos", "role")
+    ).withColumn("tokens", tokens("sent"))
+    pred = lexicon_predict(sents, vocab, lex)
+    trip = pred.select(F.col("sid.role").alias("role"), F.inline("triplets"))
     return stats.with_rendered_reasons(stats.aspect_reasons(trip, group_cols=["role"], min_mentions=2))

@@ -44,13 +44,11 @@ sql(
 
 sql(
     "corpus_counters",
-    with_views("v3")
-    + f"""SELECT count(DISTINCT doc_id) AS reviews_with_sentences, count(*) AS sentences,
-       round(count(*) / count(DISTINCT doc_id), 6) AS sentences_per_review,
-       count(*) FILTER (WHERE len(tokens) >= 2) AS triplets,
-       count(DISTINCT CASE WHEN len(tokens) >= 2 THEN {lower_strip('tokens[1]')} END) AS aspect_vocab,
-       count(DISTINCT CASE WHEN len(tokens) >= 2 THEN {lower_strip('tokens[2]')} END) AS opinion_vocab
-FROM v3""",
+    with_views("v4")
+    + f"""SELECT (SELECT count(DISTINCT doc_id) FROM v3) AS reviews_with_sentences, (SELECT count(*) FROM v3) AS sentences,
+       round((SELECT count(*) FROM v3) / (SELECT count(DISTINCT doc_id) FROM v3), 6) AS sentences_per_review,
+       count(*) AS triplets, count(DISTINCT {lower_strip('aspect')}) AS aspect_vocab, count(DISTINCT {lower_strip('opinion')}) AS opinion_vocab
+FROM v4""",
 )
 
 
@@ -312,9 +310,10 @@ sql(
     + f""", s AS (SELECT DISTINCT {_split_case(_hash_u('doc_id'))} AS split, sent AS text FROM v2),
 m AS (SELECT text, list_sort(list(split)) AS splits FROM s GROUP BY text HAVING count(*) > 1),
 pairs AS (SELECT a.x AS a, b.y AS b FROM m, unnest(m.splits) a(x), unnest(m.splits) b(y) WHERE a.x < b.y),
+every AS (SELECT DISTINCT x.split AS a, y.split AS b FROM (SELECT DISTINCT split FROM s) x, (SELECT DISTINCT split FROM s) y WHERE x.split < y.split),
 bt AS (SELECT DISTINCT unnest({_sa('text')}) AS text FROM benchmark)
 SELECT 'distinct_texts:' || split AS "check", count(*) AS n FROM s GROUP BY split
-UNION ALL SELECT 'overlap:' || a || '/' || b, count(*) FROM pairs GROUP BY a, b
+UNION ALL SELECT 'overlap:' || e.a || '/' || e.b, count(p.a) FROM every e LEFT JOIN pairs p ON p.a = e.a AND p.b = e.b GROUP BY e.a, e.b
 UNION ALL SELECT 'benchmark_in_items', count(*) FROM bt WHERE text IN (SELECT text FROM s)""",
 )
 
@@ -542,34 +541,31 @@ sql("grid_collapse", _GRID + " SELECT sid, i, j, tag FROM grid")
 
 
 # ---------------------------------------------------------------- ABSA XML: expected values from the views
-_XML = with_views("v3") + """, xs AS (SELECT doc_id || ':' || pos AS sentence_id, sent AS text, tokens, sentiment FROM v3)"""
+_XML = with_views("v3c") + """, xs AS (SELECT doc_id || ':' || pos AS sentence_id, array_to_string(tokens, ' ') AS text, tokens, sentiment FROM v3c),
+xt AS (SELECT sentence_id, text, tokens[i + 1] AS term, i, CASE i % 3 WHEN 0 THEN sentiment WHEN 2 THEN 'conflict' END AS polarity,
+              CASE WHEN i = 0 THEN 0 ELSE -1 END::BIGINT AS start, CASE WHEN i = 0 THEN length(tokens[1]) ELSE -1 END::BIGINT AS "end"
+       FROM xs, unnest(range(0, len(tokens))) u(i) WHERE len(tokens) >= 2),
+xr AS (SELECT *, row_number() OVER (PARTITION BY sentence_id ORDER BY i) - 1 AS term_idx FROM xt WHERE polarity IS NOT NULL)"""
+_MARKED = """CASE WHEN start >= 0 AND "end" > 0 THEN '$T$ ' || substr(text, 1, "end") || ' $T$' || substr(text, "end" + 1) ELSE text END"""
 sql(
     "scan_xml",
     _XML
-    + """ SELECT sentence_id, text, CASE WHEN len(tokens) >= 2 THEN 0 END::BIGINT AS term_idx,
-       CASE WHEN len(tokens) >= 2 THEN tokens[1] END AS term, CASE WHEN len(tokens) >= 2 THEN sentiment END AS polarity,
-       CASE WHEN len(tokens) >= 2 THEN 0 END::BIGINT AS start, CASE WHEN len(tokens) >= 2 THEN length(tokens[1]) END::BIGINT AS "end"
-FROM xs UNION ALL
-SELECT sentence_id, text, 1, tokens[3], 'conflict', -1, -1 FROM xs WHERE len(tokens) >= 3""",
+    + """ SELECT xs.sentence_id, xs.text, term_idx, term, polarity, start, "end" FROM xs LEFT JOIN xr ON xs.sentence_id = xr.sentence_id""",
 )
 sql(
     "flatten_examples",
-    _XML
-    + """ SELECT sentence_id, 0::BIGINT AS term_idx,
-       CASE WHEN length(tokens[1]) > 0 AND length(tokens[1]) <= length(text) THEN '$T$ ' || substr(text, 1, length(tokens[1])) || ' $T$' || substr(text, length(tokens[1]) + 1) ELSE text END AS context,
-       tokens[1] AS aspect, sentiment AS label FROM xs WHERE len(tokens) >= 2""",
+    _XML + f""" SELECT sentence_id, term_idx, {_MARKED} AS context, term AS aspect, polarity AS label FROM xr WHERE polarity <> 'conflict'""",
 )
+sql("mark_aspect", _XML + f""" SELECT sentence_id, term_idx, {_MARKED} AS marked FROM xr""")
 sql(
-    "mark_aspect",
-    _XML
-    + """ SELECT sentence_id, 0::BIGINT AS term_idx,
-       CASE WHEN length(tokens[1]) > 0 AND length(tokens[1]) <= length(text) THEN '$T$ ' || substr(text, 1, length(tokens[1])) || ' $T$' || substr(text, length(tokens[1]) + 1) ELSE text END AS marked
-FROM xs WHERE len(tokens) >= 2
-UNION ALL SELECT sentence_id, 1, text FROM xs WHERE len(tokens) >= 3""",
+    "drop_labels",
+    _XML + """ SELECT xs.sentence_id, count(xr.term) > 0 AS has_terms, count(xr.term) AS n_terms
+FROM xs LEFT JOIN xr ON xs.sentence_id = xr.sentence_id AND xr.polarity <> 'conflict' GROUP BY xs.sentence_id""",
 )
 sql(
-    "drop_labels",
-    _XML + " SELECT sentence_id, len(tokens) >= 2 AS has_terms, (CASE WHEN len(tokens) >= 2 THEN 1 ELSE 0 END)::BIGINT AS n_terms FROM xs",
+    "sink_xml_roundtrip",
+    _XML + """ SELECT xs.sentence_id, xs.text, count(xr.term) AS n_terms
+FROM xs LEFT JOIN xr ON xs.sentence_id = xr.sentence_id AND xr.polarity <> 'conflict' GROUP BY xs.sentence_id, xs.text""",
 )
 
 

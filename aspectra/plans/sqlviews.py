@@ -32,23 +32,28 @@ def sentence_array(x: str) -> str:
 V1 = """v1 AS (
   SELECT d.doc_id, d.source, d.text,
          CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive' ELSE 'neutral' END AS sentiment
-  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 V2 = f"""v2a AS (SELECT doc_id, source, sentiment, {sentence_array('text')} AS arr FROM v1),
 v2 AS (SELECT doc_id, source, sentiment, unnest(arr) AS sent, unnest(range(0, len(arr))) AS pos FROM v2a)"""
 
 V3 = f"""v3 AS (SELECT *, {tokens('sent')} AS tokens FROM v2)"""
 
-V4 = """v4 AS (SELECT doc_id, source, pos, tokens[1] AS aspect, tokens[2] AS opinion, sentiment
-        FROM v3 WHERE len(tokens) >= 2)"""
+V4 = """v4 AS (SELECT doc_id, source, pos, tokens[2 * k + 1] AS aspect, tokens[2 * k + 2] AS opinion, sentiment
+        FROM v3, unnest(range(0, len(tokens) // 2)) u(k))"""
 
-VIEWS = {"v1": V1, "v2": V2, "v3": V3, "v4": V4}
+V3C = """v3c AS (SELECT doc_id, source, sentiment, CAST(pos AS BIGINT) * 1000000 + k AS pos, tokens[12 * k + 1 : 12 * k + 12] AS tokens
+        FROM v3, unnest(range(0, (len(tokens) + 11) // 12)) u(k))"""
+
+VIEWS = {"v1": V1, "v2": V2, "v3": V3, "v4": V4, "v3c": V3C}
 ORDER = ["v1", "v2", "v3", "v4"]
+#: Views that a view needs beside those before it in ORDER.
+CHAINS = {"v4": ["v1", "v2", "v3", "v4"], "v3c": ["v1", "v2", "v3", "v3c"], "v5": ["v1", "v2", "v3", "v3c", "v5"]}
 
 
 def with_views(upto: str, *extra: str) -> str:
     """``WITH v1 AS (..), ..., <upto>, <extra CTEs>``."""
-    names = ORDER[: ORDER.index(upto) + 1]
+    names = CHAINS.get(upto) or ORDER[: ORDER.index(upto) + 1]
     return "WITH " + ",\n".join([VIEWS[n] for n in names] + list(extra)) + "\n"
 
 
@@ -107,12 +112,12 @@ ITEM_RE = "^(.*)=([^=]*)$"
 V5 = f"""v5 AS (
   SELECT doc_id, source, pos, sentiment,
     array_to_string(tokens, ' ') || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
-        CASE WHEN i = 1 THEN 'T-' || code WHEN i = 3 AND len(tokens) >= 4 THEN '12-' || code
-             WHEN i = 5 AND len(tokens) >= 6 THEN '12-POS' ELSE 'O' END), ' ')
+        CASE WHEN i % 2 = 1 AND i < len(tokens)
+             THEN CASE WHEN i = 3 THEN '12' ELSE repeat('T', least((i + 1) // 2, 5)) END || '-' || CASE WHEN i = 11 THEN 'POS' ELSE code END
+             ELSE 'O' END), ' ')
     || ' #### ' || array_to_string(list_transform(tokens, lambda x, i: x || '=' ||
-        CASE WHEN i = 2 THEN 'S' WHEN i = 4 AND len(tokens) >= 4 THEN 'SS'
-             WHEN i = 6 AND len(tokens) >= 6 THEN 'SS' ELSE 'O' END), ' ') AS line
-  FROM (SELECT *, {CODE} AS code FROM v3))"""
+        CASE WHEN i % 2 = 0 THEN repeat('S', least(i // 2, 5)) ELSE 'O' END), ' ') AS line
+  FROM (SELECT *, {CODE} AS code FROM v3c))"""
 
 
 def tagged_parse_ctes(src: str = "v5") -> str:
@@ -146,4 +151,3 @@ V6 = """v6 AS (
   LEFT JOIN tt t ON t.doc_id = o.doc_id AND t.pos = o.pos
   GROUP BY ALL)"""
 VIEWS["v5"] = V5
-ORDER.append("v5")

@@ -1,12 +1,14 @@
-"""Derived views V1-V4 over the driver tables, built with Spark only.
+"""Derived views V1-V7 over the driver tables, built with Spark only.
 
-V1 labelled  documents ⋈ labels, sentiment from the label flags
+V1 documents with a sentiment from the label flags; a document without a label is neutral
 V2 sentences one row per sentence (doc_id, source, pos, sent, sentiment)
 V3 tokens    V2 with its whitespace token array
-V4 triplets  V3 rows with >= 2 tokens: aspect = token 1, opinion = token 2
+V3c clauses  V3 cut into runs of at most CLAUSE tokens, all kept
+V4 triplets  every pair of tokens of a sentence: aspect = token 2k, opinion = token 2k + 1
+V5 tagged lines of all clauses; V6 generated text; V7 XML sentences
 
-Everything after the join is narrow (per-row explode/filter), so the scan-heavy part
-parallelises over the document files with no shuffle.
+Every document and every token is read. Everything after the join is narrow (per-row
+explode/filter), so the scan-heavy part parallelises over the document files with no shuffle.
 """
 from __future__ import annotations
 
@@ -17,6 +19,10 @@ from aspectra.functions.text import split_sentence_array, tokens
 from aspectra.session import read_table, spread
 
 
+#: Tokens of a clause; tag groups and grids are written per clause, so their size is bounded.
+CLAUSE = 12
+
+
 def sentiment_from_labels(toxic="toxic", quality="quality"):
     return (
         F.when(F.col(toxic) == 1, F.lit("negative"))
@@ -25,51 +31,68 @@ def sentiment_from_labels(toxic="toxic", quality="quality"):
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1. labels is much smaller than documents; AQE turns this into a broadcast join
-    at run time only when the measured labels side is under the broadcast threshold,
-    else it stays a sort-merge join on doc_id."""
-    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id")
+    """V1, all documents. labels is much smaller than documents; AQE turns this into a
+    broadcast join at run time only when the measured labels side is under the broadcast
+    threshold, else it stays a sort-merge join on doc_id."""
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
-    return docs.join(labels, "doc_id").select(
+    return documents(spark, sf_dir).join(labels, "doc_id", "left").select(
         "doc_id", "source", "text", sentiment_from_labels().alias("sentiment")
     )
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V2."""
-    return labelled(spark, sf_dir).select(
+    return spread(labelled(spark, sf_dir)).select(
         "doc_id", "source", "sentiment", F.posexplode(split_sentence_array("text")).alias("pos", "sent")
     )
 
 
+def plain_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2 without the sentiment, for queries that need no label."""
+    return spread(documents(spark, sf_dir)).select(
+        "doc_id", "source", F.posexplode(split_sentence_array("text")).alias("pos", "sent")
+    )
+
+
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3."""
     return sentences(spark, sf_dir).withColumn("tokens", tokens("sent"))
 
 
+def clause_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pos`` is the sentence's place times 10^6 plus the clause's place in it."""
+    at = F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / CLAUSE))
+    cut = F.transform(at, lambda k: F.slice("tokens", (k * CLAUSE + 1).cast("int"), CLAUSE))
+    c = token_rows(spark, sf_dir).filter(F.size("tokens") > 0).select(
+        "doc_id", "source", "sentiment", "pos", F.posexplode(cut).alias("k", "tokens")
+    )
+    return c.select("doc_id", "source", "sentiment", (F.col("pos").cast("bigint") * 1000000 + F.col("k")).alias("pos"), "tokens")
+
+
 def triplet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V4: (doc_id, source, pos, aspect, opinion, sentiment)."""
+    """V4: (doc_id, source, pos, aspect, opinion, sentiment), one row per pair of tokens."""
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.floor(F.size("tokens") / 2).cast("int") - 1),
+        lambda k: F.struct(F.get("tokens", k * 2).alias("aspect"), F.get("tokens", k * 2 + 1).alias("opinion")),
+    )
     return (
         token_rows(spark, sf_dir)
         .filter(F.size("tokens") >= 2)
-        .select(
-            "doc_id",
-            "source",
-            "pos",
-            F.get("tokens", 0).alias("aspect"),
-            F.get("tokens", 1).alias("opinion"),
-            "sentiment",
-        )
+        .select("doc_id", "source", "pos", F.inline(pairs), "sentiment")
     )
 
 
 def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V5: every V3 sentence rendered as a tagged triplet line."""
-    from aspectra.operators.tagged import render_tagged_line
+    """V5: every clause rendered as a tagged triplet line."""
+    from aspectra.plans.fixtures import render_tagged_line
 
-    return token_rows(spark, sf_dir).select(
-        "doc_id", "source", "pos", "sentiment", render_tagged_line("sent", "tokens", "sentiment").alias("line")
+    return clause_rows(spark, sf_dir).select(
+        "doc_id", "source", "pos", "sentiment", render_tagged_line("tokens", "sentiment").alias("line")
     )
 
 
@@ -89,16 +112,14 @@ def generated_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def xml_sentence_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V7 as structured rows: (sentence_id, text, terms). Rows with >= 2 tokens carry the
-    first token as a labelled term (offsets 0..len) and the second token as a term without
-    polarity (offsets -1); rows with >= 3 tokens add the third token as a ``conflict`` term."""
-    t = token_rows(spark, sf_dir)
-    term = lambda k, pol, s, e: F.struct(F.get("tokens", k).alias("term"), pol.alias("polarity"), s.alias("start"), e.alias("end"))
-    t1 = term(0, F.col("sentiment"), F.lit(0), F.length(F.get("tokens", 0)))
-    t2 = term(1, F.lit(None).cast("string"), F.lit(-1), F.lit(-1))
-    t3 = term(2, F.lit("conflict"), F.lit(-1), F.lit(-1))
-    terms = (
-        F.when(F.size("tokens") >= 3, F.array(t1, t2, t3))
-        .when(F.size("tokens") >= 2, F.array(t1, t2))
-    )
-    return t.select(F.concat_ws(":", "doc_id", "pos").alias("sentence_id"), F.col("sent").alias("text"), terms.alias("terms"))
+    """V7 as structured rows: (sentence_id, text, terms). A clause of two or more tokens has a
+    term for each token: every third one labelled (the first with its offsets), the next
+    without polarity, the next ``conflict``."""
+    t = clause_rows(spark, sf_dir)
+    polarity = lambda i: F.when(i % 3 == 0, F.col("sentiment")).when(i % 3 == 2, F.lit("conflict"))
+    term = F.transform("tokens", lambda x, i: F.struct(
+        x.alias("term"), polarity(i).alias("polarity"),
+        F.when(i == 0, 0).otherwise(-1).alias("start"), F.when(i == 0, F.length(x)).otherwise(-1).alias("end"),
+    ))
+    terms = F.when(F.size("tokens") >= 2, term)
+    return t.select(F.concat_ws(":", "doc_id", "pos").alias("sentence_id"), F.array_join("tokens", " ").alias("text"), terms.alias("terms"))

@@ -1,7 +1,6 @@
 """Session helpers: a tuned local session for tests/bench and the shared scratch folder."""
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.aspectra.spread.partitions", str(2 * shuffle_partitions))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -63,20 +63,12 @@ def new_scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    scratch_dir(spark)
+def spread(df, partitions: int | None = None):
+    """``df`` dealt round-robin into ``partitions`` before heavy per-row work.
 
-
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
-
-
-def spread(df, *keys: str):
-    """Hash-repartition ``df`` on ``keys`` only when its scan yields fewer partitions than the
-    cluster's default parallelism (e.g. one large row group read by a single task). On a
-    wide input (many files/row groups) nothing is added, so no extra shuffle of raw text."""
-    spark = df.sparkSession
-    n = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, *keys)
-    return df
+    The number is the setting ``spark.aspectra.spread.partitions`` unless given; without either the
+    scan's own partitions stay (the right choice where files are many). It is for tables whose
+    few row groups would leave cores idle.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.aspectra.spread.partitions", "0"))
+    return df.repartition(n) if n else df
