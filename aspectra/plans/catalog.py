@@ -431,20 +431,29 @@ def q_prompt_roles(spark, sf_dir):
     return prompt_roles(_selected(spark, sf_dir, False))
 
 
-def _structured(spark, sf_dir):
+def _structured(spark, sf_dir, required: bool = False):
     from aspectra.operators.checks import check_structured
-    from aspectra.operators.reports import count_reports
+    from aspectra.plans.fixtures import count_reports
 
-    reports = count_reports(_selected(spark, sf_dir, False))
-    return reports, check_structured(reports, _stats_by_source(spark, sf_dir, reasons=False))
+    sel = _selected(spark, sf_dir, False)
+    reports = count_reports(sel)
+    return reports, check_structured(reports, _stats_by_source(spark, sf_dir, reasons=False), selected=sel if required else None)
 
 
 @query("check_structured")
 def q_check_structured(spark, sf_dir):
+    """C1 for report files as they are."""
     _, (per_report, _) = _structured(spark, sf_dir)
     return per_report
 
 
+@query("check_structured_required")
+def q_check_structured_required(spark, sf_dir):
+    """C1 for generated reports: the selected aspects and roles are required."""
+    _, (per_report, _) = _structured(spark, sf_dir, required=True)
+    return per_report
+
+
 @query("claim_check")
 def q_claim_check(spark, sf_dir):
     _, (_, per_claim) = _structured(spark, sf_dir)
@@ -472,11 +481,11 @@ def q_report_pass_rate(spark, sf_dir):
 
 @query("report_status")
 def q_report_status(spark, sf_dir):
-    """P17 + C7 for the count-path reports: the structured checker has no coverage warnings,
-    so status is accepted or rejected and the effective mode is strict."""
+    """P17 + C7 for the count-path reports: the structured checker requires the selected aspects
+    and roles and gives no coverage warnings; the effective mode is strict."""
     from aspectra.operators.reports import report_status
 
-    _, (per_report, _) = _structured(spark, sf_dir)
+    _, (per_report, _) = _structured(spark, sf_dir, required=True)
     sel = _selected(spark, sf_dir, False).groupBy("source").agg(F.bool_or("reason_aware").alias("reason_aware"))
     j = per_report.join(sel, "source")
     return j.select(
@@ -486,6 +495,15 @@ def q_report_status(spark, sf_dir):
     )
 
 
+@query("report_status_reasoned")
+def q_report_status_reasoned(spark, sf_dir):
+    """P17 for the reason path, whose checker warns of missing and repeated aspects."""
+    from aspectra.operators.reports import report_status
+
+    _, _, (per_report, _) = _reasoned(spark, sf_dir)
+    return per_report.select("source", F.col("passed").alias("accepted"), report_status(F.col("passed"), F.col("coverage_warnings")).alias("status"), "checker_mode")
+
+
 @query("coverage_gaps")
 def q_coverage_gaps(spark, sf_dir):
     """O3: required aspects/roles (the selection) minus what each report claims."""
@@ -505,23 +523,14 @@ def q_coverage_gaps(spark, sf_dir):
 def q_claims_equal(spark, sf_dir):
     """Role-claim tuples of each (possibly perturbed) report equal those of a clean rendering."""
     from aspectra.operators.checks import extract_claims
-    from aspectra.operators.reports import count_reports
-
-    sel = _selected(spark, sf_dir, False)
-    got = count_reports(sel)
-    want = count_reports(sel.withColumn("source", F.col("source")), key="source")  # same rendering, no perturbation below
-    clean = (
-        sel.withColumn("_k", F.concat(F.lit("clean:"), "source"))
-    )
     from aspectra.operators.reports import role_sentence
+    from aspectra.plans.fixtures import count_reports
 
-    clean_txt = clean.groupBy("source").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slot", role_sentence(F.col("role"), F.col("aspect")).alias("x")))),
-                                 lambda x: x["x"]), " ").alias("target")
-    )
-    del want
+    sel = _selected(spark, sf_dir, False)
+    sentence = F.struct("slot", role_sentence(F.col("role"), F.col("aspect")).alias("x"))
+    clean = sel.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(sentence)), lambda x: x["x"]), " ").alias("target"))
     roles_only = lambda c: F.array_sort(F.filter(extract_claims(c), lambda x: x["role"].isNotNull()))
-    j = got.join(clean_txt, "source")
+    j = count_reports(sel).join(clean, "source")
     a, b = roles_only(F.col("report")), roles_only(F.col("target"))
     return j.select("source", ((a == b) & (F.size(b) > 0)).alias("claims_equal"), F.size(a).cast("bigint").alias("report_claims"),
                     F.size(b).cast("bigint").alias("target_claims"))
@@ -529,7 +538,7 @@ def q_claims_equal(spark, sf_dir):
 
 def _reasoned(spark, sf_dir, mode="factual-only"):
     from aspectra.operators.checks import check_reasoned
-    from aspectra.operators.reports import reasoned_reports
+    from aspectra.plans.fixtures import reasoned_reports
 
     sel = _selected(spark, sf_dir, True)
     reports = reasoned_reports(sel)
@@ -763,10 +772,9 @@ def q_scan_tagged(spark, sf_dir):
 
 @query("corpus_catalog")
 def q_corpus_catalog(spark, sf_dir):
-    from aspectra.sources.files import corpus_catalog
+    from aspectra.sources.files import corpus_catalog, list_files
 
-    files = spark.read.text(_write_tagged_corpus(spark, sf_dir)).select(F.col("_metadata.file_path").alias("file_path"))
-    return corpus_catalog(files).select("domain", "split", F.col("unit").isNotNull().alias("found"))
+    return corpus_catalog(list_files(spark, _write_tagged_corpus(spark, sf_dir)), strict=False).select("domain", "split", F.col("unit").isNotNull().alias("found"))
 
 
 @query("load_splits")
@@ -869,7 +877,7 @@ def q_scan_json_reviews(spark, sf_dir):
 @query("scan_reports")
 def q_scan_reports(spark, sf_dir):
     """Each count-path report written to its own text file and read back whole."""
-    from aspectra.operators.reports import count_reports
+    from aspectra.plans.fixtures import count_reports
     from aspectra.plans.materialize import new_scratch_path
     from aspectra.sources.files import read_reports
 
@@ -972,36 +980,52 @@ def q_validate_stats(spark, sf_dir):
 
 @query("retry_rejects")
 def q_retry_rejects(spark, sf_dir):
-    """Attempt 1 is the perturbed rendering, later attempts render cleanly; only corpora
-    rejected at attempt k-1 are regenerated."""
+    """Attempt 1 is the perturbed rendering, attempt 2 a clean one in the same style, attempt 3
+    the role form; only corpora rejected at attempt k-1 are generated again, each attempt from its
+    own prompt, and the loop ends when none is left."""
+    final, _ = _retried(spark, sf_dir)
+    return final.select("source", "generation_attempts", "accepted", "status", "checker_mode", F.array_join("selected_aspects", "|").alias("selected_aspects"))
+
+
+def _retried(spark, sf_dir):
     from aspectra.operators.checks import check_structured
-    from aspectra.operators.reports import count_reports, retry_rejects
+    from aspectra.operators.reports import prompt_roles, retry_rejects
+    from aspectra.plans.fixtures import count_reports
 
-    sel = _selected(spark, sf_dir, False)
     table = _stats_by_source(spark, sf_dir, reasons=False)
-    gen = lambda s, attempt: count_reports(s, perturb=(attempt == 1))
-    chk = lambda r, t: check_structured(r, t)[0].select("source", "passed")
-    final, _ = retry_rejects(sel, table, gen, chk, max_attempts=3)
-    return final
 
+    def generate(rows, attempt):
+        reports = count_reports(rows, perturb=attempt == 1, style=0 if attempt == 3 else None)
+        return reports.join(prompt_roles(rows, retry_number=attempt - 1), "source")
 
-def _real_aspects(spark, sf_dir):
-    return _stats_by_source(spark, sf_dir, reasons=False).select("aspect")
+    def check(reports, rows):
+        per_report, _ = check_structured(reports, table, selected=rows)
+        return per_report.withColumn("coverage_warnings", F.array().cast("array<string>"))
 
+    return retry_rejects(_selected(spark, sf_dir, False), generate, check, max_attempts=3)
 
-@query("synth_names")
-def q_synth_names(spark, sf_dir):
+
+#: Names per pool and (role, leading sentiment, share in percent) of the synthetic tables.
+SYNTH_POOLS = (("train", 240), ("valid", 60), ("test", 60))
+SYNTH_LEADING = (("most_discussed", "positive", 50), ("strongest_positive", "positive", 80), ("strongest_negative", "negative", 75), ("most_divided", "negative", 45))
+
+
+def _synthetic_names(spark, sf_dir):
     from aspectra.operators.synth import synthetic_names
 
-    return synthetic_names(spark, _real_aspects(spark, sf_dir))
+    return synthetic_names(spark, _stats_by_source(spark, sf_dir, reasons=False).select("aspect"), SYNTH_POOLS)
+
+
+@query("synth_names")
+def q_synth_names(spark, sf_dir):
+    return _synthetic_names(spark, sf_dir)
 
 
 @query("synth_rows")
 def q_synth_rows(spark, sf_dir):
-    from aspectra.operators.synth import synthetic_names, synthetic_rows
+    from aspectra.operators.synth import synthetic_rows
 
-    rows = synthetic_rows(synthetic_names(spark, _real_aspects(spark, sf_dir)))
-    return stats.with_rendered_reasons(rows)
+    return stats.with_rendered_reasons(synthetic_rows(_synthetic_names(spark, sf_dir), SYNTH_LEADING))
 
 
 @query("synth_reports")
@@ -1009,10 +1033,10 @@ def q_synth_reports(spark, sf_dir):
     """Every group of four synthetic rows (one per role) rendered as a reason-aware
     paragraph (four rotating styles) and audited by the reason-aware checker."""
     from aspectra.operators.checks import check_reasoned
-    from aspectra.operators.reports import reasoned_reports
-    from aspectra.operators.synth import synthetic_names, synthetic_rows
+    from aspectra.operators.synth import synthetic_rows
+    from aspectra.plans.fixtures import reasoned_reports
 
-    rows = synthetic_rows(synthetic_names(spark, _real_aspects(spark, sf_dir)))
+    rows = synthetic_rows(_synthetic_names(spark, sf_dir), SYNTH_LEADING)
     sel = rows.select(
         F.concat("pool", F.lit("-"), F.floor(F.col("slot") / 4).cast("string")).alias("example"),
         (F.pmod(F.col("slot"), F.lit(4)) + 1).alias("slot"), F.col("name").alias("aspect"),

@@ -5,6 +5,8 @@ Views over the driver tables are pre-registered by the driver; the derived views
 """
 from __future__ import annotations
 
+import re
+
 from aspectra.plans.sqlviews import a1_sql, a2_sql, lower_strip, tokens, with_views
 
 ORACLE: dict[str, str] = {}
@@ -435,7 +437,24 @@ chk2 AS (SELECT source, (claims_checked > 0 AND allv AND unparsed_numeric_tokens
                 unexpected_text FROM chk)"""
 
 
+def _required_cte(chk: str = "chk2", claims: str = "cl", name: str = "req") -> str:
+    """The check with the selection required: missing aspects and roles, and roles claimed for another aspect."""
+    return f""",
+{name}a AS (SELECT s.source, string_agg(DISTINCT {lower_strip('s.aspect')}, ',' ORDER BY {lower_strip('s.aspect')}) AS x FROM sel s
+  WHERE NOT EXISTS (SELECT 1 FROM {claims} c WHERE c.source = s.source AND c.aspect = {lower_strip('s.aspect')}) GROUP BY s.source),
+{name}r AS (SELECT s.source, string_agg(s.role, ',' ORDER BY s.role) AS x FROM sel s WHERE s.role IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM {claims} c WHERE c.source = s.source AND c.role = s.role) GROUP BY s.source),
+{name}l AS (SELECT source, role, arg_max(aspect, k) AS aspect FROM {claims} WHERE role IS NOT NULL GROUP BY source, role),
+{name}e AS (SELECT s.source, string_agg(s.role || ': claimed ' || c.aspect || ', expected ' || {lower_strip('s.aspect')}, ',' ORDER BY s.slot) AS x
+  FROM sel s JOIN {name}l c ON c.source = s.source AND c.role = s.role WHERE c.aspect <> {lower_strip('s.aspect')} GROUP BY s.source),
+{name} AS (SELECT c.source, (c.passed AND a.x IS NULL AND r.x IS NULL AND e.x IS NULL) AS passed, c.claims_checked, c.valid_claims,
+    c.unparsed_numeric_tokens, c.duplicate_aspects, c.unexpected_text, coalesce(a.x, '') AS missing_aspects, coalesce(r.x, '') AS missing_roles,
+    coalesce(e.x, '') AS role_errors
+  FROM {chk} c LEFT JOIN {name}a a ON a.source = c.source LEFT JOIN {name}r r ON r.source = c.source LEFT JOIN {name}e e ON e.source = c.source)"""
+
+
 _STRUCT = _SELC + _COUNT_REPORTS + _claims_cte()
+sql("check_structured_required", _STRUCT + _required_cte() + " SELECT * FROM req")
 sql("check_structured", _STRUCT + " SELECT * FROM chk2")
 sql("claim_check", _STRUCT + " SELECT source, kind, k, role, aspect, total, positive, negative, neutral, valid, errors FROM cc3")
 sql("report_pass_rate", _STRUCT + " SELECT count(*) AS reports, count(*) FILTER (WHERE passed) AS passed, round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 6) AS pass_rate FROM chk2")
@@ -448,10 +467,36 @@ sql(
 sql(
     "report_status",
     _STRUCT
+    + _required_cte()
     + """, ra AS (SELECT source, bool_or(reason_aware) AS reason_aware FROM sel GROUP BY source)
-SELECT chk2.source, ra.reason_aware, chk2.passed AS accepted, CASE WHEN passed THEN 'accepted' ELSE 'rejected' END AS status,
+SELECT req.source, ra.reason_aware, req.passed AS accepted, CASE WHEN passed THEN 'accepted' ELSE 'rejected' END AS status,
        CASE WHEN ra.reason_aware THEN 'factual-only' ELSE 'strict' END AS checker_mode
-FROM chk2 JOIN ra ON chk2.source = ra.source""",
+FROM req JOIN ra ON req.source = ra.source""",
+)
+
+
+def _attempt(n: int, perturb: bool, style: str | None) -> str:
+    """The reports and required check of attempt ``n`` for all corpora, in CTEs of their own."""
+    reports = _COUNT_REPORTS
+    if not perturb:
+        reports = reports.replace("< 4294967296.0 / 3 AS pert", "< 0 AS pert")
+    if style is not None:
+        reports = reports.replace("('0x' || substr(md5(source), 1, 6))::BIGINT % 3 AS style", f"{style} AS style")
+    text = reports + _claims_cte() + _required_cte()
+    return re.sub(r"\b(st|st2|sent|rep|craw|cl|cc|cc2|cc3|mk|dup|agg|chk|chk2|req|reqa|reqr|reql|reqe)\b(?!')", rf"\1_{n}", text)
+
+
+sql(
+    "retry_rejects",
+    _SELC
+    + "".join(_attempt(n, n == 1, "0" if n == 3 else None) for n in (1, 2, 3))
+    + """,
+att AS (SELECT a.source, CASE WHEN a.passed THEN 1 WHEN b.passed THEN 2 ELSE 3 END AS n, a.passed OR b.passed OR c.passed AS ok
+        FROM req_1 a JOIN req_2 b ON a.source = b.source JOIN req_3 c ON a.source = c.source),
+about AS (SELECT source, bool_or(reason_aware) AS reason_aware, string_agg(aspect, '|' ORDER BY slot) AS selected_aspects FROM sel GROUP BY source)
+SELECT att.source, n::BIGINT AS generation_attempts, ok AS accepted, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END AS status,
+       CASE WHEN reason_aware THEN 'factual-only' ELSE 'strict' END AS checker_mode, selected_aspects
+FROM att JOIN about ON att.source = about.source""",
 )
 sql(
     "coverage_gaps",
@@ -474,10 +519,7 @@ def _reason_text_sql() -> str:
 
 
 # selected rows (reason path) with their top-2 reasons rendered as "r (n), r (n)"
-_RT = _SELR.replace(
-    "rk AS (SELECT *, row_number()",
-    "rk AS (SELECT *, row_number()",
-) + """,
+_RT = _SELR + """,
 top2 AS (SELECT source, aspect, sentiment, string_agg(reason || ' (' || n || ')', ', ' ORDER BY rk) AS r2
          FROM rk WHERE rk <= 2 GROUP BY ALL),
 selr AS (SELECT s.*, coalesce(p.r2, '') AS positive_top, coalesce(ng.r2, '') AS negative_top, coalesce(nu.r2, '') AS neutral_top
@@ -487,20 +529,24 @@ selr AS (SELECT s.*, coalesce(p.r2, '') AS positive_top, coalesce(ng.r2, '') AS
          LEFT JOIN top2 nu ON nu.source = s.source AND nu.aspect = s.aspect AND nu.sentiment = 'neutral')"""
 
 sql("reason_text", _RT + f" SELECT source, slot, aspect, {_reason_text_sql()} AS reason_text FROM selr")
+def _template_sql(template: str, **parts: str) -> str:
+    cut = re.split(r"\{(\w+)\}", template)
+    return " || ".join(parts[x] if i % 2 else _q(x) for i, x in enumerate(cut))
+
+
+_COUNTS = "'total=' || total || ' | positive=' || positive || ' | negative=' || negative || ' | neutral=' || neutral"
 sql(
     "prompt_reasoned",
     _RT
-    + f""" SELECT source, {_q(_rp.REASONED_INSTRUCTIONS + 'DATA:' + chr(10))} || string_agg('aspect=' || aspect || ' | total=' || total ||
-       ' | positive=' || positive || ' | negative=' || negative || ' | neutral=' || neutral || ' | ' || {_reason_text_sql()}, chr(10) ORDER BY slot)
-       || chr(10) || 'REPORT:' AS prompt FROM selr GROUP BY source""",
+    + f""", lines AS (SELECT source, string_agg('aspect=' || aspect || ' | ' || {_COUNTS} || ' | ' || {_reason_text_sql()}, chr(10) ORDER BY slot) AS x FROM selr GROUP BY source)
+SELECT source, {_template_sql(_rp.REASONED_PROMPT, rows='x')} AS prompt FROM lines""",
 )
 sql(
     "prompt_roles",
     _SELC
-    + f""" SELECT source, {_q(_rp.ROLE_INSTRUCTIONS)} || 'Aspect order: ' || string_agg(aspect, ' | ' ORDER BY slot) || {_q(chr(10) + chr(10) + _rp.ROLE_EXAMPLE)}
-       || 'Rows:' || chr(10) || string_agg('role=' || role || ' | aspect_start ' || aspect || ' aspect_end | total=' || total || ' | positive=' ||
-       positive || ' | negative=' || negative || ' | neutral=' || neutral, chr(10) ORDER BY slot) || chr(10) || chr(10) || 'Paragraph:' AS prompt
-FROM sel WHERE role IS NOT NULL GROUP BY source""",
+    + f""", lines AS (SELECT source, string_agg(aspect, ' | ' ORDER BY slot) AS o,
+       string_agg('role=' || role || ' | aspect=' || aspect || ' | ' || {_COUNTS}, chr(10) ORDER BY slot) AS x FROM sel WHERE role IS NOT NULL GROUP BY source)
+SELECT source, {_template_sql(_rp.ROLE_PROMPT, rows='x', order='o')} AS prompt FROM lines""",
 )
 
 
@@ -611,39 +657,31 @@ SELECT id, CASE b::BIGINT {_case} END AS violation FROM t WHERE b < 10""",
 
 
 # ---------------------------------------------------------------- synthetic tables
-from aspectra.operators import synth as _sy  # noqa: E402
-
-_SYL = "[" + ", ".join(_q(x) for x in _sy.SYLLABLES) + "]"
-_SUF = "[" + ", ".join(_q(x) for x in _sy.SUFFIXES) + "]"
-_NS = len(_sy.SYLLABLES)
-
-
-def _hsql(name: str, salt: str) -> str:
-    return f"(('0x' || substr(md5('{salt}:' || {name}), 1, 8))::BIGINT)"
+def _byte(key: str, k: int) -> str:
+    return f"('0x' || substr(md5({key}), {2 * k + 1}, 2))::BIGINT"
 
 
-def _sylsql(x: str) -> str:
-    return f"{_SYL}[(({x}) % {_NS}) + 1]"
+def _spelled(key: str, pairs: int) -> str:
+    pick = lambda letters, b: f"substr('{letters}', {b} % {len(letters)} + 1, 1)"
+    return " || ".join(pick(x, _byte(key, 2 * k + j)) for k in range(pairs) for j, x in enumerate(("bcdfglmnprstvz", "aeiou")))
 
 
 _SYN = _V8C + f""",
-cand AS (SELECT i AS idx, lower({_sylsql('i')} || {_sylsql(f'i // {_NS}')} || {_sylsql(f'i // {_NS * _NS}')} || {_SUF}[(i % 4) + 1]) AS name
-         FROM range({_NS ** 3}) r(i)),
-realn AS (SELECT DISTINCT lower(aspect) AS name FROM t),
-kept AS (SELECT * FROM cand WHERE name NOT IN (SELECT name FROM realn) ORDER BY idx LIMIT 360),
-names AS (SELECT name, idx, CASE WHEN rn <= 280 THEN 'train' WHEN rn <= 320 THEN 'valid' ELSE 'test' END AS pool
+cand AS (SELECT {_spelled("('names:' || i)", 4)} AS name, min(i) AS idx FROM range(1440) r(i) GROUP BY 1),
+kept AS (SELECT * FROM cand WHERE name NOT IN (SELECT lower(aspect) FROM t) ORDER BY idx LIMIT 360),
+names AS (SELECT name, idx, CASE WHEN rn <= 240 THEN 'train' WHEN rn <= 300 THEN 'valid' ELSE 'test' END AS pool
           FROM (SELECT *, row_number() OVER (ORDER BY idx) AS rn FROM kept)),
-sr0 AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY idx) - 1 AS slot FROM names),
-sr1 AS (SELECT *, ['attention', 'strength', 'concern', 'mixed'][(slot % 4) + 1] AS role, 40 + {_hsql('name', 'total')} % 60 AS total FROM sr0),
-sr2 AS (SELECT *, floor(total * CASE role WHEN 'attention' THEN 55 WHEN 'strength' THEN 85 WHEN 'concern' THEN 10 ELSE 45 END / 100)::BIGINT AS positive FROM sr1),
-sr3 AS (SELECT *, least(total - positive, 1 + {_hsql('name', 'neu')} % 5) AS neutral FROM sr2),
-sr4 AS (SELECT *, total - positive - neutral AS negative FROM sr3)"""
+sr0 AS (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY idx) - 1 AS slot, 24 + {_byte("('rows:total:' || name)", 0)} % 72 AS total FROM names),
+sr1 AS (SELECT *, ['most_discussed', 'strongest_positive', 'strongest_negative', 'most_divided'][slot % 4 + 1] AS role,
+        ['positive', 'positive', 'negative', 'negative'][slot % 4 + 1] AS lead, total * [50, 80, 75, 45][slot % 4 + 1] // 100 AS first FROM sr0),
+sr2 AS (SELECT *, (total - first) // 2 AS neutral, (total - first) - (total - first) // 2 AS other FROM sr1),
+sr4 AS (SELECT *, CASE WHEN lead = 'positive' THEN first ELSE other END AS positive, CASE WHEN lead = 'negative' THEN first ELSE other END AS negative FROM sr2)"""
 
 
 def _reasons_sql(sent: str) -> str:
-    w = lambda k: f"({_sylsql(_hsql('name', f'{sent}{k}'))} || {_sylsql(_hsql('name', f'{sent}{k}x'))} || 'y')"
-    hi = f"greatest(least({sent}, 2 + {_hsql('name', sent)} % 6), 1)"
-    return f"{w(0)} || ':' || {hi} || ',' || {w(1)} || ':' || greatest({hi} - 1, 1)"
+    n = f"greatest(1, least({sent}, {_byte(f'({_q(f'rows:{sent}:')} || name)', 0)} % 6 + 2))"
+    word = lambda k: "(" + _spelled(f"({_q(f'rows:{sent}{k}:')} || name)", 3) + ")"
+    return f"{word(0)} || ':' || {n} || ',' || {word(1)} || ':' || greatest(1, {n} - 1)"
 
 
 sql("synth_names", _SYN + " SELECT name, idx, pool FROM names")

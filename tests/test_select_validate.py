@@ -71,3 +71,18 @@ def test_stats_violations_first_rule(spark):
     assert got[7] == "invalid JSON"
     ok = stats_violations(df).filter(F.col("i") == 0).select("aspect_key").collect()[0].aspect_key
     assert ok == "screen"
+
+
+def test_odd_values_are_violations_not_failures(spark):
+    long = "9" * 20
+    lines = [
+        '{"aspect": "fan", "positive": "abc", "negative": 0, "neutral": 0, "total": 1}',
+        f'{{"aspect": "fan", "positive": {long}, "negative": 0, "neutral": 0, "total": {long}}}',
+        '{"aspect": "fan", "positive": 1, "negative": 0, "neutral": 0, "total": 1, "positive_reasons": [{"a": 1}]}',
+    ]
+    rows = stats_violations(spark.createDataFrame([Row(i=i, value=v) for i, v in enumerate(lines)])).orderBy("i").collect()
+    assert [r.violation for r in rows] == [
+        "field 'positive' must be a non-negative integer", "field 'positive' must be a non-negative integer",
+        "field 'positive_reasons' item 0 must be [reason, count]",
+    ]
+    assert rows[0].positive_n is None and rows[1].total_n is None

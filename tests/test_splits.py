@@ -29,4 +29,5 @@ def test_leakage_audit_counts_overlap(spark):
     bench = spark.createDataFrame([Row(text="c"), Row(text="z")])
     got = {r.check: r.n for r in leakage_audit(items, benchmark=bench).collect()}
     assert got["overlap:test/train"] == 1 and got["overlap:test/valid"] == 1
+    assert got["overlap:train/valid"] == 0  # checked and clean
     assert got["distinct_texts:train"] == 2 and got["benchmark_in_items"] == 1

@@ -55,7 +55,7 @@ def test_lexicon_fit_tie_and_nearest(spark):
     ])
     vocab, lex = lexicon.fit_lexicon(trip)
     assert {r.phrase: r.sentiment for r in lex.collect()} == {"great": "positive", "bad": "negative"}  # tie -> first seen
-    sents = spark.createDataFrame([Row(sid="s1", text="The Pizza crust was great but bad"), Row(sid="s2", text="nothing")])
+    sents = spark.createDataFrame([Row(sid="s1", tokens="The Pizza crust was great but bad".split()), Row(sid="s2", tokens=["nothing"])])
     pred = {r.sid: [(t.aspect, t.opinion, t.sentiment) for t in r.triplets]
             for r in lexicon.lexicon_predict(sents, vocab, lex).collect()}
     assert pred["s1"] == [("pizza crust", "great", "positive")]  # longest match, nearest opinion (tie -> leftmost)
@@ -79,11 +79,11 @@ def test_grid_build_decode_and_subword_round_trip(spark):
 def test_structured_check_verdicts(spark):
     table = spark.createDataFrame([
         Row(source="c", aspect="screen", total=10, positive=6, negative=3, neutral=1),
-        Row(source="c", aspect="windows 7", total=4, positive=1, negative=2, neutral=1),
+        Row(source="c", aspect="dock 12", total=4, positive=1, negative=2, neutral=1),
     ])
     reports = spark.createDataFrame([
         Row(source="c", report="Screen attracted the most attention, with 10 mentions: 6 positive, 3 negative, and 1 neutral. "
-                               "Windows 7: 4 mentions (1 positive, 2 negative, 1 neutral)."),
+                               "Dock 12: 4 mentions (1 positive, 2 negative, 1 neutral)."),
     ])
     out = checks.check_structured(reports, table)[0].collect()[0]
     assert out.passed and out.claims_checked == 2 and out.unparsed_numeric_tokens == 0
@@ -92,23 +92,97 @@ def test_structured_check_verdicts(spark):
     assert not o2.passed and o2.valid_claims == 0 and o2.unparsed_numeric_tokens == 1 and o2.unexpected_text == "Up 20%"
 
 
+COUNTED = "source string, slot int, aspect string, total int, positive int, negative int, neutral int, "
+REASONED = COUNTED + ("positive_reasons array<struct<reason:string,n:int>>, negative_reasons array<struct<reason:string,n:int>>, "
+                      "neutral_reasons array<struct<reason:string,n:int>>")
+
+
 def test_reasoned_check_longest_aspect_and_foreign_reason(spark):
     R = lambda reason, n: Row(reason=reason, n=n)
     sel = spark.createDataFrame([
-        Row(source="c", slot=1, aspect="food", total=9, positive=6, negative=2, neutral=1,
-            positive_reasons=[R("tasty", 4)], negative_reasons=[R("cold", 2)], neutral_reasons=[]),
-        Row(source="c", slot=2, aspect="indian food", total=5, positive=4, negative=1, neutral=0,
-            positive_reasons=[R("spicy", 3)], negative_reasons=[], neutral_reasons=[]),
-    ], "source string, slot int, aspect string, total int, positive int, negative int, neutral int, "
-       "positive_reasons array<struct<reason:string,n:int>>, negative_reasons array<struct<reason:string,n:int>>, "
-       "neutral_reasons array<struct<reason:string,n:int>>")
-    good = spark.createDataFrame([Row(source="c", report="Food came up 9 times, with 6 positive mentions calling it tasty. Indian food had 5 mentions, 4 praising it as spicy.")])
-    r = checks.check_reasoned(good, sel)[0].collect()[0]
+        Row(source="c", slot=1, aspect="lens", total=9, positive=6, negative=2, neutral=1,
+            positive_reasons=[R("crisp", 4)], negative_reasons=[R("foggy", 2)], neutral_reasons=[]),
+        Row(source="c", slot=2, aspect="zoom lens", total=5, positive=4, negative=1, neutral=0,
+            positive_reasons=[R("smooth", 3)], negative_reasons=[], neutral_reasons=[]),
+    ], REASONED)
+    check = lambda text, mode="factual-only": checks.check_reasoned(spark.createDataFrame([Row(source="c", report=text)]), sel, mode=mode)
+    r = check("Lens came up 9 times, with 6 positive mentions calling it crisp. Zoom lens had 5 mentions, 4 praising it as smooth.")[0].collect()[0]
     assert r.passed and r.claims_checked == 2
-    semi = spark.createDataFrame([Row(source="c", report="Food came up 9 times; 6 were positive and tasty. Indian food had 5 mentions, 4 spicy.")])
-    assert checks.check_reasoned(semi, sel)[0].collect()[0].unattributed_numbers == "6"  # ';' starts an aspect-free segment
-    foreign = spark.createDataFrame([Row(source="c", report="Food came up 9 times, 6 positive and spicy.")])
-    r2, per = checks.check_reasoned(foreign, sel)
+    semi = check("Lens came up 9 times; 6 were positive and crisp. Zoom lens had 5 mentions, 4 smooth.")[0].collect()[0]
+    assert semi.unattributed_numbers == "6"  # ';' starts an aspect-free segment
+    r2, per = check("Lens came up 9 times, 6 positive and smooth.")
     assert not r2.collect()[0].passed
     errs = {x.aspect: x.errors for x in per.collect()}
-    assert "reasons belong to another aspect: [spicy]" in errs["food"] and errs["indian food"] == "aspect not mentioned"
+    assert "reasons belong to another aspect: [smooth]" in errs["lens"] and errs["zoom lens"] == "aspect not mentioned"
+    assert {x.aspect: x.numbers_found for x in per.collect()}["lens"] == "9,6"
+
+
+def test_strict_mode_needs_every_aspect(spark):
+    sel = spark.createDataFrame([
+        ("c", 1, "strap", 7, 4, 2, 1, [("soft", 3)], [], []), ("c", 2, "clasp", 3, 1, 2, 0, [], [("loose", 2)], []),
+    ], REASONED)
+    text = "Strap had 7 mentions, 4 positive and soft."
+    loose, strict = (checks.check_reasoned(spark.createDataFrame([Row(source="c", report=text)]), sel, mode=m)[0].collect()[0] for m in ("factual-only", "strict"))
+    assert loose.passed and not strict.passed and strict.missing_aspects == "clasp" and strict.factual_passed
+    assert loose.coverage_warnings == ["Missing aspects: clasp"]
+
+
+def _required(spark, text):
+    sel = spark.createDataFrame([("c", 1, "strap", 7, 4, 2, 1, "most_discussed"), ("c", 2, "clasp", 3, 3, 0, 0, "strongest_positive")], COUNTED + "role string")
+    return checks.check_structured(spark.createDataFrame([Row(source="c", report=text)]), sel.drop("slot", "role"), selected=sel)[0].collect()[0]
+
+
+def test_generated_reports_need_the_selected_aspects_and_roles(spark):
+    first = "Strap attracted the most attention, with 7 mentions: 4 positive, 2 negative, and 1 neutral."
+    second = " Clasp emerged as the clearest strength, receiving 3 positive mentions out of 3, alongside 0 negative and 0 neutral."
+    assert _required(spark, first + second).passed
+    r = _required(spark, first)
+    assert not r.passed and r.missing_aspects == "clasp" and r.missing_roles == "strongest_positive"
+    listed = _required(spark, "strap: 7 mentions (4 positive, 2 negative, 1 neutral). clasp: 3 mentions (3 positive, 0 negative, 0 neutral).")
+    assert not listed.passed and listed.valid_claims == 2 and listed.missing_roles == "most_discussed,strongest_positive"
+    swapped = _required(spark, first.replace("Strap", "Clasp").replace("7 mentions: 4 positive, 2 negative, and 1", "3 mentions: 3 positive, 0 negative, and 0"))
+    assert swapped.role_errors == "most_discussed: claimed clasp, expected strap" and not swapped.passed
+
+
+def test_long_digits_are_errors_not_failures(spark):
+    long = "9" * 24
+    r = _required(spark, f"Strap attracted the most attention, with {long} mentions: 4 positive, 2 negative, and 1 neutral. Call {long}.")
+    assert not r.passed and r.claims_checked == 1 and r.valid_claims == 0 and r.unparsed_numeric_tokens == 1
+    sel = spark.createDataFrame([("c", 1, "strap", 7, 4, 2, 1, [("soft", 3)], [], [])], REASONED)
+    text = spark.createDataFrame([Row(source="c", report=f"Strap had 007 mentions, 4 positive and soft, {long}.")])
+    report, per = checks.check_reasoned(text, sel)
+    assert not report.collect()[0].passed and per.collect()[0].errors == f"unsupported numbers: [{long}]"
+    assert checks.grounded(text, sel).collect()[0].unsupported_numbers == long
+
+
+def test_retry_runs_only_rejects_and_stops(spark):
+    from aspectra.operators.reports import prompt_roles, retry_rejects
+
+    sel = spark.createDataFrame([(s, 1, "strap", 7, 4, 2, 1, "most_discussed", False) for s in ("a", "b")], COUNTED + "role string, reason_aware boolean")
+    seen = []
+
+    def generate(rows, attempt):
+        seen.append((attempt, sorted(r.source for r in rows.select("source").collect())))
+        return prompt_roles(rows, retry_number=attempt - 1).withColumn("report", F.concat("source", F.lit(str(attempt))))
+
+    def check(reports, rows):
+        return reports.select("source", F.col("report").isin("a1", "b2").alias("passed"), F.array(F.lit("note")).alias("coverage_warnings"))
+
+    final, history = retry_rejects(sel, generate, check, max_attempts=5)
+    assert seen == [(1, ["a", "b"]), (2, ["b"])]
+    got = {r.source: r for r in final.collect()}
+    assert (got["a"].generation_attempts, got["b"].generation_attempts) == (1, 2) and got["b"].status == "accepted_with_warnings"
+    assert got["b"].selected_aspects == ["strap"] and [x.passed for x in got["b"].attempt_history] == [False, True] and got["b"].checker_mode == "strict"
+    prompts = {(r.source, r.attempt): r.prompt for r in history.collect()}
+    assert prompts["b", 2].startswith("Attempt 2:") and not prompts["b", 1].startswith("Attempt")
+
+
+def test_lexicon_long_sentence_and_islands(spark):
+    vocab = spark.createDataFrame([("a b",), ("b c",), ("c",), ("x y z",)], "phrase string")
+    lex = spark.createDataFrame([("x", "positive"), ("y z", "negative")], "phrase string, sentiment string")
+    rows = spark.createDataFrame([("s", "a b c x y z c".split()), ("long", ["a", "b", "x"] * 7000), ("none", [])], "sid string, tokens array<string>")
+    spans = {(r.kind, r.i, r.n) for r in lexicon.lexicon_spans(rows.filter("sid = 's'"), vocab, lex).collect()}
+    assert spans == {("A", 0, 2), ("A", 2, 1), ("A", 3, 3), ("A", 6, 1), ("O", 3, 1), ("O", 4, 2)}
+    got = {r.sid: r.triplets for r in lexicon.lexicon_predict(rows, vocab, lex).collect()}
+    assert [(t.aspect, t.opinion) for t in got["s"]] == [("a b", "x"), ("c", "x"), ("x y z", "y z"), ("c", "y z")]
+    assert len(got["long"]) == 7000 and got["none"] == []
