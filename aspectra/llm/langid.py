@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, slices, text_views
+from aspectra.llm.batches import column, release, slices, text_views
 
 #: Bytes of a document that are parsed as one block; a longer text is several blocks, all parsed.
 BLOCK = 1024
@@ -187,6 +187,7 @@ def identify(docs: DataFrame, training: list[tuple[str, bytes]], text: str = "te
                     score, lang = np.zeros(len(known)), [UNKNOWN] * len(known)
                 arrays = [pa.array(lang, pa.string()), pa.array(np.where(known, score, 0.0))]
                 yield pa.RecordBatch.from_arrays([column(part, c) for c in carry] + arrays, [*carry, "lang_pred", "score"])
+        release()
 
     return source.mapInArrow(run, schema)
 

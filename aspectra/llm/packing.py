@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, slices, texts
+from aspectra.llm.batches import column, release, slices, texts
 from aspectra.plans.materialize import materialize
 
 LENGTH = 4096
@@ -27,7 +27,7 @@ END = 2
 DIMS = 3
 #: Hash space of the document vectors, and words of a generation that a worker remembers.
 FEATURES = 1024
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 STOPS = b".,;:!?"
 #: Letters whose lower case is one letter and which composition leaves alone.
 LATIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E]+)([.,;:!?]*)")
@@ -167,13 +167,14 @@ def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), t
             return counts @ axes / np.sqrt(np.maximum((counts * counts).sum(axis=1, keepdims=True), 1e-12))
 
         for batch in batches:
-            for part in slices(batch, "__text", 8 << 20):
+            for part in slices(batch, "__text"):
                 ids, n = coder.encode(column(part, "__text"))
                 ends = np.cumsum(n).tolist()
                 blobs = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
                 places = np.concatenate([vectors(ids[a:b], n[i : i + 256]) for i, a, b in _steps(n, 256)])
                 arrays = [column(part, c) for c in carry] + [pa.array(blobs, pa.binary()), pa.array(n)] + [pa.array(places[:, k]) for k in range(DIMS)]
                 yield pa.RecordBatch.from_arrays(arrays, [*carry, "ids", "n", *[f"p{k}" for k in range(DIMS)]])
+        release()
 
     return source.mapInArrow(run, schema)
 

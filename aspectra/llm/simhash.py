@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, slices, texts
+from aspectra.llm.batches import column, release, slices, texts
 from aspectra.llm.components import connected_components, local_forest
 from aspectra.plans.materialize import materialize
 
@@ -84,6 +84,7 @@ def simhash(docs: DataFrame, text: str = "text", shingle: int = 3, carry: tuple[
             for part in slices(batch, "__text"):
                 fp = fingerprints(list(texts(column(part, "__text"))), shingle)
                 yield pa.RecordBatch.from_arrays([column(part, c) for c in carry] + [pa.array(fp)], [*carry, "fp"])
+        release()
 
     return source.mapInArrow(run, schema)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aspectra.llm.anchors import mix, segments
-from aspectra.llm.batches import column, slices, text_views
+from aspectra.llm.batches import column, release, slices, text_views
 from aspectra.llm.induced import repeats
 from aspectra.plans.materialize import materialize
 
@@ -144,6 +144,7 @@ def _hash_task(length: int, shards: int, parts: int):
                     held, size = [], 0
         if held:
             yield from send()
+        release()
 
     return run
 
@@ -195,6 +196,7 @@ def _shard_task(length: int, parts: int):
                 yield _batch(passed)
         if held:
             yield from settle(shard, held)
+        release()
 
     return run
 
@@ -292,6 +294,7 @@ def _fetch_task(length: int):
                 held, size = [], 0
         if held:
             yield from send()
+        release()
 
     return run
 
@@ -375,6 +378,7 @@ def _induce_task(length: int, parts: int, limit: int = HOLD_BYTES):
                 spool.add(row["first"])
         if held:
             yield from settle(held, spool)
+        release()
 
     return run
 

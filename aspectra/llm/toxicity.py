@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, slices, text_views
+from aspectra.llm.batches import column, release, slices, text_views
 from aspectra.plans.materialize import materialize
 
 #: n-gram lengths in code points and size of the hash space.
@@ -173,6 +173,7 @@ def score(docs: DataFrame, model: NgramModel, text: str = "text", carry: tuple[s
                 z = np.bincount(row, model.weight[f], part.num_rows) + model.bias
                 s = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
                 yield pa.RecordBatch.from_arrays([column(part, c) for c in carry] + [pa.array(s)], [*carry, "score"])
+        release()
 
     return source.mapInArrow(run, schema)
 
