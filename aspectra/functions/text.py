@@ -7,7 +7,9 @@ DuckDB oracle) accept, so the two engines split on exactly the same characters.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -90,15 +92,9 @@ def mark_aspect(text, start, end) -> Column:
     return F.when(valid, marked).otherwise(t)
 
 
-def regex_quote(c) -> Column:
-    """Quote an arbitrary string for use inside a Java regex (``\\Q..\\E`` safe for ``\\E``)."""
-    return F.concat(F.lit("\\Q"), F.replace(col_(c), F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
-
-
-def whole_phrase_pattern(phrase) -> Column:
-    """Case-insensitive whole-word pattern: not preceded/followed by a word character."""
-    return F.concat(F.lit("(?iU)(?<!\\w)"), regex_quote(phrase), F.lit("(?!\\w)"))
-
+def once(df: DataFrame, keep: Sequence[str], **columns: Column) -> DataFrame:
+    """``df`` with ``keep`` and the given columns, each computed once per row.
 
-def contains_phrase(text, phrase) -> Column:
-    return F.regexp_like(col_(text), whole_phrase_pattern(phrase))
+    The optimiser copies an expression into every filter and projection that uses it; columns that
+    come out of a generator are not copied, so costly ones go through a one-row ``inline``."""
+    return df.select(*keep, F.inline_outer(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.functions.text import detokenize, strip_ws, tokens
+from aspectra.functions.text import detokenize, once, strip_ws, tokens
 
 # Sentiment codes of the tag format.
 CODE_TO_SENTIMENT = {"POS": "positive", "NEG": "negative", "NEU": "neutral"}
@@ -55,13 +55,10 @@ def parse_tagged_columns(df: DataFrame, line: str = "line") -> DataFrame:
     ``bad_items`` counts items without ``=`` on the split arrays, before any parsing; items
     tagged ``O`` are dropped next, so the string work is done for the few others only."""
     cols = df.columns
-    d = df.withColumn("_parts", F.split(strip_ws(F.col(line)), "####")).filter(F.size("_parts") == 3)
-    d = d.select(
-        *cols, strip_ws(F.get("_parts", 0)).alias("sentence"),
-        tokens(F.get("_parts", 1)).alias("_a"), tokens(F.get("_parts", 2)).alias("_o"),
-    )
+    d = once(df, cols, _parts=F.split(strip_ws(F.col(line)), "####")).filter(F.size("_parts") == 3)
+    d = once(d, cols, sentence=strip_ws(F.get("_parts", 0)), _a=tokens(F.get("_parts", 1)), _o=tokens(F.get("_parts", 2)))
     bad = lambda c: F.size(F.filter(c, lambda x: ~x.contains("=")))
-    d = d.select(*cols, "sentence", (bad("_a") + bad("_o")).alias("bad_items"), _tagged(F.col("_a")).alias("_a"), _tagged(F.col("_o")).alias("_o"))
+    d = once(d, [*cols, "sentence"], bad_items=bad("_a") + bad("_o"), _a=_tagged(F.col("_a")), _o=_tagged(F.col("_o")))
     asp = F.transform(
         F.filter("_a", lambda p: F.instr(_tag(p), "-") > 0),
         lambda p: F.struct(
@@ -70,28 +67,30 @@ def parse_tagged_columns(df: DataFrame, line: str = "line") -> DataFrame:
         ),
     )
     ops = F.transform("_o", lambda p: F.struct(p["i"].alias("i"), _token(p).alias("tok"), _tag(p).alias("tag")))
-    d = d.select(*cols, "sentence", "bad_items", asp.alias("_a"), ops.alias("_o"))
+    d = once(d, [*cols, "sentence", "bad_items"], _a=asp, _o=ops)
     # group ids in order of (length, id): the structs sort by their fields
     gids = F.array_sort(F.array_distinct(F.transform("_a", lambda p: F.struct(F.length(p["gid"]).alias("n"), p["gid"].alias("gid")))))
-    d = d.withColumn("_g", F.transform(gids, lambda g: F.struct(
+    groups = F.transform(gids, lambda g: F.struct(
         F.filter("_a", lambda p: p["gid"] == g["gid"]).alias("mine"),
         F.filter("_o", lambda p: p["tag"] == F.repeat(F.lit("S"), g["n"])).alias("theirs"),
-    )))
+    ))
+    d = once(d, [*cols, "sentence", "bad_items"], _g=groups)
     first, last = lambda c: F.get(c, 0)["i"], lambda c: F.element_at(c, -1)["i"] + 1  # noqa: E731  (items stand in order)
-    d = d.withColumn("_g", F.transform("_g", lambda x: F.struct(
+    found = F.transform("_g", lambda x: F.struct(
         detokenize(F.transform(x["mine"], lambda p: p["tok"])).alias("aspect"),
         detokenize(F.transform(x["theirs"], lambda p: p["tok"])).alias("opinion"),
         code_to_sentiment(F.get(x["mine"], 0)["code"]).alias("sentiment"),
         first(x["mine"]).alias("a0"), last(x["mine"]).alias("a1"),
         F.when(F.size(x["theirs"]) > 0, first(x["theirs"])).alias("o0"),
         F.when(F.size(x["theirs"]) > 0, last(x["theirs"])).alias("o1"),
-    )))
+    ))
+    d = once(d, [*cols, "sentence", "bad_items"], _g=found)
     pick = lambda keep, *names: F.transform(F.filter("_g", keep), lambda t: F.struct(*[t[n].alias(n) for n in names]))
-    return d.select(
-        *cols, "sentence", tokens("sentence").alias("tokens"),
-        pick(lambda t: (t["aspect"] != "") & (t["opinion"] != ""), "aspect", "opinion", "sentiment").alias("triplets"),
-        pick(lambda t: t["o0"].isNotNull(), "a0", "a1", "o0", "o1", "sentiment").alias("spans"),
-        "bad_items",
+    return once(
+        d, [*cols, "sentence"], tokens=tokens("sentence"),
+        triplets=pick(lambda t: (t["aspect"] != "") & (t["opinion"] != ""), "aspect", "opinion", "sentiment"),
+        spans=pick(lambda t: t["o0"].isNotNull(), "a0", "a1", "o0", "o1", "sentiment"),
+        bad_items=F.col("bad_items"),
     )
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aspectra.functions.text import split_sentence_array, tokens
+from aspectra.functions.text import once, split_sentence_array, tokens
 from aspectra.session import read_table, spread
 
 
@@ -61,7 +61,8 @@ def plain_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V3."""
-    return sentences(spark, sf_dir).withColumn("tokens", tokens("sent"))
+    d = sentences(spark, sf_dir)
+    return once(d, d.columns, tokens=tokens("sent"))
 
 
 def clause_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ def clause_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.sequence(F.lit(0), F.floor((F.size("tokens") - 1) / CLAUSE))
     cut = F.transform(at, lambda k: F.slice("tokens", (k * CLAUSE + 1).cast("int"), CLAUSE))
     c = token_rows(spark, sf_dir).filter(F.size("tokens") > 0).select(
-        "doc_id", "source", "sentiment", "pos", F.posexplode(cut).alias("k", "tokens")
+        "doc_id", "source", "sentiment", "pos", F.posexplode_outer(cut).alias("k", "tokens")
     )
     return c.select("doc_id", "source", "sentiment", (F.col("pos").cast("bigint") * 1000000 + F.col("k")).alias("pos"), "tokens")
 
@@ -83,7 +84,7 @@ def triplet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         token_rows(spark, sf_dir)
         .filter(F.size("tokens") >= 2)
-        .select("doc_id", "source", "pos", F.inline(pairs), "sentiment")
+        .select("doc_id", "source", "pos", F.inline_outer(pairs), "sentiment")
     )
 
 
@@ -91,9 +92,7 @@ def tagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """V5: every clause rendered as a tagged triplet line."""
     from aspectra.plans.fixtures import render_tagged_line
 
-    return clause_rows(spark, sf_dir).select(
-        "doc_id", "source", "pos", "sentiment", render_tagged_line("tokens", "sentiment").alias("line")
-    )
+    return once(clause_rows(spark, sf_dir), ["doc_id", "source", "pos", "sentiment"], line=render_tagged_line("tokens", "sentiment"))
 
 
 def parsed_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
