@@ -774,3 +774,31 @@ SELECT r.source, (coalesce(sa.s, '') = coalesce(sb.s, '') AND coalesce(sb.n, 0)
        coalesce(sa.n, 0) AS report_claims, coalesce(sb.n, 0) AS target_claims
 FROM rep r JOIN tgt ON tgt.source = r.source LEFT JOIN sa ON sa.source = r.source LEFT JOIN sb ON sb.source = r.source""",
 )
+
+
+# ---------------------------------------------------------------- catalog, prediction sink, second corpus
+sql(
+    "corpus_catalog",
+    with_views("v5")
+    + f""", f AS (SELECT DISTINCT source AS domain, CASE WHEN {_hash_u('doc_id')} < 0.15::DOUBLE THEN 'test'
+          WHEN {_hash_u('doc_id')} < (0.15::DOUBLE + 0.15::DOUBLE) THEN 'dev' ELSE 'train' END AS split FROM v5)
+SELECT d.domain, s.split, f.domain IS NOT NULL AS found
+FROM (SELECT DISTINCT domain FROM f) d, unnest(['train', 'dev', 'test']) s(split) LEFT JOIN f ON f.domain = d.domain AND f.split = s.split""",
+)
+sql(
+    "sink_predictions",
+    _LEX
+    + f""", pt AS (SELECT t.sid, {_render('x')} AS p FROM tst t LEFT JOIN prow x ON x.sid = t.sid GROUP BY t.sid),
+gt AS (SELECT t.sid, {_render('x')} AS g FROM tst t LEFT JOIN grow x ON x.sid = t.sid GROUP BY t.sid)
+SELECT pt.sid, p AS predicted_text, g AS target_text FROM pt JOIN gt ON pt.sid = gt.sid""",
+)
+_CONV = f"""cs AS (SELECT conv_id, turn, role, unnest(arr) AS sent, unnest(range(0, len(arr))) AS pos
+       FROM (SELECT conv_id, turn, role, {_sa('text')} AS arr FROM conversations)),
+tst AS (SELECT conv_id || ':' || turn || ':' || pos AS sid, role, {tokens('sent')} AS toks, NULL::BIGINT AS doc_id, NULL::BIGINT AS pos FROM cs)"""
+sql(
+    "conversation_aspects",
+    _LEX.replace("tst AS (SELECT * FROM sp WHERE split = 'test')", _CONV)
+    + ", ct AS (SELECT tst.role, prow.aspect, prow.opinion, prow.sentiment FROM prow JOIN tst ON prow.sid = tst.sid), "
+    + _a2("ct", 10, group="role")
+    + " SELECT * FROM a2 WHERE total >= 2",
+)
