@@ -164,7 +164,8 @@ def assemble(records: DataFrame) -> DataFrame:
     request = part("request").select(F.col("concurrent_to").alias("record_id"), nested("request")).dropDuplicates(["record_id"])
     metadata = part("metadata").select(F.col("concurrent_to").alias("record_id"), nested("metadata")).dropDuplicates(["record_id"])
     captures = main.join(request, "record_id", "left").join(metadata, "record_id", "left")
-    pages = metadata.select(F.col("record_id").alias("to"), _page_id(F.col("metadata")).alias("refers_to_page"))
+    # written, so that the join sees two plain tables and can split a response that many revisit
+    pages = materialize(metadata.select(F.col("record_id").alias("to"), _page_id(F.col("metadata")).alias("refers_to_page")), "warc-pages")
     return captures.join(pages, F.col("response.refers_to") == F.col("to"), "left").drop("to")
 
 
