@@ -177,10 +177,12 @@ def _split_sentences(spark, sf_dir):
     """Parsed V5 sentences with a doc-level hash split and a sentence id."""
     from aspectra.operators.splits import hash_split
 
-    from aspectra.plans.materialize import materialize
+    from aspectra.plans.materialize import shared
 
-    p = views.parsed_tagged(spark, sf_dir)
-    return materialize(hash_split(p, "doc_id").withColumn("sid", F.concat_ws(":", "doc_id", "pos")), "split-sentences")
+    def build():
+        return hash_split(views.parsed_tagged(spark, sf_dir), "doc_id").withColumn("sid", F.concat_ws(":", "doc_id", "pos"))
+
+    return shared(spark, "split-sentences", sf_dir, build)
 
 
 def _gold_triplets(split_df, split):
@@ -691,11 +693,10 @@ def _examples_split(spark, sf_dir):
     from aspectra.operators.splits import hash_split
     from aspectra.sources.xml import flatten_examples
 
-    from aspectra.plans.materialize import materialize
+    from aspectra.plans.materialize import shared
 
-    ex = flatten_examples(_xml_sentences(spark, sf_dir))
-    # the vocabulary, idf, weights and every optimiser pass read this table: write it once
-    return materialize(hash_split(ex, "sentence_id", valid_ratio=0.0, test_ratio=0.15), "examples")
+    # the vocabulary, idf, weights and every optimiser pass read this table
+    return shared(spark, "examples", sf_dir, lambda: hash_split(flatten_examples(_xml_sentences(spark, sf_dir)), "sentence_id", valid_ratio=0.0, test_ratio=0.15))
 
 
 @query("tfidf_features")
@@ -711,6 +712,16 @@ def q_tfidf_features(spark, sf_dir):
                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
 
 
+@query("tfidf_terms")
+def q_tfidf_terms(spark, sf_dir):
+    """The vocabularies and weights behind M1, fitted on the train split."""
+    from aspectra.operators.ml import term_statistics
+
+    train = _examples_split(spark, sf_dir).filter(F.col("split") == "train")
+    blocks = [term_statistics(train, c, n).select(F.lit(c).alias("block"), "*") for c, n in (("context", 20000), ("aspect", 2000))]
+    return blocks[0].unionByName(blocks[1]).withColumn("idf", F.round("idf", 6))
+
+
 @query("polarity_classifier")
 def q_polarity_classifier(spark, sf_dir):
     from aspectra.operators.metrics import classification_report

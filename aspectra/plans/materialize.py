@@ -7,13 +7,39 @@ re-read of files, not a recomputation of the whole upstream plan.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 
 from aspectra.session import new_scratch_path  # noqa: F401  (re-exported)
 
+#: (application, label, source) -> path of a table that several queries of a session read.
+_SHARED: dict[tuple[str, str, str], str] = {}
+
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def shared(spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table that ``build`` gives for ``source``, written once in a session and read by each query.
+
+    ``source`` names the input, which must not change while the session lasts; ``release`` drops
+    what was written."""
+    key = (spark.sparkContext.applicationId, label, source)
+    if key not in _SHARED:
+        path = new_scratch_path(spark, label)
+        build().write.mode("errorifexists").parquet(path)
+        _SHARED[key] = path
+    return spark.read.parquet(_SHARED[key])
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the shared tables of this session; later queries write them again."""
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _SHARED if k[0] == app]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_SHARED.pop(key))
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -802,3 +802,24 @@ sql(
     + _a2("ct", 10, group="role")
     + " SELECT * FROM a2 WHERE total >= 2",
 )
+
+
+# ---------------------------------------------------------------- TF-IDF vocabularies of the train split
+def _terms(block: str, vocab: int) -> str:
+    return f"""w_{block} AS (SELECT id, regexp_extract_all(lower({block}), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}]{{{{2,}}}}') AS w FROM trx),
+t_{block} AS (SELECT id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM w_{block}),
+c_{block} AS (SELECT term, sum(n)::BIGINT AS tf, count(*) AS df FROM (SELECT id, term, count(*) AS n FROM t_{block} GROUP BY ALL) GROUP BY term
+              ORDER BY tf DESC, term LIMIT {vocab})""".replace("{{2,}}", "{2,}")
+
+
+sql(
+    "tfidf_terms",
+    _XML
+    + f""", ex AS (SELECT sentence_id, {_MARKED} AS context, term AS aspect FROM xr WHERE polarity <> 'conflict'),
+trx AS (SELECT *, row_number() OVER () AS id FROM ex WHERE NOT ({_hash_u('sentence_id')} < 0.15::DOUBLE)),
+{_terms('context', 20000)},
+{_terms('aspect', 2000)},
+n AS (SELECT count(*) AS n FROM trx)
+SELECT 'context' AS block, term, tf, df, round(ln((n.n + 1) / (df + 1)) + 1, 6) AS idf FROM c_context, n
+UNION ALL SELECT 'aspect', term, tf, df, round(ln((n.n + 1) / (df + 1)) + 1, 6) FROM c_aspect, n""",
+)
