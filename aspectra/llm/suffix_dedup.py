@@ -32,7 +32,7 @@ from aspectra.plans.materialize import materialize
 
 LENGTH = 100
 #: Bytes of text after which a task sends its segments, and of tuples and texts it holds in memory.
-SEND_BYTES = 24 << 20
+SEND_BYTES = 12 << 20
 HOLD_BYTES = 96 << 20
 #: A document's place is its version (rows that share a doc_id and differ in text) and byte.
 _VERSION = 40
