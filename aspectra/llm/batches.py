@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,17 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         start = end
 
 
+#: What operators remember in a worker from task to task; each entry clears one such memory.
+REMEMBERED: list[Callable[[], None]] = []
+
+
+def forget() -> None:
+    """Called where a task of another kind starts: the worker drops what earlier operators remember."""
+    for clear in REMEMBERED:
+        clear()
+    release()
+
+
 def release() -> None:
     """Give memory that a task no longer uses back to the system: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aspectra.llm import batches
 from aspectra.llm.batches import column, release, slices, texts
 from aspectra.plans.materialize import materialize
 
@@ -32,6 +33,7 @@ STOPS = b".,;:!?"
 #: Letters whose lower case is one letter and which composition leaves alone.
 LATIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E]+)([.,;:!?]*)")
 _TOKENIZERS: dict[str, "WordTokenizer"] = {}
+batches.REMEMBERED.append(_TOKENIZERS.clear)
 
 
 class WordTokenizer:
@@ -155,7 +157,7 @@ def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), t
     source = docs.select(*carry, F.col(text).alias("__text"))
     schema = source.drop("__text").select("*", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(f"p{k}") for k in range(DIMS)]).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _tokenizer(file)
         bucket = np.random.default_rng(seed).integers(0, FEATURES, np.iinfo(coder.kind).max + 1 if coder.kind == np.uint16 else 1 << 22)
         axes = np.random.default_rng([seed, 1]).standard_normal((FEATURES, DIMS))
@@ -166,7 +168,7 @@ def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), t
             counts = np.log1p(np.bincount(cell, minlength=len(n) * FEATURES).reshape(len(n), FEATURES))
             return counts @ axes / np.sqrt(np.maximum((counts * counts).sum(axis=1, keepdims=True), 1e-12))
 
-        for batch in batches:
+        for batch in parts:
             for part in slices(batch, "__text"):
                 ids, n = coder.encode(column(part, "__text"))
                 ends = np.cumsum(n).tolist()
@@ -220,7 +222,7 @@ def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text:
     ranged = ranged.repartitionByRange(count, "key", "tie").sortWithinPartitions("key", "tie").withColumn("part", F.spark_partition_id())
     schema = docs.select(*carry, *[F.lit(0).cast("long").alias(c) for c in ("start", "length")], F.lit(b"").alias("ids"), *[F.lit(0).cast("long").alias(c) for c in ("ids_crc32", "doc_tokens", "sequence_id", "offset")]).schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = _tokenizer(file).kind
         closing = np.array([end], kind).tobytes()
         names = [f.name for f in schema.fields]
@@ -266,7 +268,7 @@ def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text:
                 left[0] += done - int(ends[first] - n[first])
             return rest, left
 
-        for batch in batches:
+        for batch in parts:
             for part in slices(batch, "ids", 2 << 20):
                 if not part.num_rows:
                     continue

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, release, slices, texts
+from aspectra.llm.batches import column, forget, release, slices, texts
 from aspectra.llm.components import connected_components, local_forest
 from aspectra.plans.materialize import materialize
 
@@ -80,6 +80,7 @@ def simhash(docs: DataFrame, text: str = "text", shingle: int = 3, carry: tuple[
     schema = source.drop("__text").withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, "__text"):
                 fp = fingerprints(list(texts(column(part, "__text"))), shingle)

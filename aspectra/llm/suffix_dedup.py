@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aspectra.llm.anchors import mix, segments
-from aspectra.llm.batches import column, release, slices, text_views
+from aspectra.llm.batches import column, forget, release, slices, text_views
 from aspectra.llm.induced import repeats
 from aspectra.plans.materialize import materialize
 
@@ -106,6 +106,7 @@ def _mark_rows(docs: np.ndarray, places: np.ndarray, sizes: np.ndarray, parts: i
 
 def _hash_task(length: int, shards: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
@@ -177,6 +178,7 @@ def _shard_task(length: int, parts: int):
             yield _batch(rows[a : a + 64])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shard, held = None, []
         for batch in batches:
             passed = []
@@ -267,6 +269,7 @@ def _fetch_task(length: int):
     """Bytes of the asked segments, sent to their shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         ranges, held, size = _Ranges(), [], 0
 
         def send() -> Iterator[pa.RecordBatch]:
@@ -366,6 +369,7 @@ def _induce_task(length: int, parts: int, limit: int = HOLD_BYTES):
             yield _batch(rows[a : a + 64])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shard, held, spool = None, [], _Spool(limit)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -387,6 +391,7 @@ def _cut_task(carry: list[str], with_text: bool):
     names = [*carry, "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         ranges = _Ranges()
         for part, docs in _parted(batches, ranges):
             ids, version = _ids(docs)
@@ -410,6 +415,7 @@ def _cut_task(carry: list[str], with_text: bool):
                 pa.array(np.diff(offs)), pa.array(np.diff(total[offs])), pa.array(np.diff(spans[offs])), pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(arrays + ([pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string())] if with_text else []), names)
+        release()
 
     return run
 

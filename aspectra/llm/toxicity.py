@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aspectra.llm.batches import column, release, slices, text_views
+from aspectra.llm.batches import column, forget, release, slices, text_views
 from aspectra.plans.materialize import materialize
 
 #: n-gram lengths in code points and size of the hash space.
@@ -75,6 +75,7 @@ def _hits(cps: np.ndarray, offs: np.ndarray, slot: np.ndarray | None) -> tuple[n
 
 
 def _features_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in batches:
         for part in slices(batch, "text", 1 << 18):
             cps, offs = _code_points(column(part, "text"))
@@ -167,6 +168,7 @@ def score(docs: DataFrame, model: NgramModel, text: str = "text", carry: tuple[s
     schema = source.drop("__text").withColumn("score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, "__text", 1 << 20):
                 row, f = _hits(*_code_points(column(part, "__text")), model.slot)

@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 from aspectra.plans.materialize import materialize
 from aspectra.session import read_table
 
+#: Rows that go to a Python worker at once: texts are long, and a batch is held on both sides.
+BATCH_ROWS = 2000
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go; it learns from the labels table."""
     from aspectra.llm.toxicity import known_labels, score, train
 
+    small_batches(spark)
     rows = docs.select(*COLUMNS)
     model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
     return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
@@ -30,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     from aspectra.llm.simhash import simhash_groups
 
+    small_batches(spark)
     rows = docs.select(*COLUMNS)
     groups = simhash_groups(rows, shingle=3, radius=2)
     keep = groups.where("doc_id = component_id").select("doc_id").distinct()
@@ -43,6 +52,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     from aspectra.llm.suffix_dedup import remove_repeats
 
+    small_batches(spark)
     rows = docs.select(*COLUMNS).withColumn("n_chars", F.when(F.col("text").isNotNull(), 1).cast("long"))
     cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
     text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
@@ -53,6 +63,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it: never, once or twice."""
     from aspectra.llm.mixing import mix
 
+    small_batches(spark)
     mixed = mix(docs, carry=tuple(COLUMNS))
     return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
@@ -63,6 +74,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     from aspectra.llm.packing import pack
 
+    small_batches(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
