@@ -1,14 +1,19 @@
 """Near-duplicate embeddings by sorted projection passes.
 
 1. Equal vectors of a label become one class with a count.
-2. In each pass every class gets the signs of random projections, concatenated to one key;
-   the classes are range-sorted by (label, key), and each is compared with the window of
-   classes before it. Verified pairs are united, within a task and then over all passes.
+2. The classes of a label and length are a group. A group of at most ``EXACT`` classes is compared
+   whole. In a larger one every class gets, in each pass, the signs of random projections of its
+   difference from the group's mean, concatenated to one key; classes of one key are a run and
+   are compared whole, a large run block against block. Bits grow with the group, and so do the
+   passes, as many as a pair at the threshold needs to meet but for ``MISS``; a group whose
+   classes lie so close about their mean that whole comparison is less work is compared whole.
+   Verified pairs are united, within a task and then over all passes.
 3. Inside each united group all direct links are counted exactly, block against block, so a
-   dense group larger than any window loses none; only sums leave a task.
+   dense group larger than any run loses none; only sums leave a task.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,21 +28,38 @@ from aspectra.plans.materialize import materialize
 
 PASSES = 16
 WINDOW = 128
-KEY_BITS = 40
-#: Classes of a sorted range in a task, and of a block when links are counted.
-RANGE_ROWS = 65_536
+#: A run is aimed at this many windows of classes; sending a class counts as comparing it with SEND.
+RUN = 16
+SEND = 1000
+#: Groups up to this size are compared whole; elsewhere the expected share of pairs at the threshold that never meet.
+EXACT = 16_384
+MISS = 1e-3
+#: Classes of a block when a run is compared, and when links are counted.
+PAIR_BLOCK = 16_384
 BLOCK = 4096
 
 
 def _close(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
     """cosine >= threshold between unit rows; sums within rounding of it are taken again row by row."""
     dots = a @ b.T
-    hit = dots >= threshold
-    for i, j in np.argwhere(np.abs(dots - threshold) < 1e-12):
-        hit[i, j] = (a[i] * b[j]).sum() >= threshold
+    hit = dots >= threshold - 1e-12
+    if hit.any():
+        for i, j in np.argwhere(hit & (dots < threshold + 1e-12)):
+            hit[i, j] = (a[i] * b[j]).sum() >= threshold
     return hit
 
 
+def _linked(a: np.ndarray, b: np.ndarray, a32: np.ndarray, b32: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of the pairs of ``_close``: single precision leaves few, which are taken again in double."""
+    near = a32 @ b32.T >= np.float32(threshold - 1e-6 - 2e-7 * a.shape[1])
+    n = np.count_nonzero(near)
+    if n > near.size // 64:
+        return np.nonzero(_close(a, b, threshold))
+    i, j = np.nonzero(near) if n else (np.zeros(0, np.int64),) * 2
+    hit = (a[i] * b[j]).sum(axis=1) >= threshold
+    return i[hit], j[hit]
+
+
 def _runs(col: pa.Array) -> Iterator[tuple[int, int]]:
     """Row ranges of equal vector length."""
     size = col.value_lengths().to_numpy(zero_copy_only=False)
@@ -45,57 +67,120 @@ def _runs(col: pa.Array) -> Iterator[tuple[int, int]]:
     yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
 
 
-def _key_task(passes: int, seed: int):
+def plan(n: int, spread: float, threshold: float, passes: int, window: int) -> tuple[int, int]:
+    """(bits, passes) for a group of ``n`` classes; (0, 1) compares it whole.
+
+    ``spread``: mean squared distance of its unit vectors from their mean. A fifth is taken off,
+    as vectors nearer to the mean than most are parted more often.
+    """
+    aim = RUN * window
+    if n <= max(EXACT, aim):
+        return 0, 1
+    bits = math.ceil(math.log2(n / aim))
+    angle = math.acos(max(-1.0, 1 - (1 - threshold) / max(0.8 * spread, 1e-12)))
+    meet = (1 - angle / math.pi) ** bits
+    if meet <= SEND / n:
+        return 0, 1
+    passes = max(passes, math.ceil(math.log(MISS) / math.log1p(-meet))) if meet < 1 else passes
+    return (bits, passes) if passes * (aim + SEND) < n / 2 else (0, 1)
+
+
+def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of unit vectors of the task's rows, by label and length."""
+    sums: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for a, b in _runs(column(batch, "vector")):
+            part = batch.slice(a, b - a)
+            x, label = unit(matrix(column(part, "vector"))), column(part, "label").to_numpy()
+            for k in np.unique(label).tolist():
+                mine = x[label == k].sum(axis=0)
+                sums[k, x.shape[1]] = sums[k, x.shape[1]] + mine if (k, x.shape[1]) in sums else mine
+    for (label, dim), total in sums.items():
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(dim, label)), pa.array(np.full(dim, dim, np.int32)), pa.array(np.arange(dim, dtype=np.int32)), pa.array(total)], ["label", "dim", "at", "total"],
+        )
+
+
+def _key_task(plans: dict[tuple[int, int], tuple[np.ndarray, int, int]], seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             for a, b in _runs(column(batch, "vector")):
                 part = batch.slice(a, b - a)
-                x = matrix(column(part, "vector"))
-                for p in range(passes):
-                    planes = np.random.default_rng([seed, p, x.shape[1]]).standard_normal((x.shape[1], KEY_BITS))
-                    key = ((x @ planes) > 0) @ weights
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(x), p, np.int32)), column(part, "label"), pa.array(key), column(part, "cid"), column(part, "vector")], ["pass", "label", "key", "cid", "vector"],
-                    )
+                label, dim = column(part, "label").to_numpy(), len(part.column(part.schema.get_field_index("vector"))[0])
+                for k in np.unique(label).tolist():
+                    mine = part.filter(pa.array(label == k))
+                    mean, bits, passes = plans.get((k, dim), (0.0, 0, 1))
+                    x = unit(matrix(column(mine, "vector"))) - mean if bits else None
+                    for p in range(passes):
+                        key = np.zeros(mine.num_rows, np.int64)
+                        if bits:
+                            planes = np.random.default_rng([seed, p, dim]).standard_normal((dim, bits))
+                            key = ((x @ planes) > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                        yield pa.RecordBatch.from_arrays(
+                            [column(mine, "label"), pa.array(np.full(len(key), dim, np.int32)), pa.array(np.full(len(key), p, np.int32)), pa.array(key), column(mine, "cid"), column(mine, "vector")],
+                            ["label", "dim", "pass", "key", "cid", "vector"],
+                        )
 
     return run
 
 
-def _window_task(window: int, threshold: float):
+def _pair_task(threshold: float):
+    """Linked pairs of a run's block ``qb`` with its block ``tb``, as forests."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, cid, x = np.zeros((0, 2), np.int64), np.zeros(0, np.int64), None
-        for batch in batches:
-            for a, b in _runs(column(batch, "vector")):
-                part = batch.slice(a, b - a)
-                now = unit(matrix(column(part, "vector")))
-                if x is None or x.shape[1] != now.shape[1]:
-                    group, cid, x = np.zeros((0, 2), np.int64), np.zeros(0, np.int64), now[:0]
-                old = len(cid)
-                group = np.concatenate([group, np.stack([column(part, "pass").to_numpy(), column(part, "label").to_numpy()], axis=1)])
-                cid, x = np.concatenate([cid, column(part, "cid").to_numpy()]), np.concatenate([x, now])
-                us, vs = [], []
-                for at in range(old, len(cid), 256):
-                    to, low = min(at + 256, len(cid)), max(0, at - window)
-                    i, j = np.nonzero(_close(x[at:to], x[low:to], threshold))
-                    i, j = i + at, j + low
-                    ok = (j < i) & (i - j <= window) & (group[i] == group[j]).all(axis=1)
-                    u, v = local_forest(cid[i[ok]], cid[j[ok]])
+        for table, cuts in groups(batches, ("label", "dim", "pass", "key", "qb", "tb")):
+            cid, block = table.column("cid").to_numpy(), table.column("b").to_numpy()
+            qb, tb = table.column("qb").to_numpy(), table.column("tb").to_numpy()
+            vectors = table.column("vector").combine_chunks()
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                x, c = unit(matrix(vectors.slice(a, b - a))), cid[a:b]
+                same, asks = qb[a] == tb[a], np.flatnonzero(block[a:b] == qb[a])
+                asked = asks if same else np.flatnonzero(block[a:b] == tb[a])
+                y, d = x[asked], c[asked]
+                y32, us, vs = y.astype(np.float32), [], []
+                for at in range(0, len(asks), 256):
+                    q, low = asks[at : at + 256], at if same else 0
+                    i, j = _linked(x[q], y[low:], x[q].astype(np.float32), y32[low:], threshold)
+                    i, j = c[q][i], d[low:][j]
+                    u, v = local_forest(i[i != j], j[i != j])
                     us.append(u)
                     vs.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
-                group, cid, x = group[-window:], cid[-window:], x[-window:]
+                if us:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
 
     return run
 
 
 def projection_links(classes: DataFrame, threshold: float, passes: int = PASSES, window: int = WINDOW, seed: int = 17) -> DataFrame:
-    """(u, v): links found between classes (label, cid, vector), as forests that join the linked ones."""
-    n = classes.count()
-    keyed = classes.withColumn("dim", F.size("vector")).sortWithinPartitions("dim").drop("dim").mapInArrow(_key_task(passes, seed), "pass int, label long, key long, cid long, vector array<double>")
-    order = ["pass", "label", F.size("vector"), "key", "cid"]
-    ranged = keyed.repartitionByRange(max(1, -(-n * passes // RANGE_ROWS)), *order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(_window_task(window, threshold), "u long, v long")
+    """(u, v): links found between classes (label, cid, vector), as forests that join the linked ones.
+
+    ``passes`` is the least number of passes over a group that is not compared whole.
+    """
+    narrow = classes.withColumn("dim", F.size("vector"))
+    sizes = narrow.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(EXACT, RUN * window))
+    # at most a row per EXACT classes: the driver holds them
+    large = {(r.label, r.dim): r.n for r in sizes.collect()}
+    plans = {}
+    if large:
+        mine = narrow.join(F.broadcast(sizes.select("label", "dim")), ["label", "dim"], "left_semi").sortWithinPartitions("dim")
+        sums = mine.select("label", "vector").mapInArrow(_sum_task, "label long, dim int, at int, total double")
+        sums = sums.groupBy("label", "dim", "at").agg(F.sum("total").alias("total")).groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("at", "total"))).alias("total"))
+        for r in sums.collect():
+            mean = np.array([t.total for t in r.total]) / large[r.label, r.dim]
+            plans[r.label, r.dim] = (mean, *plan(large[r.label, r.dim], 1 - float(mean @ mean), threshold, passes, window))
+    keyed = narrow.sortWithinPartitions("dim", "label").drop("dim").mapInArrow(_key_task(plans, seed), "label long, dim int, pass int, key long, cid long, vector array<double>")
+    run = ["label", "dim", "pass", "key"]
+    if any(bits for _, bits, _ in plans.values()):
+        keyed = materialize(keyed, "projection-keys")
+    size = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("cid").alias("x"), F.bit_xor(F.xxhash64("cid")).alias("y"))
+    # a run that passes repeat, as a narrow cluster does, is compared once
+    size = size.groupBy("label", "dim", "n", "x", "y").agg(F.min(F.struct("pass", "key")).alias("r")).where("n > 1")
+    size = size.select("label", "dim", "r.pass", "r.key", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("nb"))
+    dealt = keyed.join(size, run).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+    pairs = pairs.select(*run, F.least("b", "other").alias("qb"), F.greatest("b", "other").alias("tb"), "b", "cid", "vector")
+    at = [*run, "qb", "tb"]
+    return pairs.repartition(*at).sortWithinPartitions(*at, "cid").mapInArrow(_pair_task(threshold), "u long, v long")
 
 
 def _count_task(threshold: float):

@@ -44,6 +44,50 @@ def test_links_match_brute_force(spark):
     assert max(len(k) for k in links) > 40
 
 
+def cone(tmp_path, n, cosine, pairs=300, dim=64, seed=21):
+    """One label: vectors about a common direction, and pairs among them planted at a cosine of 0.982."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    away = rng.standard_normal((n, dim - 1)) / np.sqrt(dim - 1)
+    x = unit(np.concatenate([np.full((n, 1), np.sqrt(cosine)), np.sqrt(1 - cosine) * away], axis=1))
+    side = rng.standard_normal((pairs, dim))
+    side = unit(side - (side * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs])
+    x = np.concatenate([x, 0.982 * x[:pairs] + np.sqrt(1 - 0.982**2) * side])
+    rows = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), dim).cast(pa.list_(pa.float64())), "label": np.zeros(len(x), np.int64)})
+    pq.write_table(rows, tmp_path / "cone.parquet", row_group_size=10_000)
+    return str(tmp_path / "cone.parquet"), n, pairs
+
+
+def recall(spark, path, n, pairs):
+    """Share of the planted pairs whose two vectors are in one component."""
+    got = near_duplicates(spark.read.parquet(path)).where(f"vec_id < {pairs} OR vec_id >= {n}")
+    return got.groupBy(F.col("vec_id") % n).agg(F.countDistinct("component_id").alias("k"), F.min("n_links").alias("l")).where("k = 1 AND l > 0").count() / pairs
+
+
+def test_pairs_in_a_narrow_cone_meet(spark, tmp_path):
+    from aspectra.llm.embedding_dedup import PASSES, WINDOW, plan
+
+    assert plan(100_300, 0.05, 0.98, PASSES, WINDOW) == (0, 1)
+    assert recall(spark, *cone(tmp_path, 100_000, 0.95)) == 1
+
+
+def test_pairs_in_a_wide_cone_meet_in_passes(spark, tmp_path):
+    from aspectra.llm.embedding_dedup import PASSES, WINDOW, plan
+
+    assert plan(120_300, 0.5, 0.98, PASSES, WINDOW) == (6, 16)
+    assert recall(spark, *cone(tmp_path, 120_000, 0.5)) == 1
+
+
+def test_bits_and_passes_grow_with_the_group():
+    from aspectra.llm.embedding_dedup import plan
+
+    got = [plan(n, 0.1, 0.98, 16, 128) for n in (16_384, 10**6, 10**8)]
+    assert got[0] == (0, 1) and 0 < got[1][0] < got[2][0] and 16 < got[1][1] < got[2][1]
+
+
 def test_blocks_of_a_large_group_count_all(spark):
     from aspectra.llm.embedding_dedup import link_counts
 
