@@ -7,9 +7,10 @@ file and come back in sequence. A first scan, upward, induces the L suffixes fro
 leftmost-S suffixes; a second, downward, induces the S suffixes from all before them. The common
 prefix of two induced neighbours is one more than the least one met between their sources.
 
-Only the first ``depth`` bytes are judged: the leftmost-S suffixes, a third of all, are the
-recursion's string; they are named by their first ``depth`` bytes, and distinct names are
-ordered byte by byte in words, descending only into what is still tied.
+Only the first ``depth`` bytes are judged: the leftmost-S suffixes, a third of all, are found a
+chunk of the text at a time and dealt to such queues by byte, recursively, until what shares its
+first bytes fits in memory. There they are named by their first ``depth`` bytes, and distinct
+names are ordered in words of eight bytes, descending only into what is still tied.
 """
 from __future__ import annotations
 
@@ -18,10 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from aspectra.llm.anchors import CHUNK, _INVERSES, _sums, mix
+from aspectra.llm.anchors import mix
 
 #: Tuples handled at a time.
 STEP = 1 << 16
+#: Bytes of text in which leftmost-S suffixes are looked for at a time.
+LOOK = 1 << 19
+#: Bytes of memory that sorting one suffix takes, at most about.
+SORT_BYTES = 128
 
 
 class DiskQueue:
@@ -60,6 +65,9 @@ class DiskQueue:
         raw = self.file.read(n * (self.kind.itemsize + 1))
         return np.frombuffer(raw, self.kind, n), np.frombuffer(raw, np.uint8, n, n * self.kind.itemsize)
 
+    def rows(self, byte: int) -> int:
+        return sum(len(p[0]) if isinstance(p[0], np.ndarray) else p[1] for p in self.parts[byte])
+
     def take(self, byte: int, backwards: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """A byte's tuples, oldest first (or last first), with those that arrive meanwhile."""
         parts = self.parts[byte]
@@ -137,11 +145,14 @@ def _common(text: np.ndarray, a: int, b: int, depth: int) -> int:
 
 def _words(text: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
     """The eight bytes at each place as one big-endian word; zeros after the end."""
-    grid = text[np.minimum(place[:, None] + np.arange(8), len(text) - 1)]
-    over = place + 8 > n
-    if over.any():
-        grid[over] *= place[over, None] + np.arange(8) < n
-    return grid.view(">u8")[:, 0].astype(np.uint64)
+    out = np.zeros(len(place), np.uint64)
+    over = np.flatnonzero(place + 8 > n)
+    if n >= 8:
+        out[:] = np.ndarray((n - 7,), ">u8", text, strides=(1,))[np.minimum(place, n - 8)]
+    if len(over):
+        at = place[over, None] + np.arange(8)
+        out[over] = (text[np.minimum(at, n - 1)] * (at < n)).astype(np.uint8).view(">u8")[:, 0]
+    return out
 
 
 def leftmost_s(text: np.ndarray) -> np.ndarray:
@@ -156,20 +167,37 @@ def leftmost_s(text: np.ndarray) -> np.ndarray:
     return starts[1:][up]
 
 
-def sorted_leftmost_s(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places of the leftmost-S suffixes in order of their first ``depth`` bytes, common prefixes)."""
-    n, places = len(text), leftmost_s(text)
-    if not len(places):
-        return places, np.zeros(0, np.uint8)
-    name = np.empty(len(places), np.uint64)
-    for a in range(0, n, CHUNK - depth):  # equal first bytes have equal names
-        b = min(n, a + CHUNK)
-        i, j = np.searchsorted(places, [a, a + CHUNK - depth])
-        if i < j:
-            sums, p = _sums(text[a:b], 1), places[i:j] - a
-            end = np.minimum(p + depth, b - a)
-            name[i:j] = mix((sums[end] - sums[p]) * _INVERSES[1][p] + (end - p).astype(np.uint64))
+def leftmost_s_chunks(text: np.ndarray) -> Iterator[np.ndarray]:
+    """The places of ``leftmost_s``, found in ``LOOK`` bytes at a time."""
+    n, end = len(text), 0
+    for a in range(0, n, LOOK):
+        b = min(n, a + LOOK)
+        if end < b:  # the run that holds the chunk's last byte ends before ``end``
+            end = b
+            while end < n:
+                other = np.flatnonzero(text[end : end + STEP] != text[b - 1])
+                if len(other):
+                    end += int(other[0])
+                    break
+                end = min(n, end + STEP)
+        # of that run one byte is enough, then the byte that follows it
+        low = max(0, a - 1)
+        piece = np.concatenate([text[low:b], text[end : end + 1]])
+        places = leftmost_s(piece) + low
+        yield places[(places >= a) & (places < b)]
+
+
+def _sorted_in_memory(text: np.ndarray, places: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ascending ``places`` in order of their first ``depth`` bytes, common prefixes; the first is 0)."""
+    n = len(text)
+    name = np.zeros(len(places), np.uint64)
+    for d in range(0, depth, 8):  # equal first bytes have equal names
+        word = _words(text, places + d, n)
+        if d + 8 > depth:
+            word >>= np.uint64(8 * (d + 8 - depth))
+        name = mix(name + word + np.uint64(d + 1))
     _, first, inverse = np.unique(name, return_index=True, return_inverse=True)
+    del name
     reps = places[first]
     tied = np.arange(len(reps))
     rank = np.zeros(len(reps), np.int64)
@@ -188,11 +216,15 @@ def sorted_leftmost_s(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndar
         tied = t[~alone]
         if not len(tied):
             break
-    order = np.argsort(rank[inverse], kind="stable")
-    places = places[order]
+    inverse = rank[inverse]
+    order = np.argsort(inverse, kind="stable")
+    places, inverse = places[order], inverse[order]
     prefix = np.zeros(len(places), np.uint8)
-    open_ = np.arange(1, len(places))
+    prefix[1:] = depth
+    open_ = np.flatnonzero(inverse[1:] != inverse[:-1]) + 1
     for d in range(0, depth, 8):
+        if not len(open_):
+            break
         x = _words(text, places[open_] + d, n) ^ _words(text, places[open_ - 1] + d, n)
         same = x == 0
         # leading equal bytes of the words
@@ -201,11 +233,56 @@ def sorted_leftmost_s(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndar
             lead += (x >> np.uint64(8 * (8 - b))) == 0
         prefix[open_] = np.minimum(depth, d + np.where(same, 8, lead))
         open_ = open_[same]
-        if not len(open_):
-            break
     return places, prefix
 
 
+def _dealt(text: np.ndarray, chunks: Iterator[np.ndarray], d: int, kind: np.dtype, limit: int) -> DiskQueue:
+    """Places of ``chunks`` in queues by the byte ``d`` after them (0 after the end), in order of arrival."""
+    queue, n = DiskQueue(kind, limit), len(text)
+    for places in chunks:
+        at = places.astype(np.int64) + d
+        byte = np.where(at < n, text[np.minimum(at, n - 1)], 0)
+        order = np.argsort(byte, kind="stable")
+        cuts = np.searchsorted(byte[order], np.arange(257))
+        for c in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+            part = places[order[cuts[c] : cuts[c + 1]]]
+            queue.push(c, part, np.zeros(len(part), np.uint8))
+    return queue
+
+
+def _in_order(text: np.ndarray, queue: DiskQueue, byte: int, d: int, depth: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A byte's places, which share their first ``d`` bytes, by their first ``depth`` bytes; chunks with common prefixes.
+
+    The first prefix of a sorted run is 0: the caller joins the runs. What is larger than
+    ``limit`` allows is dealt again by its next byte, with half the limit.
+    """
+    rows = queue.rows(byte)
+    if d < depth and rows > max(STEP, limit // SORT_BYTES):
+        inner = _dealt(text, (p for p, _ in queue.take(byte)), d, queue.kind, max(1 << 16, limit // 2))
+        for c in range(256):
+            yield from _in_order(text, inner, c, d + 1, depth, limit)
+    elif rows and d >= depth:  # all equal: in order of place
+        for k, (places, _) in enumerate(queue.take(byte)):
+            prefix = np.full(len(places), depth, np.uint8)
+            prefix[0] = depth if k else 0
+            yield places.astype(np.int64), prefix
+    elif rows:
+        places = np.concatenate([p for p, _ in queue.take(byte)]).astype(np.int64)
+        places, prefix = _sorted_in_memory(text, places, depth)
+        for a in range(0, len(places), STEP):
+            yield places[a : a + STEP], prefix[a : a + STEP]
+
+
+def sorted_leftmost_s(text: np.ndarray, queue: DiskQueue, byte: int, depth: int, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Chunks (places, common prefixes) of the leftmost-S suffixes of ``byte``, by their first ``depth`` bytes."""
+    last = None
+    for places, prefix in _in_order(text, queue, byte, 1, depth, limit):
+        if last is not None and not prefix[0]:  # all share a byte, so only a run's first has 0
+            prefix[0] = _common(text, last, int(places[0]), depth)
+        last = int(places[-1])
+        yield places, prefix
+
+
 def suffix_stream(text: np.ndarray, depth: int, limit: int = 64 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All suffixes of ``text`` from the largest to the smallest by their first ``depth`` bytes.
 
@@ -216,9 +293,7 @@ def suffix_stream(text: np.ndarray, depth: int, limit: int = 64 << 20) -> Iterat
     if not n:
         return
     kind = np.int32 if n < 1 << 31 else np.int64
-    seeds, shared = sorted_leftmost_s(text, depth)
-    seed_byte = text[seeds]
-    cuts = np.searchsorted(seed_byte, np.arange(257))
+    seeds = _dealt(text, leftmost_s_chunks(text), 0, kind, limit)
     upward, kept = DiskQueue(kind, limit), DiskQueue(kind, limit)
     scan = _Scan(text, upward, depth)
     scan.started[text[n - 1]] = True
@@ -229,13 +304,13 @@ def suffix_stream(text: np.ndarray, depth: int, limit: int = 64 << 20) -> Iterat
             kept.push(c, place, prefix)
             scan.induce(place, prefix, c, 255)
             last = int(place[-1])
-        a, b = int(cuts[c]), int(cuts[c + 1])
-        for s in range(a, b, STEP):
-            place, prefix = seeds[s : min(b, s + STEP)], shared[s : min(b, s + STEP)].copy()
-            if s == a:
+        first = True
+        for place, prefix in sorted_leftmost_s(text, seeds, c, depth, limit):
+            if first:
                 prefix[0] = _common(text, last, int(place[0]), depth) if last is not None else 0
+            first = False
             scan.induce(place, prefix, c + 1, 255)
-    del seeds, shared
+    del seeds
     downward = DiskQueue(kind, limit)
     scan = _Scan(text, downward, depth)
     for c in range(255, -1, -1):

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -38,6 +39,31 @@ def test_induced_order_prefixes_and_repeats(piece, times, length, step, limit):
         assert a[:k] == b[:k] and (k == min(len(a), len(b)) or a[k] != b[k])
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab\x00", max_size=200), st.integers(1, 9))
+def test_leftmost_s_by_chunks(piece, look):
+    text = np.frombuffer((piece + "b" * 20 + piece).encode(), np.uint8)
+    induced.LOOK, kept = look, induced.LOOK
+    try:
+        got = np.concatenate(list(induced.leftmost_s_chunks(text)))
+    finally:
+        induced.LOOK = kept
+    assert got.tolist() == induced.leftmost_s(text).tolist()
+
+
+def test_memory_of_the_sort_does_not_grow_with_the_text():
+    rng = np.random.default_rng(6)
+    peaks = []
+    for n in (1 << 20, 1 << 22):
+        text = rng.integers(97, 123, n).astype(np.uint8)
+        text[n // 2 : n // 2 + 5000] = text[:5000]
+        tracemalloc.start()
+        next(induced.suffix_stream(text, 100, 1 << 20))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert max(peaks) < 40 << 20 and peaks[1] < 1.5 * peaks[0], peaks
+
+
 def test_each_string_is_in_one_segment_and_equal_strings_share_an_anchor():
     rng = np.random.default_rng(4)
     part = rng.integers(97, 100, 900).astype(np.uint8)
