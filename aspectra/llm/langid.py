@@ -135,8 +135,8 @@ def training_texts(docs: DataFrame, train_bytes: int = 160_000, rows_per_lang: i
     """
     draw = F.xxhash64(F.lit(seed), "doc_id", "text")
     spoken = docs.where("lang IS NOT NULL AND length(text) > 0")
-    # a row per language; of a large one about four times the rows needed come into the draw
-    counts = {r["lang"]: r["n"] for r in docs.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # a row per language, of rows with text; of a large one about four times the rows needed come into the draw
+    counts = {r["lang"]: r["n"] for r in spoken.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     limits = [F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 4 * rows_per_lang / n))]
     if not limits:
         return []

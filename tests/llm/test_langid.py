@@ -66,3 +66,14 @@ def test_nothing_learned_and_empty_table(spark):
     docs = corpus(spark)
     assert {(r.lang_pred, r.score) for r in identify(docs.select("doc_id", "text"), []).collect()} == {("und", 0.0)}
     assert language_id(docs.limit(0)).count() == 0
+
+
+def test_rows_without_text_do_not_thin_out_the_training(spark):
+    from pyspark.sql import functions as F
+
+    from aspectra.llm.langid import training_texts
+
+    blank = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, F.lit("")).alias("text"), F.lit("xx").alias("lang"))
+    spoken = spark.range(20_000, 20_040).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text"), F.lit("xx").alias("lang"))
+    [(lang, text)] = training_texts(blank.unionByName(spoken))
+    assert lang == "xx" and sorted(text.split(b"\n")[:-1]) == [b"word %d" % i for i in range(20_000, 20_040)]
