@@ -62,6 +62,14 @@ def subset_counts(size: np.ndarray, count: np.ndarray, budget: int, draw: np.nda
         rest -= int(size[fit].sum())
     if rest <= 0:
         return take
+    if rest > width:
+        # each length left is over half the rest and two exceed it: none, the nearest one or the two smallest
+        left = order[take[order] < count[order]]
+        low = left[np.argsort(size[left], kind="stable")]
+        picks = [[], *([i] for i in low.tolist()), np.repeat(low[:2], np.minimum(2, (count - take)[low[:2]]))[:2].tolist()]
+        best = min(picks, key=lambda p: (abs(int(size[p].sum()) - rest), int(size[p].sum())) if p else (rest, 0))
+        np.add.at(take, np.array(best, np.int64), 1)
+        return take
     # bounded knapsack: first[s] is the item that first reached the sum s
     aim = min(rest, width)
     top = 2 * aim

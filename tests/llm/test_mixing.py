@@ -20,6 +20,24 @@ def test_knapsack_is_as_near_as_any_subset(counts, budget, width):
         assert abs(int((take * size).sum()) - budget) == best
 
 
+def test_very_long_documents_come_near_the_budget():
+    assert subset_counts(np.array([200_000]), np.array([3]), 390_000, np.array([0])).tolist() == [2]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(50, 400), min_size=1, max_size=5, unique=True), st.integers(1, 3), st.integers(41, 99))
+def test_lengths_above_the_programme_are_tried(lengths, copies, budget):
+    """Nothing is taken beforehand, as the budget is near the width: the best of all subsets is due."""
+    size, count, width = np.array(lengths), np.full(len(lengths), copies), 40
+    if budget >= (size * count).sum() or np.floor(count * ((budget - width) / (size * count).sum())).any() or (size <= budget - width // 2).any():
+        return
+    sums = {0}
+    for s in lengths:
+        sums = {a + k * s for a in sums for k in range(copies + 1)}
+    take = subset_counts(size, count, budget, np.arange(len(size)), width)
+    assert (take <= count).all() and abs(int((take * size).sum()) - budget) == min(abs(a - budget) for a in sums)
+
+
 def water(sizes, weights, share=1.5, most=2.0):
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
