@@ -134,3 +134,56 @@ WITH e AS (
 )
 SELECT anchor_id, positive_id, CAST(r AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 5
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.prefix_trie import prefix_trie
+
+    c = F.col("conv_id")
+    return prefix_trie(read_table(spark, sf_dir, "conversations"), c - c % 5, F.crc32(c.cast("string")) % 9)
+
+
+# DuckDB has no crc32: the fold takes a byte of the number's decimals (0 to 255) and then its eight bits (-1)
+ORACLE["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, octet_length(encode(coalesce(text, ''))) AS bytes, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS tok,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT conv_id, list(tok ORDER BY p) AS toks, list(bytes ORDER BY p) AS sizes FROM t GROUP BY conv_id
+), c AS (
+  SELECT conv_id, toks, sizes, conv_id - conv_id % 5 AS base,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END)) % 9 AS h
+  FROM l
+), r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.toks[1:c.h], []), c.toks[c.h + 1:]) AS toks, list_concat(coalesce(b.sizes[1:c.h], []), c.sizes[c.h + 1:]) AS sizes
+  FROM c LEFT JOIN l b ON b.conv_id = c.base
+), w AS (
+  SELECT conv_id, d AS depth, d = len(toks) AS ends, md5(array_to_string(toks[1:d], ',')) AS name,
+         CASE WHEN d > 0 THEN md5(array_to_string(toks[1:d - 1], ',')) END AS up, CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(len(toks) + 1)) AS d FROM r)
+), n AS (
+  SELECT depth, name, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM w GROUP BY depth, name
+), k AS (
+  SELECT depth - 1 AS depth, up AS name, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2
+), m AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM n LEFT JOIN k USING (depth, name)
+), s AS (
+  SELECT w.depth, w.name, CAST(count(*) FILTER (m.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((m.n_convs - 1) * m.bytes) AS BIGINT) AS saved_tokens
+  FROM m JOIN w ON w.conv_id = m.conv_id AND w.depth <= m.depth GROUP BY w.depth, w.name
+)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, m.ends_sha256
+FROM m JOIN s USING (depth, name) LEFT JOIN m q ON q.depth = m.depth - 1 AND q.name = m.up
+"""
+
+
+@query
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from aspectra.llm.order_minhash import fingerprints
+
+    return fingerprints(read_table(spark, sf_dir, "documents"))
