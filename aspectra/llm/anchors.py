@@ -102,3 +102,25 @@ def _chunk_segments(piece: np.ndarray, a: int, offs: np.ndarray, length: int, gr
     offset = (best[start] - start).astype(np.uint64)
     size = (stop - start).astype(np.uint64)
     return start + a, stop - start, gram_hash, mix(body + (offset << np.uint64(32)) + size)
+
+
+def anchor_offsets(data: np.ndarray, start: np.ndarray, length: int, gram: int = GRAM, step: int = 4096) -> np.ndarray:
+    """How many bytes after ``start`` the anchor stands of the string of ``length`` bytes that starts there."""
+    out = np.empty(len(start), np.int64)
+    n, low = length - gram + 1, np.uint64((1 << _POSITION_BITS) - 1)
+    for a in range(0, len(start), step):
+        rows = data[start[a : a + step, None] + np.arange(length)]
+        sums = np.zeros((len(rows), length + 1), np.uint64)
+        np.cumsum(_TABLES[0][rows] * _POWERS[0][:length], axis=1, out=sums[:, 1:])
+        h = mix((sums[:, gram:] - sums[:, :-gram]) * _INVERSES[0][:n])
+        out[a : a + step] = (h & ~low).argmin(axis=1)  # leftmost on equal upper bits
+    return out
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of the bytes from ``start`` to ``stop`` of each range, whatever its place; all have one length."""
+    out = np.zeros(len(start), np.uint64)
+    width = int((stop - start).max()) if len(start) else 0
+    for k in range(width):  # by columns, so that no copy of all ranges is held
+        out += _TABLES[1][data[start + k]] * _POWERS[1][k]
+    return mix(out)

@@ -3,9 +3,11 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 #: Bytes of text handled at a time inside a task (one longer text is a slice of its own).
 SLICE_BYTES = 4 << 20
@@ -41,6 +43,23 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         start = end
 
 
+#: Bytes of rows that go to a Python worker at once where texts are long: a batch is held on both sides.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, limit: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs started inside send at most ``limit`` bytes of rows to a Python worker at once; the session's
+    own setting holds again afterwards."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 #: What operators remember in a worker from task to task; each entry clears one such memory.
 REMEMBERED: list[Callable[[], None]] = []
 

@@ -20,15 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aspectra.llm import batches
-from aspectra.llm.batches import column, release, slices, texts
+from aspectra.llm.batches import batch_bytes, column, release, slices, texts
 from aspectra.plans.materialize import materialize
 
 LENGTH = 4096
 END = 2
 DIMS = 3
-#: Hash space of the document vectors, and words of a generation that a worker remembers.
+#: Hash space of the document vectors; bytes of words and pieces that a worker remembers, and of a remembered entry beside its two strings.
 FEATURES = 1024
-REMEMBERED = 300_000
+REMEMBERED = 32 << 20
+ENTRY = 200
+#: Bytes of text that are tokenised at a time.
+TOKENIZED = 1 << 20
 STOPS = b".,;:!?"
 #: Letters whose lower case is one letter and which composition leaves alone.
 LATIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E]+)([.,;:!?]*)")
@@ -42,7 +45,8 @@ class WordTokenizer:
     The tokenizer's pieces never span white space, so a text's ids are its words' ids in a row. A
     word of Latin letters, with or without stops after it, is the piece of its letters in lower
     case and the piece of its stops; other words are encoded as they stand. Two generations of
-    words are held: words that come again move on to the younger one.
+    words are held: words that come again move on to the younger one. Each generation and the pieces
+    get a third of ``remembered`` bytes, tested at every word.
     """
 
     def __init__(self, file: str, remembered: int = REMEMBERED):
@@ -51,7 +55,8 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.uint32
-        self.remembered = remembered
+        self.limit = remembered // 3
+        self.young_bytes = self.piece_bytes = 0
         self.code = "H" if self.kind == np.uint16 else "I"
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -62,10 +67,6 @@ class WordTokenizer:
         """(ids of all rows in a row, number of ids of each row); nulls have none."""
         lists = pc.ascii_split_whitespace(col.fill_null("") if col.null_count else col)
         coded = lists.flatten().dictionary_encode()
-        if len(self.young) > self.remembered:
-            self.young, self.old = {}, self.young
-        if len(self.pieces) > self.remembered:
-            self.pieces = {}
         words = list(texts(coded.dictionary))
         blobs = list(map(self.young.get, words))
         missing = [i for i, b in enumerate(blobs) if b is None]
@@ -82,7 +83,7 @@ class WordTokenizer:
                 else:
                     fresh.append(i)
                     continue
-            blobs[i] = self.young[w] = ids
+            blobs[i] = self._remember(w, ids)
         for a in range(0, len(fresh), 500):  # as one line; a token belongs to the word in which it starts
             line = [words[i].decode() for i in fresh[a : a + 500]]
             whole = self.tokenizer.encode(" ".join(line), add_special_tokens=False)
@@ -90,7 +91,7 @@ class WordTokenizer:
             starts = np.cumsum([0] + [len(w) + 1 for w in line])
             cuts = np.searchsorted(np.fromiter((o[0] for o in whole.offsets), np.int64, len(ids)), starts).tolist()
             for i, x, y in zip(fresh[a : a + 500], cuts, cuts[1:]):
-                blobs[i] = self.young[words[i]] = ids[x:y].tobytes()
+                blobs[i] = self._remember(words[i], ids[x:y].tobytes())
         flat = np.frombuffer(b"".join(blobs), self.kind)
         size = np.fromiter(map(len, blobs), np.int32, len(blobs)) // np.dtype(self.kind).itemsize
         code = coded.indices.to_numpy()
@@ -101,12 +102,23 @@ class WordTokenizer:
         total = np.concatenate([[0], ends])
         return flat[at], np.diff(total[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]).astype(np.int64)
 
+    def _remember(self, word: bytes, ids: bytes) -> bytes:
+        self.young_bytes += len(word) + len(ids) + ENTRY
+        if self.young_bytes > self.limit:
+            self.young, self.old, self.young_bytes = {}, self.young, len(word) + len(ids) + ENTRY
+        self.young[word] = ids
+        return ids
+
     def _piece(self, piece: bytes) -> bytes:
         """Ids of a run of letters in lower case, or of stops."""
         ids = self.pieces.get(piece)
         if ids is None:
             letters = piece.decode("ascii") if piece.isascii() else piece.decode().translate(self.signs)
-            ids = self.pieces[piece] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            ids = array(self.code, [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+            self.piece_bytes += len(piece) + len(ids) + ENTRY
+            if self.piece_bytes > self.limit:
+                self.pieces, self.piece_bytes = {}, len(piece) + len(ids) + ENTRY
+            self.pieces[piece] = ids
         return ids
 
 
@@ -169,7 +181,7 @@ def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), t
             return counts @ axes / np.sqrt(np.maximum((counts * counts).sum(axis=1, keepdims=True), 1e-12))
 
         for batch in parts:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", TOKENIZED):
                 ids, n = coder.encode(column(part, "__text"))
                 ends = np.cumsum(n).tolist()
                 blobs = [ids[a:b].tobytes() for a, b in zip([0, *ends], ends)]
@@ -214,7 +226,8 @@ def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text:
     empty table has no pieces. ``partitions``: ranges of the curve (the session's shuffle
     partitions if not given).
     """
-    coded = materialize(tokenize(docs, file, carry, text, seed), "packing-ids")
+    with batch_bytes(docs.sparkSession):
+        coded = materialize(tokenize(docs, file, carry, text, seed), "packing-ids")
     keyed = curve_keys(coded).drop(*[f"p{k}" for k in range(DIMS)])
     tie = F.xxhash64(*carry, "n")
     ranged = keyed.withColumn("tie", tie)

@@ -5,12 +5,15 @@
    rows, and sends their hashes to a shard named by the anchor; no shard sees a text yet.
 2. In a shard every segment but the first of equal ones is a repeat. First segments that share
    an anchor but differ may still share some of their strings: only their bytes are fetched.
+   Where an anchor has very many, each is cut into classes of a few strings, which go to shards of
+   their own by the bytes that all strings of the class have, so a hot anchor is spread as well.
 3. The suffixes of a shard's fetched segments are sorted by external induction (``induced``),
    which gives the strings that occur in more than one of them; the earliest stays.
 4. Repeats go back to their documents, and the bytes they cover are cut out.
 
-Shards and documents are dealt by hash, so equal strings always meet. Arrays travel as binary
-columns, a row for each task and shard.
+Shards and documents are dealt by hash, so equal strings always meet. The number of shards follows
+the bytes of text. Arrays travel as binary columns: a task gathers what it has for all shards and
+sends a row for each of them when a number of bytes is reached.
 """
 from __future__ import annotations
 
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aspectra.llm.anchors import mix, segments
+from aspectra.llm.anchors import anchor_offsets, mix, range_hashes, segments
 from aspectra.llm.batches import column, forget, release, slices, text_views
 from aspectra.llm.induced import repeats
 from aspectra.plans.materialize import materialize
@@ -33,7 +36,15 @@ from aspectra.plans.materialize import materialize
 LENGTH = 100
 #: Bytes of text after which a task sends its segments, and of tuples and texts it holds in memory.
 SEND_BYTES = 12 << 20
-HOLD_BYTES = 96 << 20
+HOLD_BYTES = 48 << 20
+#: Bytes of text for each shard.
+SHARD_BYTES = 4 << 20
+#: Ranges that a task gathers before it sends them.
+GATHER = 1 << 18
+#: An anchor with more unequal segments than this is spread over shards, in classes of so many neighbouring strings.
+HEAVY = 4096
+CLASS = 4
+_SPREAD = -1
 #: A document's place is its version (rows that share a doc_id and differ in text) and byte.
 _VERSION = 40
 _NO_ID = -(1 << 63)
@@ -81,34 +92,43 @@ def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return ids, column(batch, "__version").to_numpy().astype(np.int64) << _VERSION
 
 
-def _merged(docs: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte ranges sorted by document and place, those that touch joined."""
-    order = np.lexsort((places, docs))
-    d, p, e = docs[order], places[order], (places + sizes)[order]
-    if not len(d):
-        return d, p, e
-    new_doc = np.ones(len(d), bool)
-    new_doc[1:] = d[1:] != d[:-1]
-    base = np.cumsum(new_doc)  # running maxima of ends, apart for each document
-    reach = np.maximum.accumulate(e.astype(np.float64) / 2**62 + base)
-    head = new_doc.copy()
-    head[1:] |= p[1:].astype(np.float64) / 2**62 + base[1:] > reach[:-1]
-    heads = np.flatnonzero(head)
-    return d[heads], p[heads], np.maximum.reduceat(e, heads) - p[heads]
+class _Outbox:
+    """Ranges of bytes on their way to their documents (kind 1: repeats, kind 2: requests of a shard).
 
+    Held for all parts together and sent as a row for each part when ``GATHER`` are held.
+    """
+
+    def __init__(self, kind: int, parts: int):
+        self.kind, self.parts, self.held, self.size = kind, parts, [], 0
 
-def _mark_rows(docs: np.ndarray, places: np.ndarray, sizes: np.ndarray, parts: int) -> list[tuple]:
-    """Rows that carry repeated byte ranges to their documents."""
-    order = np.lexsort((places, docs))
-    docs, places, sizes = docs[order], places[order], sizes[order]
-    return [_row(p, 1, docs[i], places[i], sizes[i]) for p, i in _by_part(_deal(docs, parts))]
+    def add(self, docs: np.ndarray, places: np.ndarray, sizes: np.ndarray, shard: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        if len(docs):
+            self.held.append((docs, places, sizes, np.zeros(len(docs), np.int32) if shard is None else shard))
+            self.size += len(docs)
+        if self.size >= GATHER:
+            yield from self.send()
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        docs, places, sizes, shard = (np.concatenate(x) for x in zip(*self.held))
+        self.held, self.size = [], 0
+        order = np.lexsort((places, docs))
+        docs, places, sizes, shard = docs[order], places[order], sizes[order], shard[order]
+        rows = [_row(p, self.kind, docs[i], places[i], sizes[i], shard[i].tobytes() if self.kind == 2 else b"") for p, i in _by_part(_deal(docs, self.parts))]
+        yield from _batches(rows)
+
+
+def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(rows), 64):
+        yield _batch(rows[a : a + 64])
 
 
 def _hash_task(length: int, shards: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         held: list[tuple[np.ndarray, ...]] = []
-        size = 0
+        size, marks = 0, _Outbox(1, parts)
 
         def send() -> Iterator[pa.RecordBatch]:
             doc, place, count, gram, body = (np.concatenate(x) for x in zip(*held))
@@ -119,16 +139,14 @@ def _hash_task(length: int, shards: int, parts: int):
             # a row that repeats a document is the same occurrence, not a repeat
             origin = np.maximum.accumulate(np.where(head, np.arange(len(doc)), 0))
             again = (doc != doc[origin]) | (place != place[origin])
-            rows = []
-            if again.any():
-                rows += _mark_rows(doc[again], place[again], count[again] + length - 1, parts)
+            yield from marks.add(doc[again], place[again], count[again] + length - 1)
             order = np.flatnonzero(head)
             order = order[np.lexsort((place[order], doc[order]))]
+            rows = []
             for shard, i in _by_part((gram[order] % np.uint64(shards)).astype(np.int32)):
                 i = order[i]
                 rows.append(_row(shard, 0, doc[i], place[i], count[i], gram[i].tobytes(), body[i].tobytes()))
-            for a in range(0, len(rows), 64):
-                yield _batch(rows[a : a + 64])
+            yield from _batches(rows)
 
         for batch in batches:
             for part in slices(batch, "__text"):
@@ -145,15 +163,16 @@ def _hash_task(length: int, shards: int, parts: int):
                     held, size = [], 0
         if held:
             yield from send()
+        yield from marks.send()
         release()
 
     return run
 
 
-def _shard_task(length: int, parts: int):
+def _shard_task(length: int, parts: int, heavy: int = HEAVY):
     """Segments of a shard: all but the first of equal ones are repeats, unequal ones of one anchor are asked for."""
 
-    def settle(shard: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def settle(shard: int, held: list[tuple[np.ndarray, ...]], marks: _Outbox, asks: _Outbox) -> Iterator[pa.RecordBatch]:
         doc, place, count, gram, body = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((place, doc, body, gram))
         doc, place, count, gram, body = doc[order], place[order], count[order], gram[order], body[order]
@@ -164,22 +183,15 @@ def _shard_task(length: int, parts: int):
         origin = np.maximum.accumulate(np.where(head, np.arange(len(doc)), 0))
         again = (doc != doc[origin]) | (place != place[origin])
         kinds = np.add.reduceat(head.astype(np.int64), np.flatnonzero(new_gram))
-        ask = np.flatnonzero(head & (kinds[np.cumsum(new_gram) - 1] > 1))
-        rows = []
-        if again.any():
-            rows += _mark_rows(doc[again], place[again], count[again] + length - 1, parts)
-        if len(ask):
-            ask = ask[np.lexsort((place[ask], doc[ask]))]
-            where = _deal(doc[ask], parts)
-            for p, i in _by_part(where):
-                i = ask[i]
-                rows.append(_row(p, 2, doc[i], place[i], count[i], np.full(len(i), shard, np.int32).tobytes()))
-        for a in range(0, len(rows), 64):
-            yield _batch(rows[a : a + 64])
+        kinds = kinds[np.cumsum(new_gram) - 1]
+        ask = np.flatnonzero(head & (kinds > 1))
+        yield from marks.add(doc[again], place[again], count[again] + length - 1)
+        yield from asks.add(doc[ask], place[ask], count[ask], np.where(kinds[ask] > heavy, _SPREAD, shard).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
         shard, held = None, []
+        out = _Outbox(1, parts), _Outbox(2, parts)
         for batch in batches:
             passed = []
             for row in batch.to_pylist():
@@ -187,7 +199,7 @@ def _shard_task(length: int, parts: int):
                     passed.append(tuple(row[f] for f in _FIELDS))
                     continue
                 if row["part"] != shard and held:
-                    yield from settle(shard, held)
+                    yield from settle(shard, held, *out)
                     held = []
                 shard = row["part"]
                 held.append((
@@ -197,7 +209,9 @@ def _shard_task(length: int, parts: int):
             if passed:
                 yield _batch(passed)
         if held:
-            yield from settle(shard, held)
+            yield from settle(shard, held, *out)
+        for box in out:
+            yield from box.send()
         release()
 
     return run
@@ -265,23 +279,60 @@ def _parted(batches: Iterator[pa.RecordBatch], ranges: _Ranges) -> Iterator[tupl
                 ranges.add(piece)
 
 
-def _fetch_task(length: int):
+def _classes(count: np.ndarray, raw: np.ndarray, start: np.ndarray, length: int, shards: int, width: int = CLASS) -> tuple[np.ndarray, ...]:
+    """Segments of heavy anchors cut into classes: (segment, first string in it, strings, shard).
+
+    Strings whose anchor stands at ``width`` neighbouring offsets are a class. The bytes that all of
+    them have name the shard; equal strings have equal offsets, so they have one class and shard.
+    """
+    offset = anchor_offsets(raw, start, length)
+    # a segment's strings have offsets offset, offset - 1, ...; classes are runs of offsets with one quotient
+    low = offset - count + 1
+    n = offset // width - low // width + 1
+    seg = np.repeat(np.arange(len(start)), n)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    top = np.minimum(offset[seg], (offset[seg] // width - nth) * width + width - 1)
+    bottom = np.maximum(low[seg], (offset[seg] // width - nth) * width)
+    first, strings = offset[seg] - top, top - bottom + 1
+    # common bytes: from the start of the last possible string of the class to the end of the first
+    least = top // width * width
+    gram = start[seg] + offset[seg]
+    name = range_hashes(raw, gram - least, gram - (least + width - 1) + length)
+    return seg, first, strings, (mix(name + top.astype(np.uint64) // np.uint64(width)) % np.uint64(shards)).astype(np.int32)
+
+
+def _fetch_task(length: int, shards: int):
     """Bytes of the asked segments, sent to their shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        ranges, held, size = _Ranges(), [], 0
+        ranges, held, size, marks = _Ranges(), [], 0, _Outbox(1, shards)
 
         def send() -> Iterator[pa.RecordBatch]:
             shard, doc, place, count = (np.concatenate([h[k] for h in held]) for k in range(4))
             raw = np.concatenate([h[4] for h in held])
-            ends = np.cumsum(count + length - 1)
+            start = np.cumsum(count + length - 1) - (count + length - 1)
+            spread = np.flatnonzero(shard == _SPREAD)
+            if len(spread):
+                seg, first, strings, own = _classes(count[spread], raw, start[spread], length, shards)
+                plain, seg = np.flatnonzero(shard != _SPREAD), spread[seg]
+                # of equal classes the first is sent, so a hot passage costs a class for each task
+                body = _bodies(raw, start[seg] + first, strings + length - 1) ^ own.astype(np.uint64)
+                order = np.lexsort((place[seg] + first, doc[seg], strings, body))
+                head = np.ones(len(order), bool)
+                head[1:] = (body[order][1:] != body[order][:-1]) | (strings[order][1:] != strings[order][:-1])
+                later = order[~head]
+                yield from marks.add(doc[seg[later]], (place[seg] + first)[later], strings[later] + length - 1)
+                order = order[head]
+                seg, first, strings, own = seg[order], first[order], strings[order], own[order]
+                doc = np.concatenate([doc[plain], doc[seg]])
+                start = np.concatenate([start[plain], start[seg] + first])
+                place, count = np.concatenate([place[plain], place[seg] + first]), np.concatenate([count[plain], strings])
+                shard = np.concatenate([shard[plain], own])
             rows = []
             for s, i in _by_part(shard):
-                bytes_ = raw[_spans(ends[i] - count[i] - length + 1, count[i] + length - 1)]
-                rows.append(_row(s, 3, doc[i], place[i], count[i], bytes_.tobytes()))
-            for a in range(0, len(rows), 64):
-                yield _batch(rows[a : a + 64])
+                rows.append(_row(s, 3, doc[i], place[i], count[i], raw[_spans(start[i], count[i] + length - 1)].tobytes()))
+            yield from _batches(rows)
 
         for part, docs in _parted(batches, ranges):
             ids, version = _ids(docs)
@@ -297,11 +348,21 @@ def _fetch_task(length: int):
                 held, size = [], 0
         if held:
             yield from send()
+        yield from marks.send()
         release()
 
     return run
 
 
+def _bodies(raw: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of all bytes of each range; the sizes take few values."""
+    out = np.zeros(len(start), np.uint64)
+    for n in np.unique(size).tolist():
+        of = size == n
+        out[of] = range_hashes(raw, start[of], start[of] + n)
+    return out
+
+
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
@@ -338,7 +399,7 @@ def _scratch(n: int, kind: type, limit: int) -> np.ndarray:
 def _induce_task(length: int, parts: int, limit: int = HOLD_BYTES):
     """Strings that more than one of a shard's segments hold, by external induced sorting."""
 
-    def settle(held: list[tuple[np.ndarray, ...]], spool: _Spool) -> Iterator[pa.RecordBatch]:
+    def settle(held: list[tuple[np.ndarray, ...]], spool: _Spool, marks: _Outbox) -> Iterator[pa.RecordBatch]:
         doc, place, count = (np.concatenate(x) for x in zip(*held))
         raw, size = spool.array(), count + length - 1
         start = np.cumsum(size) - size
@@ -364,24 +425,26 @@ def _induce_task(length: int, parts: int, limit: int = HOLD_BYTES):
         heads = np.flatnonzero(head)
         n = np.diff(np.append(heads, len(found)))
         s = seg[heads]
-        rows = _mark_rows(doc[s], place[s] + found[heads] - (ends - size)[s], n + length - 1, parts)
-        for a in range(0, len(rows), 64):
-            yield _batch(rows[a : a + 64])
+        yield from marks.add(doc[s], place[s] + found[heads] - (ends - size)[s], n + length - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        shard, held, spool = None, [], _Spool(limit)
+        shard, held, spool, marks = None, [], _Spool(limit), _Outbox(1, parts)
         for batch in batches:
-            for k in range(batch.num_rows):
+            kinds = column(batch, "kind").to_numpy()
+            if (kinds == 1).any():  # repeats that are known already pass through
+                yield batch.select(_FIELDS).filter(pa.array(kinds == 1))
+            for k in np.flatnonzero(kinds != 1).tolist():
                 row = {f: column(batch, f)[k].as_py() for f in _FIELDS}
                 if row["part"] != shard and held:
-                    yield from settle(held, spool)
+                    yield from settle(held, spool, marks)
                     held, spool = [], _Spool(limit)
                 shard = row["part"]
                 held.append((_unpacked(row["docs"], np.int64), _unpacked(row["places"], np.int64), np.frombuffer(row["sizes"], np.int32).astype(np.int64)))
                 spool.add(row["first"])
         if held:
-            yield from settle(held, spool)
+            yield from settle(held, spool, marks)
+        yield from marks.send()
         release()
 
     return run
@@ -434,7 +497,7 @@ def _with_versions(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.withColumn("__version", F.coalesce("v", F.lit(0))).drop("id", "hash", "v")
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False, shard_bytes: int = SHARD_BYTES, heavy: int = HEAVY) -> DataFrame:
     """``carry`` columns, n_bytes, n_removed, n_spans, kept_sha256 and, on request, kept:
     the remaining text, without the bytes of characters that a cut has halved.
 
@@ -443,10 +506,11 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id
     cross documents and are judged on the input. Rows that repeat a doc_id and text are one
     document, and each gets its result; rows that give one doc_id different texts, and rows
     without a doc_id (before all others), are documents in order of their texts' hash. Texts
-    shorter than ``length`` are kept. An empty table gives an empty result.
+    shorter than ``length`` are kept. An empty table gives an empty result. There is a shard for each
+    ``shard_bytes`` of text; an anchor with more than ``heavy`` unequal segments is spread over them.
     """
-    spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    parts = 1 + size // shard_bytes
     rows = _with_versions(docs, doc_id, text)
 
     @F.pandas_udf("int")
@@ -455,16 +519,16 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",), doc_id
 
     texts = rows.select("__id", "__version", "__text")
     hashed = texts.mapInArrow(_hash_task(length, parts, parts), _SCHEMA)
-    settled = hashed.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_shard_task(length, parts), _SCHEMA)
+    settled = hashed.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(_shard_task(length, parts, heavy), _SCHEMA)
     settled = materialize(settled, "suffix-settled")
 
     def meet(ranges: DataFrame, keep: DataFrame) -> DataFrame:
         """Ranges and documents of a part in one task, ranges first."""
         own = keep.withColumns({"part": deal(F.coalesce("__id", F.lit(_NO_ID))), "kind": F.lit(9)})
-        return ranges.unionByName(own, allowMissingColumns=True).repartition(parts // 4, "part").sortWithinPartitions("part", "kind")
+        return ranges.unionByName(own, allowMissingColumns=True).repartition(parts, "part").sortWithinPartitions("part", "kind")
 
-    fetched = meet(settled.where("kind = 2"), texts).mapInArrow(_fetch_task(length), _SCHEMA)
-    shards = fetched.repartition(parts // 4, "part").sortWithinPartitions("part")
+    fetched = meet(settled.where("kind = 2"), texts).mapInArrow(_fetch_task(length, parts), _SCHEMA)
+    shards = fetched.repartition(parts, "part").sortWithinPartitions("part")
     induced = materialize(shards.mapInArrow(_induce_task(length, parts), _SCHEMA), "suffix-induced")
     marks = settled.where("kind = 1").unionByName(induced)
     extra = [F.col(c).alias(f"__{i}") for i, c in enumerate(carry)]

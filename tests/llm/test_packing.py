@@ -16,7 +16,7 @@ ODD = [
 
 
 def test_remembered_words_give_the_tokenizers_ids():
-    own, plain = WordTokenizer(FILE, remembered=20), Tokenizer.from_file(FILE)
+    own, plain = WordTokenizer(FILE, remembered=3000), Tokenizer.from_file(FILE)
     for texts in (ODD, ODD[::-1], ["Word, word. WORD word"] * 3):
         ids, counts = own.encode(pa.array([*texts, None]))
         ends = np.cumsum(counts)
@@ -80,3 +80,17 @@ def test_neighbours_on_the_curve_are_alike(spark):
     rows = sorted(pack(docs, FILE, partitions=1).collect(), key=lambda r: (r.sequence_id, r.offset))
     order = [r.doc_id % 3 for r in rows if r.start == 0]
     assert sum(a == b for a, b in zip(order, order[1:])) > 70
+
+
+def test_what_a_worker_remembers_is_bounded_by_bytes():
+    import random
+
+    from aspectra.llm.packing import ENTRY
+
+    own, plain, draw = WordTokenizer(FILE, remembered=300_000), Tokenizer.from_file(FILE), random.Random(4)
+    for _ in range(20):
+        text = " ".join("".join(draw.choices("abcdeé.9", k=draw.randint(1, 30))) for _ in range(2000))
+        ids, _ = own.encode(pa.array([text]))
+        for memory in (own.young, own.old, own.pieces):
+            assert sum(len(k) + len(v) + ENTRY for k, v in memory.items()) <= 100_000 + 400
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids

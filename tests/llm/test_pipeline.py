@@ -128,6 +128,24 @@ def test_odd_documents_pass_all_stages(spark, sf_dir, documents):
             assert (out.count() > 0) == (rows is docs)
 
 
+def test_texts_that_share_an_id_are_judged_apart(spark, sf_dir):
+    one, two, three = (" ".join(f"{w}{i * i % 97}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, one, "en", "a"), (2, one, "en", "a"), (2, two, "en", "a"), (2, two, "en", "a"), (3, three, None, None), (None, three, "en", "b"), (None, two + " x y", "en", "b"), (9, None, "fr", "a")]
+    docs = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    pairs = sorted([(r.doc_id, r.text) for r in got], key=str)
+    near = sorted([(1, one), (2, two), (3, three), (9, None)], key=str)
+    assert [p for p in pairs if p[0] is not None] == near and len(pairs) <= 5
+
+
+def test_stages_leave_the_session_as_it_was(spark, sf_dir, documents):
+    docs = documents.selectExpr("doc_id", "text", "lang", "source", "n AS n_chars")
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    corpus_pipeline.suffix_dedup(spark, docs, sf_dir).count()
+    after = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert before == after
+
+
 def test_run_is_the_chain_of_stages(spark, sf_dir, stages):
     assert corpus_pipeline.run(spark, sf_dir).count() == len(stages[-1])
     assert entry.queries()["pipeline"] is corpus_pipeline.run

@@ -96,16 +96,11 @@ def brute(rows, length=100):
     return out
 
 
-@pytest.mark.parametrize("parts", ["2", "7"])
-def test_documents_match_brute_force(spark, documents, parts):
-    kept = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", parts)
-    try:
-        rows = {(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()}
-        order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
-        got = remove_repeats(documents, carry=("doc_id", "text", "part", "kind"), length=100).collect()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", kept)
+@pytest.mark.parametrize(("shard_bytes", "heavy"), [(1 << 24, 4096), (3000, 4096), (3000, 1)])
+def test_documents_match_brute_force(documents, shard_bytes, heavy):
+    rows = {(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    got = remove_repeats(documents, carry=("doc_id", "text", "part", "kind"), length=100, shard_bytes=shard_bytes, heavy=heavy).collect()
     want = brute(order)
     assert len(got) == documents.count()
     for r in got:
@@ -128,3 +123,52 @@ def test_halved_characters_go_and_empty_table(spark, documents):
     got = {r.doc_id: r for r in remove_repeats(docs, with_text=True).collect()}
     assert got[2].kept == "aè" and got[2].n_removed == 120
     assert remove_repeats(documents.limit(0)).count() == 0
+
+
+def hot_rows(n, seed=5):
+    """A passage in ``n`` different surroundings, some of which share a few bytes beside it."""
+    rng = np.random.default_rng(seed)
+    letters = np.frombuffer(b"abcdefghij", np.uint8)
+    passage = rng.choice(letters, 170).tobytes().decode()
+    side = lambda k: rng.choice(letters, k).tobytes().decode()
+    return [(i, side(40) + "xyz"[: i % 4] + passage + "qrs"[: i % 3] + side(40)) for i in range(n)]
+
+
+def test_a_hot_anchor_is_spread(spark):
+    rows = hot_rows(12_000)
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), shard_bytes=1 << 18).collect()
+    want = brute(rows)
+    for r in got:
+        assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id, rows[r.doc_id][1]], r.doc_id
+    assert len(got) == len(rows) and sum(r.n_removed for r in got) > 170 * 11_990
+
+
+def test_hot_strings_reach_each_shard_once_a_task():
+    from aspectra.llm.suffix_dedup import _bodies, _classes
+
+    raw = np.frombuffer("".join(t for _, t in hot_rows(500)).encode(), np.uint8)
+    sizes = [len(t) for _, t in hot_rows(500)]
+    start, count, gram, _ = segments(raw, np.concatenate([[0], np.cumsum(sizes)]), 100)
+    seg, first, strings, shard = _classes(count, raw, start, 100, 64)
+    at = start[seg] + first
+    cover = np.sort(np.concatenate([np.arange(a, a + n) for a, n in zip(at, strings)]))
+    assert np.array_equal(cover, np.sort(np.concatenate([np.arange(a, a + n) for a, n in zip(start, count)])))
+    home = {}
+    for a, n, s in zip(at.tolist(), strings.tolist(), shard.tolist()):
+        for p in range(a, a + n):
+            assert home.setdefault(raw[p : p + 100].tobytes(), s) == s  # equal strings meet
+    most = np.bincount(shard, minlength=64).max()
+    bodies = {(b, n, s) for b, n, s in zip(_bodies(raw, at, strings + 99).tolist(), strings.tolist(), shard.tolist())}
+    assert np.bincount([s for _, _, s in bodies], minlength=64).max() < most
+
+
+@pytest.mark.parametrize("tasks", [4, 32, 128])
+def test_message_rows_follow_tasks_and_shards(spark, documents, tasks):
+    from aspectra.llm.suffix_dedup import _SCHEMA, _hash_task, _shard_task
+
+    texts = documents.selectExpr("doc_id AS __id", "0 AS __version", "coalesce(text, '') AS __text").where("__id IS NOT NULL")
+    parts = 3
+    sent = texts.repartition(tasks).mapInArrow(_hash_task(100, parts, parts), _SCHEMA)
+    assert sent.count() <= 2 * tasks * parts
+    settled = sent.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_shard_task(100, parts), _SCHEMA)
+    assert settled.count() <= 2 * tasks * parts + 2 * parts * parts
