@@ -1,48 +1,63 @@
 """Corpus pipeline: five stages over the documents table, each written and reread as Parquet.
 
 Every stage works on all rows that its predecessor kept. All but the last return the columns of
-documents; ``n_chars`` follows the text where a stage changes it.
+documents; ``n_chars`` follows the text where a stage changes it. A stage writes its result itself,
+while a limit on the bytes that go to a Python worker at once holds, and returns the table read
+back; the session's own limit holds again afterwards.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aspectra.plans.materialize import materialize
 from aspectra.session import read_table
 
-#: Rows that go to a Python worker at once: texts are long, and a batch is held on both sides.
-BATCH_ROWS = 2000
-
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def _written(spark: SparkSession, name: str, result: Callable[[], DataFrame]) -> DataFrame:
+    from aspectra.llm.batches import batch_bytes
+
+    with batch_bytes(spark):
+        return materialize(result(), f"pipeline-{name}")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go; it learns from the labels table."""
     from aspectra.llm.toxicity import known_labels, score, train
 
-    small_batches(spark)
     rows = docs.select(*COLUMNS)
-    model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
-    return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
+
+    def result() -> DataFrame:
+        model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
+        return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
+
+    return _written(spark, "toxicity", result)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: the one that names its component.
+    """One row of each SimHash group stays: the one with the smallest doc_id (null last).
 
-    Of rows that repeat a doc_id one stays; rows without a doc_id stay, as no group names them.
+    Rows are told apart by doc_id and by a hash of all their columns, so texts that share a doc_id
+    are judged each by itself; among rows of one group and doc_id the smallest hash stays, and of
+    rows that are equal in all columns one.
     """
     from aspectra.llm.simhash import simhash_groups
 
-    small_batches(spark)
-    rows = docs.select(*COLUMNS)
-    groups = simhash_groups(rows, shingle=3, radius=2)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return rows.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS).unionByName(rows.where("doc_id IS NULL"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]).alias("hash"))
+    rows = docs.select(*COLUMNS).withColumn("row", row)
+
+    def result() -> DataFrame:
+        groups = simhash_groups(rows, doc_id="row", shingle=3, radius=2)
+        keep = groups.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.hash").alias("kept_hash"))
+        same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row.hash") == F.col("kept_hash"))
+        kept = rows.join(keep.distinct(), same, "left_semi").withColumn("hash", F.col("row.hash"))
+        return kept.dropDuplicates(["doc_id", "hash"]).select(*COLUMNS)
+
+    return _written(spark, "near_duplicates", result)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,20 +67,23 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     from aspectra.llm.suffix_dedup import remove_repeats
 
-    small_batches(spark)
     rows = docs.select(*COLUMNS).withColumn("n_chars", F.when(F.col("text").isNotNull(), 1).cast("long"))
-    cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
-    text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+    def result() -> DataFrame:
+        cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
+        text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
+        return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+    return _written(spark, "suffix_dedup", result)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it: never, once or twice."""
     from aspectra.llm.mixing import mix
 
-    small_batches(spark)
-    mixed = mix(docs, carry=tuple(COLUMNS))
-    return mixed.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    mixed = mix(docs, carry=tuple(COLUMNS)).where("copies > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return _written(spark, "mixing", lambda: mixed.withColumn("copy", copies).select(*COLUMNS))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,8 +92,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     from aspectra.llm.packing import pack
 
-    small_batches(spark)
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return _written(spark, "packing", lambda: pack(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
 STAGES = [
@@ -92,8 +109,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
+    for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = materialize(docs, f"pipeline-{name}")
     return docs
