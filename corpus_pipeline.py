@@ -1,14 +1,12 @@
 """Corpus pipeline: five stages over the documents table, each written and reread as Parquet.
 
 Every stage works on all rows that its predecessor kept. All but the last return the columns of
-documents; ``n_chars`` follows the text where a stage changes it. A stage writes its result itself,
-while a limit on the bytes that go to a Python worker at once holds, and returns the table read
-back; the session's own limit holds again afterwards.
+documents; ``n_chars`` follows the text where a stage changes it. Texts are long, so a stage bounds
+the bytes that go to a Python worker at once where the session has not set that limit itself; its
+result is computed after it returns, so only ``run`` puts the setting back.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,24 +16,24 @@ from aspectra.session import read_table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _written(spark: SparkSession, name: str, result: Callable[[], DataFrame]) -> DataFrame:
-    from aspectra.llm.batches import batch_bytes
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bounded(spark: SparkSession) -> None:
+    from aspectra.llm.batches import BATCH_BYTES
 
-    with batch_bytes(spark):
-        return materialize(result(), f"pipeline-{name}")
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go; it learns from the labels table."""
     from aspectra.llm.toxicity import known_labels, score, train
 
+    _bounded(spark)
     rows = docs.select(*COLUMNS)
-
-    def result() -> DataFrame:
-        model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
-        return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
-
-    return _written(spark, "toxicity", result)
+    model = train(rows.select("doc_id", "text"), known_labels(read_table(spark, sf_dir, "labels")))
+    return score(rows, model, carry=tuple(COLUMNS)).where("score < 0.5").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,17 +45,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     from aspectra.llm.simhash import simhash_groups
 
-    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]).alias("hash"))
-    rows = docs.select(*COLUMNS).withColumn("row", row)
-
-    def result() -> DataFrame:
-        groups = simhash_groups(rows, doc_id="row", shingle=3, radius=2)
-        keep = groups.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.hash").alias("kept_hash"))
-        same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("row.hash") == F.col("kept_hash"))
-        kept = rows.join(keep.distinct(), same, "left_semi").withColumn("hash", F.col("row.hash"))
-        return kept.dropDuplicates(["doc_id", "hash"]).select(*COLUMNS)
-
-    return _written(spark, "near_duplicates", result)
+    _bounded(spark)
+    row_hash = F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS])
+    rows = docs.select(*COLUMNS, row_hash.alias("hash"), F.coalesce("doc_id", F.lit(0)).alias("known"))
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "known", "hash")
+    groups = simhash_groups(rows.withColumn("row", row), doc_id="row", shingle=3, radius=2)
+    keep = groups.where("doc_id = component_id").select("doc_id.known", "doc_id.hash").distinct()
+    return rows.join(keep, ["known", "hash"], "left_semi").dropDuplicates(["known", "hash"]).select(*COLUMNS)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,23 +61,20 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """
     from aspectra.llm.suffix_dedup import remove_repeats
 
+    _bounded(spark)
     rows = docs.select(*COLUMNS).withColumn("n_chars", F.when(F.col("text").isNotNull(), 1).cast("long"))
-
-    def result() -> DataFrame:
-        cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
-        text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
-        return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
-
-    return _written(spark, "suffix_dedup", result)
+    cut = remove_repeats(rows, carry=("doc_id", "lang", "source", "n_chars"), length=100, with_text=True)
+    text = F.when(F.col("n_chars").isNotNull(), F.col("kept"))
+    return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stands as often as the mix takes it: never, once or twice."""
     from aspectra.llm.mixing import mix
 
+    _bounded(spark)
     mixed = mix(docs, carry=tuple(COLUMNS)).where("copies > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
-    return _written(spark, "mixing", lambda: mixed.withColumn("copy", copies).select(*COLUMNS))
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -92,7 +83,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     from aspectra.llm.packing import pack
 
-    return _written(spark, "packing", lambda: pack(docs, public_tokenizers.path("word_bpe_49k.json")))
+    _bounded(spark)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
@@ -108,7 +100,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spark.conf.get(BATCH_SETTING, None)
     docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    try:
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    finally:
+        if own is None:
+            spark.conf.unset(BATCH_SETTING)
     return docs
