@@ -138,14 +138,15 @@ def test_texts_that_share_an_id_are_judged_apart(spark, sf_dir):
     assert [p for p in pairs if p[0] is not None] == near and len(pairs) <= 5
 
 
-def test_stages_leave_the_session_as_it_was(spark, sf_dir, documents):
-    docs = documents.selectExpr("doc_id", "text", "lang", "source", "n AS n_chars")
-    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    corpus_pipeline.suffix_dedup(spark, docs, sf_dir).count()
-    after = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert before == after
-
-
 def test_run_is_the_chain_of_stages(spark, sf_dir, stages):
+    key = corpus_pipeline.BATCH_SETTING
+    spark.conf.unset(key)
     assert corpus_pipeline.run(spark, sf_dir).count() == len(stages[-1])
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "3m")  # a limit of the caller's own is left alone
+    try:
+        corpus_pipeline.toxicity(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+        assert spark.conf.get(key) == "3m"
+    finally:
+        spark.conf.unset(key)
     assert entry.queries()["pipeline"] is corpus_pipeline.run
