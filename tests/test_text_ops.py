@@ -186,3 +186,38 @@ def test_lexicon_long_sentence_and_islands(spark):
     got = {r.sid: r.triplets for r in lexicon.lexicon_predict(rows, vocab, lex).collect()}
     assert [(t.aspect, t.opinion) for t in got["s"]] == [("a b", "x"), ("c", "x"), ("x y z", "y z"), ("c", "y z")]
     assert len(got["long"]) == 7000 and got["none"] == []
+
+
+def plain_greedy(matches):
+    longest = {}
+    for i, n in matches:
+        longest[i] = max(n, longest.get(i, 0))
+    kept, end = [], 0
+    for i in sorted(longest):
+        if i >= end:
+            kept.append((i, longest[i]))
+            end = i + longest[i]
+    return kept
+
+
+def test_greedy_matches_equal_a_plain_scan(spark):
+    import random
+
+    draw = random.Random(8)
+    rows = [(k, [(i, n) for i in range(draw.randint(1, 60)) for n in range(1, 6) if draw.random() < 0.3]) for k in range(300)]
+    rows += [(1000, [(i, 1 + i % 5) for i in range(100_000)]), (1001, [(0, 5)]), (1002, [])]
+    df = spark.createDataFrame(rows, "k int, m array<struct<i:int,n:int>>")
+    got = {r.k: [tuple(x) for x in r.m] for r in lexicon.greedy_matches(df, ["k"], "m", 5).collect()}
+    assert got == {k: plain_greedy(m) for k, m in rows}
+
+
+def test_greedy_matches_of_many_tokens_finish_in_seconds(spark):
+    import time
+
+    times = []
+    for n in (100_000, 100_000, 400_000):
+        df = spark.range(1).selectExpr("1 AS k", f"transform(sequence(0, {n - 1}), i -> struct(i, 3 AS n)) AS m")
+        start = time.time()
+        assert lexicon.greedy_matches(df, ["k"], "m", 3).selectExpr("size(m) AS s").first().s == -(-n // 3)
+        times.append(time.time() - start)
+    assert times[1] < 10 and times[2] < 8 * times[1] + 5
