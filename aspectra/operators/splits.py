@@ -5,7 +5,9 @@ never depends on partitioning, executor loss/retry or arrival order (streaming-s
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aspectra.functions.text import col_
@@ -30,6 +32,60 @@ def hash_split(df: DataFrame, key: str, valid_ratio: float = 0.15, test_ratio: f
     )
 
 
+def exact_split(df: DataFrame, key: str, valid_ratio: float = 0.15, test_ratio: float = 0.15, seed: int = 42, out: str = "split", bits: int = 16) -> DataFrame:
+    """T6 with exact sizes: ceil(n * test_ratio) test rows, of the others ceil(rest * valid_ratio /
+    (1 - test_ratio)) valid ones, the rest train; rows in order of their seeded hash, then key.
+
+    The two places where the order is cut are found by counting rows per hash prefix (``bits``
+    bits, so at most 2**bits counts); only rows whose prefix holds a cut are ranked, all
+    others fall to one side by their prefix. No global sort. Rows that repeat a key are ordered by a
+    hash of all their columns; equal rows may fall to either side, but as many of them each time.
+    An empty table stays empty.
+    """
+    if not (0 <= test_ratio < 1 and 0 <= valid_ratio and valid_ratio + test_ratio < 1):
+        raise ValueError("ratios must satisfy 0 <= valid, 0 <= test, valid + test < 1")
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(col_(key).cast("string"), F.lit(""))))
+    prefix = F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), 32 - bits)
+    rows = df.withColumns({"_h": h, "_p": prefix, "_x": F.xxhash64(*df.columns)})
+    counts = {r["_p"]: r["count"] for r in rows.groupBy("_p").count().collect()}  # at most 2**bits
+    n = sum(counts.values())
+    n_test = math.ceil(n * test_ratio - 1e-9)
+    cuts = [n_test, n_test + math.ceil((n - n_test) * (valid_ratio / (1 - test_ratio)) - 1e-9)]
+    before, at, total = {}, [], 0
+    for p in sorted(counts):
+        if any(total < c < total + counts[p] for c in cuts):
+            before[p] = total
+        at.append((total, p))
+        total += counts[p]
+    # the first prefix that lies wholly behind a cut
+    limits = [next((p for start, p in at if start >= c), 1 << bits) for c in cuts]
+    side = lambda place, first, second: F.when(place < first, "test").when(place < second, "valid").otherwise("train")
+    whole = rows.where(~F.col("_p").isin(*before)) if before else rows
+    whole = whole.withColumn(out, side(F.col("_p"), *limits))
+    for p, start in before.items():  # at most two prefixes
+        order = Window.partitionBy("_p").orderBy("_h", key, "_x")
+        mine = rows.where(F.col("_p") == p).withColumn(out, side(F.row_number().over(order) - 1 + F.lit(start), *cuts))
+        whole = whole.unionByName(mine)
+    return whole.drop("_h", "_p", "_x")
+
+
+def overlap_matrix(items: DataFrame, group: str, value: str) -> DataFrame:
+    """(a, b, shared): how many distinct values the groups ``a`` and ``b`` have in common, for every
+    pair of groups a <= b, 0 included; on the diagonal the distinct values of a group.
+
+    For corpora by text, and for aspect pools of splits by aspect. Values travel as 128 bits of
+    hash. The set of groups of a value is aggregated once, equal sets are counted, and only the
+    distinct sets are expanded into pairs. Null groups and values are left out.
+    """
+    named = items.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    hashed = named.select(F.col(group).alias("g"), F.xxhash64(F.lit(1), value).alias("x"), F.xxhash64(F.lit(2), value).alias("y"))
+    sets = hashed.groupBy("x", "y").agg(F.array_sort(F.collect_set("g")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    pairs = sets.select(F.explode("s").alias("a"), "s", "n").select("a", F.explode("s").alias("b"), "n").where("a <= b")
+    names = named.groupBy().agg(F.array_sort(F.collect_set(group)).alias("s"))
+    every = names.select(F.explode("s").alias("a"), "s").select("a", F.explode("s").alias("b"), F.lit(0).alias("n")).where("a <= b")
+    return pairs.unionByName(every).groupBy("a", "b").agg(F.sum("n").alias("shared"))
+
+
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """T5: the n rows with the smallest seeded hash (planned as a top-k, no full sort)."""
     return df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))).orderBy(

@@ -209,6 +209,13 @@ def q_hash_split(spark, sf_dir):
     return hash_split(views.documents(spark, sf_dir).select("doc_id"), "doc_id")
 
 
+@query("exact_split")
+def q_exact_split(spark, sf_dir):
+    from aspectra.operators.splits import exact_split
+
+    return exact_split(views.documents(spark, sf_dir).select("doc_id"), "doc_id")
+
+
 @query("seeded_sample")
 def q_seeded_sample(spark, sf_dir):
     from aspectra.operators.splits import seeded_sample
@@ -377,6 +384,24 @@ def q_leakage_audit(spark, sf_dir):
     return leakage_audit(s, text="sent", split="split", benchmark=bench_s)
 
 
+@query("corpus_overlap")
+def q_corpus_overlap(spark, sf_dir):
+    """J12 between corpora: distinct sentences that each pair of sources shares, zeros included."""
+    from aspectra.operators.splits import overlap_matrix
+
+    return overlap_matrix(views.plain_sentences(spark, sf_dir), "source", "sent")
+
+
+@query("aspect_pool_overlap")
+def q_aspect_pool_overlap(spark, sf_dir):
+    """J12 of aspect pools: distinct aspects that each pair of splits shares, zeros included."""
+    from aspectra.functions.text import norm_key
+    from aspectra.operators.splits import hash_split, overlap_matrix
+
+    pools = hash_split(views.triplet_rows(spark, sf_dir), "doc_id").select("split", norm_key("aspect").alias("aspect"))
+    return overlap_matrix(pools.where("aspect <> ''"), "split", "aspect")
+
+
 # ---------------------------------------------------------------- stats tables per corpus, row selection
 
 
@@ -986,6 +1011,36 @@ def q_validate_stats(spark, sf_dir):
     )
 
 
+#: Rows of a statistics document.
+DOCUMENT_ROWS = 1000
+
+
+@query("stats_documents")
+def q_stats_documents(spark, sf_dir):
+    """S6 + P19 over whole documents: the rows of ``validate_stats`` in documents of about
+    ``DOCUMENT_ROWS`` rows, dealt by hash, with even ones a named table and odd ones a bare array; each
+    source has one more document without the table. Every row comes back with its index, its
+    violation or its normalised fields."""
+    from aspectra.operators.splits import hash_unit
+    from aspectra.operators.validate import stats_documents
+    from aspectra.plans.materialize import materialize
+
+    lines = materialize(_dirty_stats_lines(spark, sf_dir), "stats-dirty")
+    lines = lines.select(F.get_json_object("value", "$.id").alias("id"), "value").withColumn("source", F.split_part("id", F.lit("|"), F.lit(1)))
+    sizes = lines.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(DOCUMENT_ROWS)).alias("n"))
+    dealt = lines.join(sizes, "source").withColumn("chunk", F.floor(hash_unit("id", seed=11) * F.col("n")))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "value"))), lambda x: x["value"]), ",")
+    docs = dealt.groupBy("source", "chunk").agg(F.concat(F.lit("["), rows, F.lit("]")).alias("value"))
+    docs = docs.withColumn("value", F.when(F.col("chunk") % 2 == 0, F.concat(F.lit('{"gold": [], "predicted": '), "value", F.lit("}"))).otherwise(F.col("value")))
+    without = sizes.select("source", F.lit(-1).cast("long").alias("chunk"), F.lit('{"gold": []}').alias("value"))
+    out = stats_documents(docs.unionByName(without))
+    shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x["reason"], F.lit(":"), x["n"].cast("string"))), ",").alias(c)
+    return out.select(
+        "source", "chunk", F.col("row_index").cast("long").alias("row_index"), "violation", "aspect", "positive", "negative", "neutral", "total",
+        "majority_sentiment", shown("positive_reasons"), shown("negative_reasons"), shown("neutral_reasons"),
+    )
+
+
 # ---------------------------------------------------------------- retry loop and synthetic tables
 
 

@@ -304,6 +304,7 @@ sql(
     + """, cnt AS (SELECT sp.sid, sp.split, (SELECT count(*) FROM tt WHERE tt.doc_id = sp.doc_id AND tt.pos = sp.pos) AS triplet_count FROM sp)
 SELECT split, triplet_count, count(*) AS sentences FROM cnt GROUP BY ALL""",
 )
+from aspectra.plans.sqlviews import lower_strip as _lower_strip  # noqa: E402
 from aspectra.plans.sqlviews import sentence_array as _sa  # noqa: E402
 
 sql(
@@ -320,6 +321,29 @@ UNION ALL SELECT 'benchmark_in_items', count(*) FROM bt WHERE text IN (SELECT te
 )
 
 
+
+
+def _overlap_sql(ctes: str) -> str:
+    """Matrix over a CTE ``d`` of distinct (g, x)."""
+    return ctes + """, names AS (SELECT DISTINCT g FROM d),
+c AS (SELECT p.g AS a, q.g AS b, count(*) AS n FROM d p JOIN d q ON p.x = q.x AND p.g <= q.g GROUP BY 1, 2)
+SELECT p.g AS a, q.g AS b, coalesce(c.n, 0) AS shared FROM names p JOIN names q ON p.g <= q.g LEFT JOIN c ON c.a = p.g AND c.b = q.g"""
+
+
+sql("corpus_overlap", _overlap_sql(with_views("v2") + ", d AS (SELECT DISTINCT source AS g, sent AS x FROM v2 WHERE source IS NOT NULL)"))
+sql(
+    "aspect_pool_overlap",
+    _overlap_sql(with_views("v4") + f", d AS (SELECT DISTINCT {_split_case(_hash_u('doc_id'))} AS g, {_lower_strip('aspect')} AS x FROM v4 WHERE {_lower_strip('aspect')} <> '')"),
+)
+sql(
+    "exact_split",
+    with_views("v1")
+    + """, r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) AS k, count(*) OVER () AS n FROM v1),
+c AS (SELECT *, ceil(n * 0.15 - 1e-9) AS t FROM r)
+SELECT doc_id, CASE WHEN k <= t THEN 'test' WHEN k <= t + ceil((n - t) * (0.15 / 0.85) - 1e-9) THEN 'valid' ELSE 'train' END AS split FROM c""",
+)
+
+
 # ---------------------------------------------------------------- per-corpus tables and row selection
 from aspectra.plans.sqlviews import a2_sql as _a2  # noqa: E402
 
@@ -634,16 +658,16 @@ FROM tt JOIN ok5 ON tt.doc_id = ok5.doc_id AND tt.pos = ok5.pos JOIN v5 ON v5.do
 
 # ---------------------------------------------------------------- stats validation: expected first violation per corruption kind
 _VIOL = {
-    0: "missing fields: neutral",
-    1: "empty aspect",
-    2: "field 'positive' must be a non-negative integer",
-    3: "field 'negative' must be a non-negative integer",
-    4: "field 'total' must be a non-negative integer",
-    5: "sentiment counts do not add up to total",
-    6: "field 'positive_reasons' must be a list",
-    7: "field 'negative_reasons' item 0 must be [reason, count]",
-    8: "field 'neutral_reasons' contains an empty reason",
-    9: "field 'positive_reasons' reason counts must be positive integers",
+    0: "absent:neutral",
+    1: "blank-aspect",
+    2: "bad-count:positive",
+    3: "bad-count:negative",
+    4: "bad-count:total",
+    5: "total-differs",
+    6: "no-list:positive_reasons",
+    7: "no-pair:negative_reasons[0]",
+    8: "blank-reason:neutral_reasons",
+    9: "bad-reason-count:positive_reasons",
 }
 _case = " ".join(f"WHEN {k} THEN {_q(v)}" for k, v in _VIOL.items())
 sql(
@@ -656,6 +680,19 @@ SELECT id, CASE b::BIGINT {_case} END AS violation FROM t WHERE b < 10""",
 )
 
 
+_shown = ", ".join(f"CASE WHEN b >= 10 THEN {c} END AS {c}" for c in ("aspect", "positive", "negative", "neutral", "total", "majority_sentiment", "positive_reasons", "negative_reasons", "neutral_reasons"))
+sql(
+    "stats_documents",
+    with_views("v4", _a2("v4", 10, group="source"))
+    + f""", t AS (SELECT *, source || '|' || aspect AS id, ceil(count(*) OVER (PARTITION BY source) / 1000.0) AS n FROM a2 WHERE total >= 2),
+d AS (SELECT *, floor(((('0x' || substr(md5('7:' || id), 1, 8))::BIGINT)::DOUBLE / 4294967296.0) * 100) AS b,
+             CAST(floor(((('0x' || substr(md5('11:' || id), 1, 8))::BIGINT)::DOUBLE / 4294967296.0) * n) AS BIGINT) AS chunk FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY source, chunk ORDER BY id) - 1 AS row_index FROM d)
+SELECT source, chunk, row_index, CASE b::BIGINT {_case} END AS violation, {_shown} FROM r
+UNION ALL SELECT DISTINCT source, -1, NULL::BIGINT, 'no-rows', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM t""",
+)
+
+
 # ---------------------------------------------------------------- synthetic tables
 def _byte(key: str, k: int) -> str:
     return f"('0x' || substr(md5({key}), {2 * k + 1}, 2))::BIGINT"

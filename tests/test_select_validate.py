@@ -1,3 +1,4 @@
+import pytest
 """Representative-row selection (both paths) and stats-row validation."""
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -62,13 +63,13 @@ def test_stats_violations_first_rule(spark):
     df = spark.createDataFrame([Row(i=i, value=v) for i, v in enumerate(lines)])
     got = {r.i: r.violation for r in stats_violations(df).collect()}
     assert got[0] is None
-    assert got[1] == "missing fields: neutral"
-    assert got[2] == "empty aspect"
-    assert got[3] == "field 'positive' must be a non-negative integer"
-    assert got[4] == "sentiment counts do not add up to total"
-    assert got[5] == "field 'negative_reasons' reason counts must be positive integers"
-    assert got[6] == "row must be a JSON object"
-    assert got[7] == "invalid JSON"
+    assert got[1] == "absent:neutral"
+    assert got[2] == "blank-aspect"
+    assert got[3] == "bad-count:positive"
+    assert got[4] == "total-differs"
+    assert got[5] == "bad-reason-count:negative_reasons"
+    assert got[6] == "no-object"
+    assert got[7] == "bad-json"
     ok = stats_violations(df).filter(F.col("i") == 0).select("aspect_key").collect()[0].aspect_key
     assert ok == "screen"
 
@@ -82,7 +83,34 @@ def test_odd_values_are_violations_not_failures(spark):
     ]
     rows = stats_violations(spark.createDataFrame([Row(i=i, value=v) for i, v in enumerate(lines)])).orderBy("i").collect()
     assert [r.violation for r in rows] == [
-        "field 'positive' must be a non-negative integer", "field 'positive' must be a non-negative integer",
-        "field 'positive_reasons' item 0 must be [reason, count]",
+        "bad-count:positive", "bad-count:positive",
+        "no-pair:positive_reasons[0]",
     ]
     assert rows[0].positive_n is None and rows[1].total_n is None
+
+
+def test_statistics_documents_of_both_forms(spark):
+    from aspectra.operators.validate import stats_documents, validate_strict
+
+    good = '{"aspect": " Hinge", "positive": 4, "negative": 0, "neutral": 1, "total": 5, "majority_sentiment": "Positive", "positive_reasons": [[" Sturdy ", 3], ["LIGHT", 1]]}'
+    other = '{"aspect": "cable", "positive": 0, "negative": 2, "neutral": 0, "total": 2, "neutral_reasons": null}'
+    docs = {
+        "bare": f"[{good}, {other}]", "named": f'{{"gold": [], "predicted": [{other}, 7, {{"aspect": "x"}}, {good}]}}',
+        "other": f'{{"gold": [{good}]}}', "empty": '{"predicted": []}', "scalar": "12", "text": '{"predicted": "x"}', "broken": "[1,", "none": None,
+    }
+    df = spark.createDataFrame([Row(name=k, value=v) for k, v in docs.items()])
+    got = {(r.name, r.row_index): r for r in stats_documents(df).collect()}
+    assert {k: r.violation for k, r in got.items()} == {
+        ("bare", 0): None, ("bare", 1): None, ("named", 0): None, ("named", 1): "no-object", ("named", 2): "absent:positive,negative,neutral,total", ("named", 3): None,
+        **{(k, None): "no-rows" for k in ("other", "empty", "scalar", "text")}, ("broken", None): "bad-json", ("none", None): "bad-json",
+    }
+    first = got["bare", 0]
+    assert (first.aspect, first.positive, first.total, first.majority_sentiment) == ("hinge", 4, 5, "positive")
+    assert [tuple(x) for x in first.positive_reasons] == [("sturdy", 3), ("light", 1)] and first.negative_reasons == []
+    assert got["bare", 1].neutral_reasons == [] and got["bare", 1].majority_sentiment == ""
+    assert got["named", 2].aspect is None and got["named", 2].positive_reasons is None
+    gold = {(r.name, r.row_index): r.violation for r in stats_documents(df, "gold").collect()}
+    assert gold["other", 0] is None and gold["named", None] == "no-rows"
+    with pytest.raises(Exception, match="no-object"):
+        validate_strict(stats_documents(df.where("name = 'named'"))).collect()
+    assert validate_strict(stats_documents(df.where("name = 'bare'"))).count() == 2

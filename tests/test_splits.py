@@ -2,7 +2,12 @@
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from aspectra.operators.splits import hash_split, leakage_audit, seeded_sample
+import hashlib
+import math
+
+import pytest
+
+from aspectra.operators.splits import exact_split, hash_split, leakage_audit, overlap_matrix, seeded_sample
 
 
 def test_hash_split_complete_disjoint_stable(spark):
@@ -31,3 +36,28 @@ def test_leakage_audit_counts_overlap(spark):
     assert got["overlap:test/train"] == 1 and got["overlap:test/valid"] == 1
     assert got["overlap:train/valid"] == 0  # checked and clean
     assert got["distinct_texts:train"] == 2 and got["benchmark_in_items"] == 1
+
+
+@pytest.mark.parametrize(("n", "bits"), [(0, 4), (1, 4), (7, 1), (997, 3), (997, 16), (2000, 0)])
+def test_exact_split_sizes_and_order(spark, n, bits):
+    df = spark.range(n).selectExpr("id AS k", "id % 3 AS extra")
+    got = {r.k: r.split for r in exact_split(df.repartition(5), "k", 0.2, 0.1, bits=bits).collect()}
+    test = math.ceil(n * 0.1 - 1e-9)
+    valid = math.ceil((n - test) * (0.2 / 0.9) - 1e-9)
+    order = sorted(range(n), key=lambda k: (hashlib.md5(f"42:{k}".encode()).hexdigest(), k))
+    assert got == {k: "test" if i < test else "valid" if i < test + valid else "train" for i, k in enumerate(order)}
+
+
+def test_exact_split_of_repeated_and_null_keys(spark):
+    df = spark.createDataFrame([(1, "a")] * 500 + [(1, f"b{i}") for i in range(300)] + [(None, "c")] * 200, "k int, v string")
+    once = [sorted((str(r.k), r.v, r.split) for r in exact_split(df.repartition(p), "k", 0.15, 0.15).collect()) for p in (1, 6)]
+    assert once[0] == once[1]
+    sizes = {s: sum(r[2] == s for r in once[0]) for s in ("train", "valid", "test")}
+    assert sizes == {"train": 700, "valid": 150, "test": 150}
+
+
+def test_overlap_matrix_counts_pairs_and_zeros(spark):
+    rows = [("a", "x"), ("a", "x"), ("a", "y"), ("b", "y"), ("b", "z"), ("c", "y"), ("c", "x"), ("d", "w"), (None, "x"), ("a", None)]
+    got = {(r.a, r.b): r.shared for r in overlap_matrix(spark.createDataFrame(rows, "g string, v string"), "g", "v").collect()}
+    values = {g: {v for h, v in rows if h == g and v} for g in "abcd"}
+    assert got == {(p, q): len(values[p] & values[q]) for p in "abcd" for q in "abcd" if p <= q}
