@@ -11,19 +11,23 @@ def _lines(spark, lines):
 
 
 def test_tagged_line_groups_pair_by_length(spark):
+    tag = lambda words, tags: " ".join(f"{w}={tags.get(w, 'O')}" for w in words.split())
+    line = lambda words, aspects, opinions: f"{words} #### {tag(words, aspects)} #### {tag(words, opinions)}"
     lines = [
-        "Nice screen but weak battery #### Nice=O screen=7-POS but=O weak=O battery=12-NEG #### Nice=S screen=O but=O weak=SS battery=O",
-        "Good food . #### Good=O food=T-POS .=O #### Good=S food=O .=O",
-        "no groups here #### no=O groups=O here=O #### no=O groups=O here=O",
-        "only two parts #### a=O",
-        "",
+        "   ",
+        # three groups, the longest without an opinion
+        line("cable frays early plug sits snug lamp too", {"lamp": "TTT-NEU", "plug": "TT-POS", "cable": "T-NEG"}, {"snug": "SS", "frays": "S", "early": "S"}),
+        line("rivet", {}, {}),
+        # two groups whose ids have one length share the opinion of that length
+        line("lid rim fine", {"lid": "T-POS", "rim": "4-NEG"}, {"fine": "S"}),
+        "one #### two=O #### three=O #### four=O",
     ]
-    out = tagged.parse_tagged(_lines(spark, lines)).orderBy("sid").collect()
-    assert [r.sid for r in out] == [0, 1, 2]  # malformed and blank lines skipped
-    t0 = [(t.aspect, t.opinion, t.sentiment) for t in out[0].triplets]
-    assert t0 == [("screen", "Nice", "positive"), ("battery", "weak", "negative")]
-    assert [(t.aspect, t.opinion) for t in out[1].triplets] == [("food", "Good")]
-    assert out[2].triplets == []
+    got = {r.sid: [(t.aspect, t.opinion, t.sentiment) for t in r.triplets] for r in tagged.parse_tagged(_lines(spark, lines)).collect()}
+    assert got == {
+        1: [("cable", "frays early", "negative"), ("plug", "snug", "positive")],
+        2: [],
+        3: [("rim", "fine", "negative"), ("lid", "fine", "positive")],
+    }
 
 
 def test_tagged_spans_cover_gaps_and_first_code_wins(spark):
