@@ -70,11 +70,11 @@ WITH p AS (
 ), d AS (
   SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(encode(html)) AS payload_digest FROM p
 ), g AS (
-  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader FROM d
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS leader,
+         row_number() OVER (PARTITION BY payload_digest ORDER BY page_id DESC NULLS LAST) AS r FROM d
 )
-SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN payload_bytes >= 1000 AND page_id <> leader THEN leader END AS refers_to
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND r > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND r > 1 THEN leader END AS refers_to
 FROM g
 """
 

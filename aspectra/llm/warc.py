@@ -57,7 +57,8 @@ def write_captures(pages: DataFrame, path: str, shared_bytes: int = SHARED_BYTES
     The payload is the html in UTF-8 (null: empty). Of captures with equal payloads of at least
     ``shared_bytes`` bytes the one with the largest page_id is the response, the others revisit
     it; a null page_id revisits a known one, and is a response where none is known. Equal rows
-    (page_id, url and html) share their record ids, so they are one capture when read.
+    (page_id, url and html) are a capture each, told apart by a number among them; all but the first
+    revisit where the payload is long enough.
     """
     base = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     digest = F.sha1(F.col("html").cast("binary"))
@@ -66,7 +67,15 @@ def write_captures(pages: DataFrame, path: str, shared_bytes: int = SHARED_BYTES
         F.count(F.lit(1)).alias("n"), F.max_by("rid", F.struct("page_id", "rid")).alias("leader"),
     ).where("n > 1").select("digest", "leader")
     revisits = narrow.join(groups, "digest").where("rid <> leader").select("rid", "leader").distinct()
-    rows = base.withColumn("digest", digest).withColumn("rid", _record_id("response", F.col("page_id"), F.col("url"), F.col("digest"))).join(revisits, "rid", "left")
+    copies = narrow.groupBy("rid").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    facts = revisits.join(copies, "rid", "full")
+    rows = base.withColumn("digest", digest).withColumn("rid", _record_id("response", F.col("page_id"), F.col("url"), F.col("digest"))).join(facts, "rid", "left")
+    # equal rows become one row that is written as often as it stood: only those are exchanged
+    again = rows.where("copies > 1").dropDuplicates(["rid"]).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)))
+    rows = rows.where("copies IS NULL").withColumn("copy", F.lit(0)).unionByName(again)
+    later = F.col("copy") > 0
+    rows = rows.withColumn("leader", F.when(later & (F.octet_length("html") >= shared_bytes), F.coalesce("leader", "rid")).otherwise(F.col("leader")))
+    rows = rows.withColumn("rid", F.when(later, _record_id("response", F.col("page_id"), F.col("url"), F.col("digest"), F.col("copy"))).otherwise(F.col("rid")))
     uri, whole = _line(F.col("url")), F.concat(F.lit("sha1:"), F.col("digest"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "), F.octet_length("html").cast("string"), F.lit(LINE + LINE))
     get = F.concat(F.lit("GET "), F.coalesce(F.regexp_extract(uri, r"^\w+://[^/?#]*([^#]*)", 1), F.lit("/")), F.lit(f" HTTP/1.1{LINE}Host: "), F.regexp_extract(uri, r"^\w+://([^/?#]*)", 1), F.lit(LINE + LINE))
@@ -78,7 +87,7 @@ def write_captures(pages: DataFrame, path: str, shared_bytes: int = SHARED_BYTES
     ).otherwise(
         _record("revisit", F.col("rid"), http, [*target, ("WARC-Payload-Digest", whole), ("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", F.col("leader")), ("Content-Type", "application/http;msgtype=response")])
     )
-    own = (F.col("page_id"), F.col("url"), F.col("digest"))
+    own = (F.col("page_id"), F.col("url"), F.col("digest"), F.col("copy"))
     together: list[tuple[str, Column | str]] = [*target, ("WARC-Concurrent-To", F.col("rid"))]
     request = _record("request", _record_id("request", *own), get, [*together, ("Content-Type", "application/http;msgtype=request")])
     metadata = _record("metadata", _record_id("metadata", *own), about, [*together, ("Content-Type", "application/warc-fields")])

@@ -12,25 +12,28 @@ BIG = "<html>" + "päge\r\n\r\nWARC/1.1\r\n" * 90 + "</html>"
 @pytest.fixture(scope="module")
 def pages(spark):
     rows = [(1, "http://a.example/x?q=1#f", BIG), (7, "http://b.example/", BIG), (3, "http://c.example", BIG), (4, "http://d.example/\r\nX: y", "small"), (5, None, "small")]
-    rows += [(6, "http://e.example/", None), (8, "http://e.example/", ""), (9, "not a url", BIG + "!"), (None, "http://n.example/", BIG), (9, "not a url", BIG + "!")]
+    rows += [(6, "http://e.example/", None), (8, "http://e.example/", ""), (9, "not a url", BIG + "!"), (None, "http://n.example/", BIG), (9, "not a url", BIG + "!"), (7, "http://b.example/", BIG), (5, None, "small")]
     return spark.createDataFrame([(*r, "x", 3) for r in rows], "page_id long, url string, html string, digest string, rid int")
 
 
 def test_round_trip(spark, pages):
     got = captures_of(spark, pages, new_scratch_path(spark, "warc")).collect()
-    want = {}
+    want, seen = [], set()
     for r in pages.collect():
         raw = (r.html or "").encode()
-        shared = r.html == BIG and r.page_id != 7
-        want[r.page_id, r.url] = (r.page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if shared else "response", 7 if shared else None, True)
-    assert sorted(map(tuple, got), key=str) == sorted(want.values(), key=str)  # the repeated row is one capture
+        again = len(raw) >= 1000 and (r.html == BIG and r.page_id != 7 or (r.page_id, r.html) in seen)
+        seen.add((r.page_id, r.html))
+        leader = (7 if r.html == BIG else r.page_id) if again else None
+        want.append((r.page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", leader, True))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)  # a row per page, repeated rows included
 
 
 def test_records_are_whole_and_join(spark, pages):
     path = new_scratch_path(spark, "warc")
     write_captures(pages, path)
     records = read_records(spark, path, with_payload=True)
-    nested = {r.response.target_uri: r for r in assemble(records).collect()}
+    captures = sorted(assemble(records).collect(), key=lambda r: r.response.record_type, reverse=True)
+    nested = {r.response.target_uri: r for r in captures}  # of equal pages the response
     assert bytes(nested["http://b.example/"].response.payload).decode() == BIG
     assert nested["http://a.example/x?q=1#f"].response.payload is None and nested["http://a.example/x?q=1#f"].refers_to_page == 7
     for r in nested.values():
