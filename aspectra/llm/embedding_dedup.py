@@ -1,15 +1,20 @@
 """Near-duplicate embeddings by sorted projection passes.
 
 1. Equal vectors of a label become one class with a count.
-2. The classes of a label and length are a group. A group of at most ``EXACT`` classes is compared
-   whole. In a larger one every class gets, in each pass, the signs of random projections of its
-   difference from the group's mean, concatenated to one key; classes of one key are a run and
-   are compared whole, a large run block against block. Bits grow with the group, and so do the
-   passes, as many as a pair at the threshold needs to meet but for ``MISS``; a group whose
-   classes lie so close about their mean that whole comparison is less work is compared whole.
-   Verified pairs are united, within a task and then over all passes.
-3. Inside each united group all direct links are counted exactly, block against block, so a
-   dense group larger than any run loses none; only sums leave a task.
+2. The classes of a label and length are a group. In each pass every class of a group gets the
+   signs of random projections of its difference from the group's mean, concatenated to one
+   key of ``KEY_BITS`` bits. Each pass is range-sorted by group and key, dealt into blocks of
+   neighbours that overlap by a window, and a class is compared with the ``window`` classes
+   before it, across block borders too. A group has as many passes as a pair at the threshold
+   needs to come within a window but for ``MISS``; they grow with the group.
+3. A window cannot hold a run of more than ``RUN`` windows of classes with equal leading bits
+   (the bits that should part the group into half windows). Such a run is also compared whole,
+   block against block. A group so close about its mean that its passes would be more work than
+   that has no leading bits: it is one such run. This keeps the result whole; its cost is the
+   square of the run.
+4. Verified pairs are united within a task and then over all passes. Inside each united group
+   all direct links are counted exactly, block against block (``link_counts``, the square of the
+   group), so a dense group larger than any window loses none; only sums leave a task.
 """
 from __future__ import annotations
 
@@ -18,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aspectra.llm.batches import column, groups
@@ -26,15 +31,17 @@ from aspectra.llm.components import connected_components, local_forest
 from aspectra.llm.vectors import matrix, unit, usable
 from aspectra.plans.materialize import materialize
 
-PASSES = 16
+#: Least passes over a group larger than a window, and the classes before it that a class is compared with.
+PASSES = 4
 WINDOW = 128
-#: A run is aimed at this many windows of classes; sending a class counts as comparing it with SEND.
-RUN = 16
-SEND = 1000
-#: Groups up to this size are compared whole; elsewhere the expected share of pairs at the threshold that never meet.
-EXACT = 16_384
-MISS = 1e-3
-#: Classes of a block when a run is compared, and when links are counted.
+KEY_BITS = 62
+#: Windows of classes in a run of equal leading bits above which it is compared whole.
+RUN = 8
+#: Expected share of pairs at the threshold that no pass brings together; passes that are always worth their work.
+MISS = 1e-4
+FREE_PASSES = 64
+#: Classes of a block of neighbours, of a block when a run is compared, and when links are counted.
+NEAR_BLOCK = 4096
 PAIR_BLOCK = 16_384
 BLOCK = 4096
 
@@ -67,22 +74,20 @@ def _runs(col: pa.Array) -> Iterator[tuple[int, int]]:
     yield from zip(cuts[:-1].tolist(), cuts[1:].tolist())
 
 
-def plan(n: int, spread: float, threshold: float, passes: int, window: int) -> tuple[int, int]:
-    """(bits, passes) for a group of ``n`` classes; (0, 1) compares it whole.
+def plan(n: Column, spread: Column, threshold: float, passes: int, window: int) -> tuple[Column, Column]:
+    """(leading bits, passes) for a group of ``n`` classes; no leading bits make it one run.
 
     ``spread``: mean squared distance of its unit vectors from their mean. A fifth is taken off,
     as vectors nearer to the mean than most are parted more often.
     """
-    aim = RUN * window
-    if n <= max(EXACT, aim):
-        return 0, 1
-    bits = math.ceil(math.log2(n / aim))
-    angle = math.acos(max(-1.0, 1 - (1 - threshold) / max(0.8 * spread, 1e-12)))
-    meet = (1 - angle / math.pi) ** bits
-    if meet <= SEND / n:
-        return 0, 1
-    passes = max(passes, math.ceil(math.log(MISS) / math.log1p(-meet))) if meet < 1 else passes
-    return (bits, passes) if passes * (aim + SEND) < n / 2 else (0, 1)
+    bits = F.least(F.ceil(F.log2(F.lit(2.0) * n / window)), F.lit(KEY_BITS)).cast("int")
+    angle = F.acos(F.greatest(F.lit(-1.0), 1 - (1 - threshold) / F.greatest(0.8 * spread, F.lit(1e-12))))
+    meet = F.pow(1 - angle / math.pi, bits)
+    need = F.when(meet <= 1e-9, F.lit(2e9)).when(meet >= 1 - MISS, F.lit(1.0)).otherwise(F.ceil(math.log(MISS) / F.log(1 - meet)))
+    need = F.greatest(need, F.lit(float(passes)))
+    hopeless = (need > FREE_PASSES) & (need * window > n / 2)
+    small = n <= window + 1  # a window holds the group
+    return F.when(small | hopeless, 0).otherwise(bits), F.when(small | hopeless, 1).otherwise(need.cast("int"))
 
 
 def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,34 +106,62 @@ def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _key_task(plans: dict[tuple[int, int], tuple[np.ndarray, int, int]], seed: int):
+def _key_task(seed: int):
+    """A row per class and pass: its leading bits and its whole key. Rows of a group stand together."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in _runs(column(batch, "vector")):
                 part = batch.slice(a, b - a)
-                label, dim = column(part, "label").to_numpy(), len(part.column(part.schema.get_field_index("vector"))[0])
-                for k in np.unique(label).tolist():
-                    mine = part.filter(pa.array(label == k))
-                    mean, bits, passes = plans.get((k, dim), (0.0, 0, 1))
-                    x = unit(matrix(column(mine, "vector"))) - mean if bits else None
+                label = column(part, "label").to_numpy()
+                cuts = np.concatenate([[0], np.flatnonzero(label[1:] != label[:-1]) + 1, [len(label)]])
+                for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    mine = part.slice(i, j - i)
+                    bits, passes = column(mine, "bits")[0].as_py(), column(mine, "passes")[0].as_py()
+                    x = unit(matrix(column(mine, "vector")))
+                    x = x - matrix(column(mine, "mean").slice(0, 1))
+                    rows, dim = x.shape
                     for p in range(passes):
-                        key = np.zeros(mine.num_rows, np.int64)
-                        if bits:
-                            planes = np.random.default_rng([seed, p, dim]).standard_normal((dim, bits))
-                            key = ((x @ planes) > 0) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
+                        planes = np.random.default_rng([seed, p, dim]).standard_normal((dim, KEY_BITS))
+                        key = ((x @ planes) > 0) @ (1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64))
                         yield pa.RecordBatch.from_arrays(
-                            [column(mine, "label"), pa.array(np.full(len(key), dim, np.int32)), pa.array(np.full(len(key), p, np.int32)), pa.array(key), column(mine, "cid"), column(mine, "vector")],
-                            ["label", "dim", "pass", "key", "cid", "vector"],
+                            [column(mine, "label"), pa.array(np.full(rows, dim, np.int32)), pa.array(np.full(rows, p, np.int32)),
+                             pa.array(key >> (KEY_BITS - bits)), pa.array(key), column(mine, "cid")],
+                            ["label", "dim", "pass", "lead", "key", "cid"],
                         )
 
     return run
 
 
+def _window_task(threshold: float, window: int):
+    """Linked pairs at most ``window`` places apart in a block of neighbours, as forests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cuts in groups(batches, ("block", "label", "dim", "pass")):
+            cid, place = table.column("cid").to_numpy(), table.column("place").to_numpy()
+            vectors = table.column("vector").combine_chunks()
+            us, vs = [], []
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                x, c, at = unit(matrix(vectors.slice(a, b - a))), cid[a:b], place[a:b]
+                x32 = x.astype(np.float32)
+                for lo in range(0, b - a, 256):
+                    hi, low = min(lo + 256, b - a), max(0, lo - window)
+                    i, j = _linked(x[lo:hi], x[low:hi], x32[lo:hi], x32[low:hi], threshold)
+                    i, j = i + lo, j + low
+                    ok = (at[i] > at[j]) & (at[i] - at[j] <= window)
+                    u, v = local_forest(c[i[ok]], c[j[ok]])
+                    us.append(u)
+                    vs.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], ["u", "v"])
+
+    return run
+
+
 def _pair_task(threshold: float):
     """Linked pairs of a run's block ``qb`` with its block ``tb``, as forests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, cuts in groups(batches, ("label", "dim", "pass", "key", "qb", "tb")):
+        for table, cuts in groups(batches, ("label", "dim", "pass", "lead", "qb", "tb")):
             cid, block = table.column("cid").to_numpy(), table.column("b").to_numpy()
             qb, tb = table.column("qb").to_numpy(), table.column("tb").to_numpy()
             vectors = table.column("vector").combine_chunks()
@@ -151,38 +184,67 @@ def _pair_task(threshold: float):
     return run
 
 
-def projection_links(classes: DataFrame, threshold: float, passes: int = PASSES, window: int = WINDOW, seed: int = 17) -> DataFrame:
-    """(u, v): links found between classes (label, cid, vector), as forests that join the linked ones.
-
-    ``passes`` is the least number of passes over a group that is not compared whole.
-    """
-    narrow = classes.withColumn("dim", F.size("vector"))
-    sizes = narrow.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(EXACT, RUN * window))
-    # at most a row per EXACT classes: the driver holds them
-    large = {(r.label, r.dim): r.n for r in sizes.collect()}
-    plans = {}
-    if large:
-        mine = narrow.join(F.broadcast(sizes.select("label", "dim")), ["label", "dim"], "left_semi").sortWithinPartitions("dim")
-        sums = mine.select("label", "vector").mapInArrow(_sum_task, "label long, dim int, at int, total double")
-        sums = sums.groupBy("label", "dim", "at").agg(F.sum("total").alias("total")).groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("at", "total"))).alias("total"))
-        for r in sums.collect():
-            mean = np.array([t.total for t in r.total]) / large[r.label, r.dim]
-            plans[r.label, r.dim] = (mean, *plan(large[r.label, r.dim], 1 - float(mean @ mean), threshold, passes, window))
-    keyed = narrow.sortWithinPartitions("dim", "label").drop("dim").mapInArrow(_key_task(plans, seed), "label long, dim int, pass int, key long, cid long, vector array<double>")
-    run = ["label", "dim", "pass", "key"]
-    if any(bits for _, bits, _ in plans.values()):
-        keyed = materialize(keyed, "projection-keys")
+def group_plans(narrow: DataFrame, threshold: float, passes: int, window: int) -> DataFrame:
+    """(label, dim, mean, bits, passes) for every group of ``narrow`` (label, dim, cid, vector)."""
+    sums = narrow.sortWithinPartitions("dim", "label").select("label", "vector").mapInArrow(_sum_task, "label long, dim int, at int, total double")
+    sums = sums.groupBy("label", "dim", "at").agg(F.sum("total").alias("total"))
+    sums = sums.groupBy("label", "dim").agg(F.array_sort(F.collect_list(F.struct("at", "total"))).alias("totals"))
+    sizes = narrow.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
+    facts = sizes.join(sums, ["label", "dim"]).withColumn("mean", F.transform("totals", lambda t: t["total"] / F.col("n")))
+    spread = 1 - F.aggregate("mean", F.lit(0.0), lambda s, x: s + x * x)
+    bits, need = plan(F.col("n"), spread, threshold, passes, window)
+    return facts.select("label", "dim", "mean", bits.alias("bits"), need.alias("passes"))
+
+
+def in_windows(keyed: DataFrame, classes: DataFrame, threshold: float, window: int, block: int = NEAR_BLOCK) -> DataFrame:
+    """(u, v): linked classes at most ``window`` places apart in a pass's order of keys."""
+    order = ["label", "dim", "pass", "key", "cid"]
+    placed = keyed.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumn("part", F.shiftright("id", 33)), "projection-order")
+    # a row per sorted partition: the window over them is one small task
+    starts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    place = F.col("start") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = placed.join(starts, "part").select("label", "dim", "pass", "cid", place.alias("place"))
+    block = max(block, window)
+    own = F.floor(F.col("place") / block)
+    last = F.floor((F.col("place") + window) / block)
+    dealt = dealt.withColumn("block", F.explode(F.sequence(own, last)))
+    rows = dealt.join(classes.select("cid", "vector"), "cid")
+    at = ["block", "label", "dim", "pass"]
+    return rows.repartition("block").sortWithinPartitions(*at, "place").mapInArrow(_window_task(threshold, window), "u long, v long")
+
+
+def in_runs(keyed: DataFrame, classes: DataFrame, threshold: float, window: int) -> DataFrame:
+    """(u, v): linked classes of the runs of equal leading bits that are too long for a window."""
+    run = ["label", "dim", "pass", "lead"]
     size = keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("cid").alias("x"), F.bit_xor(F.xxhash64("cid")).alias("y"))
     # a run that passes repeat, as a narrow cluster does, is compared once
-    size = size.groupBy("label", "dim", "n", "x", "y").agg(F.min(F.struct("pass", "key")).alias("r")).where("n > 1")
-    size = size.select("label", "dim", "r.pass", "r.key", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("nb"))
-    dealt = keyed.join(size, run).withColumn("b", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
+    size = size.where(F.col("n") > RUN * window).groupBy("label", "dim", "n", "x", "y").agg(F.min(F.struct("pass", "lead")).alias("r"))
+    size = size.select("label", "dim", "r.pass", "r.lead", F.ceil(F.col("n") / PAIR_BLOCK).cast("int").alias("nb"))
+    dealt = keyed.join(size, run).join(classes.select("cid", "vector"), "cid").withColumn("b", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
     pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     pairs = pairs.select(*run, F.least("b", "other").alias("qb"), F.greatest("b", "other").alias("tb"), "b", "cid", "vector")
     at = [*run, "qb", "tb"]
     return pairs.repartition(*at).sortWithinPartitions(*at, "cid").mapInArrow(_pair_task(threshold), "u long, v long")
 
 
+def projection_links(classes: DataFrame, threshold: float, passes: int = PASSES, window: int = WINDOW, seed: int = 17, runs: bool = True) -> DataFrame:
+    """(u, v): links found between classes (label, cid, vector), as forests that join the linked ones.
+
+    ``passes`` is the least number of passes over a group that a window does not hold. Without
+    ``runs`` the windows are alone, which measures what the sorted passes find by themselves.
+    """
+    narrow = classes.withColumn("dim", F.size("vector"))
+    plans = materialize(group_plans(narrow, threshold, passes, window), "projection-plans")
+    keyed = narrow.join(plans, ["label", "dim"]).sortWithinPartitions("dim", "label")
+    keyed = keyed.mapInArrow(_key_task(seed), "label long, dim int, pass int, lead long, key long, cid long")
+    keyed = materialize(keyed, "projection-keys")
+    near = in_windows(keyed, classes, threshold, window)
+    return near.unionByName(in_runs(keyed, classes, threshold, window)) if runs else near
+
+
 def _count_task(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, cuts in groups(batches, ("root", "qb", "tb")):

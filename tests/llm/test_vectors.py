@@ -67,25 +67,52 @@ def recall(spark, path, n, pairs):
     return got.groupBy(F.col("vec_id") % n).agg(F.countDistinct("component_id").alias("k"), F.min("n_links").alias("l")).where("k = 1 AND l > 0").count() / pairs
 
 
-def test_pairs_in_a_narrow_cone_meet(spark, tmp_path):
-    from aspectra.llm.embedding_dedup import PASSES, WINDOW, plan
+def planned(spark, n, spread, passes=4, window=128):
+    from aspectra.llm.embedding_dedup import plan
+
+    bits, need = plan(F.col("n"), F.col("spread"), 0.98, passes, window)
+    return tuple(spark.createDataFrame([(n, spread)], "n long, spread double").select(bits, need).first())
 
-    assert plan(100_300, 0.05, 0.98, PASSES, WINDOW) == (0, 1)
+
+def test_pairs_in_a_narrow_cone_meet(spark, tmp_path):
+    assert planned(spark, 100_300, 0.05)[0] == 0
     assert recall(spark, *cone(tmp_path, 100_000, 0.95)) == 1
 
 
 def test_pairs_in_a_wide_cone_meet_in_passes(spark, tmp_path):
-    from aspectra.llm.embedding_dedup import PASSES, WINDOW, plan
-
-    assert plan(120_300, 0.5, 0.98, PASSES, WINDOW) == (6, 16)
+    assert planned(spark, 120_300, 0.5)[0] == 11
     assert recall(spark, *cone(tmp_path, 120_000, 0.5)) == 1
 
 
-def test_bits_and_passes_grow_with_the_group():
-    from aspectra.llm.embedding_dedup import plan
+def test_windows_alone_join_pairs_of_a_smaller_group(spark, tmp_path):
+    from aspectra.llm.embedding_dedup import projection_links
+
+    path, n, pairs = cone(tmp_path, 9_000, 0.3)
+    assert planned(spark, n + pairs, 0.7)[0] > 0
+    classes = spark.read.parquet(path).selectExpr("label", "vec_id AS cid", "embedding AS vector")
+    found = projection_links(classes, 0.98, runs=False)
+    met = found.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).where(f"b = a + {n}").distinct().count()
+    assert met == pairs
+
+
+def test_windows_cross_block_borders(spark):
+    from aspectra.llm.components import connected_components
+    from aspectra.llm.embedding_dedup import in_windows
+
+    rows = [(0, i, [np.cos(0.5 * i), np.sin(0.5 * i), 0.0] if i not in (9, 10, 13, 20) else [0.0, 0.0, 9.0]) for i in range(24)]
+    classes = spark.createDataFrame([(label, i, [float(x) for x in v]) for label, i, v in rows], "label long, cid long, vector array<double>")
+    keyed = classes.selectExpr("label", "3 AS dim", "0 AS pass", "cid AS key", "cid")
+    unit = [np.array(v) / np.linalg.norm(v) for _, _, v in rows]
+    want = {(i, j) for i in range(24) for j in range(i) if i - j <= 3 and unit[i] @ unit[j] >= 0.98}
+    assert want == {(10, 9), (13, 10)}
+    for block in (3, 5, 10, 11, 13):
+        links = connected_components(in_windows(keyed, classes, 0.98, 3, block))
+        assert {(r.node, r.root) for r in links.collect()} == {(9, 9), (10, 9), (13, 9)}
+
 
-    got = [plan(n, 0.1, 0.98, 16, 128) for n in (16_384, 10**6, 10**8)]
-    assert got[0] == (0, 1) and 0 < got[1][0] < got[2][0] and 16 < got[1][1] < got[2][1]
+def test_bits_and_passes_grow_with_the_group(spark):
+    got = [planned(spark, n, 0.1) for n in (100, 10**4, 10**6, 10**8)]
+    assert got[0] == (0, 1) and 0 < got[1][0] < got[2][0] < got[3][0] and 4 < got[1][1] < got[2][1] < got[3][1]
 
 
 def test_blocks_of_a_large_group_count_all(spark):
