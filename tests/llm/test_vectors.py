@@ -111,7 +111,7 @@ def test_windows_cross_block_borders(spark):
 
 
 def test_bits_and_passes_grow_with_the_group(spark):
-    got = [planned(spark, n, 0.1) for n in (100, 10**4, 10**6, 10**8)]
+    got = [planned(spark, n, 0.5) for n in (100, 10**4, 10**6, 10**8)]
     assert got[0] == (0, 1) and 0 < got[1][0] < got[2][0] < got[3][0] and 4 < got[1][1] < got[2][1] < got[3][1]
 
 
