@@ -138,12 +138,13 @@ def claim_check(claims: DataFrame, table: DataFrame, key: Sequence[str] = ("sour
 
 
 def check_structured(reports: DataFrame, table: DataFrame, key: Sequence[str] = ("source",), report: str = "report",
-                     selected: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                     selected: DataFrame | None = None, totals: bool = False) -> tuple[DataFrame, DataFrame]:
     """C1. Returns (per_report, per_claim).
 
     With ``selected`` (key, slot, aspect, role) each of its aspects and roles must be claimed,
     and a role by the aspect selected for it: missing_aspects, missing_roles and role_errors are
-    added and count for ``passed``. Without it an existing report is checked as it is."""
+    added and count for ``passed``. Without it an existing report is checked as it is. ``totals``
+    adds how many of each there are (n_...), for ``report_totals``."""
     k = list(key)
     base = reports.select(*k, F.col(report).alias("report"), extract_claims(report).alias("claims"), claim_spans(F.col(report)).alias("_spans"))
     per_claim = claim_check(
@@ -194,6 +195,7 @@ def check_structured(reports: DataFrame, table: DataFrame, key: Sequence[str] =
         F.coalesce("valid_claims", F.lit(0)).cast("bigint").alias("valid_claims"),
         "unparsed_numeric_tokens", F.array_join("_dups", ",").alias("duplicate_aspects"), "unexpected_text",
         *[F.array_join(f"_{c}", ",").alias(c) for c in named],
+        *([F.size("_dups").alias("n_duplicate_aspects"), *[F.size(f"_{c}").alias(f"n_{c}") for c in named]] if totals else []),
     )
     return out, per_claim
 
@@ -279,7 +281,7 @@ def _digits(text: Column) -> Column:
 
 
 def check_reasoned(reports: DataFrame, selected: DataFrame, key: Sequence[str] = ("source",), report: str = "report",
-                   mode: str = "factual-only") -> tuple[DataFrame, DataFrame]:
+                   mode: str = "factual-only", totals: bool = False) -> tuple[DataFrame, DataFrame]:
     """C2. ``selected``: (key, slot, aspect, counts, reason arrays). Returns
     (per_report, per_aspect)."""
     if mode not in ("factual-only", "strict"):
@@ -348,6 +350,7 @@ def check_reasoned(reports: DataFrame, selected: DataFrame, key: Sequence[str] =
         F.array_join("_missing", ",").alias("missing_aspects"), F.array_join("_repeated", ",").alias("repeated_aspects"),
         warnings.alias("coverage_warnings"),
         F.array_join("unknown", ",").alias("unattributed_numbers"),
+        *([F.size(f"_{c}").alias(f"n_{c}_aspects") for c in ("missing", "repeated")] + [F.size(warnings).alias("n_warnings")] if totals else []),
     )
     per_aspect_rows = d.select(*k, F.explode("checks").alias("c")).select(*k, "c.*")
     return per_report, per_aspect_rows
@@ -385,3 +388,21 @@ def report_rollup(per_report: DataFrame, group_cols: Sequence[str] = ()) -> Data
         F.count(F.lit(1)).alias("reports"), F.count_if("passed").alias("passed"),
         F.round(F.avg(F.col("passed").cast("double")), 6).alias("pass_rate"),
     )
+
+
+#: What ``report_totals`` adds up; a checker that has no such column counts none.
+TOTALS = ("n_duplicate_aspects", "n_missing_aspects", "n_missing_roles", "n_role_errors", "n_repeated_aspects", "n_warnings")
+
+
+def report_totals(per_report: DataFrame, by: Sequence[str] = ("style", "status")) -> DataFrame:
+    """Reports, passed, pass rate, claims and totals of each kind of finding, for every
+    combination of ``by``, each column alone and all reports together ("all" in the columns left
+    out), from one aggregation. ``per_report``: rows of a checker with ``totals``."""
+    sets = [[c for i, c in enumerate(by) if n >> i & 1] for n in range(1 << len(by))]
+    found = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint") if c in per_report.columns else F.lit(0).cast("bigint") for c in TOTALS]
+    got = per_report.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in by]).agg(
+        F.count(F.lit(1)).alias("reports"), F.count_if("passed").alias("passed"), F.round(F.avg(F.col("passed").cast("double")), 6).alias("pass_rate"),
+        F.sum("claims_checked").alias("claims"), F.sum("valid_claims").alias("valid_claims"),
+        *[f.alias(c) for f, c in zip(found, TOTALS)], *[F.grouping(c).alias(f"_{c}") for c in by],
+    )
+    return got.select(*[F.when(F.col(f"_{c}") == 1, F.lit("all")).otherwise(F.col(c)).alias(c) for c in by], *[c for c in got.columns if c not in by and c[0] != "_"])

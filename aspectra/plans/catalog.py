@@ -498,6 +498,21 @@ def q_report_rollup(spark, sf_dir):
     return report_rollup(per_report.withColumn("style", F.when(F.col("claims_checked") > 0, "claims").otherwise("none")), ["style"])
 
 
+@query("report_totals")
+def q_report_totals(spark, sf_dir):
+    """A13 over (style, status): reports of which some lack a selected aspect and some repeat one."""
+    from aspectra.operators.checks import check_structured, report_totals
+    from aspectra.operators.reports import report_status
+    from aspectra.plans.fixtures import count_reports, flawed_rows, style_of
+
+    sel = _selected(spark, sf_dir, False)
+    reports = count_reports(flawed_rows(sel))
+    per_report, _ = check_structured(reports, _stats_by_source(spark, sf_dir, reasons=False), selected=sel, totals=True)
+    named = F.element_at(F.array(F.lit("roles"), F.lit("list"), F.lit("natural")), (style_of(F.col("source"), 3) + 1).cast("int"))
+    status = report_status(F.col("passed"), F.array().cast("array<string>"))
+    return report_totals(per_report.withColumn("style", named).withColumn("status", status))
+
+
 @query("report_pass_rate")
 def q_report_pass_rate(spark, sf_dir):
     from aspectra.operators.checks import report_rollup
@@ -847,6 +862,14 @@ def q_sink_stats_roundtrip(spark, sf_dir):
     return stats.with_rendered_reasons(read_stats_json(spark, path, "predicted"))
 
 
+def _chunked(df, key, rows=1000):
+    """``chunk``: deals the rows of a source by a hash of ``key`` into documents of about ``rows`` rows;
+    the counts are aggregated before the join, so no task sees a whole source."""
+    sizes = df.groupBy(F.col("source").alias("_source")).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias("_n"))
+    same = df["source"].eqNullSafe(sizes["_source"])
+    return df.join(sizes, same).drop("_source").withColumn("chunk", F.pmod(F.xxhash64(key), F.col("_n"))).drop("_n")
+
+
 @query("scan_stats_json")
 def q_scan_stats_json(spark, sf_dir):
     """S6 for a reference-style document: {"gold": [...], "predicted": [...]} per corpus file,
@@ -858,10 +881,7 @@ def q_scan_stats_json(spark, sf_dir):
     rows = stats_json_lines(_stats_by_source(spark, sf_dir), "predicted").select(
         F.get_json_object("value", "$.source").alias("source"), "value"
     )
-    # one document per corpus and 1,000-row chunk, so no document grows with the corpus
-    from pyspark.sql import Window
-
-    rows = rows.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("value")) - 1) / 1000))
+    rows = _chunked(rows, "value")
     docs = rows.groupBy("source", "chunk").agg(
         F.concat(F.lit('{"predicted": ['), F.array_join(F.collect_list("value"), ","), F.lit("]}")).alias("doc")
     )
@@ -894,15 +914,13 @@ def q_scan_csv_reviews(spark, sf_dir):
 
 @query("scan_json_reviews")
 def q_scan_json_reviews(spark, sf_dir):
-    """{case, text} arrays, one JSON document per corpus chunk of <= 1,000 reviews."""
-    from pyspark.sql import Window
-
+    """{case, text} arrays, one JSON document per corpus chunk of about 1,000 reviews."""
     from aspectra.plans.materialize import new_scratch_path
     from aspectra.sources.files import read_json_reviews
 
     path = new_scratch_path(spark, "reviews-json")
     d = views.documents(spark, sf_dir).select("source", F.col("doc_id").cast("string").alias("case"), "text")
-    d = d.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("source").orderBy("case")) - 1) / 1000))
+    d = _chunked(d, "case")
     docs = d.groupBy("source", "chunk").agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json(F.struct("case", "text"))), ","), F.lit("]")).alias("doc")
     )
@@ -955,6 +973,71 @@ def q_sink_reports(spark, sf_dir):
     return back.select("source", F.col("factual_check.passed").alias("passed"), F.size("factual_check.checks").alias("checks"))
 
 
+@query("sink_stats_documents")
+def q_sink_stats_documents(spark, sf_dir):
+    """K2: gold and predicted tables of each corpus with its metadata as one nested document, read back."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.documents import read_stats_documents, write_stats_documents
+
+    sp, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    test = sp.where("split = 'test'").select("sid", "source")
+    table = lambda d: stats.aspect_reasons(d.join(test, "sid").select("source", F.inline("triplets")), group_cols=["source"], top_n=10, min_mentions=2)
+    about = test.groupBy("source").agg(F.lit(2).alias("min_mentions"), F.lit(10).alias("top_n_reasons"), F.count(F.lit(1)).alias("num_examples"))
+    path = new_scratch_path(spark, "stats-documents")
+    write_stats_documents({"gold": table(gold), "predicted": table(pred)}, about, path)
+    back = read_stats_documents(spark, path, ("gold", "predicted"), "source:string,min_mentions:bigint,top_n_reasons:bigint,num_examples:bigint")
+    shown = lambda c: F.array_join(F.transform(c, lambda x: F.concat(x[0], F.lit(":"), x[1])), ",").alias(c)
+    return back.select(
+        "table", "source", "min_mentions", "num_examples", "aspect", "positive", "negative", "neutral", "total",
+        "majority_sentiment", shown("positive_reasons"), shown("negative_reasons"), shown("neutral_reasons"),
+    )
+
+
+@query("sink_report_documents")
+def q_sink_report_documents(spark, sf_dir):
+    """K5: a document per corpus with report, status, selected aspects and attempt history, read back."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.documents import read_report_documents, write_reports
+
+    path = new_scratch_path(spark, "report-documents")
+    write_reports(_retried(spark, sf_dir)[0], path)
+    attempts = F.transform("attempt_history", lambda h: F.concat(h["attempt"].cast("string"), F.lit(":"), h["passed"].cast("string")))
+    return read_report_documents(spark, path).select(
+        "source", "accepted", "status", "checker_mode", "generation_attempts", F.array_join("selected_aspects", "|").alias("selected_aspects"),
+        F.array_join(attempts, ",").alias("attempts"), (F.get("attempt_history", F.size("attempt_history") - 1)["report"] == F.col("report")).alias("last_is_report"),
+    )
+
+
+RUN_SCHEMA = "model string, sentences bigint, tp bigint, pred_total bigint, gold_total bigint, precision double, recall double, f1 double"
+
+
+@query("sink_run_metrics")
+def q_sink_run_metrics(spark, sf_dir):
+    """K3/K4: predictions written as CSV, the run's metrics observed in that pass and written as JSON,
+    as CSV and as a line of the history; all three read back."""
+    from aspectra.functions.triplets import render_triplets
+    from aspectra.operators.metrics import triplet_key_set
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.documents import log_run, prf, write_measured
+
+    _, _, _, pred, gold = _lexicon_run(spark, sf_dir)
+    rows = gold.withColumnRenamed("triplets", "gold").join(pred.select("sid", "triplets"), "sid", "left")
+    mine, want = triplet_key_set("triplets"), triplet_key_set("gold")
+    rows = rows.select("sid", render_triplets("triplets").alias("predicted_text"), render_triplets("gold").alias("target_text"),
+                       F.coalesce(F.size(F.array_intersect(mine, want)), F.lit(0)).alias("tp"), F.coalesce(F.size(mine), F.lit(0)).alias("pred_total"),
+                       F.coalesce(F.size(want), F.lit(0)).alias("gold_total"))
+    path = new_scratch_path(spark, "run")
+    total = lambda c: F.coalesce(F.sum(F.greatest(F.col(c), F.lit(0))), F.lit(0))
+    seen = write_measured(rows, lambda d: d.write.option("header", True).option("escape", '"').csv(f"{path}/predictions"),
+                          {"sentences": F.count(F.lit(1)), **{c: total(c) for c in ("tp", "pred_total", "gold_total")}})
+    run = {"model": "lexicon", **seen, **prf(seen["tp"], seen["pred_total"], seen["gold_total"])}
+    log_run(spark, run, RUN_SCHEMA, f"{path}/json", f"{path}/csv", f"{path}/history")
+    read = spark.read.schema(RUN_SCHEMA)
+    back = {"json": read.json(f"{path}/json"), "csv": spark.read.schema(RUN_SCHEMA).option("header", True).csv(f"{path}/csv"), "history": read.json(f"{path}/history")}
+    parts = [d.withColumn("sink", F.lit(n)) for n, d in back.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---------------------------------------------------------------- stats validation
 
 # Fixed rule for the derived "dirty" copy: rows whose seeded hash bucket (0-99) is below 10
@@ -1071,6 +1154,39 @@ def _retried(spark, sf_dir):
     return retry_rejects(_selected(spark, sf_dir, False), generate, check, max_attempts=3)
 
 
+@query("retry_routed")
+def q_retry_routed(spark, sf_dir):
+    """C6 + C7: corpora with and without reasons (half of the sources by hash have theirs taken away) go
+    through one attempt loop, each with the prompt, the retry prompt and the checker of its kind."""
+    from aspectra.operators.checks import check_reasoned, check_structured
+    from aspectra.operators.reports import prompt_reasoned, prompt_roles, retry_rejects, routed
+    from aspectra.operators.select import select_report_rows
+    from aspectra.plans.fixtures import count_reports, reasoned_reports, style_of
+    from aspectra.plans.materialize import materialize
+
+    plain = style_of(F.concat(F.lit("kind:"), F.col("source")), 2) == 0
+    table = _stats_by_source(spark, sf_dir)
+    for c in ("positive_reasons", "negative_reasons", "neutral_reasons"):
+        table = table.withColumn(c, F.when(plain, F.slice(c, 1, 0)).otherwise(F.col(c)))
+    table = materialize(table, "routed-stats")
+
+    def by_counts(rows, attempt):
+        return count_reports(rows, perturb=attempt == 1, style=0 if attempt == 3 else None).join(prompt_roles(rows, retry_number=attempt - 1), "source")
+
+    def by_reasons(rows, attempt):
+        return reasoned_reports(rows, perturb=attempt == 1).join(prompt_reasoned(rows, retry_number=attempt - 1), "source")
+
+    def check_counts(reports, rows):
+        return check_structured(reports, table, selected=rows)[0].withColumn("coverage_warnings", F.array().cast("array<string>"))
+
+    def check_reasons(reports, rows):
+        return check_reasoned(reports, rows, mode="factual-only")[0]
+
+    generate, check = routed((by_counts, check_counts), (by_reasons, check_reasons))
+    final, _ = retry_rejects(materialize(select_report_rows(table, ["source"], max_aspects=4), "routed-rows"), generate, check, max_attempts=3)
+    return final.select("source", "generation_attempts", "accepted", "status", "checker_mode", F.array_join("selected_aspects", "|").alias("selected_aspects"))
+
+
 #: Names per pool and (role, leading sentiment, share in percent) of the synthetic tables.
 SYNTH_POOLS = (("train", 240), ("valid", 60), ("test", 60))
 SYNTH_LEADING = (("most_discussed", "positive", 50), ("strongest_positive", "positive", 80), ("strongest_negative", "negative", 75), ("most_divided", "negative", 45))

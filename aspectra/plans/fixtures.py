@@ -60,15 +60,22 @@ def count_reports(selected: DataFrame, key: str = "source", perturb: bool = True
     return out
 
 
+def flawed_rows(selected: DataFrame, key: str = "source") -> DataFrame:
+    """The rows that a report tells of: by a hash of the corpus key a third lack slot 2, a third tell slot 1 twice."""
+    s = selected.withColumn("_flaw", style_of(F.concat(F.lit("flaw:"), F.col(key)), 3))
+    again = s.where("_flaw = 2 AND slot = 1").withColumn("slot", F.lit(9))
+    return s.where("NOT (_flaw = 1 AND slot = 2)").unionByName(again).drop("_flaw")
+
+
 def _reason(col: str) -> Column:
     return F.coalesce(F.get(F.col(col), 0)["reason"], F.lit(""))
 
 
-def reasoned_reports(selected: DataFrame, key: str = "source") -> DataFrame:
+def reasoned_reports(selected: DataFrame, key: str = "source", perturb: bool = True) -> DataFrame:
     """V9 (reason path): one paragraph per corpus, each selected aspect in its own sentence
     with its total, one sentiment count and its top reason, in four rotating styles."""
     s = selected.withColumn("_style", F.pmod(style_of(F.col(key), 4) + F.col("slot"), F.lit(4))).withColumn(
-        "total", F.when(perturbed(F.col(key)) & (F.col("slot") == 1), F.col("total") + 1).otherwise(F.col("total"))
+        "total", F.when(perturbed(F.col(key)) & (F.col("slot") == 1) & F.lit(perturb), F.col("total") + 1).otherwise(F.col("total"))
     )
     why = F.coalesce(
         F.when(F.size("positive_reasons") > 0, _reason("positive_reasons")),

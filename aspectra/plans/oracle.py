@@ -522,6 +522,39 @@ SELECT att.source, n::BIGINT AS generation_attempts, ok AS accepted, CASE WHEN o
        CASE WHEN reason_aware THEN 'factual-only' ELSE 'strict' END AS checker_mode, selected_aspects
 FROM att JOIN about ON att.source = about.source""",
 )
+sql(
+    "sink_report_documents",
+    ORACLE["retry_rejects"].replace(
+        "ELSE 3 END AS n, a.passed", "ELSE 3 END AS n, concat_ws(',', '1:' || a.passed, CASE WHEN NOT a.passed THEN '2:' || b.passed END, "
+        "CASE WHEN NOT a.passed AND NOT b.passed THEN '3:' || c.passed END) AS attempts, a.passed"
+    ).replace("checker_mode, selected_aspects\nFROM att", "checker_mode, selected_aspects, attempts, true AS last_is_report\nFROM att"),
+)
+_FLAWED = """,
+flw AS (SELECT *, ('0x' || substr(md5('flaw:' || source), 1, 6))::BIGINT % 3 AS flaw FROM sel),
+selx AS (SELECT * EXCLUDE (flaw) FROM flw WHERE NOT (flaw = 1 AND slot = 2)
+         UNION ALL SELECT * EXCLUDE (flaw) REPLACE (9 AS slot) FROM flw WHERE flaw = 2 AND slot = 1)"""
+sql(
+    "report_totals",
+    _SELC + _FLAWED + _COUNT_REPORTS.replace("AS pert FROM sel)", "AS pert FROM selx)") + _claims_cte() + _required_cte()
+    + f""",
+nd AS (SELECT source, count(*) AS n FROM (SELECT source, aspect FROM cl GROUP BY ALL HAVING count(*) > 1) GROUP BY source),
+nm AS (SELECT source, count(DISTINCT {lower_strip('s.aspect')}) AS n FROM sel s
+       WHERE NOT EXISTS (SELECT 1 FROM cl c WHERE c.source = s.source AND c.aspect = {lower_strip('s.aspect')}) GROUP BY source),
+nr AS (SELECT source, count(*) AS n FROM sel s WHERE s.role IS NOT NULL
+       AND NOT EXISTS (SELECT 1 FROM cl c WHERE c.source = s.source AND c.role = s.role) GROUP BY source),
+ne AS (SELECT s.source, count(*) AS n FROM sel s JOIN reql c ON c.source = s.source AND c.role = s.role WHERE c.aspect <> {lower_strip('s.aspect')} GROUP BY s.source),
+graded AS (SELECT ['roles', 'list', 'natural'][('0x' || substr(md5(req.source), 1, 6))::BIGINT % 3 + 1] AS style,
+               CASE WHEN passed THEN 'accepted' ELSE 'rejected' END AS status, passed, claims_checked, valid_claims,
+               coalesce(nd.n, 0) AS d, coalesce(nm.n, 0) AS m, coalesce(nr.n, 0) AS r, coalesce(ne.n, 0) AS e
+        FROM req LEFT JOIN nd ON nd.source = req.source LEFT JOIN nm ON nm.source = req.source
+        LEFT JOIN nr ON nr.source = req.source LEFT JOIN ne ON ne.source = req.source)
+SELECT CASE WHEN grouping(style) = 1 THEN 'all' ELSE style END AS style, CASE WHEN grouping(status) = 1 THEN 'all' ELSE status END AS status,
+       count(*) AS reports, count(*) FILTER (WHERE passed) AS passed, round(avg(CASE WHEN passed THEN 1.0 ELSE 0.0 END), 6) AS pass_rate,
+       sum(claims_checked)::BIGINT AS claims, sum(valid_claims)::BIGINT AS valid_claims, sum(d)::BIGINT AS n_duplicate_aspects,
+       sum(m)::BIGINT AS n_missing_aspects, sum(r)::BIGINT AS n_missing_roles, sum(e)::BIGINT AS n_role_errors,
+       0::BIGINT AS n_repeated_aspects, 0::BIGINT AS n_warnings
+FROM graded GROUP BY GROUPING SETS ((style, status), (style), (status), ())""",
+)
 sql(
     "coverage_gaps",
     _STRUCT
@@ -829,6 +862,21 @@ sql(
 gt AS (SELECT t.sid, {_render('x')} AS g FROM tst t LEFT JOIN grow x ON x.sid = t.sid GROUP BY t.sid)
 SELECT pt.sid, p AS predicted_text, g AS target_text FROM pt JOIN gt ON pt.sid = gt.sid""",
 )
+sql(
+    "sink_run_metrics",
+    "SELECT k.sink, 'lexicon' AS model, q.* FROM (" + ORACLE["triplet_prf"].replace("AS f1 FROM r", "AS f1, (SELECT count(*) FROM tst) AS sentences FROM r")
+    + ") q, (VALUES ('json'), ('csv'), ('history')) k(sink)",
+)
+sql(
+    "sink_stats_documents",
+    _LEX
+    + """, tab AS (SELECT 'gold:' || tst.source AS grp, grow.* FROM grow JOIN tst ON grow.sid = tst.sid
+         UNION ALL SELECT 'predicted:' || tst.source, prow.* FROM prow JOIN tst ON prow.sid = tst.sid),
+ex AS (SELECT source, 2::BIGINT AS min_mentions, count(*) AS num_examples FROM tst GROUP BY source), """
+    + _a2("tab", 10, group="grp")
+    + """ SELECT split_part(grp, ':', 1) AS "table", ex.*, a2.* EXCLUDE (grp)
+FROM a2 JOIN ex ON ex.source = substr(grp, strpos(grp, ':') + 1) WHERE total >= 2""",
+)
 _CONV = f"""cs AS (SELECT conv_id, turn, role, unnest(arr) AS sent, unnest(range(0, len(arr))) AS pos
        FROM (SELECT conv_id, turn, role, {_sa('text')} AS arr FROM conversations)),
 tst AS (SELECT conv_id || ':' || turn || ':' || pos AS sid, role, {tokens('sent')} AS toks, NULL::BIGINT AS doc_id, NULL::BIGINT AS pos FROM cs)"""
