@@ -25,6 +25,8 @@ from aspectra.plans.materialize import materialize
 #: Rows, and queries, of a part that meet in one task.
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 2048
+#: Pairs scored again at a time where many rows tie.
+RESCORE = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -168,13 +170,16 @@ def _search_task(k: int):
                 for c in range(0, len(qs), 256):
                     s = qs[c : c + 256] @ rows.T
                     s[q_ids[c : c + 256, None] == row_ids[None, :]] = -np.inf
-                    if s.shape[1] > k:  # all within rounding of the k-th, so that ties are whole
+                    if s.shape[1] > k:  # all within rounding of the k-th are scored again, then the first k kept
                         kth = -np.partition(-s, k - 1, axis=1)[:, k - 1]
                         keep = s >= (kth - 1e-9 * (1 + np.abs(kth)))[:, None]
                     else:
                         keep = np.ones(s.shape, bool)
                     u, v = np.nonzero(keep & (s > -np.inf))
-                    score = (qs[c + u] * rows[v]).sum(axis=1)
+                    score = np.concatenate([np.zeros(0)] + [(qs[c + u[t : t + RESCORE]] * rows[v[t : t + RESCORE]]).sum(axis=1) for t in range(0, len(u), RESCORE)])
+                    order = np.lexsort((row_ids[v], -score, u))
+                    order = order[np.arange(len(u)) - np.searchsorted(u, u) < k]
+                    u, v, score = u[order], v[order], score[order]
                     yield pa.RecordBatch.from_arrays([pa.array(q_ids[c + u]), pa.array(row_ids[v]), pa.array(score)], ["query_id", "vec_id", "score"])
 
     return run

@@ -65,3 +65,49 @@ def test_ngrams_stay_inside_a_text():
     of = [set(feature[row == i].tolist()) for i in range(6)]
     assert not of[0] and not of[1] and not of[3] and len(of[2]) == 3 and of[4] == of[5] and len(of[4]) == 1
     assert feature.max() < 1 << HASH_BITS
+
+
+def test_model_and_scores_match_plain_python(spark):
+    """Ratios, features and scores by dictionaries and loops, with the fitted coefficients taken as they are."""
+    import math
+
+    from aspectra.llm.toxicity import SIZES, score, train
+
+    docs, labels = corpus(spark, 60, null_rows=False)
+    docs = docs.select("doc_id", "text")
+    known = known_labels(labels)
+    model = train(docs, known, ngrams=400)
+
+    def fold(text):
+        return "".join(c if ord(c) > 127 or c.isalnum() else " " for c in text.lower())
+
+    def hashed(gram):
+        h = 0
+        for c in gram:
+            h = (h + ord(c)) * 0x9E3779B1 & 0xFFFFFFFF
+            h ^= h >> 15
+        return (h * 0x85EBCA6B & 0xFFFFFFFF) >> 32 - HASH_BITS
+
+    def grams(text):
+        t = fold(text)
+        return {hashed(t[i : i + n]) for n in SIZES for i in range(len(t) - n + 1)}
+
+    texts, y = dict(docs.collect()), dict(known.collect())
+    n = [sum(v == c for v in y.values()) for c in (0, 1)]
+    seen = {}
+    for i, label in y.items():
+        for g in grams(texts[i]):
+            seen.setdefault(g, [0, 0])[label] += 1
+    ratio = {g: math.log((p + 1) / (n[1] + 2)) - math.log((q + 1) / (n[0] + 2)) for g, (q, p) in seen.items() if p + q >= 3}
+    telling = {g: abs(r) * abs(seen[g][1] / n[1] - seen[g][0] / n[0]) for g, r in ratio.items()}
+    kept = {int(g) for g in np.flatnonzero(model.slot >= 0)}
+    least = sorted(telling.values())[-400]
+    assert len(kept) == 400 and kept <= set(telling) and all(telling[g] >= least - 1e-12 for g in kept)
+    # the scaling: a weight is the ratio times a coefficient, and the penalised loss is at rest there
+    coef = {g: model.weight[model.slot[g]] / ratio[g] for g in kept if ratio[g]}
+    z = {i: model.bias + sum(model.weight[model.slot[g]] for g in grams(t) & kept) for i, t in texts.items()}
+    loss = {i: (1 / (1 + math.exp(-z[i])) - y[i]) / len(y) for i in y}
+    slope = [sum(loss[i] * ratio[g] for i in y if g in grams(texts[i])) + 1e-5 * c for g, c in list(coef.items())[:20]]
+    assert max(map(abs, slope)) < 0.01
+    got = {r.doc_id: r.score for r in score(docs, model).collect()}
+    assert all(abs(got[i] - 1 / (1 + math.exp(-v))) < 1e-9 for i, v in z.items())

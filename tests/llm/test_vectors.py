@@ -145,6 +145,18 @@ def test_nearest_rows_and_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_ties_keep_k_rows_a_block(spark):
+    from aspectra.llm.ann import _search_task
+
+    n = 700
+    rows = [(1, 0, 0, q, i, [1.0, 2.0 if i % 2 else 1.0]) for q in (False, True) for i in range(n) if not q or i % 10 == 0]
+    tasks = spark.createDataFrame(rows, "part long, rb int, qb int, asks boolean, id long, vector array<double>").coalesce(1).sortWithinPartitions("asks", "id")
+    found = {}
+    for r in tasks.mapInArrow(_search_task(5), "query_id long, vec_id long, score double").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert {q: sorted(v) for q, v in found.items()} == {q: [1, 3, 5, 7, 9] for q in range(0, n, 10)}
+
+
 def test_parts_are_balanced_and_follow_the_graph():
     rng = np.random.default_rng(12)
     x = np.concatenate([rng.standard_normal((60, 8)) * 0.1 + 3 * np.eye(8)[k] for k in range(4)])
