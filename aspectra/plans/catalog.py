@@ -912,6 +912,19 @@ def q_scan_csv_reviews(spark, sf_dir):
     return read_review_csv(spark, path)
 
 
+@query("scan_csv_split")
+def q_scan_csv_split(spark, sf_dir):
+    """S7 in split form: the same files read in blocks of lines, whose records are found by quote counts."""
+    from aspectra.plans.materialize import new_scratch_path
+    from aspectra.sources.csv_split import read_review_csv_split
+
+    path = new_scratch_path(spark, "reviews-csv-split")
+    docs = views.labelled(spark, sf_dir).select("doc_id", F.col("text").alias("Review Text"), "sentiment")
+    (docs.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return read_review_csv_split(spark, path)
+
+
 @query("scan_json_reviews")
 def q_scan_json_reviews(spark, sf_dir):
     """{case, text} arrays, one JSON document per corpus chunk of about 1,000 reviews."""

@@ -677,6 +677,7 @@ _V8SQL = ORACLE["aspect_reasons_by_source"]
 sql("sink_stats_roundtrip", _V8SQL)
 sql("scan_stats_json", _V8SQL)
 sql("scan_csv_reviews", with_views("v1") + " SELECT text FROM v1 WHERE text IS NOT NULL")
+sql("scan_csv_split", ORACLE["scan_csv_reviews"])
 sql("scan_json_reviews", with_views("v1") + ' SELECT CAST(doc_id AS VARCHAR) AS "case", text FROM v1')
 sql("scan_reports", _STRUCT + " SELECT source, report FROM rep")
 sql(
