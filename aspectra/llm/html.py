@@ -178,13 +178,13 @@ class Page:
 
     def text(self, path: str) -> str:
         """The blocks of the containers of ``path``, without dropped parts, one line each."""
-        kept: list[int] = []  # 0: outside, 1: in a container of the path, 2: in one for articles
+        kept: list[int] = []  # -1: in a dropped part, 0: outside, 1: in a container of the path, 2: in one for articles
         for parent, key, _, weight, dropped in self.containers:
             outer = kept[parent] if parent >= 0 else 0
-            kept.append(0 if dropped else outer or (key == path) * (2 if weight > 1 else 1))
+            kept.append(-1 if dropped else outer or (key == path) * (2 if weight > 1 else 1))
         return "\n".join(
             block for c, block, _, dropped, heading, header in self.blocks
-            if kept[c] and not dropped and not (header and (kept[c] < 2 or not heading))
+            if kept[c] > 0 and not dropped and not (header and (kept[c] < 2 or not heading))
         )
 
 
