@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aspectra.functions.text import col_
+from aspectra.plans.materialize import materialize
 
 
 def hash_unit(key, seed: int = 42) -> Column:
@@ -96,14 +97,20 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 def leakage_audit(items: DataFrame, text: str = "text", split: str = "split", benchmark: DataFrame | None = None,
                   bench_text: str = "text") -> DataFrame:
     """(check, n) rows — distinct texts per split, texts shared by each split pair, and
-    benchmark items whose exact text occurs among the items. Any n > 0 on an overlap row is leakage."""
-    d = items.select(F.col(split).alias("split"), F.col(text).alias("text")).distinct()
+    benchmark items whose exact text occurs among the items. Any n > 0 on an overlap row is leakage.
+
+    Texts are compared by 128 bits of hash: one distinct of (split, hash) is shuffled and written, and
+    every check reads it. Null texts count as one text of a split; a null benchmark text is no hit.
+    Rows with a null split count in a row with a null ``check`` and in the benchmark check."""
+    def hashed(df: DataFrame, column: str, *keep: Column) -> DataFrame:
+        return df.select(*keep, F.xxhash64(F.lit(1), column).alias("x"), F.xxhash64(F.lit(2), column).alias("y")).distinct()
+
+    d = materialize(hashed(items, text, F.col(split).alias("split")), "leakage-texts")
     per_split = d.groupBy("split").agg(F.count(F.lit(1)).alias("n")).select(
         F.concat(F.lit("distinct_texts:"), "split").alias("check"), "n"
     )
-    # Overlap per split pair: texts present in >1 split, counted once per pair via a self-join on
-    # text restricted to texts that occur in more than one split (bounded by the overlap itself).
-    multi = d.groupBy("text").agg(F.array_sort(F.collect_set("split")).alias("splits")).filter(F.size("splits") > 1)
+    # Overlap per split pair: the set of splits of each text that occurs in more than one.
+    multi = d.groupBy("x", "y").agg(F.array_sort(F.collect_set("split")).alias("splits")).filter(F.size("splits") > 1)
     shared = (
         multi.select(F.explode("splits").alias("a"), "splits")
         .select("a", F.explode("splits").alias("b"))
@@ -119,7 +126,7 @@ def leakage_audit(items: DataFrame, text: str = "text", split: str = "split", be
     )
     out = per_split.unionByName(pairs)
     if benchmark is not None:
-        b = benchmark.select(F.col(bench_text).alias("text")).distinct()
-        hit = b.join(d.select("text").distinct(), "text", "left_semi").agg(F.count(F.lit(1)).alias("n"))
+        b = hashed(benchmark.where(F.col(bench_text).isNotNull()), bench_text)
+        hit = b.join(d, ["x", "y"], "left_semi").agg(F.count(F.lit(1)).alias("n"))
         out = out.unionByName(hit.select(F.lit("benchmark_in_items").alias("check"), "n"))
     return out

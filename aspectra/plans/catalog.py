@@ -982,7 +982,7 @@ def q_sink_reports(spark, sf_dir):
     )
     path = new_scratch_path(spark, "reports-json")
     doc.write.json(path)
-    back = spark.read.json(path)
+    back = spark.read.schema(doc.schema).json(path)
     return back.select("source", F.col("factual_check.passed").alias("passed"), F.size("factual_check.checks").alias("checks"))
 
 

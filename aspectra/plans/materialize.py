@@ -17,11 +17,15 @@ from aspectra.session import new_scratch_path  # noqa: F401  (re-exported)
 _SHARED: dict[tuple[str, str, str], str] = {}
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    spark = df.sparkSession
-    path = new_scratch_path(spark, label)
+def write_table(df: DataFrame, label: str) -> str:
+    """Path of a new scratch table that holds ``df``."""
+    path = new_scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return path
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    return df.sparkSession.read.parquet(write_table(df, label))
 
 
 def shared(spark: SparkSession, label: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -31,9 +35,7 @@ def shared(spark: SparkSession, label: str, source: str, build: Callable[[], Dat
     what was written."""
     key = (spark.sparkContext.applicationId, label, source)
     if key not in _SHARED:
-        path = new_scratch_path(spark, label)
-        build().write.mode("errorifexists").parquet(path)
-        _SHARED[key] = path
+        _SHARED[key] = write_table(build(), label)
     return spark.read.parquet(_SHARED[key])
 
 

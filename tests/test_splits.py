@@ -38,6 +38,15 @@ def test_leakage_audit_counts_overlap(spark):
     assert got["distinct_texts:train"] == 2 and got["benchmark_in_items"] == 1
 
 
+def test_leakage_audit_of_nulls_repeats_and_nothing(spark):
+    rows = [("a", "train"), ("a", "train"), (None, "train"), (None, "test"), ("", "test"), ("b", None), ("a", "test")]
+    bench = spark.createDataFrame([(t, 1) for t in (None, "", "b", "b", "z")], "text string, split int")
+    items = spark.createDataFrame([(*r, 1, 2) for r in rows], "text string, split string, x int, y int")
+    got = {r.check: r.n for r in leakage_audit(items, benchmark=bench).collect()}
+    assert got == {"distinct_texts:train": 2, "distinct_texts:test": 3, None: 1, "overlap:test/train": 2, "benchmark_in_items": 2}
+    assert [tuple(r) for r in leakage_audit(items.limit(0), benchmark=bench).collect()] == [("benchmark_in_items", 0)]
+
+
 @pytest.mark.parametrize(("n", "bits"), [(0, 4), (1, 4), (7, 1), (997, 3), (997, 16), (2000, 0)])
 def test_exact_split_sizes_and_order(spark, n, bits):
     df = spark.range(n).selectExpr("id AS k", "id % 3 AS extra")
