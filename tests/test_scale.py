@@ -35,3 +35,32 @@ def test_shared_sentences_are_written_without_their_lines(spark):
     QUERIES["split_pivot"](spark, SF)
     path = next(p for (_, label, sf), p in materialize._SHARED.items() if label == "split-sentences" and sf == SF)
     assert set(spark.read.parquet(path).columns) == {"doc_id", "source", "pos", "tokens", "triplets", "spans", "split", "sid"}
+
+
+def test_few_row_groups_are_spread_over_the_cores(spark):
+    from aspectra.session import spread
+
+    key = "spark.aspectra.spread.partitions"
+    docs, before = spark.read.parquet(f"{SF}/documents.parquet"), spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        dealt = spread(docs)
+        assert dealt.rdd.getNumPartitions() >= 3 * spark.sparkContext.defaultParallelism and dealt.count() == docs.count()
+        spark.conf.set(key, "0")
+        assert "RoundRobin" not in _plan(spread(docs))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_totals_and_reasons_take_the_same_counts(spark):
+    from aspectra.operators import stats
+
+    rows = [("a", "x", "positive"), ("a", " ", "positive"), ("a", " ", "positive"), ("a", "y", "negative"), ("b", "", "neutral")]
+    table = stats.aspect_reasons(spark.createDataFrame(rows, "aspect string, opinion string, sentiment string"), top_n=1)
+    got = {r.aspect: r for r in table.collect()}
+    assert got["a"].total == 4 and [tuple(x) for x in got["a"].positive_reasons] == [("x", 1)] and [tuple(x) for x in got["a"].negative_reasons] == [("y", 1)]
+    assert got["b"].total == 1 and got["b"].neutral_reasons == []
+    read = stats.aspect_reasons(views.triplet_rows(spark, SF))
+    read.collect()
+    final = _plan(read).split("== Initial")[0]
+    assert "ReusedExchange" in final and final.count("FileScan parquet") == 2  # documents and labels, once each
