@@ -35,7 +35,7 @@ TOKENIZED = 1 << 20
 STOPS = b".,;:!?"
 #: Letters whose lower case is one letter and which composition leaves alone.
 LATIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u0148\u014A-\u017E]+)([.,;:!?]*)")
-_TOKENIZERS: dict[str, "WordTokenizer"] = {}
+_TOKENIZERS: dict[tuple[str, int], "WordTokenizer"] = {}
 batches.REMEMBERED.append(_TOKENIZERS.clear)
 
 
@@ -122,10 +122,10 @@ class WordTokenizer:
         return ids
 
 
-def _tokenizer(file: str) -> WordTokenizer:
-    if file not in _TOKENIZERS:
-        _TOKENIZERS[file] = WordTokenizer(file)
-    return _TOKENIZERS[file]
+def _tokenizer(file: str, remembered: int = REMEMBERED) -> WordTokenizer:
+    if (file, remembered) not in _TOKENIZERS:
+        _TOKENIZERS[file, remembered] = WordTokenizer(file, remembered)
+    return _TOKENIZERS[file, remembered]
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -164,13 +164,13 @@ def _steps(n: np.ndarray, rows: int) -> Iterator[tuple[int, int, int]]:
         yield i, int(ends[i]), int(ends[min(len(n), i + rows)])
 
 
-def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text", seed: int = 3) -> DataFrame:
+def tokenize(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text", seed: int = 3, remembered: int = REMEMBERED) -> DataFrame:
     """``carry`` columns, ``ids`` (binary), ``n`` (ids without the closing one), projections p0, p1, p2."""
     source = docs.select(*carry, F.col(text).alias("__text"))
     schema = source.drop("__text").select("*", F.lit(b"").alias("ids"), F.lit(0).cast("long").alias("n"), *[F.lit(0.0).alias(f"p{k}") for k in range(DIMS)]).schema
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _tokenizer(file)
+        coder = _tokenizer(file, remembered)
         bucket = np.random.default_rng(seed).integers(0, FEATURES, np.iinfo(coder.kind).max + 1 if coder.kind == np.uint16 else 1 << 22)
         axes = np.random.default_rng([seed, 1]).standard_normal((FEATURES, DIMS))
 
@@ -216,7 +216,7 @@ def _cuts(total: int, length: int) -> np.ndarray:
     return np.array([length] * (total // length) + tail, np.int64)
 
 
-def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text", length: int = LENGTH, end: int = END, seed: int = 3, partitions: int | None = None) -> DataFrame:
+def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text: str = "text", length: int = LENGTH, end: int = END, seed: int = 3, partitions: int | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Pieces of all documents: ``carry`` columns, start, length, ids (binary, little-endian
     unsigned 32 bits), ids_crc32, doc_tokens, sequence_id and offset.
 
@@ -224,10 +224,10 @@ def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text:
     Each id lies in one piece. Sequences are ``length`` ids, except that each range ends with
     sequences whose lengths are powers of two. Repeated rows are packed each for itself; an
     empty table has no pieces. ``partitions``: ranges of the curve (the session's shuffle
-    partitions if not given).
+    partitions if not given). ``remembered``: bytes of words that a worker remembers; ids do not depend on it.
     """
     with batch_bytes(docs.sparkSession):
-        coded = materialize(tokenize(docs, file, carry, text, seed), "packing-ids")
+        coded = materialize(tokenize(docs, file, carry, text, seed, remembered), "packing-ids")
     keyed = curve_keys(coded).drop(*[f"p{k}" for k in range(DIMS)])
     tie = F.xxhash64(*carry, "n")
     ranged = keyed.withColumn("tie", tie)
@@ -236,7 +236,7 @@ def pack(docs: DataFrame, file: str, carry: tuple[str, ...] = ("doc_id",), text:
     schema = docs.select(*carry, *[F.lit(0).cast("long").alias(c) for c in ("start", "length")], F.lit(b"").alias("ids"), *[F.lit(0).cast("long").alias(c) for c in ("ids_crc32", "doc_tokens", "sequence_id", "offset")]).schema
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = _tokenizer(file).kind
+        kind = _tokenizer(file, remembered).kind
         closing = np.array([end], kind).tobytes()
         names = [f.name for f in schema.fields]
         # held: the open sequence's documents; left: how many ids of each are cut already

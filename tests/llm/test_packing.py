@@ -94,3 +94,16 @@ def test_what_a_worker_remembers_is_bounded_by_bytes():
         for memory in (own.young, own.old, own.pieces):
             assert sum(len(k) + len(v) + ENTRY for k, v in memory.items()) <= 100_000 + 400
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_the_query_remembers_a_large_vocabulary():
+    from aspectra.llm.packing import _tokenizer
+    from aspectra.llm.queries import WORDS
+
+    words = [f"w{i:x}q" for i in range(150_000)]
+    coder, small = _tokenizer(FILE, WORDS), _tokenizer(FILE)
+    col = pa.array([" ".join(words)])
+    ids, n = coder.encode(col)
+    assert all(w.encode() in coder.young or w.encode() in coder.old for w in words)  # none is encoded again
+    other, m = small.encode(col)
+    assert n.tolist() == m.tolist() and (ids == other).all() and small is not coder
