@@ -64,3 +64,69 @@ def test_totals_and_reasons_take_the_same_counts(spark):
     read.collect()
     final = _plan(read).split("== Initial")[0]
     assert "ReusedExchange" in final and final.count("FileScan parquet") == 2  # documents and labels, once each
+
+
+def _line_groups_slowly(aspect_items, opinion_items):
+    """(aspect, opinion, sentiment, a0, a1, o0, o1) of each aspect group of one line, item by item."""
+    bad, sides = 0, ({}, {})
+    for side, items in zip(sides, (aspect_items, opinion_items)):
+        for i, x in enumerate(items):
+            if x.endswith("=O"):
+                continue
+            tok, eq, tag = x.rpartition("=")
+            bad += not eq
+            tag, dash, code = tag.partition("-") if side is sides[0] else (tag, "-", "")
+            if dash:
+                group = side.setdefault(tag, [i, i + 1, code, []])
+                group[1] = i + 1
+                group[3].append(tok)
+    phrase = lambda t: t[0] if len(t) == 1 else " ".join(t).replace(" n't", "n't").replace(" 's", "'s").strip()
+    out = []
+    for gid in sorted(sides[0], key=lambda g: (len(g), g)):
+        a0, a1, code, toks = sides[0][gid]
+        o0, o1, _, other = sides[1].get("S" * len(gid)) or (None, None, "", [""])
+        out.append((phrase(toks), phrase(other), tagged._sentiment(code), a0, a1, o0, o1))
+    return out, bad
+
+
+def test_tagged_batches_are_grouped_together(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    r = random.Random(5)
+    tags = ["O", "S", "SS", "SSS", "", "T-POS", "TT-NEG", "T-neu", "12-NEU", "TTT-POS", "T-A-B", "-POS", "É-x", "x"]
+    item = lambda: r.choice(["a", "n't", "'s", "it's", "b=c", "", "é"]) + r.choice("====,") + r.choice(tags)
+    line = lambda: r.choice([" ", "  ", "\t", "　", "\x1c"]).join(item() for _ in range(r.randrange(9))) + r.choice(["", " "])
+    lines = [(line(), line()) for _ in range(1500)]
+    for size in (0, 1, 7, 1500):
+        some = lines[:size]
+        got = tagged._line_groups(*(pa.array([x[k] for x in some], pa.string()) for k in (0, 1))).to_pylist()
+        for (a, o), g in zip(some, got, strict=True):
+            groups, bad = _line_groups_slowly(a.split(), o.split())
+            assert [tuple(t.values()) for t in g["triplets"]] == [x[:3] for x in groups if x[0] and x[1]], (a, o)
+            assert [tuple(t.values()) for t in g["spans"]] == [(*x[3:], x[2]) for x in groups if x[5] is not None], (a, o)
+            assert g["bad_items"] == bad
+    seen = []
+    monkeypatch.setattr(tagged, "_sentiment", lambda code: seen.append(code) or code)
+    tagged._line_groups(pa.array(["a=T-POS b=TT-NEG"] * 1000), pa.array(["a=S b=SS"] * 1000))
+    assert sorted(seen) == ["NEG", "POS"]  # not once a group
+
+
+def test_white_space_of_splits_is_that_of_python(spark):
+    from pyspark.sql import functions as F
+
+    from aspectra.functions.text import WS, WS_RUN, tokens
+
+    every = spark.range(1, 0x110000).where("id NOT BETWEEN 55296 AND 57343").select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    text = F.concat(F.lit("a"), F.col("c"), F.col("c"), F.lit("b"))
+    odd = every.where((F.split(text, WS_RUN) != F.split(text, WS + "+")) | ((F.size(tokens(text)) == 2) != F.col("c").rlike(WS)))
+    assert odd.count() == 0 and every.where(F.size(tokens(text)) == 2).count() == sum(chr(i).isspace() for i in range(0x110000))
+
+
+def test_kept_tables_are_packed(spark):
+    import glob
+
+    QUERIES["split_pivot"](spark, SF)
+    path = next(p for (_, label, sf), p in materialize._SHARED.items() if label == "split-sentences" and sf == SF)
+    assert glob.glob(f"{path}/*.zstd.parquet") and not glob.glob(f"{path}/*.snappy.parquet")
