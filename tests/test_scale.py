@@ -130,3 +130,48 @@ def test_kept_tables_are_packed(spark):
     QUERIES["split_pivot"](spark, SF)
     path = next(p for (_, label, sf), p in materialize._SHARED.items() if label == "split-sentences" and sf == SF)
     assert glob.glob(f"{path}/*.zstd.parquet") and not glob.glob(f"{path}/*.snappy.parquet")
+
+
+def _exchanges(df) -> list[str]:
+    df.collect()
+    return [line for line in _plan(df).split("== Initial")[0].splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+
+
+def test_pairs_of_a_sentence_stay_where_its_matches_are(spark):
+    from pyspark.sql import functions as F
+
+    from aspectra.operators.lexicon import lexicon_predict
+
+    rows = [(i, ["good", "soup", "Bad", "tea", "x"][: i % 6]) for i in range(40)] + [(3, ["soup"]), (None, ["soup"])]
+    sentences = spark.createDataFrame(rows, "sid int, tokens array<string>")
+    vocab, lex = spark.createDataFrame([("soup",), ("tea",)], "phrase string"), spark.createDataFrame([("good", "positive"), ("bad", "negative")], "phrase string, sentiment string")
+    pred = lexicon_predict(sentences, vocab, lex)
+    got = {r.sid: [tuple(t) for t in r.triplets] for r in pred.collect()}
+    assert set(got) == {*range(40), None} and got[None] == got[0] == got[1] == []
+    assert got[4] == [("soup", "good", "positive"), ("tea", "bad", "negative")] and got[2] == [("soup", "good", "positive")]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        by_sentence = [x for x in _exchanges(lexicon_predict(sentences, vocab, lex).groupBy("sid").agg(F.first("triplets"))) if "hashpartitioning(sid" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(by_sentence) == 2  # the matches and the ids, nothing of what is made of them
+
+
+def test_selected_rows_take_the_counts_once(spark):
+    read = QUERIES["select_rows_reasons"](spark, SF)
+    read.collect()
+    final = _plan(read).split("== Initial")[0]
+    assert final.count("FileScan parquet") == 2 and "ReusedExchange" in final  # documents and labels, once each
+
+
+def test_reasons_of_null_groups_and_aspects_without_one(spark):
+    from aspectra.operators import stats
+
+    rows = [(None, "A", "x", "positive")] * 2 + [(None, "a ", "y", "positive"), (None, "b", " ", "negative"), ("s", "a", "z", "neutral"), ("s", "a", "z", "odd"), ("s", " ", "z", "neutral")]
+    d = spark.createDataFrame(rows, "source string, aspect string, opinion string, sentiment string")
+    got = {(r.source, r.aspect): r for r in stats.aspect_reasons(d, group_cols=["source"], top_n=1).collect()}
+    assert set(got) == {(None, "a"), (None, "b"), ("s", "a")}
+    assert [tuple(x) for x in got[None, "a"].positive_reasons] == [("x", 2)] and got[None, "a"].total == 3 and got[None, "a"].negative_reasons == []
+    assert got[None, "b"].negative == 1 and got[None, "b"].negative_reasons == [] and got["s", "a"].total == 1
+    assert stats.aspect_reasons(d, group_cols=["source"], min_mentions=3).count() == 1
